@@ -3,7 +3,7 @@
 Counts of n-grams (2 to ORDER words) over all training texts are quantised to levels of a logarithm: level q stands for counts
 of at least BASE^(q-1). A Bloom filter holds each n-gram once for each of its levels; probing levels 1, 2, ... until one is absent
 returns the level, never too low. Unigram counts are exact. The model backs off from order to order:
-P(w|h) = (c(hw) + MU * P(w|shorter h)) / (c(h) + MU), with quantised counts rounded down above the line and up below, so a context's
+P(w|h) = (c(hw) + m * P(w|shorter h)) / (c(h) + m), m = MU * c(h)^GAMMA, with quantised counts rounded down above the line and up below, so a context's
 probabilities do not sum to more than 1 but for false positives.
 
 Counting and building are distributed: each task tallies its n-grams, hash buckets merge the tallies, and each bucket builds
@@ -32,7 +32,8 @@ from lumenforge.llm.text import column, mix, slices, tallied, word_hashes
 
 ORDER = 2
 BASE = 1.6
-MU = 4.0
+#: The back-off weight of a context seen c times is MU * c^GAMMA: as Heaps' law has it, its distinct followers grow so.
+MU, GAMMA = 4.0, 0.8
 PROBES = 4
 BITS_PER_ENTRY = 10
 SEGMENT_BYTES = 192 << 20
@@ -257,7 +258,8 @@ class Model:
                             context = np.where(q > 0, at_least(q + 1) - 1, 0)
                         c = np.minimum(at_least(found[n - 1]), context)
                         _, inside = ngrams(words, first, n)
-                        prob = np.where(inside, (c + MU * prob) / (context + MU), prob)
+                        mass = MU * np.maximum(context, 1) ** GAMMA
+                        prob = np.where(inside, (c + mass * prob) / (context + mass), prob)
                     yield pa.RecordBatch.from_arrays(
                         [
                             *(column(rows, c) for c in keep), pa.array(np.diff(first)), pa.array(np.add.reduceat((counts > 0).astype(np.int64), first[:-1])),
