@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lumenforge.llm.shared import table
+from lumenforge.llm.shared import table, written
 from lumenforge.llm.text import column, mix, slices, tallied, text_bytes
 
 #: Bytes in an n-gram; words are parted by one space.
@@ -135,14 +135,15 @@ def train(docs: DataFrame, train_rows: int = TRAIN_ROWS) -> MaskFilter:
     total = sum(sizes.values())
     sample = labelled if total <= train_rows else labelled.filter(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < int((1 << 20) * train_rows / total))
     counts = sample.mapInArrow(_tally(codes), "gram long, code int, count long").groupBy("gram", "code").agg(F.sum("count").alias("count"))
-    by_code = Window.partitionBy("code")
+    counts = written(counts, "grams")
+    totals = counts.groupBy("code").agg(F.sum("count").alias("total"))
     by_gram = Window.partitionBy("gram")
-    shares = counts.withColumn("total", F.sum("count").over(by_code)).withColumn("share", F.col("count") / F.col("total"))
+    shares = counts.join(F.broadcast(totals), "code").withColumn("share", F.col("count") / F.col("total"))
     chosen = shares.withColumn("most", F.max("share").over(by_gram)).filter((F.col("count") >= MIN_COUNT) & (F.col("share") >= CHARACTERISTIC * F.col("most")))
     rows = chosen.select("gram", "code", "total").toPandas()
-    totals = rows.groupby("code")["total"].max().to_dict()
+    size = rows.groupby("code")["total"].max().to_dict()
     names = {k: x for x, k in codes.items()}
-    order = sorted(codes.values(), key=lambda k: (-totals.get(k, 0), names[k]))
+    order = sorted(codes.values(), key=lambda k: (-size.get(k, 0), names[k]))
     place = {k: i for i, k in enumerate(order)}
     bits = np.uint64(1) << rows["code"].map(place).to_numpy().astype(np.uint64)
     masks = rows.assign(bit=bits).groupby("gram")["bit"].sum()
@@ -173,6 +174,21 @@ def predicted(docs: DataFrame, model: MaskFilter, columns: list[str]) -> DataFra
     return read.mapInArrow(run, ", ".join([*kinds, "lang_pred string", "score double", "support double"]))
 
 
+def accepted(docs: DataFrame, model: MaskFilter, min_support: float = 0.2) -> DataFrame:
+    """The rows of docs whose text has letters, and whose best language knows at least min_support of its n-grams."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
+        for batch in batches:
+            for rows in slices(batch, "text"):
+                if model.languages:
+                    shares, lettered = model.shares(column(rows, "text"))
+                    yield rows.filter(pa.array(lettered & (shares.max(axis=1) >= min_support)))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def held_out(column: str = "doc_id", parts: int = 5):
     """True for the rows kept from training: crc32 of the id as text is divisible by `parts`; so are null ids."""
     return F.coalesce(F.crc32(F.col(column).cast("string")) % parts == 0, F.lit(True))
