@@ -57,7 +57,8 @@ def propagated(rows: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> D
         by_block = placed.filter(F.col("block").isNotNull()).groupBy("block", "shard").agg(F.count("*").alias("n"))
         # the shard with most of a block's rows, ties to one dealt by the block's hash so that small blocks don't all go to shard 0
         wish = by_block.groupBy("block").agg(F.max_by("shard", F.struct("n", F.pmod(F.xxhash64("block", "shard"), F.lit(1 << 30)))).alias("want"))
-        wished = placed.join(wish, "block", "left").withColumn("want", F.coalesce("want", "shard"))
+        linked = placed.filter(F.col("block").isNotNull()).join(wish, "block").select(*placed.columns, "want")
+        wished = linked.unionByName(placed.filter(F.col("block").isNull()).withColumn("want", F.col("shard")))
         flows = {(r["shard"], r["want"]): (r["n"], r["free"]) for r in wished.groupBy("shard", "want").agg(F.count("*").alias("n"), F.count_if(F.col("block").isNull()).alias("free")).collect()}
         held = {s: sum(c for (a, _), (c, _) in flows.items() if a == s) for s in range(shards)}
         spare = {s: flows.get((s, s), (0, 0))[1] for s in range(shards)}  # unlinked rows
@@ -72,7 +73,8 @@ def propagated(rows: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> D
         placed = written(wished.withColumn("shard", F.when(lucky, F.col("want")).otherwise(F.col("shard"))).drop("want"), "placed")
     # what a row's leaving would cut: its block's rows beside it; the rest of the block stays
     together = placed.filter(F.col("block").isNotNull()).groupBy("block", "shard").agg((F.count("*") - 1).alias("loss"))
-    return placed.join(together, ["block", "shard"], "left").withColumn("loss", F.coalesce("loss", F.lit(0)))
+    linked = placed.filter(F.col("block").isNotNull()).join(together, ["block", "shard"]).select(*placed.columns, "loss")
+    return linked.unionByName(placed.filter(F.col("block").isNull()).withColumn("loss", F.lit(0).cast("long")))
 
 
 def ranked(rows: DataFrame, within: str, *order: str, alias: str) -> DataFrame:

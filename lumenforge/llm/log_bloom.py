@@ -35,7 +35,7 @@ BASE = 1.6
 #: The back-off weight of a context seen c times is MU * c^GAMMA: as Heaps' law has it, its distinct followers grow so.
 MU, GAMMA = 4.0, 0.8
 PROBES = 4
-BITS_PER_ENTRY = 10
+BITS_PER_ENTRY = 8
 SEGMENT_BYTES = 192 << 20
 #: Tallies of a task are handed on when they hold so many n-grams.
 TALLY = 4_000_000
@@ -139,29 +139,41 @@ def _merged(rows: pa.Table) -> pa.Table:
 class Segment:
     """The parts of some buckets: unigram tables and filter parts."""
 
-    def __init__(self, rows: list, buckets: int):
+    def __init__(self, sizes: list, buckets: int):
+        """sizes: bucket, order and size of each part. Room is made once; `fill` takes the parts a few at a time."""
         self.buckets = buckets
-        one = [r for r in rows if r["order"] == 1]
-        keys = np.concatenate([np.frombuffer(r["data"], np.uint64) for r in one]) if one else np.zeros(0, np.uint64)
-        counts = np.concatenate([np.frombuffer(r["more"], np.int64) for r in one]) if one else np.zeros(0, np.int64)
-        by = np.argsort(keys)
-        self.keys, self.counts = keys[by], counts[by]
+        total = sum(r["size"] for r in sizes if r["order"] == 1)
+        self.keys, self.counts, self.filled = np.empty(total, np.uint64), np.empty(total, np.int64), 0
         self.filters = {}
-        for n in sorted({r["order"] for r in rows} - {1}):
-            size, start = np.zeros(buckets, np.uint64), np.zeros(buckets, np.int64)
-            parts, at = [], 0
-            for r in rows:
+        for n in sorted({r["order"] for r in sizes} - {1}):
+            size, start, at = np.zeros(buckets, np.uint64), np.zeros(buckets, np.int64), 0
+            for r in sizes:
                 if r["order"] == n:
                     size[r["bucket"]], start[r["bucket"]] = r["size"], at
-                    parts.append(np.frombuffer(r["data"], np.uint8))
                     at += r["size"]
-            self.filters[n] = (size, start, np.concatenate(parts))
+            self.filters[n] = (size, start, np.zeros(at // 8, np.uint8))
+
+    def fill(self, rows: list) -> None:
+        for r in rows:
+            if r["order"] == 1:
+                to = slice(self.filled, self.filled + r["size"])
+                self.keys[to], self.counts[to] = np.frombuffer(r["data"], np.uint64), np.frombuffer(r["more"], np.int64)
+                self.filled += r["size"]
+            else:
+                _, start, bits = self.filters[r["order"]]
+                at = start[r["bucket"]] // 8
+                bits[at : at + len(r["data"])] = np.frombuffer(r["data"], np.uint8)
+
+    def sort(self) -> None:
+        by = np.argsort(self.keys)
+        self.keys = self.keys[by]
+        self.counts = self.counts[by].astype(np.uint32) if len(by) and self.counts.max() < 1 << 32 else self.counts[by]
 
     def unigrams(self, keys: np.ndarray) -> np.ndarray:
         if not len(self.keys):
             return np.zeros(len(keys), np.int64)
         at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        return np.where(self.keys[at] == keys, self.counts[at], 0)
+        return np.where(self.keys[at] == keys, self.counts[at], 0).astype(np.int64)
 
     def level(self, n: int, keys: np.ndarray) -> np.ndarray:
         """Level of each n-gram: probes of levels 1, 2, ... until one is absent; 0 for those of other segments."""
@@ -207,8 +219,12 @@ class Model:
 
     def segment(self, spark: SparkSession, k: int):
         """Broadcast of the k-th segment: at most SEGMENT_BYTES, or one bucket (whose size follows one input partition's)."""
-        rows = self.parts.filter(F.col("bucket").isin(self.segments[k])).collect() if self.segments[k] else []
-        return spark.sparkContext.broadcast(Segment(rows, self.buckets))
+        rows = self.parts.filter(F.col("bucket").isin(self.segments[k]))
+        out = Segment(sorted(rows.select("bucket", "order", "size").collect()), self.buckets)
+        for low in range(0, len(self.segments[k]), 4):
+            out.fill(self.parts.filter(F.col("bucket").isin(self.segments[k][low : low + 4])).collect())
+        out.sort()
+        return spark.sparkContext.broadcast(out)
 
     def scored(self, docs: DataFrame, keep: list[str]) -> DataFrame:
         """keep and n_tokens, n_known, base_score, score of each row of docs (text)."""

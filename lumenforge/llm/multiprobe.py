@@ -29,7 +29,8 @@ from lumenforge.llm.text import mix
 TABLES = 2
 COVER = 0.85
 UNIT_ROWS = 2_000
-PART_ROWS = 6_000
+#: Bytes of vectors that one task ranks at once.
+PART_BYTES = 16 << 20
 #: Partial cells kept for a query while they are put together, the likeliest first.
 BEAM = 2_048
 #: The radius is fitted on at most so many queries against at most so many vectors.
@@ -123,7 +124,7 @@ def fit(rows: DataFrame, k: int) -> tuple[Hashes | None, int]:
     full = np.column_stack([x, np.sqrt(np.clip(1 - (x * x).sum(axis=1), 0, None))])
     near = np.sort(2 - 2 * (np.column_stack([q, np.zeros(len(q))]) @ full.T), axis=1)[:, min(k, len(x) - 1)]
     radius = float(np.sqrt(np.clip(np.median(near), 1e-6, None)))
-    cuts = 0 if n <= UNIT_ROWS else int(np.clip(round(np.log(n / 300) / np.log(3)), 1, 8))
+    cuts = 0 if n <= UNIT_ROWS else int(np.clip(round(np.log(n / 500) / np.log(4)), 1, 8))
     return Hashes(stats["dim"], cuts, stats["norm"], radius), n
 
 
@@ -166,8 +167,11 @@ def _rank(k: int):
         qs, vs, ss = (np.concatenate(x) if x else np.zeros(0, kind) for x, kind in zip(found, (np.int64, np.int64, np.float64), strict=True))
         order = np.lexsort((vs, -ss, qs))
         qs, vs, ss = qs[order], vs[order], ss[order]
-        nth = np.arange(len(qs)) - np.searchsorted(qs, qs)
-        keep = (nth < k * TABLES) & np.isfinite(ss)
+        # a candidate may come from more than one table
+        keep = np.isfinite(ss)
+        keep[1:] &= (qs[1:] != qs[:-1]) | (vs[1:] != vs[:-1]) | (ss[1:] != ss[:-1])
+        qs, vs, ss = qs[keep], vs[keep], ss[keep]
+        keep = np.arange(len(qs)) - np.searchsorted(qs, qs) < k
         return pa.table({n: x[keep] for n, x in zip(names, (qs, vs, ss), strict=True)})
 
     return run
@@ -198,7 +202,7 @@ def search(rows: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
 
     placed = written(base.mapInArrow(cells, "vec_id long, tab int, cell long, vec array<double>"), "cells")
     asked = clean(queries).select(F.col("vec_id").alias("query_id"), "vec")
-    parts = max(1, -(-n * TABLES // PART_ROWS))
+    parts = max(1, -(-n * TABLES * hashes.cuts.shape[2] * 8 // PART_BYTES))
     sizes = placed.groupBy("cell").agg(F.ceil(F.count("*") / UNIT_ROWS).cast("int").alias("units"))
     unit = F.xxhash64("cell", "nth")
     part = F.pmod(F.col("unit"), F.lit(parts)).cast("int")

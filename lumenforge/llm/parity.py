@@ -34,6 +34,8 @@ from lumenforge.llm.text import column, mix, shingles, slices, word_hashes
 SKETCH_WORDS = 4
 #: Segments for each one that must be a key.
 SPREAD = 1.5
+#: Rounds over keys whose sets are in more than one component; the last compares all of those that are.
+TURNS = 4
 
 
 def bands(largest: int, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
@@ -232,19 +234,38 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100)
         both = left.join(texts.select(F.col("class").alias("hub"), F.col("set").alias("other")), "hub").select("class", "hub", "set", "other")
         return written(both.mapInArrow(_verified(num, den), "class long, hub long"), "links")
 
-    pairs = written(stars.select("class", "hub").distinct().join(own, "class").join(other, "hub").filter(_close(num, den)).select("class", "hub"), "pairs")
+    pairs = written(stars.select(F.greatest("class", "hub").alias("class"), F.least("class", "hub").alias("hub")).distinct().join(own, "class").join(other, "hub").filter(_close(num, den)).select("class", "hub"), "pairs")
     links = verified(pairs)
-    joined = components(links.select(F.col("class").alias("a"), F.col("hub").alias("b")))
-    # sets that share a key but no component yet
-    members = stars.select("key", "class").unionByName(stars.select("key", F.col("hub").alias("class"))).distinct()
-    placed = members.join(joined.select(F.col("node").alias("class"), "component"), "class", "left").withColumn("component", F.coalesce("component", "class"))
-    mixed = placed.groupBy("key").agg(F.min("component").alias("least"), F.max("component").alias("most")).filter("least <> most").select("key")
-    open_ = written(placed.join(mixed, "key").join(own, "class"), "open")
-    ahead = open_.select("key", F.col("class").alias("hub"), F.col("component").alias("c2"), F.col("n").alias("m"), *(F.col(w).alias(f"t{w[1:]}") for w in words))
-    more = open_.join(ahead, (open_["key"] == ahead["key"]) & (F.col("component") < F.col("c2")) & _close(num, den)).select(F.greatest("class", "hub").alias("class"), F.least("class", "hub").alias("hub")).distinct()
-    more = written(more.join(pairs, ["class", "hub"], "left_anti"), "more-pairs")
-    if not more.isEmpty():
-        links = links.unionByName(verified(more))
+    members = written(stars.select("key", "class").unionByName(stars.select("key", F.col("hub").alias("class"))).distinct(), "members")
+
+    def unsettled(links: DataFrame) -> DataFrame:
+        """Members of keys whose sets are in more than one component so far."""
+        joined = components(links.select(F.col("class").alias("a"), F.col("hub").alias("b")))
+        placed = members.join(joined.select(F.col("node").alias("class"), "component"), "class", "left").withColumn("component", F.coalesce("component", "class"))
+        mixed = placed.groupBy("key").agg(F.min("component").alias("least"), F.max("component").alias("most")).filter("least <> most").select("key")
+        return written(placed.join(mixed, "key").join(own, "class"), "unsettled")
+
+    def untested(found: DataFrame) -> DataFrame:
+        found = found.select(F.greatest("class", "hub").alias("class"), F.least("class", "hub").alias("hub")).distinct()
+        return written(found.join(pairs, ["class", "hub"], "left_anti"), "more-pairs")
+
+    to_hub = [F.col("class").alias("hub"), F.col("component").alias("c2"), F.col("n").alias("m"), *(F.col(w).alias(f"t{w[1:]}") for w in words)]
+    for turn in range(TURNS):
+        left = unsettled(links)
+        if left.isEmpty():
+            break
+        if turn < TURNS - 1:
+            # each key's sets against one of them, another for each key and turn: large groups grow together
+            hubs = left.groupBy("key").agg(F.min_by(F.struct(*to_hub), F.xxhash64("key", "class", F.lit(turn))).alias("h")).select("key", "h.*")
+            met = left.join(hubs, "key").filter((F.col("component") != F.col("c2")) & _close(num, den))
+        else:
+            # what is still apart, each with each
+            ahead = left.select("key", *to_hub)
+            met = left.join(ahead, (left["key"] == ahead["key"]) & (F.col("component") < F.col("c2")) & _close(num, den))
+        more = untested(met)
+        if not more.isEmpty():
+            links = written(links.unionByName(verified(more)), "links")
+            pairs = written(pairs.unionByName(more), "pairs")
     by_doc = links.join(classes.select("class", F.col("rep").alias("a")), "class").join(classes.select(F.col("class").alias("hub"), F.col("rep").alias("b")), "hub").select("a", "b")
     found = components(by_doc).select(F.col("node").alias("rep"), "component")
     final = classes.select("class", "rep").join(found, "rep", "left").select("class", F.coalesce("component", "rep").alias("component"))

@@ -17,7 +17,8 @@ _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
-SLICE_BYTES = 4 << 20
+#: Text bytes worked on at once; just below a power of two, which the tables of powers are rounded up to.
+SLICE_BYTES = (2 << 20) - 64
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
