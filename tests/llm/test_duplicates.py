@@ -1,0 +1,182 @@
+import hashlib
+import random
+
+import numpy as np
+import pyarrow.parquet as pq
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from lumenforge.llm import chaining, parity, sais, suffixes
+from tests.llm.conftest import SMALL, documents, words
+
+
+def shingle_set(text, k):
+    w = words(text)
+    return frozenset(tuple(w[i : i + k]) for i in range(len(w) - k + 1)) if len(w) >= k else frozenset([tuple(w)] if w else [])
+
+
+def brute_components(rows, k, num, den):
+    sets = {r["doc_id"]: shingle_set(r["text"], k) for r in rows}
+    parent = {d: d for d in sets}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    where = {}
+    for d, s in sets.items():
+        for x in s:
+            where.setdefault(x, []).append(d)
+    for a, s in sets.items():
+        for b in {b for x in s for b in where[x] if b < a}:
+            same = len(s & sets[b])
+            if den * same >= num * (len(s) + len(sets[b]) - same):
+                low, high = sorted((root(a), root(b)))
+                parent[high] = low
+    return {d: (len(s), root(d)) for d, s in sets.items()}
+
+
+def test_components_match_brute_force(spark):
+    want = brute_components(pq.read_table(f"{SMALL}/documents.parquet").to_pylist(), 3, 90, 100)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in parity.op5_parity_join(spark, SMALL).collect()}
+    assert got == want
+
+
+def test_chains_of_near_copies_lose_no_link(spark, folder):
+    rng = random.Random(5)
+    texts = []
+    for _ in range(12):
+        base = [f"w{rng.randrange(4000)}" for _ in range(rng.choice((12, 40, 150, 400)))]
+        for _ in range(8):
+            texts.append(" ".join(base))
+            base = list(base)
+            base[rng.randrange(len(base))] = f"new{rng.randrange(10**6)}"
+    texts += ["a b", "a  B", "", None, "a"]
+    rng.shuffle(texts)
+    sf = folder(documents=documents(*texts))
+    rows = [{"doc_id": k, "text": t} for k, t in enumerate(texts)]
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    for k, num in ((3, 90), (5, 80)):
+        got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in parity.near_duplicates(docs, k, num, 100).collect()}
+        assert got == brute_components(rows, k, num, 100)
+
+
+def test_sketch_distance_is_at_most_the_symmetric_difference():
+    rng = np.random.default_rng(1)
+    for _ in range(50):
+        pool = rng.integers(0, 1 << 63, 60, dtype=np.uint64)
+        a, b = (np.unique(rng.choice(pool, 40)) for _ in range(2))
+        one, two = parity.sketches(np.concatenate([a, b]), np.array([0, len(a), len(a) + len(b)]))
+        apart = int(np.bitwise_count(one ^ two).sum())
+        assert apart <= len(np.setxor1d(a, b))
+
+
+def test_join_of_odd_rows(spark, folder, odd):
+    got = parity.op5_parity_join(spark, folder(documents=odd)).collect()
+    assert len(got) == odd.num_rows
+    by_id = {r["doc_id"]: r for r in got}
+    assert by_id[7]["component_id"] == by_id[8]["component_id"] == 7
+    assert by_id[1]["n_shingles"] == 0 and by_id[2]["component_id"] == 2 and by_id[None]["component_id"] is None
+    assert parity.op5_parity_join(spark, folder(documents=odd.slice(0, 0))).count() == 0
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(0, 3), max_size=80), st.integers(1, 12))
+def test_suffix_order_and_prefixes(values, depth):
+    s = np.array(values, np.uint8)
+    order = sais.suffix_array(s, depth)
+    body = bytes(values)
+    assert sorted(order.tolist()) == list(range(len(s)))
+    cut = [body[i : i + depth] for i in order.tolist()]
+    assert cut == sorted(cut)
+
+
+def brute_removed(texts, length):
+    starts = {}
+    raw = [(t or "").encode() for t in texts]
+    for d, b in enumerate(raw):
+        for i in range(len(b) - length + 1):
+            starts.setdefault(b[i : i + length], []).append((d, i))
+    gone = [np.zeros(len(b), bool) for b in raw]
+    for at in starts.values():
+        if len(at) > 1:
+            for d, i in at:
+                gone[d][i : i + length] = True
+    out = {}
+    for d, b in enumerate(raw):
+        edges = np.diff(np.concatenate([[0], gone[d].astype(int), [0]]))
+        kept = bytes(np.frombuffer(b, np.uint8)[~gone[d]])
+        out[d] = (len(b), int(gone[d].sum()), int((edges == 1).sum()), hashlib.sha256(kept).hexdigest())
+    return out
+
+
+def digest(df):
+    return {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in df.collect()}
+
+
+def test_removed_bytes_match_brute_force(spark, folder):
+    rows = sorted(pq.read_table(f"{SMALL}/documents.parquet").to_pylist(), key=lambda r: r["doc_id"])
+    want = dict(zip((r["doc_id"] for r in rows), brute_removed([r["text"] for r in rows], 200).values(), strict=True))
+    assert digest(suffixes.op6_suffix_dedup(spark, SMALL)) == want
+    rng = random.Random(3)
+    noise = lambda n: "".join(rng.choice("abcdé ") for _ in range(n))
+    shared, loop = noise(450), "xyz " * 300
+    texts = [noise(300) + shared + noise(50), shared[100:420] + noise(10), shared, loop, noise(90) + loop[:400], shared, "", None, "short"]
+    assert digest(suffixes.op6_suffix_dedup(spark, folder(documents=documents(*texts)))) == brute_removed(texts, 200)
+
+
+def test_hot_anchors_give_the_same(spark, folder, monkeypatch):
+    monkeypatch.setattr(suffixes, "HOT", 1)
+    rng = random.Random(4)
+    noise = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n))
+    shared = noise(700)
+    texts = [noise(rng.randrange(300)) + shared[rng.randrange(200) : 500 + rng.randrange(200)] + noise(rng.randrange(300)) for _ in range(20)]
+    assert digest(suffixes.op6_suffix_dedup(spark, folder(documents=documents(*texts)))) == brute_removed(texts, 200)
+
+
+def test_suffix_dedup_of_odd_rows(spark, folder, odd):
+    assert suffixes.op6_suffix_dedup(spark, folder(documents=odd)).count() == odd.num_rows
+    assert suffixes.op6_suffix_dedup(spark, folder(documents=odd.slice(0, 0))).count() == 0
+
+
+def planted(rng, changed=0):
+    passage = [f"p{rng.randrange(9000)}" for _ in range(90)]
+    texts = []
+    for _ in range(4):
+        mine = list(passage)
+        for _ in range(changed):
+            mine[rng.randrange(len(mine))] = f"x{rng.randrange(10**6)}"
+        before, after = ([f"n{rng.randrange(10**6)}" for _ in range(rng.randrange(20, 200))] for _ in range(2))
+        texts.append((len(before), " ".join(before + mine + after)))
+    return texts
+
+
+def test_planted_passages_are_found(spark, folder):
+    rng = random.Random(9)
+    for changed in (0, 4):
+        made = planted(rng, changed)
+        clean = [" ".join(f"c{rng.randrange(10**6)}" for _ in range(120)) for _ in range(5)]
+        got = chaining.op4_chained_passages(spark, folder(documents=documents(*(t for _, t in made), *clean))).collect()
+        assert {r["doc_id"] for r in got} == {1, 2, 3}
+        for r in got:
+            start = made[r["doc_id"]][0]
+            assert abs(r["start_word"] - start) <= 12 and abs(r["end_word"] - start - 90) <= 12 and r["identity"] >= 0.8
+
+
+def test_chains_are_collinear_and_disjoint():
+    rng = random.Random(2)
+    for _ in range(30):
+        n = rng.randrange(1, 40)
+        places, others = (np.array([rng.randrange(60) for _ in range(n)]) for _ in range(2))
+        made = chaining.chains(places, others)
+        assert sorted(i for c in made for i in c) == list(range(n))
+        for c in made:
+            assert (np.diff(places[c]) > 0).all() and (np.diff(others[c]) > 0).all()
+
+
+def test_passages_of_odd_rows(spark, folder, odd):
+    assert chaining.op4_chained_passages(spark, folder(documents=odd)).count() == 0
+    assert chaining.op4_chained_passages(spark, folder(documents=odd.slice(0, 0))).count() == 0
+    docs = spark.read.parquet(folder(documents=odd) + "/documents.parquet")
+    assert chaining.without_passages(docs).count() == odd.num_rows
