@@ -26,7 +26,7 @@ XMATCH = "SELECT {id} AS SOURCE_ID, CAST(hip_source_id AS STRING) AS original_ex
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     """Doubles to so many digits and without a negative zero, for comparison between engines."""
-    return df.select(*((F.round(F.col(c), digits) + F.lit(0.0)).alias(c) if t in ("double", "float") else F.col(c) for c, t in df.dtypes))
+    return df.select(*((F.round(F.col(c).cast("double"), digits) + F.lit(0.0)).alias(c) if t in ("double", "float") else F.col(c) for c, t in df.dtypes))
 
 
 def _gaia(spark: SparkSession, sf: str, **kw) -> DataFrame:
