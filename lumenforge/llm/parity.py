@@ -221,7 +221,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100)
     # bucket -1 (links made within batches) is spread by its first key
     spread = F.when(F.col("bucket") < 0, -1 - F.pmod(F.xxhash64("keys"), F.lit(buckets))).otherwise(F.col("bucket")).cast("int")
     stars = written(packed.withColumn("bucket", spread).groupBy("bucket").applyInArrow(_stars, "key long, class long, hub long"), "stars")
-    own = classes.select("class", "n", *words)
+    own = classes.select("class", "rep", "n", *words)
     other = own.select(F.col("class").alias("hub"), F.col("n").alias("m"), *(F.col(w).alias(f"t{w[1:]}") for w in words))
 
     def verified(pairs: DataFrame) -> DataFrame:
@@ -234,26 +234,21 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100)
         both = left.join(texts.select(F.col("class").alias("hub"), F.col("set").alias("other")), "hub").select("class", "hub", "set", "other")
         return written(both.mapInArrow(_verified(num, den), "class long, hub long"), "links")
 
-    pairs = written(stars.select(F.greatest("class", "hub").alias("class"), F.least("class", "hub").alias("hub")).distinct().join(own, "class").join(other, "hub").filter(_close(num, den)).select("class", "hub"), "pairs")
-    links = verified(pairs)
-    members = written(stars.select("key", "class").unionByName(stars.select("key", F.col("hub").alias("class"))).distinct(), "members")
+    def mixed(placed: DataFrame) -> DataFrame:
+        """Members of keys whose sets are in more than one component."""
+        keys = placed.groupBy("key").agg(F.min("component").alias("least"), F.max("component").alias("most")).filter("least <> most").select("key")
+        return placed.join(keys, "key")
 
-    def unsettled(links: DataFrame) -> DataFrame:
-        """Members of keys whose sets are in more than one component so far."""
-        joined = components(links.select(F.col("class").alias("a"), F.col("hub").alias("b")))
-        placed = members.join(joined.select(F.col("node").alias("class"), "component"), "class", "left").withColumn("component", F.coalesce("component", "class"))
-        mixed = placed.groupBy("key").agg(F.min("component").alias("least"), F.max("component").alias("most")).filter("least <> most").select("key")
-        return written(placed.join(mixed, "key").join(own, "class"), "unsettled")
-
-    def untested(found: DataFrame) -> DataFrame:
-        found = found.select(F.greatest("class", "hub").alias("class"), F.least("class", "hub").alias("hub")).distinct()
-        return written(found.join(pairs, ["class", "hub"], "left_anti"), "more-pairs")
+    pairs = written(stars.select(F.greatest("class", "hub").alias("class"), F.least("class", "hub").alias("hub")).distinct().join(own.drop("rep"), "class").join(other, "hub").filter(_close(num, den)).select("class", "hub"), "pairs")
+    of = classes.select("class", F.col("rep").alias("a"))
+    linked = verified(pairs).join(of, "class").join(of.select(F.col("class").alias("hub"), F.col("a").alias("b")), "hub").select("a", "b")
+    # a component is named by its smallest doc_id; later links join components, so each step works on those alone
+    steps = [components(linked)]
+    members = stars.select("key", "class").unionByName(stars.select("key", F.col("hub").alias("class"))).distinct()
+    left = written(mixed(_renamed(members.join(own, "class").withColumnRenamed("rep", "component"), steps[0])), "unsettled")
 
     to_hub = [F.col("class").alias("hub"), F.col("component").alias("c2"), F.col("n").alias("m"), *(F.col(w).alias(f"t{w[1:]}") for w in words)]
     for turn in range(TURNS):
-        left = unsettled(links)
-        if left.isEmpty():
-            break
         if turn < TURNS - 1:
             # each key's sets against one of them, another for each key and turn: large groups grow together
             hubs = left.groupBy("key").agg(F.min_by(F.struct(*to_hub), F.xxhash64("key", "class", F.lit(turn))).alias("h")).select("key", "h.*")
@@ -262,15 +257,32 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100)
             # what is still apart, each with each
             ahead = left.select("key", *to_hub)
             met = left.join(ahead, (left["key"] == ahead["key"]) & (F.col("component") < F.col("c2")) & _close(num, den))
-        more = untested(met)
-        if not more.isEmpty():
-            links = written(links.unionByName(verified(more)), "links")
-            pairs = written(pairs.unionByName(more), "pairs")
-    by_doc = links.join(classes.select("class", F.col("rep").alias("a")), "class").join(classes.select(F.col("class").alias("hub"), F.col("rep").alias("b")), "hub").select("a", "b")
-    found = components(by_doc).select(F.col("node").alias("rep"), "component")
-    final = classes.select("class", "rep").join(found, "rep", "left").select("class", F.coalesce("component", "rep").alias("component"))
+        found = met.select(F.greatest("class", "hub").alias("class"), F.least("class", "hub").alias("hub")).distinct()
+        more = written(found.join(pairs, ["class", "hub"], "left_anti"), "more-pairs")
+        if more.isEmpty():
+            continue
+        pairs = pairs.unionByName(more)
+        links = verified(more)
+        if links.isEmpty():
+            continue
+        now = left.select("class", F.col("component").alias("a")).distinct()
+        joined = links.join(now, "class").join(now.select(F.col("class").alias("hub"), F.col("a").alias("b")), "hub").select("a", "b")
+        steps.append(components(joined))
+        if turn < TURNS - 1:
+            left = written(mixed(_renamed(left, steps[-1])), "unsettled")
+            if left.isEmpty():
+                break
+    final = classes.select("class", F.col("rep").alias("component"))
+    for step in steps:
+        final = _renamed(final, step)
     return sets.join(final, "class", "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
 
 
+def _renamed(rows: DataFrame, step: DataFrame) -> DataFrame:
+    """rows whose component is a node of step (node, component) in that node's component."""
+    names = step.select(F.col("node").alias("component"), F.col("component").alias("renamed"))
+    return rows.join(names, "component", "left").withColumn("component", F.coalesce("renamed", "component")).drop("renamed")
+
+
 def op5_parity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), k=3, num=90, den=100)
