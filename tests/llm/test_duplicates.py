@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pyarrow.parquet as pq
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -164,6 +165,19 @@ def test_planted_passages_are_found(spark, folder):
             assert abs(r["start_word"] - start) <= 12 and abs(r["end_word"] - start - 90) <= 12 and r["identity"] >= 0.8
 
 
+def test_chains_do_not_depend_on_the_order_of_rows():
+    rng = np.random.default_rng(5)
+    kinds = [pa.int32(), pa.int64(), pa.int32()]
+    seeds = np.unique(np.column_stack([rng.integers(0, 60, 300), rng.integers(0, 4, 300), rng.integers(0, 60, 300)]), axis=0)
+    seen = set()
+    for _ in range(6):
+        parts = np.array_split(seeds[rng.permutation(len(seeds))], 3)
+        lists = [pa.chunked_array([pa.array([x[:, j] for x in parts], pa.list_(kind))]) for j, kind in enumerate(kinds)]
+        rows = pa.table([pa.array([9] * 3, pa.int64()), *lists], ["doc_id", "places", "others", "other_places"])
+        seen.add(str(chaining._chained(rows).to_pylist()))
+    assert len(seen) == 1
+
+
 def test_chains_are_collinear_and_disjoint():
     rng = random.Random(2)
     for _ in range(30):
