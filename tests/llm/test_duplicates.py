@@ -165,6 +165,51 @@ def test_planted_passages_are_found(spark, folder):
             assert abs(r["start_word"] - start) <= 12 and abs(r["end_word"] - start - 90) <= 12 and r["identity"] >= 0.8
 
 
+def brute_shared(rows, n=50):
+    """Words of each document that lie in a run of n words which an earlier document holds."""
+    first, out = {}, {}
+    for d, text in sorted(rows):
+        w = words(text)
+        for i in range(len(w) - n + 1):
+            if first.setdefault(tuple(w[i : i + n]), d) != d:
+                out.setdefault(d, set()).update(range(i, i + n))
+    return out
+
+
+def test_shared_runs_match_brute_force(spark, folder):
+    rng = random.Random(11)
+    noise = lambda n: [f"n{rng.randrange(10**6)}" for _ in range(n)]
+    texts = []
+    for n in (80, 60, 50, 51):
+        for _ in range(8):  # earlier documents hold the parts of a passage, none of them 50 words
+            whole = noise(n)
+            cut = rng.randrange(n - 48, 49)
+            texts += [noise(5) + whole[:48], whole[cut - 16 :][:49] + noise(7), noise(30) + whole + noise(9), whole + noise(20), noise(3) + whole]
+    twice = noise(70)
+    texts += [noise(20) + twice, twice + noise(60) + twice, ["a", "b", "c"] * 400, noise(30) + ["a", "b", "c"] * 300]
+    rows = list(enumerate(" ".join(t) for t in texts))
+    want = brute_shared(rows)
+    docs = spark.read.parquet(folder(documents=documents(*(t for _, t in rows))) + "/documents.parquet")
+    for parts in (1, 5):
+        covered = {}
+        for r in chaining.passages(docs.repartition(parts, "text")).collect():
+            assert r["other_doc_id"] < r["doc_id"]
+            covered.setdefault(r["doc_id"], set()).update(range(r["start_word"], r["end_word"]))
+            if r["identity"] == 1 and r["end_word"] - r["start_word"] == r["other_end_word"] - r["other_start_word"]:
+                mine, other = words(rows[r["doc_id"]][1]), words(rows[r["other_doc_id"]][1])
+                assert mine[r["start_word"] : r["end_word"]] == other[r["other_start_word"] : r["other_end_word"]]
+        assert not {d: sorted(some - covered.get(d, set())) for d, some in want.items() if some - covered.get(d, set())}
+
+
+def test_runs_that_cover_are_kept():
+    rng = random.Random(12)
+    for _ in range(300):
+        made = [[{"start_word": a, "end_word": a + rng.randrange(5, 15), "other": 0, "other_start": k} for k, a in enumerate(rng.choices(range(60), k=rng.randrange(8)))] for _ in range(2)]
+        every = lambda some: {w for x in some for w in range(x["start_word"], x["end_word"])}
+        kept = chaining.covering(*made)
+        assert every(made[0]) | every(made[1]) == every(kept) | every(made[1]) and all(x in made[0] for x in kept)
+
+
 def test_chains_do_not_depend_on_the_order_of_rows():
     rng = np.random.default_rng(5)
     kinds = [pa.int32(), pa.int64(), pa.int32()]
