@@ -118,7 +118,8 @@ def fit(rows: DataFrame, k: int) -> tuple[Hashes | None, int]:
     n = stats["n"]
     if not n:
         return None, 0
-    sample = rows.orderBy(F.xxhash64("vec_id")).limit(FIT_VECTORS).select("vec").toArrow()
+    ids = rows.select("vec_id").distinct().orderBy(F.xxhash64("vec_id"), "vec_id").limit(FIT_VECTORS)
+    sample = rows.join(F.broadcast(ids), "vec_id").groupBy("vec_id").agg(F.max("vec").alias("vec")).orderBy(F.xxhash64("vec_id"), "vec_id").select("vec").toArrow()
     x = _matrix(sample["vec"]) / stats["norm"]
     q = x[:FIT_QUERIES] / np.linalg.norm(x[:FIT_QUERIES], axis=1, keepdims=True)
     full = np.column_stack([x, np.sqrt(np.clip(1 - (x * x).sum(axis=1), 0, None))])
@@ -156,21 +157,25 @@ def _rank(k: int):
             order = np.argsort(flat, kind="stable")
             flat, owner = flat[order], owner[order]
             for low, high in zip(starts, np.append(starts[1:], len(unit)), strict=True):
+                lead = low + np.flatnonzero(np.concatenate([[True], ids[low + 1 : high] != ids[low : high - 1]]))
                 asking = owner[np.searchsorted(flat, unit[low], "left") : np.searchsorted(flat, unit[low], "right")]
                 for part in range(0, len(asking), 2_000):
                     some = asking[part : part + 2_000]
-                    scores = q[some] @ x[low:high].T
-                    scores[q_ids[some][:, None] == ids[None, low:high]] = -np.inf
+                    # rows of one id are one column, by their best score
+                    scores = np.maximum.reduceat(q[some] @ x[low:high].T, lead - low, axis=1)
+                    scores[q_ids[some][:, None] == ids[None, lead]] = -np.inf
                     r, c = _best(scores, k)
-                    for kept, new in zip(found, (q_ids[some][r], ids[low + c], scores[r, c]), strict=True):
+                    for kept, new in zip(found, (q_ids[some][r], ids[lead[c]], scores[r, c]), strict=True):
                         kept.append(new)
         qs, vs, ss = (np.concatenate(x) if x else np.zeros(0, kind) for x, kind in zip(found, (np.int64, np.int64, np.float64), strict=True))
-        order = np.lexsort((vs, -ss, qs))
+        order = np.lexsort((-ss, vs, qs))
         qs, vs, ss = qs[order], vs[order], ss[order]
-        # a candidate may come from more than one table
+        # a candidate may come from more than one table or cell
         keep = np.isfinite(ss)
-        keep[1:] &= (qs[1:] != qs[:-1]) | (vs[1:] != vs[:-1]) | (ss[1:] != ss[:-1])
+        keep[1:] &= (qs[1:] != qs[:-1]) | (vs[1:] != vs[:-1])
         qs, vs, ss = qs[keep], vs[keep], ss[keep]
+        order = np.lexsort((vs, -ss, qs))
+        qs, vs, ss = qs[order], vs[order], ss[order]
         keep = np.arange(len(qs)) - np.searchsorted(qs, qs) < k
         return pa.table({n: x[keep] for n, x in zip(names, (qs, vs, ss), strict=True)})
 

@@ -167,6 +167,29 @@ def test_vectors_that_take_no_part(spark, folder):
     assert multiprobe.op2_multiprobe_ann(spark, folder(embeddings=rows.slice(0, 0))).count() == 0
 
 
+@pytest.mark.parametrize("n,copies", [(80, 2), (80, 25), (300, 25)])
+def test_rows_of_one_id_are_one_neighbour(spark, folder, n, copies):
+    rng = np.random.default_rng(8)
+    base = rng.standard_normal((n, 8))
+    ids = np.repeat(np.arange(n), copies)
+    x = base[ids] + 0.01 * rng.standard_normal((n * copies, 8))
+    rows = pa.table({"vec_id": pa.array(ids), "embedding": pa.array(x.tolist(), pa.list_(pa.float64()))})
+    found = {}
+    for r in multiprobe.op2_multiprobe_ann(spark, folder(embeddings=rows)).collect():
+        found.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"]))
+    hit = total = 0
+    for q in range(0, n, 20):
+        scores = (x[ids == q] @ x.T).max(axis=0)
+        best = np.maximum.reduceat(scores, np.arange(0, len(x), copies))
+        best[q] = -np.inf
+        want = np.argsort(-best, kind="stable")[:20].tolist()
+        got = [v for _, v in sorted(found[q])]
+        assert len(got) == 20 == len(set(got))
+        assert n * copies > multiprobe.UNIT_ROWS or got == want
+        hit, total = hit + len(set(got) & set(want)), total + 20
+    assert hit / total >= 0.9
+
+
 def benchmark(*texts):
     return pa.table({"item_id": pa.array(range(len(texts)), pa.int64()), "text": pa.array(texts, pa.string())})
 
