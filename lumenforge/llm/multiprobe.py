@@ -3,7 +3,7 @@
 Vectors are scaled by the largest norm and get one more component that makes all of them equally long, so that the largest
 inner product is the smallest Euclidean distance. Each of TABLES tables cuts the space by a few p-stable (Gaussian)
 projections into cells of one width. A query visits cells in descending order of the probability that a neighbour at the
-distance `radius` falls there, until those visited sum to COVER in each table; the candidates of all tables are merged and
+distance `radius` falls there, until those visited sum to COVER in each table, however many they are; the candidates of all tables are merged and
 ranked by the inner product of the original vectors in double precision.
 
 Vectors of a cell are dealt to units of about UNIT_ROWS and units to parts; a part ranks its own candidates for the queries
@@ -31,11 +31,14 @@ COVER = 0.85
 UNIT_ROWS = 2_000
 #: Bytes of vectors that one task ranks at once.
 PART_BYTES = 16 << 20
-#: Partial cells kept for a query while they are put together, the likeliest first.
-BEAM = 2_048
+#: A table has at most so many projections: beyond, too many cells share the COVER that a query needs.
+MOST_CUTS = 6
+#: Cells put in order at once, of as many queries as they make; a query's own are never parted.
+CELLS = 1 << 20
 #: The radius is fitted on at most so many queries against at most so many vectors.
 FIT_QUERIES, FIT_VECTORS = 200, 10_000
-STEPS = np.arange(-2, 3)
+#: Cells looked at on either side of a query's own; those of all projections together hold more than COVER.
+STEPS = np.arange(-2, 3, dtype=np.int8)
 
 
 def clean(rows: DataFrame) -> DataFrame:
@@ -87,6 +90,10 @@ class Hashes:
 
     def visits(self, vectors: np.ndarray, cover: float = COVER) -> list[np.ndarray]:
         """For each query its cells' ids over all tables, the likeliest first, as far as they sum to `cover`."""
+        some = max(1, CELLS // len(STEPS) ** self.cuts.shape[1])
+        return [x for low in range(0, len(vectors), some) for x in self._visits(vectors[low : low + some], cover)]
+
+    def _visits(self, vectors: np.ndarray, cover: float) -> list[np.ndarray]:
         out: list[list[np.ndarray]] = [[] for _ in vectors]
         for t, places in enumerate(self.project(vectors, True)):
             home = np.floor(places)
@@ -95,20 +102,14 @@ class Hashes:
             low = (STEPS[None, None, :] - inside[:, :, None]) * scale
             chance = _phi(low + scale) - _phi(low)  # by query, projection and step
             prob = np.ones((len(vectors), 1))
-            cells = np.zeros((len(vectors), 1, 0), np.int64)
+            cells = np.zeros((1, 0), np.int8)
             for k in range(places.shape[1]):
-                grown = (prob[:, :, None] * chance[:, None, k, :]).reshape(len(vectors), -1)
-                steps = np.concatenate([np.repeat(cells, len(STEPS), axis=1), np.tile(STEPS, cells.shape[1])[None, :, None].repeat(len(vectors), 0)], axis=2)
-                if grown.shape[1] > BEAM:
-                    best = np.argpartition(-grown, BEAM, axis=1)[:, :BEAM]
-                    grown, steps = np.take_along_axis(grown, best, 1), np.take_along_axis(steps, best[:, :, None], 1)
-                prob, cells = grown, steps
+                prob = (prob[:, :, None] * chance[:, None, k, :]).reshape(len(vectors), -1)
+                cells = np.column_stack([np.repeat(cells, len(STEPS), axis=0), np.tile(STEPS, len(cells))])
             order = np.argsort(-prob, axis=1, kind="stable")
-            ids = self.cell_ids(t, np.take_along_axis(cells, order[:, :, None], 1) + home[:, None, :].astype(np.int64))
-            prob = np.take_along_axis(prob, order, 1)
-            n = (np.cumsum(prob, axis=1) < cover).sum(axis=1) + 1
+            n = (np.cumsum(np.take_along_axis(prob, order, 1), axis=1) < cover).sum(axis=1) + 1
             for q in range(len(vectors)):
-                out[q].append(ids[q, : n[q]])
+                out[q].append(self.cell_ids(t, cells[order[q, : n[q]]] + home[q].astype(np.int64)))
         return [np.concatenate(x) for x in out]
 
 
@@ -125,7 +126,7 @@ def fit(rows: DataFrame, k: int) -> tuple[Hashes | None, int]:
     full = np.column_stack([x, np.sqrt(np.clip(1 - (x * x).sum(axis=1), 0, None))])
     near = np.sort(2 - 2 * (np.column_stack([q, np.zeros(len(q))]) @ full.T), axis=1)[:, min(k, len(x) - 1)]
     radius = float(np.sqrt(np.clip(np.median(near), 1e-6, None)))
-    cuts = 0 if n <= UNIT_ROWS else int(np.clip(round(np.log(n / 500) / np.log(4)), 1, 8))
+    cuts = 0 if n <= UNIT_ROWS else int(np.clip(round(np.log(n / 500) / np.log(4)), 1, MOST_CUTS))
     return Hashes(stats["dim"], cuts, stats["norm"], radius), n
 
 

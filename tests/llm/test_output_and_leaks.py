@@ -190,6 +190,23 @@ def test_rows_of_one_id_are_one_neighbour(spark, folder, n, copies):
     assert hit / total >= 0.9
 
 
+@pytest.mark.parametrize("n_cuts", [6, 7, 8])
+def test_cells_visited_reach_their_cover(n_cuts):
+    rng = np.random.default_rng(9)
+    made = multiprobe.Hashes(32, n_cuts, 1.0, 0.5)
+    queries = rng.standard_normal((40, 32))
+    visited = made.visits(queries)
+    full = np.column_stack([queries / np.linalg.norm(queries, axis=1, keepdims=True), np.zeros(40)])
+    once, either = [], []
+    for q, v in enumerate(full):
+        away = rng.standard_normal((50, 33))
+        near = v + made.radius * away / np.linalg.norm(away, axis=1, keepdims=True)
+        met = [np.isin(made.cell_ids(t, np.floor((near @ made.cuts[t].T + made.shift[t]) / made.width).astype(np.int64)), visited[q]) for t in range(multiprobe.TABLES)]
+        once.append(np.mean(met))
+        either.append(np.mean(met[0] | met[1]))
+    assert np.mean(once) > 0.82 and np.mean(either) > 0.95
+
+
 def benchmark(*texts):
     return pa.table({"item_id": pa.array(range(len(texts)), pa.int64()), "text": pa.array(texts, pa.string())})
 
