@@ -210,6 +210,24 @@ def test_runs_that_cover_are_kept():
         assert every(made[0]) | every(made[1]) == every(kept) | every(made[1]) and all(x in made[0] for x in kept)
 
 
+def test_changed_passages_are_found_as_stated():
+    rng = np.random.default_rng(3)
+    fresh = lambda n: rng.integers(1, 1 << 62, n).astype(np.uint64)
+    for n, every, least in ((60, 20, 0.97), (60, 12, 0.85), (100, 10, 0.75), (200, 9, 0.82)):
+        found = 0
+        for _ in range(100):
+            passage = fresh(n)
+            changed = passage.copy()
+            changed[rng.integers(every) :: every] = fresh(1)
+            one, two = np.concatenate([fresh(100), passage, fresh(100)]), np.concatenate([fresh(60), changed, fresh(100)])
+            row, place, h = chaining.minimizers(np.concatenate([one, two]), np.array([0, len(one), len(one) + len(two)]))
+            _, docs, places, other, others = chaining._firsts(h, row, place)
+            places, others = places[docs != other], others[docs != other]
+            made = [chaining.aligned(two, one, places[c], others[c]) for c in chaining.chains(places, others)] if len(places) else []
+            found += any(b - a >= chaining.MIN_WORDS and share >= chaining.IDENTITY for a, b, _, _, share in made)
+        assert found / 100 >= least
+
+
 def test_chains_do_not_depend_on_the_order_of_rows():
     rng = np.random.default_rng(5)
     kinds = [pa.int32(), pa.int64(), pa.int32()]
