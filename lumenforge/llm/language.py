@@ -25,7 +25,8 @@ from lumenforge.llm.text import column, mix, slices, tallied, text_bytes
 
 #: Bytes in an n-gram; words are parted by one space.
 N = 4
-#: The classifier is fitted on a sample of about so many labelled rows at most; the filter's size follows from it.
+#: The classifier is fitted on a sample of about so many labelled rows at most, dealt evenly to the languages; the filter's
+#: size follows from it.
 TRAIN_ROWS = 20_000
 CHARACTERISTIC = 0.6
 MIN_COUNT = 3
@@ -120,20 +121,38 @@ def _tally(languages: dict[str, int]):
     return run
 
 
+def quotas(sizes: dict[str, int], rows: int) -> dict[str, int]:
+    """Rows to take of each language, `rows` in all: the smallest are taken whole, and the others share what is left evenly."""
+    out, left = {}, rows
+    for done, x in enumerate(sorted(sizes, key=lambda x: (sizes[x], x))):
+        out[x] = min(sizes[x], left // (len(sizes) - done))
+        left -= out[x]
+    return out
+
+
+def sampled(labelled: DataFrame, sizes: dict[str, int], rows: int) -> DataFrame:
+    """About quotas() rows of each language of labelled (text, lang, and doc_id if there is one), by a hash of id and text."""
+    if sum(sizes.values()) <= rows:
+        return labelled
+    scale = 1 << 40
+    limits = [v for x, n in quotas(sizes, rows).items() for v in (F.lit(x), F.lit(scale * n // sizes[x]).cast("long"))]
+    row = [c for c in ("doc_id", "text") if c in labelled.columns]
+    return labelled.filter(F.pmod(F.xxhash64(*row), F.lit(scale)) < F.element_at(F.create_map(*limits), F.col("lang")))
+
+
 def train(docs: DataFrame, train_rows: int = TRAIN_ROWS) -> MaskFilter:
-    """A filter from labelled docs (text, lang), of which a random sample of about train_rows is read whole.
+    """A filter from labelled docs (text, lang, doc_id), of which a random sample of about train_rows is read whole.
 
     What comes to the driver are the sample's distinct n-grams with their masks: bounded by the sample.
     """
-    labelled = docs.select("text", F.col("lang").cast("string").alias("lang")).filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
+    labelled = docs.select(*(c for c in docs.columns if c == "doc_id"), "text", F.col("lang").cast("string").alias("lang")).filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
     sizes = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().collect()}
     if len(sizes) > MAX_LANGUAGES:
         raise ValueError(f"at most {MAX_LANGUAGES} languages, not {len(sizes)}")
     codes = {x: k for k, x in enumerate(sorted(sizes))}
     if not codes:
         return MaskFilter([], np.zeros(0, np.uint32), np.zeros(0, np.uint64))
-    total = sum(sizes.values())
-    sample = labelled if total <= train_rows else labelled.filter(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < int((1 << 20) * train_rows / total))
+    sample = sampled(labelled, sizes, train_rows).select("text", "lang")
     counts = sample.mapInArrow(_tally(codes), "gram long, code int, count long").groupBy("gram", "code").agg(F.sum("count").alias("count"))
     counts = written(counts, "grams")
     totals = counts.groupBy("code").agg(F.sum("count").alias("total"))

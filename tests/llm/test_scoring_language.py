@@ -68,6 +68,23 @@ def test_held_out_accuracy(spark):
     assert all(0 <= r["score"] <= 1 for r in got)
 
 
+def test_a_sample_holds_rare_languages_and_no_heap_of_copies(spark):
+    assert language.quotas({"a": 10_000, "b": 5, "c": 50, "d": 3_000}, 300) == {"b": 5, "c": 50, "d": 122, "a": 123}
+    common, rare = ([f"{a}{b}{c}" for a in x for b in y for c in x] for x, y in (("bdfg", "aei"), ("kpqz", "ouy")))
+    rng = np.random.default_rng(7)
+    text = lambda known: " ".join(rng.choice(known, 30))
+    copy = text(common)
+    rows = [(k, copy if k % 3 == 0 else text(common), "aa") for k in range(6_000)] + [(k, text(rare), "zz") for k in range(6_000, 6_030)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.train(docs, train_rows=200)
+    got = language.predicted(docs.filter("lang = 'zz'"), model, ["doc_id"]).collect()
+    assert len(got) == 30 and {r["lang_pred"] for r in got} == {"zz"}
+    assert language.accepted(docs, model).count() == len(rows)
+    sample = language.sampled(docs, {"aa": 6_000, "zz": 30}, 200).toPandas()
+    aa = sample[sample["lang"] == "aa"]
+    assert (sample["lang"] == "zz").sum() == 30 and 120 <= len(aa) <= 230 and 0.2 < (aa["text"] == copy).mean() < 0.5
+
+
 def test_letterless_texts_are_und(spark, folder, odd):
     got = language.op8_language_masks(spark, folder(documents=odd)).collect()
     assert len(got) == odd.num_rows
