@@ -20,10 +20,18 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group linked by a similarity of 0.8 of five-word shingles, the document of the smallest doc_id stays."""
-    groups = parity.near_duplicates(docs, k=5, num=80, den=100)
-    gone = groups.filter("doc_id <> component_id").select(F.col("doc_id").cast(docs.schema["doc_id"].dataType).alias("doc_id"))
-    return docs.join(gone.distinct(), "doc_id", "left_anti").select(*docs.columns)
+    """Of each group linked by a similarity of 0.8 of five-word shingles, one row of the smallest doc_id stays."""
+    # rows may share a doc_id: each is compared, kept or removed by an id of its own
+    uid = "row_uid"
+    while uid in docs.columns:
+        uid += "_"
+    rows = written(docs.withColumn(uid, F.monotonically_increasing_id()), "rows")
+    named = F.col("doc_id").cast("long").isNotNull()
+    groups = parity.near_duplicates(rows.filter(named).select(F.col(uid).alias("doc_id"), "text"), k=5, num=80, den=100)
+    ids = rows.filter(named).select(F.col(uid).alias("uid"), F.col("doc_id").cast("long").alias("id"))
+    least = groups.join(ids, groups["doc_id"] == ids["uid"]).groupBy("component_id").agg(F.min(F.struct("id", "uid")).alias("least"))
+    kept = rows.filter(named).join(least.select(F.col("least.uid").alias(uid)), uid, "left_semi").select(*docs.columns)
+    return kept.unionByName(rows.filter(~named).select(*docs.columns))
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -63,6 +63,18 @@ def test_chains_of_near_copies_lose_no_link(spark, folder):
         assert got == brute_components(rows, k, num, 100)
 
 
+def test_rows_that_share_an_id_are_removed_apart(spark, folder):
+    import corpus_pipeline
+
+    one, two, three = (" ".join(f"{x}{k}" for k in range(60)) for x in "abc")
+    rows = [(1, one), (2, one + " more"), (2, two), (3, three), (3, three), (None, one), (4, ""), (4, "")]
+    made = pa.Table.from_pylist([{"doc_id": d, "text": t, "lang": "en", "source": "s", "n_chars": len(t)} for d, t in rows], documents().schema)
+    docs = spark.read.parquet(folder(documents=made) + "/documents.parquet")
+    got = corpus_pipeline.near_duplicates(spark, docs, "")
+    assert got.columns == docs.columns
+    assert sorted(((r["doc_id"] or 0), r["text"]) for r in got.collect()) == sorted([(0, one), (1, one), (2, two), (3, three), (4, ""), (4, "")])
+
+
 def test_sketch_distance_is_at_most_the_symmetric_difference():
     rng = np.random.default_rng(1)
     for _ in range(50):
