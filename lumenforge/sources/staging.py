@@ -5,16 +5,42 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+SETTING = "spark.checkpoint.dir"
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder named by spark.checkpoint.dir. Only in local mode, where driver and executors are one, may it be unset: then a
+    temporary folder is made and named there."""
+    known = spark.conf.get(SETTING, None) or spark.sparkContext.getCheckpointDir()
+    if known:
+        return known.rstrip("/")
+    master = spark.sparkContext.master
+    if not (master == "local" or master.startswith("local[")):
+        raise ValueError(f"{SETTING} must name a folder that the driver and all executors share")
+    made = tempfile.mkdtemp(prefix="lumenforge-")
+    spark.conf.set(SETTING, made)
+    return made
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
-    """df written to the folder of spark.checkpoint.dir (a temporary one only where that is unset) and read again."""
+    """df as a Parquet table in the shared folder, read again: lineage ends here and a lost executor loses nothing."""
     spark = df.sparkSession
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not base:
-        base = tempfile.mkdtemp(prefix="lumenforge-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = scratch_path(spark, name)
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.scratch_path = path
+    return out
+
+
+def removed(*tables: DataFrame) -> None:
+    """Deletes tables made by staged() that nothing will read again."""
+    for df in tables:
+        jvm = df.sparkSession._jvm
+        path = jvm.org.apache.hadoop.fs.Path(df.scratch_path)
+        path.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
