@@ -5,14 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lumenforge.llm.shared import written
+from lumenforge.llm.shared import removed, written
 
 
-def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
+def components(edges: DataFrame, rounds: int = 100) -> DataFrame:
     """edges (a, b) of longs as node, component (its smallest node); nodes without an edge to another node are left out.
 
-    Each half round hangs a node's neighbours on the smallest of them, by an aggregate and a join, so a node of any degree is
-    spread over tasks; the rounds grow with the logarithm of the longest path.
+    Each half round hangs a node's neighbours on the smallest of them, by an aggregate and a join on the node; a node of very
+    many neighbours is one join key, which adaptive execution splits. The rounds grow with the logarithm of the longest
+    path; edges that have not settled after `rounds` of them are an error, never a wrong answer.
     """
     now = written(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct(), "edges")
     before = None
@@ -24,11 +25,12 @@ def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
         # small star: a node and its neighbours below go to the least of those
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").unionByName(low.select("a", F.col("m").alias("b"))).distinct()
-        now = written(small, "edges")
+        last, now = now, written(small, "edges")
+        removed(last)
         state = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if state == before:
             break
         before = state
     else:
-        raise RuntimeError("components did not settle")
+        raise RuntimeError(f"components did not settle in {rounds} rounds")
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())

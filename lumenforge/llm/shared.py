@@ -2,32 +2,17 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lumenforge.sources.staging import removed, scratch_path, staged
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; a temporary one only where that is unset (tests, local mode)."""
-    known = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if known:
-        return known.rstrip("/")
-    made = tempfile.mkdtemp(prefix="lumenforge-")
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
-
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+__all__ = ["input_partitions", "offsets_by_part", "removed", "scratch_path", "table", "written"]
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """df as a Parquet table in the shared folder, read again: lineage ends here and a lost executor loses nothing."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """df as a table in the shared folder, read again; removed() deletes it when its last reader is done."""
+    return staged(df, name)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -80,8 +80,9 @@ def test_sketch_distance_is_at_most_the_symmetric_difference():
     for _ in range(50):
         pool = rng.integers(0, 1 << 63, 60, dtype=np.uint64)
         a, b = (np.unique(rng.choice(pool, 40)) for _ in range(2))
-        one, two = parity.sketches(np.concatenate([a, b]), np.array([0, len(a), len(a) + len(b)]))
-        apart = int(np.bitwise_count(one ^ two).sum())
+        one, two = (np.frombuffer(x, np.uint64)[None] for x in parity.sketches(np.concatenate([a, b]), np.array([0, len(a), len(a) + len(b)]), 80, 100))
+        words = min(one.shape[1], two.shape[1])
+        apart = int(np.bitwise_count(parity.folded(one, words) ^ parity.folded(two, words)).sum())
         assert apart <= len(np.setxor1d(a, b))
 
 
@@ -269,3 +270,21 @@ def test_passages_of_odd_rows(spark, folder, odd):
     assert chaining.op4_chained_passages(spark, folder(documents=odd.slice(0, 0))).count() == 0
     docs = spark.read.parquet(folder(documents=odd) + "/documents.parquet")
     assert chaining.without_passages(docs).count() == odd.num_rows
+
+
+def test_crowded_keys_are_compared_in_blocks(spark, folder, monkeypatch):
+    monkeypatch.setattr(parity, "BLOCK", 3)
+    monkeypatch.setattr(parity, "CROWD", 6)
+    rng = random.Random(8)
+    base = [f"w{rng.randrange(4000)}" for _ in range(90)]
+    texts = []
+    for _ in range(40):  # copies that differ by about as much as a link allows: no hub is linked with all
+        some = list(base)
+        for k in rng.sample(range(90), rng.choice((1, 2, 2, 3))):
+            some[k] = f"new{rng.randrange(10**6)}"
+        texts.append(" ".join(some))
+    rows = [{"doc_id": k, "text": t} for k, t in enumerate(texts)]
+    docs = spark.read.parquet(folder(documents=documents(*texts)) + "/documents.parquet")
+    for k, num in ((5, 80), (3, 90)):
+        got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in parity.near_duplicates(docs, k, num, 100).collect()}
+        assert got == brute_components(rows, k, num, 100)
