@@ -20,18 +20,20 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group linked by a similarity of 0.8 of five-word shingles, one row of the smallest doc_id stays."""
-    # rows may share a doc_id: each is compared, kept or removed by an id of its own
-    uid = "row_uid"
-    while uid in docs.columns:
-        uid += "_"
-    rows = written(docs.withColumn(uid, F.monotonically_increasing_id()), "rows")
-    named = F.col("doc_id").cast("long").isNotNull()
-    groups = parity.near_duplicates(rows.filter(named).select(F.col(uid).alias("doc_id"), "text"), k=5, num=80, den=100)
-    ids = rows.filter(named).select(F.col(uid).alias("uid"), F.col("doc_id").cast("long").alias("id"))
-    least = groups.join(ids, groups["doc_id"] == ids["uid"]).groupBy("component_id").agg(F.min(F.struct("id", "uid")).alias("least"))
-    kept = rows.filter(named).join(least.select(F.col("least.uid").alias(uid)), uid, "left_semi").select(*docs.columns)
-    return kept.unionByName(rows.filter(~named).select(*docs.columns))
+    """Of each group linked by a similarity of 0.8 of five-word shingles, one row of the smallest doc_id stays.
+
+    Rows may share a doc_id: each is kept or removed by its own place in the stage's input files. Empty texts, and rows without
+    a doc_id, are linked with nothing and stay; an empty table stays empty.
+    """
+    file, row = "_metadata.file_path", "_metadata.row_index"
+    places = docs.select("doc_id", "text", F.xxhash64(file).alias("file"), F.col(row).alias("row"))
+    groups = parity.near_duplicates(places, k=5, num=80, den=100, keep=("file", "row"))
+    member = F.struct("doc_id", "file", "row")
+    # what goes: all but the least of each group of several, by a table of the groups that have several
+    several = groups.filter("component_id IS NOT NULL AND n_shingles > 0").groupBy("component_id").agg(F.min(member).alias("least"), F.count("*").alias("n")).filter("n > 1").drop("n")
+    gone = written(groups.filter("n_shingles > 0").join(several, "component_id").filter(member != F.col("least")).select("file", "row"), "near-duplicates")
+    named = docs.withColumn("file ", F.xxhash64(file)).withColumn("row ", F.col(row))
+    return named.join(gone, (named["file "] == gone["file"]) & (named["row "] == gone["row"]), "left_anti").select(*docs.columns)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
