@@ -12,7 +12,7 @@ two linked sets have in common is among the first d + 1 of either: those are a s
 common they are, the rarest first, so lines and passages that many texts share make few keys. How common is told by a summary of
 bounded size over all texts; the order is right whatever it says.
 
-A key's sets are linked to the least of them, first within a batch, then over all, which keeps the pairs in proportion to the rows
+A key's sets are linked to the least of them, first among those a worker holds, then over all, which keeps the pairs in proportion to the rows
 however many sets share a key. Pairs within the Hamming distance are verified on whole shingle sets. Keys whose sets are then in
 more than one component are compared block by block inside tasks, which hand on only pairs of different components that are within the
 distance, and these are verified too: no link is lost. Keys of the same sets are compared once; while a key has more than CROWD sets
@@ -35,13 +35,15 @@ from pyspark.sql import functions as F
 
 from lumenforge.llm.components import components
 from lumenforge.llm.shared import input_partitions, removed, table, written
-from lumenforge.llm.text import column, mix, shingles, slices, tallied, word_hashes
+from lumenforge.llm.text import column, gathered, mix, shingles, slices, tallied, word_hashes
 
 BITS_PER_DIFFERENCE = 8
 #: Segments for each one that must be a key.
 SPREAD = 1.5
-#: Common tokens that a batch hands on, those met so often in it at least, and those that all tasks get to know.
+#: Common tokens that HELD tokens hand on, those met so often among them at least, and those that all tasks get to know.
 BATCH_COMMON, LEAST_COMMON, COMMON = 4_096, 4, 1 << 17
+#: Keys, and tokens, that a worker puts in order at once.
+HELD = 1 << 19
 #: Sets of one key that are compared with each other in one task.
 BLOCK = 1_024
 #: A key with more sets in different components meets another of them first, at most so many times.
@@ -157,12 +159,21 @@ def _fresh(ids: np.ndarray) -> np.ndarray:
 
 
 def _sets(k: int, num: int, den: int, kept: list[str]):
-    """A row a document: kept columns, size, class and sketch; and a row a batch with the tokens most common in it."""
+    """A row a document: kept columns, size, class and sketch; and rows with the tokens most common among the HELD last."""
     names = [*kept, "n", "class", "sketch", "common", "counts"]
 
+    def often_met(met: list[np.ndarray], batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        tokens, counts = tallied(np.concatenate([np.zeros(0, np.uint64), *met]))
+        often = np.flatnonzero(counts >= LEAST_COMMON)
+        often = often[np.argsort(-counts[often], kind="stable")[:BATCH_COMMON]]
+        if len(often):
+            nulls = [pa.nulls(1, column(batch, c).type) for c in kept]
+            yield pa.RecordBatch.from_arrays([*nulls, pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.array([tokens[often].tobytes()], pa.binary()), pa.array([counts[often].astype(np.int64).tobytes()], pa.binary())], names)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        met: list[np.ndarray] = []
+        batch = None
         for batch in batches:
-            met = [np.zeros(0, np.uint64)]
             for rows in slices(batch, "text"):
                 values, offsets = shingles(*word_hashes(column(rows, "text")), k)
                 ids = class_ids(values, offsets)
@@ -170,12 +181,11 @@ def _sets(k: int, num: int, den: int, kept: list[str]):
                 met += [token[fresh[owner]] for owner, token, _, _ in segment_tokens(values, offsets, num, den)]
                 nothing = pa.nulls(rows.num_rows, pa.binary())
                 yield pa.RecordBatch.from_arrays([*(column(rows, c) for c in kept), pa.array(np.diff(offsets)), pa.array(ids), pa.array(sketches(values, offsets, num, den), pa.binary()), nothing, nothing], names)
-            tokens, counts = tallied(np.concatenate(met))
-            often = np.flatnonzero(counts >= LEAST_COMMON)
-            often = often[np.argsort(-counts[often], kind="stable")[:BATCH_COMMON]]
-            if len(often):
-                nulls = [pa.nulls(1, column(batch, c).type) for c in kept]
-                yield pa.RecordBatch.from_arrays([*nulls, pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.array([tokens[often].tobytes()], pa.binary()), pa.array([counts[often].astype(np.int64).tobytes()], pa.binary())], names)
+                if sum(map(len, met)) >= HELD:
+                    yield from often_met(met, batch)
+                    met = []
+        if batch is not None:
+            yield from often_met(met, batch)
 
     return run
 
@@ -202,21 +212,20 @@ _STARS = ["bucket", "keys", "classes", "hubs"]
 
 
 def _keyed(k: int, num: int, den: int, buckets: int, shared):
-    """Within a batch, links of each key's sets to the least (bucket -1); and the least of each key, packed by hash bucket."""
+    """Among HELD keys, links of each key's sets to the least (bucket -1); and the least of each key, packed by hash bucket."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         for batch in batches:
-            every_key, every_class = [], []
             for rows in slices(batch, "text"):
                 values, offsets = shingles(*word_hashes(column(rows, "text")), k)
                 ids = class_ids(values, offsets)
                 owner, keys = segment_keys(values, offsets, num, den, shared.value)
                 fresh = _fresh(ids)[owner]
-                every_key.append(keys[fresh])
-                every_class.append(ids[owner[fresh]])
-            if not every_key:
-                continue
-            keys, classes, hubs = runs(np.concatenate(every_key), np.concatenate(every_class))
+                yield keys[fresh], ids[owner[fresh]]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for some in gathered(keyed(batches), HELD):
+            keys, classes, hubs = runs(*some)
             linked = classes != hubs
             if linked.any():
                 yield _star(-1, keys[linked], classes[linked], hubs[linked])
@@ -225,8 +234,8 @@ def _keyed(k: int, num: int, den: int, buckets: int, shared):
             order = np.argsort(where, kind="stable")
             cuts = np.searchsorted(where[order], np.arange(buckets + 1))
             for b in np.flatnonzero(np.diff(cuts)):
-                some = order[cuts[b] : cuts[b + 1]]
-                yield _star(int(b), keys[some], hubs[some], hubs[:0])
+                part = order[cuts[b] : cuts[b + 1]]
+                yield _star(int(b), keys[part], hubs[part], hubs[:0])
 
     return run
 

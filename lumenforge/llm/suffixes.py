@@ -26,13 +26,15 @@ from pyspark.sql import functions as F
 
 from lumenforge.llm.sais import permuted_lcp, suffix_array
 from lumenforge.llm.shared import input_partitions, table, written
-from lumenforge.llm.text import column, mix, powers, slices, text_bytes
+from lumenforge.llm.text import column, gathered, mix, powers, slices, text_bytes
 
 LENGTH = 200
 GRAM = 32
 #: Bytes of contexts in a shard, about.
 SHARD_BYTES = 2 << 20
 HOT = 20_000
+#: Contexts that a worker puts in order at once.
+HELD = 1 << 18
 
 
 def contexts(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, ...]:
@@ -82,15 +84,14 @@ def _anchored(buckets: int, length: int):
     def packed(bucket: int, *columns: np.ndarray) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), *(pa.array([np.ascontiguousarray(c, k).tobytes()], pa.binary()) for c, k in zip(columns, _KINDS.values(), strict=True))], _NAMES)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
         for batch in batches:
-            found: list[tuple[np.ndarray, ...]] = []
             for rows in slices(batch, "text"):
                 row, start, size, anchor, content = contexts(*text_bytes(column(rows, "text")), length)
-                found.append((anchor, content, column(rows, "uid").to_numpy()[row], start, size))
-            if not found:
-                continue
-            anchor, content, uid, start, size = (np.concatenate(x) for x in zip(*found, strict=True))
+                yield anchor, content, column(rows, "uid").to_numpy()[row], start, size
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for anchor, content, uid, start, size in gathered(found(batches), HELD):
             order = np.lexsort((content, anchor))
             anchor, content, uid, start, size = (x[order] for x in (anchor, content, uid, start, size))
             lead = np.ones(len(anchor), bool)

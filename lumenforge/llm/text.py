@@ -18,7 +18,7 @@ _INVERSE = pow(_BASE, -1, 1 << 64)
 _powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 #: Text bytes worked on at once; just below a power of two, which the tables of powers are rounded up to.
-SLICE_BYTES = (2 << 20) - 64
+SLICE_BYTES = (1 << 20) - 64
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -69,6 +69,18 @@ def slices(batch: pa.RecordBatch, name: str, limit: int = SLICE_BYTES) -> Iterat
         low = high
 
 
+def gathered(parts: Iterator[tuple[np.ndarray, ...]], limit: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """Columns of several slices put together, as soon as they have `limit` rows or more: what a worker holds does not follow the batch."""
+    held: list[tuple[np.ndarray, ...]] = []
+    for part in parts:
+        held.append(part)
+        if sum(len(x[0]) for x in held) >= limit:
+            yield tuple(np.concatenate(x) for x in zip(*held, strict=True))
+            held = []
+    if held:
+        yield tuple(np.concatenate(x) for x in zip(*held, strict=True))
+
+
 def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(starts, ends, first word of each row): words never cross rows."""
     inside = ~SPACE[data]
