@@ -1,7 +1,7 @@
 """Operator 8: language identification by bit-sliced Bloom filters of byte n-grams.
 
-Each slot of the filter holds a bitmask of languages, so one probe of a few slots returns all languages that contain an
-n-gram. A document's hits are counted for each language, corrected for that language's rate of false positives, and the
+Each slot of the filter holds a bitmask of languages, in as many words of 64 as they take, so one probe of a few slots returns
+all languages that contain an n-gram. A document's hits are counted for each language, corrected for that language's rate of false positives, and the
 language with most decides. A language's filter holds the n-grams whose share of its training n-grams is at least
 CHARACTERISTIC of the largest share any language has.
 
@@ -32,7 +32,6 @@ CHARACTERISTIC = 0.6
 MIN_COUNT = 3
 PROBES = 3
 SLOTS_PER_GRAM = 16
-MAX_LANGUAGES = 64
 
 _LETTER = np.zeros(256, bool)
 _LETTER[97:123] = True
@@ -81,15 +80,18 @@ class MaskFilter:
     """Slots of language bits; languages in descending order of training n-grams."""
 
     def __init__(self, languages: list[str], values: np.ndarray, masks: np.ndarray):
+        """masks: the languages of each n-gram, as one word or, by row, as many words as the languages take."""
         self.languages = languages
+        masks = masks.reshape(len(values), -1)
         kind = np.uint8 if len(languages) <= 8 else np.uint32 if len(languages) <= 32 else np.uint64
-        self.bits = np.zeros(1 << max(10, int(SLOTS_PER_GRAM * max(1, len(values)) - 1).bit_length()), kind)
+        self.bits = np.zeros((1 << max(10, int(SLOTS_PER_GRAM * max(1, len(values)) - 1).bit_length()), max(1, -(-len(languages) // 64))), kind)
         for at in _slots(values, len(self.bits)):
             np.bitwise_or.at(self.bits, at, masks.astype(kind))
-        filled = np.array([((self.bits >> kind(k)) & kind(1)).mean() for k in range(len(languages))])
+        filled = np.array([((self.bits[:, k // 64] >> kind(k % 64)) & kind(1)).mean() for k in range(len(languages))])
         self.false_rate = filled**PROBES
 
     def masks(self, values: np.ndarray) -> np.ndarray:
+        """The languages of each n-gram: a row of words."""
         first, *rest = _slots(values, len(self.bits))
         out = self.bits[first]
         for at in rest:
@@ -103,7 +105,7 @@ class MaskFilter:
         out = np.zeros((len(texts), len(self.languages)))
         one = masks.dtype.type(1)
         for k, wrong in enumerate(self.false_rate):
-            total = np.concatenate([[0], np.cumsum((masks >> masks.dtype.type(k)) & one, dtype=np.int64)])
+            total = np.concatenate([[0], np.cumsum((masks[:, k // 64] >> masks.dtype.type(k % 64)) & one, dtype=np.int64)])
             hits = total[offsets[1:]] - total[offsets[:-1]]
             out[:, k] = np.clip((hits - n * wrong) / max(1e-9, 1 - wrong), 0, None) / np.maximum(n, 1)
         return out, lettered
@@ -147,8 +149,6 @@ def train(docs: DataFrame, train_rows: int = TRAIN_ROWS) -> MaskFilter:
     """
     labelled = docs.select(*(c for c in docs.columns if c == "doc_id"), "text", F.col("lang").cast("string").alias("lang")).filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
     sizes = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().collect()}
-    if len(sizes) > MAX_LANGUAGES:
-        raise ValueError(f"at most {MAX_LANGUAGES} languages, not {len(sizes)}")
     codes = {x: k for k, x in enumerate(sorted(sizes))}
     if not codes:
         return MaskFilter([], np.zeros(0, np.uint32), np.zeros(0, np.uint64))
@@ -164,9 +164,11 @@ def train(docs: DataFrame, train_rows: int = TRAIN_ROWS) -> MaskFilter:
     names = {k: x for x, k in codes.items()}
     order = sorted(codes.values(), key=lambda k: (-size.get(k, 0), names[k]))
     place = {k: i for i, k in enumerate(order)}
-    bits = np.uint64(1) << rows["code"].map(place).to_numpy().astype(np.uint64)
-    masks = rows.assign(bit=bits).groupby("gram")["bit"].sum()
-    return MaskFilter([names[k] for k in order], masks.index.to_numpy().astype(np.uint32), masks.to_numpy())
+    values, which = np.unique(rows["gram"].to_numpy(), return_inverse=True)
+    at = rows["code"].map(place).to_numpy().astype(np.int64)
+    masks = np.zeros((len(values), -(-len(order) // 64)), np.uint64)
+    np.bitwise_or.at(masks, (which, at // 64), np.uint64(1) << (at % 64).astype(np.uint64))
+    return MaskFilter([names[k] for k in order], values.astype(np.uint32), masks)
 
 
 def predicted(docs: DataFrame, model: MaskFilter, columns: list[str]) -> DataFrame:

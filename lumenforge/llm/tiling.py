@@ -5,9 +5,9 @@ unmarked are found by Karp-Rabin fingerprints, marked in both, and so on down to
 but may stand in any order, so passages that were cut up and reordered are caught. A document leaks an item when its tiles cover
 at least COVERAGE of the item's words.
 
-Words are lower-cased (A-Z) and lose ASCII signs at both ends; words of signs alone do not count. Items of fewer than MIN_MATCH words are one
-seed; items without words, null texts and empty tables leak nothing. Rows with null ids are compared like others. Equal
-rows give a row each. Other columns are ignored. Items are broadcast in blocks of about BLOCK_WORDS words, one pass over the documents
+Words are lower-cased (A-Z) and lose ASCII signs at both ends; words of signs alone do not count. Items of fewer than MIN_MATCH words are
+too short to be told from common speech and leak nothing, and neither do items without words, null texts and empty tables.
+Rows with null ids are compared like others. Equal rows give a row each. Other columns are ignored. Items are broadcast in blocks of about BLOCK_WORDS words, one pass over the documents
 for each, so what a worker holds is bounded however large the benchmark is. A document is never split.
 """
 
@@ -62,19 +62,38 @@ def tiles(item: np.ndarray, doc: np.ndarray, least: int) -> list[tuple[int, int,
     free_i, free_d = np.ones(len(item), bool), np.ones(len(doc), bool)
     out: list[tuple[int, int, int]] = []
 
-    def common(size: int) -> list[tuple[int, int]]:
-        """Unmarked runs of this size that both hold."""
-        places = []
+    def unmarked(size: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """(hash, place) of the runs of this size without a marked word, of the item and of the document."""
+        runs = []
         for words, free in ((item, free_i), (doc, free_d)):
             blocked = np.concatenate([[0], np.cumsum(~free)])
             hashes = windows(words, size)
             at = np.flatnonzero(blocked[size:] == blocked[: len(hashes)])
-            places.append((hashes[at], at))
-        (hi, pi), (hd, pd_) = places
-        order = np.argsort(hi, kind="stable")
-        hi, pi = hi[order], pi[order]
-        low, high = np.searchsorted(hi, hd, "left"), np.searchsorted(hi, hd, "right")
-        return [(int(pi[k]), int(d)) for d, a, b in zip(pd_, low, high, strict=True) if b > a for k in range(a, b)]
+            runs.append((hashes[at], at))
+        return runs
+
+    def common(size: int) -> bool:
+        (hi, _), (hd, _) = unmarked(size)
+        return bool(np.isin(hi, hd).any())
+
+    def mark(size: int) -> None:
+        """Marks the common runs of this size: each of the item's, in order, with the first of the document's that is still free."""
+        (hi, pi), (hd, pd_) = unmarked(size)
+        order = np.argsort(hd, kind="stable")
+        hd, pd_ = hd[order], pd_[order]
+        low, high = np.searchsorted(hd, hi, "left"), np.searchsorted(hd, hi, "right")
+        next_free: dict[int, int] = {}  # by a hash's first place among hd: what is marked stays so
+        for i, a, b in zip(pi[low < high].tolist(), low[low < high].tolist(), high[low < high].tolist(), strict=True):
+            if not free_i[i : i + size].all():
+                continue
+            at = next_free.get(a, a)
+            while at < b and not free_d[pd_[at] : pd_[at] + size].all():
+                at += 1
+            next_free[a] = at
+            if at < b and (item[i : i + size] == doc[pd_[at] : pd_[at] + size]).all():
+                d = int(pd_[at])
+                free_i[i : i + size] = free_d[d : d + size] = False
+                out.append((i, d, size))
 
     high = min(len(item), len(doc))
     while high >= least:
@@ -88,58 +107,55 @@ def tiles(item: np.ndarray, doc: np.ndarray, least: int) -> list[tuple[int, int,
                 top = middle - 1
         if low < least:
             break
-        for i, d in sorted(common(low)):
-            if free_i[i : i + low].all() and free_d[d : d + low].all() and (item[i : i + low] == doc[d : d + low]).all():
-                free_i[i : i + low] = free_d[d : d + low] = False
-                out.append((i, d, low))
-        high = low
+        mark(low)
+        high = low - 1
     return out
 
 
 class Items:
-    """A block of benchmark items, with their seeds in order of hash."""
+    """A block of benchmark items of at least min_match words, with their seeds in order of hash."""
 
     def __init__(self, ids: list, words: list[np.ndarray], min_match: int):
-        self.ids, self.words, self.min_match = ids, words, min_match
-        self.seeds: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
-        by_size: dict[int, list[int]] = {}
-        for k, w in enumerate(words):
-            if len(w):
-                by_size.setdefault(min(min_match, len(w)), []).append(k)
-        for size, some in by_size.items():
-            hashes = [windows(words[k], size) for k in some]
-            owner, place = np.repeat(some, [len(h) for h in hashes]), np.concatenate([np.arange(len(h)) for h in hashes])
-            h = np.concatenate(hashes)
-            order = np.argsort(h, kind="stable")
-            self.seeds[size] = (h[order], owner[order], place[order])
+        long = [k for k, w in enumerate(words) if len(w) >= min_match]
+        self.ids, self.words, self.min_match = [ids[k] for k in long], [words[k] for k in long], min_match
+        hashes = [windows(w, min_match) for w in self.words]
+        h = np.concatenate([np.zeros(0, np.uint64), *hashes])
+        order = np.argsort(h, kind="stable")
+        self.seeds = h[order]
+        self.owner = np.repeat(np.arange(len(long)), [len(x) for x in hashes])[order]
+        self.place = np.concatenate([np.zeros(0, np.int64), *(np.arange(len(x)) for x in hashes)])[order]
 
     def leaks(self, words: np.ndarray, first: np.ndarray, coverage: float) -> list[tuple[int, int, float, list[tuple[int, int, int]]]]:
         """(row, item, coverage, tiles) of each row that leaks an item."""
-        out = []
-        for size, (seeds, owner, place) in self.seeds.items():
-            h = windows(words, size)
-            found = np.minimum(np.searchsorted(seeds, h), len(seeds) - 1)
-            at = np.flatnonzero(seeds[found] == h)
-            rows = np.searchsorted(first, at, "right") - 1
-            inside = at + size <= first[rows + 1]
-            at, rows = at[inside], rows[inside]
-            for row in np.unique(rows):
-                mine = h[at[rows == row]]
-                low, high = np.searchsorted(seeds, np.unique(mine), "left"), np.searchsorted(seeds, np.unique(mine), "right")
-                hits = np.concatenate([np.arange(a, b) for a, b in zip(low, high, strict=True)])
-                doc = words[first[row] : first[row + 1]]
-                for k in np.unique(owner[hits]):
-                    item = self.words[k]
-                    # tiles lie within the seeds: too few seeded words cannot cover enough
-                    seeded = np.zeros(len(item), bool)
-                    for p in place[hits[owner[hits] == k]]:
-                        seeded[p : p + size] = True
-                    if seeded.sum() < coverage * len(item):
-                        continue
-                    got = tiles(item, doc, size)
-                    share = sum(n for _, _, n in got) / len(item)
-                    if share >= coverage:
-                        out.append((int(row), int(k), share, got))
+        out, size = [], self.min_match
+        h = windows(words, size)
+        if not len(self.seeds) or not len(h):
+            return out
+        at = np.flatnonzero(self.seeds[np.minimum(np.searchsorted(self.seeds, h), len(self.seeds) - 1)] == h)
+        rows = np.searchsorted(first, at, "right") - 1
+        inside = at + size <= first[rows + 1]
+        at, rows = at[inside], rows[inside]
+        cuts = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1], [True]])) if len(rows) else np.zeros(1, np.int64)
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            row, mine = rows[a], np.unique(h[at[a:b]])
+            low, high = np.searchsorted(self.seeds, mine, "left"), np.searchsorted(self.seeds, mine, "right")
+            hits = np.repeat(low - (np.cumsum(high - low) - (high - low)), high - low) + np.arange((high - low).sum())
+            hits = hits[np.argsort(self.owner[hits], kind="stable")]
+            owner, place = self.owner[hits], self.place[hits]
+            of = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1], [True]]))
+            doc = words[first[row] : first[row + 1]]
+            for x, y in zip(of[:-1], of[1:], strict=True):
+                item = self.words[owner[x]]
+                # tiles lie within the seeds: too few seeded words cannot cover enough
+                edge = np.zeros(len(item) + 1, np.int64)
+                np.add.at(edge, place[x:y], 1)
+                np.add.at(edge, place[x:y] + size, -1)
+                if (np.cumsum(edge[:-1]) > 0).sum() < coverage * len(item):
+                    continue
+                got = tiles(item, doc, size)
+                share = sum(n for _, _, n in got) / len(item)
+                if share >= coverage:
+                    out.append((int(row), int(owner[x]), share, got))
         return out
 
 

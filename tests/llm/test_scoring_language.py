@@ -96,11 +96,29 @@ def test_a_filter_returns_all_languages_of_an_ngram():
     values = np.arange(1, 5_001, dtype=np.uint32)
     masks = np.uint64(1) + np.uint64(2) * (values % 2).astype(np.uint64)
     made = language.MaskFilter(["a", "b"], values, masks)
-    got = made.masks(values)
+    got = made.masks(values)[:, 0]
     assert ((got & 1) == 1).all() and ((got[values % 2 == 1] & 2) == 2).all()
     assert made.false_rate.max() < 0.05
 
 
+def test_more_languages_than_a_word_has_bits(spark):
+    rng = np.random.default_rng(12)
+    letters = list("abcdefghijklmnopqrstuvwxyz")
+    known = [["".join(rng.choice(letters, 6)) for _ in range(30)] for _ in range(70)]
+    rows = [(k, " ".join(rng.choice(known[k % 70], 40)), f"l{k % 70:02d}") for k in range(70 * 8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.train(docs.filter("doc_id >= 140"))
+    assert len(model.languages) == 70 and model.bits.shape[1] == 2
+    got = language.predicted(docs.filter("doc_id < 140"), model, ["lang"]).collect()
+    assert len(got) == 140 and all(r["lang_pred"] == r["lang"] for r in got)
+    # the filter against the sets it stands for
+    values = np.arange(1, 3_001, dtype=np.uint32)
+    masks = np.stack([np.uint64(1) << (values % 64).astype(np.uint64), (values % 3 == 0).astype(np.uint64)], axis=1)
+    made = language.MaskFilter([f"l{k}" for k in range(65)], values, masks)
+    found = made.masks(values)
+    assert ((found & masks) == masks).all() and made.false_rate.max() < 0.05
+
+
 def test_stage_keeps_clean_texts(spark, folder):
     import corpus_pipeline
 
