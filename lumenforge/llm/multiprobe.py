@@ -1,10 +1,16 @@
 """Operator 2: nearest neighbours by inner product with multiprobe p-stable hashing.
 
 Vectors are scaled by the largest norm and get one more component that makes all of them equally long, so that the largest
-inner product is the smallest Euclidean distance. Each of TABLES tables cuts the space by a few p-stable (Gaussian)
-projections into cells of one width. A query visits cells in descending order of the probability that a neighbour at the
-distance `radius` falls there, until those visited sum to COVER in each table, however many they are; the candidates of all tables are merged and
-ranked by the inner product of the original vectors in double precision.
+inner product is the smallest Euclidean distance. Each table cuts the space by a few p-stable (Gaussian) projections into cells
+of one width. A near neighbour is the query scaled by their inner product plus a residual in a random direction, so its projections
+are normal about the query's own; from that a query's cells get a probability each, and it visits them in descending order of it,
+until those visited sum to `cover` in each table, however many they are; the candidates of all tables are merged and ranked by the
+inner product of the original vectors in double precision.
+
+Every table of vectors has at least one cut. Tables, cuts, width and cover are fitted: of the choices that find RECALL of the true
+neighbours of FIT_QUERIES queries in a sample of at most FIT_VECTORS vectors, the one that ranks the fewest rows; that share is kept
+in `Hashes.share`. Only the choice comes from the sample: every row is indexed. Where vectors have no near neighbours to
+speak of, as with independent random directions, no cells tell them from the rest and most of the table is ranked.
 
 Vectors of a cell are dealt to units of about UNIT_ROWS and units to parts; a part ranks its own candidates for the queries
 that visit it and hands on their k best. So neither a crowded cell nor a third of all rows being one vector meets in one
@@ -18,27 +24,30 @@ ignored.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lumenforge.llm.shared import table, written
+from lumenforge.llm.shared import removed, table, written
 from lumenforge.llm.text import mix
 
-TABLES = 2
-COVER = 0.85
 UNIT_ROWS = 2_000
 #: Bytes of vectors that one task ranks at once.
 PART_BYTES = 16 << 20
-#: A table has at most so many projections: beyond, too many cells share the COVER that a query needs.
-MOST_CUTS = 6
+#: The fit: share of neighbours to find, and what is chosen from. More cuts than MOST_CUTS would share a query's cover among too many cells.
+RECALL = 0.96
+FIT_QUERIES, FIT_VECTORS = 60, 10_000
+MOST_CUTS = 8
+WIDTHS = (2.0, 3.0, 4.5)
+TABLES = (1, 2, 3)
+COVERS = (0.4, 0.55, 0.7, 0.8, 0.9, 0.95, 0.98)
+#: Rows of a cell that more cuts would part to no use.
+CELL_ROWS = 32
 #: Cells put in order at once, of as many queries as they make; a query's own are never parted.
 CELLS = 1 << 20
-#: The radius is fitted on at most so many queries against at most so many vectors.
-FIT_QUERIES, FIT_VECTORS = 200, 10_000
-#: Cells looked at on either side of a query's own; those of all projections together hold more than COVER.
-STEPS = np.arange(-2, 3, dtype=np.int8)
 
 
 def clean(rows: DataFrame) -> DataFrame:
@@ -64,21 +73,25 @@ def _phi(x: np.ndarray) -> np.ndarray:
 
 
 class Hashes:
-    """TABLES tables of `n_cuts` p-stable projections each."""
+    """Tables of p-stable projections. `near` is the inner product of a query and a neighbour, both of length 1."""
 
-    def __init__(self, dim: int, n_cuts: int, norm: float, radius: float, seed: int = 7):
+    def __init__(self, dim: int, cuts: int, norm: float, near: float, width: float = 3.0, tables: int = 2, cover: float = 0.85, seed: int = 7):
         rng = np.random.default_rng(seed)
-        self.norm, self.radius, self.width = norm, radius, 1.2 * radius
-        self.cuts = rng.standard_normal((TABLES, n_cuts, dim + 1))
-        self.shift = rng.uniform(0, self.width, (TABLES, n_cuts))
+        self.norm, self.near, self.spread, self.cover, self.share = norm, near, float(np.sqrt(1 - near * near)), cover, 1.0
+        self.width = width * self.spread
+        # table by table, so that fewer tables are the first of more
+        drawn = [(rng.standard_normal((cuts, dim + 1)), rng.uniform(0, self.width, cuts)) for _ in range(tables)]
+        self.cuts, self.shift = np.stack([c for c, _ in drawn]), np.stack([s for _, s in drawn])
+        # cells on either side of a neighbour's likeliest one: three spreads and more
+        self.steps = np.arange(-1, 2) if width >= 3 else np.arange(-2, 3)
 
     def project(self, vectors: np.ndarray, query: bool) -> np.ndarray:
-        """Places in units of the width, by table, row and projection. A query's extra component is 0."""
+        """Places in units of the width, by table, row and projection; a query's are those expected of a neighbour."""
         x = vectors / self.norm
         if query:
             x = x / np.linalg.norm(x, axis=1, keepdims=True)
         extra = np.zeros(len(x)) if query else np.sqrt(np.clip(1 - (x * x).sum(axis=1), 0, None))
-        x = np.column_stack([x, extra])
+        x = np.column_stack([x, extra]) * (self.near if query else 1)
         return np.stack([(x @ c.T + s) / self.width for c, s in zip(self.cuts, self.shift, strict=True)])
 
     def cell_ids(self, table: int, cells: np.ndarray) -> np.ndarray:
@@ -88,46 +101,100 @@ class Hashes:
             h = mix(h * np.uint64(0x9E3779B97F4A7C15) + cells[..., k].astype(np.int64).astype(np.uint64))
         return h.astype(np.int64)
 
-    def visits(self, vectors: np.ndarray, cover: float = COVER) -> list[np.ndarray]:
+    def homes(self, vectors: np.ndarray) -> np.ndarray:
+        """Each vector's cell, by table."""
+        places = np.floor(self.project(vectors, False)).astype(np.int64)
+        return np.stack([self.cell_ids(t, p) for t, p in enumerate(places)])
+
+    def visits(self, vectors: np.ndarray) -> list[np.ndarray]:
         """For each query its cells' ids over all tables, the likeliest first, as far as they sum to `cover`."""
-        some = max(1, CELLS // len(STEPS) ** self.cuts.shape[1])
-        return [x for low in range(0, len(vectors), some) for x in self._visits(vectors[low : low + some], cover)]
+        return [np.concatenate([ids[: _first_over(sums, self.cover)] for ids, sums in tables]) for tables in self.ordered(vectors)]
 
-    def _visits(self, vectors: np.ndarray, cover: float) -> list[np.ndarray]:
-        out: list[list[np.ndarray]] = [[] for _ in vectors]
+    def ordered(self, vectors: np.ndarray) -> Iterator[list[tuple[np.ndarray, np.ndarray]]]:
+        """For each query and table its cells' ids, the likeliest first, and the sums of their probabilities."""
+        some = max(1, CELLS // len(self.steps) ** self.cuts.shape[1])
+        for low in range(0, len(vectors), some):
+            yield from self._ordered(vectors[low : low + some])
+
+    def _ordered(self, vectors: np.ndarray) -> list[list[tuple[np.ndarray, np.ndarray]]]:
+        out: list[list[tuple[np.ndarray, np.ndarray]]] = [[] for _ in vectors]
+        scale = self.width / self.spread
         for t, places in enumerate(self.project(vectors, True)):
             home = np.floor(places)
-            inside = places - home
-            scale = self.width / self.radius
-            low = (STEPS[None, None, :] - inside[:, :, None]) * scale
+            low = (self.steps[None, None, :] - (places - home)[:, :, None]) * scale
             chance = _phi(low + scale) - _phi(low)  # by query, projection and step
             prob = np.ones((len(vectors), 1))
             cells = np.zeros((1, 0), np.int8)
             for k in range(places.shape[1]):
                 prob = (prob[:, :, None] * chance[:, None, k, :]).reshape(len(vectors), -1)
-                cells = np.column_stack([np.repeat(cells, len(STEPS), axis=0), np.tile(STEPS, len(cells))])
+                cells = np.column_stack([np.repeat(cells, len(self.steps), axis=0), np.tile(self.steps.astype(np.int8), len(cells))])
             order = np.argsort(-prob, axis=1, kind="stable")
-            n = (np.cumsum(np.take_along_axis(prob, order, 1), axis=1) < cover).sum(axis=1) + 1
+            sums = np.cumsum(np.take_along_axis(prob, order, 1), axis=1)
+            n = np.maximum(1, (sums < max(self.cover, COVERS[-1])).sum(axis=1) + 1)
             for q in range(len(vectors)):
-                out[q].append(self.cell_ids(t, cells[order[q, : n[q]]] + home[q].astype(np.int64)))
-        return [np.concatenate(x) for x in out]
+                out[q].append((self.cell_ids(t, cells[order[q, : n[q]]] + home[q].astype(np.int64)), sums[q, : n[q]]))
+        return out
+
+
+def _first_over(sums: np.ndarray, cover: float) -> int:
+    """How many cells it takes to reach the cover; all there are, if they don't."""
+    return min(len(sums), int(np.searchsorted(sums, cover)) + 1)
+
+
+def tried(hashes: Hashes, rows: np.ndarray, queries: np.ndarray, own: np.ndarray, true: np.ndarray) -> dict[tuple[int, float], tuple[float, float]]:
+    """By number of tables and cover: (share of the true neighbours found, rows ranked as a share of all), for queries that are
+    the rows numbered `own`."""
+    homes = [np.unique(h, return_inverse=True) for h in hashes.homes(rows)]
+    hits: dict[tuple[int, float], list[float]] = {(t, c): [0, 0] for t in range(1, len(homes) + 1) for c in COVERS}
+    for tables, mine, near in zip(hashes.ordered(queries), own, true, strict=True):
+        met = {c: np.zeros(len(near), bool) for c in COVERS}
+        ranked = dict.fromkeys(COVERS, 0)
+        for t, ((ids, sums), (known, which)) in enumerate(zip(tables, homes, strict=True)):
+            by = np.argsort(ids)
+            at = np.minimum(np.searchsorted(ids[by], known), len(ids) - 1)
+            nth = np.where(ids[by][at] == known, by[at], len(ids))[which]
+            for c in COVERS:
+                seen = nth < _first_over(sums, c)
+                met[c] |= seen[near]
+                ranked[c] += int(seen.sum()) - int(seen[mine])
+                hits[t + 1, c][0] += int(met[c].sum())
+                hits[t + 1, c][1] += ranked[c]
+    return {key: (found / max(1, true.size), ranked / max(1, len(own) * len(rows))) for key, (found, ranked) in hits.items()}
+
+
+def choose(x: np.ndarray, n: int, k: int, norm: float) -> Hashes:
+    """Hashes for a table of n rows, of which x is a sample."""
+    q = x[:FIT_QUERIES]
+    scores = (q / np.linalg.norm(q, axis=1, keepdims=True)) @ x.T / norm
+    own = np.arange(len(q))
+    scores[own, own] = -np.inf
+    # in a sample, a neighbour among the k nearest of all is among fewer
+    few = max(1, min(len(x) - 1, round(k * len(x) / n)))
+    order = np.argsort(-scores, axis=1)[:, :few] if len(x) > 1 else np.zeros((len(q), 0), np.int64)
+    near = float(np.clip(np.median(np.take_along_axis(scores, order, 1)), 0.05, 0.9999)) if order.size else 0.5
+    most = int(np.clip(np.log2(max(2, n / CELL_ROWS)), 1, MOST_CUTS))
+    best, dim = None, x.shape[1]
+    for cuts in sorted({1, *range(2, most, 2), most}):
+        for width in WIDTHS:
+            if width < 3 and cuts > 6:  # five steps a cut
+                continue
+            for (tables, cover), (recall, share) in tried(Hashes(dim, cuts, norm, near, width, TABLES[-1], COVERS[-1]), x, q, own, order).items():
+                rank = (min(recall, RECALL), -share)
+                if best is None or rank > best[0]:
+                    best = (rank, share, (cuts, norm, near, width, tables, cover))
+    out = Hashes(dim, *best[2])
+    out.share = best[1]
+    return out
 
 
 def fit(rows: DataFrame, k: int) -> tuple[Hashes | None, int]:
-    """Hashes for rows, and how many there are. The radius is the middle distance to a k-th neighbour in a bounded sample."""
-    stats = rows.agg(F.count("*").alias("n"), F.max(F.sqrt(F.aggregate("vec", F.lit(0.0), lambda a, x: a + x * x))).alias("norm"), F.first(F.size("vec")).alias("dim")).first()
-    n = stats["n"]
-    if not n:
+    """Hashes for rows, and how many rows there are."""
+    stats = rows.agg(F.count("*").alias("n"), F.max(F.sqrt(F.aggregate("vec", F.lit(0.0), lambda a, x: a + x * x))).alias("norm")).first()
+    if not stats["n"]:
         return None, 0
     ids = rows.select("vec_id").distinct().orderBy(F.xxhash64("vec_id"), "vec_id").limit(FIT_VECTORS)
     sample = rows.join(F.broadcast(ids), "vec_id").groupBy("vec_id").agg(F.max("vec").alias("vec")).orderBy(F.xxhash64("vec_id"), "vec_id").select("vec").toArrow()
-    x = _matrix(sample["vec"]) / stats["norm"]
-    q = x[:FIT_QUERIES] / np.linalg.norm(x[:FIT_QUERIES], axis=1, keepdims=True)
-    full = np.column_stack([x, np.sqrt(np.clip(1 - (x * x).sum(axis=1), 0, None))])
-    near = np.sort(2 - 2 * (np.column_stack([q, np.zeros(len(q))]) @ full.T), axis=1)[:, min(k, len(x) - 1)]
-    radius = float(np.sqrt(np.clip(np.median(near), 1e-6, None)))
-    cuts = 0 if n <= UNIT_ROWS else int(np.clip(round(np.log(n / 500) / np.log(4)), 1, MOST_CUTS))
-    return Hashes(stats["dim"], cuts, stats["norm"], radius), n
+    return choose(_matrix(sample["vec"]), stats["n"], k, stats["norm"]), stats["n"]
 
 
 def _best(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -195,9 +262,8 @@ def search(rows: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
     def cells(batches):
         for batch in batches:
             x = _matrix(batch.column(1))
-            places = np.floor(shared.value.project(x, False)).astype(np.int64)
-            for t in range(TABLES):
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.full(len(x), t, np.int32)), pa.array(shared.value.cell_ids(t, places[t])), batch.column(1)], ["vec_id", "tab", "cell", "vec"])
+            for t, homes in enumerate(shared.value.homes(x)):
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.full(len(x), t, np.int32)), pa.array(homes), batch.column(1)], ["vec_id", "tab", "cell", "vec"])
 
     def visits(batches):
         for batch in batches:
@@ -208,7 +274,7 @@ def search(rows: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
 
     placed = written(base.mapInArrow(cells, "vec_id long, tab int, cell long, vec array<double>"), "cells")
     asked = clean(queries).select(F.col("vec_id").alias("query_id"), "vec")
-    parts = max(1, -(-n * TABLES * hashes.cuts.shape[2] * 8 // PART_BYTES))
+    parts = max(1, -(-n * len(hashes.cuts) * hashes.cuts.shape[2] * 8 // PART_BYTES))
     sizes = placed.groupBy("cell").agg(F.ceil(F.count("*") / UNIT_ROWS).cast("int").alias("units"))
     unit = F.xxhash64("cell", "nth")
     part = F.pmod(F.col("unit"), F.lit(parts)).cast("int")
@@ -229,12 +295,16 @@ def search(rows: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
     first = written(scored(by_part), "nearest")
     enough = first.groupBy("query_id").count().filter(F.col("count") >= k)
     left = asked.select("query_id").distinct().join(enough, "query_id", "left_anti")
-    if n <= UNIT_ROWS or left.isEmpty():
+    if left.isEmpty():
+        removed(placed)
         return first
     # the few queries that saw too little: all units of the first table
     all_units = dealt.filter("tab = 0").groupBy("part").agg(F.collect_set("unit").alias("units"))
     again = scored(left.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))).join(all_units, "part").select("query_id", "part", "units"))
-    return first.join(left, "query_id", "left_anti").unionByName(again)
+    again = written(again, "nearest")
+    out = written(first.join(left, "query_id", "left_anti").unionByName(again), "nearest")
+    removed(placed, first, again)
+    return out
 
 
 def op2_multiprobe_ann(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -185,23 +185,22 @@ def test_rows_of_one_id_are_one_neighbour(spark, folder, n, copies):
         want = np.argsort(-best, kind="stable")[:20].tolist()
         got = [v for _, v in sorted(found[q])]
         assert len(got) == 20 == len(set(got))
-        assert n * copies > multiprobe.UNIT_ROWS or got == want
         hit, total = hit + len(set(got) & set(want)), total + 20
     assert hit / total >= 0.9
 
 
-@pytest.mark.parametrize("n_cuts", [6, 7, 8])
-def test_cells_visited_reach_their_cover(n_cuts):
+@pytest.mark.parametrize("cuts", [1, 4, 8])
+def test_cells_visited_reach_their_cover(cuts):
     rng = np.random.default_rng(9)
-    made = multiprobe.Hashes(32, n_cuts, 1.0, 0.5)
+    made = multiprobe.Hashes(32, cuts, 1.0, 0.6, 3.0, 2, 0.85)
     queries = rng.standard_normal((40, 32))
     visited = made.visits(queries)
     full = np.column_stack([queries / np.linalg.norm(queries, axis=1, keepdims=True), np.zeros(40)])
     once, either = [], []
     for q, v in enumerate(full):
         away = rng.standard_normal((50, 33))
-        near = v + made.radius * away / np.linalg.norm(away, axis=1, keepdims=True)
-        met = [np.isin(made.cell_ids(t, np.floor((near @ made.cuts[t].T + made.shift[t]) / made.width).astype(np.int64)), visited[q]) for t in range(multiprobe.TABLES)]
+        near = made.near * v + made.spread * away / np.linalg.norm(away, axis=1, keepdims=True)
+        met = [np.isin(made.cell_ids(t, np.floor((near @ made.cuts[t].T + made.shift[t]) / made.width).astype(np.int64)), visited[q]) for t in range(2)]
         once.append(np.mean(met))
         either.append(np.mean(met[0] | met[1]))
     assert np.mean(once) > 0.82 and np.mean(either) > 0.95
@@ -225,15 +224,43 @@ def test_reordered_passages_leak(spark, folder):
         assert all(words[t["doc_start"] : t["doc_start"] + t["n_words"]] == item[t["item_start"] : t["item_start"] + t["n_words"]] for t in r["tiles"])
 
 
-def test_tiles_do_not_overlap():
+def brute_tiles(item, doc, least):
+    """Greedy string tiling by trying every pair of places."""
+    free_i, free_d, out = [True] * len(item), [True] * len(doc), []
+
+    def run(i, d):
+        n = 0
+        while i + n < len(item) and d + n < len(doc) and free_i[i + n] and free_d[d + n] and item[i + n] == doc[d + n]:
+            n += 1
+        return n
+
+    while True:
+        best = max(((run(i, d), -i, -d) for i in range(len(item)) for d in range(len(doc))), default=(0, 0, 0))
+        n, i, d = best[0], -best[1], -best[2]
+        if n < least:
+            return out
+        free_i[i : i + n] = free_d[d : d + n] = [False] * n
+        out.append((i, d, n))
+
+
+def test_tiles_match_brute_force():
     rng = np.random.default_rng(4)
-    for _ in range(40):
-        item, doc = (rng.integers(0, 4, rng.integers(5, 60)).astype(np.uint64) for _ in range(2))
-        got = tiling.tiles(item, doc, 3)
-        for place in (0, 1):
-            taken = [p for t in got for p in range(t[place], t[place] + t[2])]
-            assert len(taken) == len(set(taken))
-        assert all((item[i : i + n] == doc[d : d + n]).all() and n >= 3 for i, d, n in got)
+    for _ in range(60):
+        item, doc = (rng.integers(0, rng.choice([2, 4, 9]), rng.integers(1, 40)).astype(np.uint64) for _ in range(2))
+        assert tiling.tiles(item, doc, 3) == brute_tiles(item.tolist(), doc.tolist(), 3)
+
+
+def test_repeated_words_take_one_step_each():
+    item, doc = np.full(400, 7, np.uint64), np.full(30_000, 7, np.uint64)
+    assert tiling.tiles(item, doc, 5) == [(0, 0, 400)]
+    other = np.where(np.arange(30_000) % 9 == 8, np.uint64(1), np.uint64(7))
+    assert sum(n for _, _, n in tiling.tiles(item, other, 5)) == 400
+
+
+def test_items_too_short_leak_nothing(spark, folder):
+    sf = folder(documents=documents("a walk through Paris in spring", "Paris", "one two three four five"), benchmark=benchmark("Paris", "one two three four", "one two three four five"))
+    got = tiling.op9_string_tiling(spark, sf).collect()
+    assert [(r["doc_id"], r["item_id"], r["coverage"]) for r in got] == [(2, 2, 1.0)]
 
 
 def test_leaks_of_odd_rows(spark, folder, odd):
