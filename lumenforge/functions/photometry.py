@@ -59,7 +59,7 @@ def teff_cascade(esphs: Column, gspspec: Column, espucd: Column, gspphot: Column
 
 def logg_cascade(*sources: Column) -> Column:
     """The first surface gravity in the valid range."""
-    return F.coalesce(*(F.when(c.between(*VALID_LOGG), c) for c in sources))
+    return F.coalesce(*(F.when(c.between(*VALID_LOGG), c) for c in sources), F.lit(None).cast("double"))
 
 
 def rgb(teff: Column) -> Column:

@@ -13,27 +13,52 @@ from lumenforge.functions.flags import PHOT_SOURCE, distance_flags, with_sources
 from lumenforge.functions.nulls import finite, number, yes
 from lumenforge.operators.schemas import DENSE
 
-CARRY_TYPES = {"float64": "double", "int64": "long", "uint64": "long", "string": "string", "bool": "boolean"}
+CARRY_TYPES = {"float64": "double", "int64": "long", "uint64": "decimal(20,0)", "string": "string", "bool": "boolean"}
 
 
 @dataclass(frozen=True)
 class CarryField:
-    """An extra column of the output, gaia_<name>, taken from the input or from the stage's own columns."""
+    """An extra column of the output, gaia_<name>.
+
+    origin: "input" takes it from the input as it comes, "stage" from the stage's own columns, and "query" from the input column of
+    its name, which source_rows() makes by `expression`. sidecar names the table that it goes to.
+    """
 
     name: str
     dtype: str = "float64"
     origin: str = "input"
     column: str | None = None
-
-
-def _carried(field: CarryField, columns: list[str]) -> Column:
-    name, kind = field.column or field.name, CARRY_TYPES[field.dtype]
-    if name not in columns:
-        return F.lit(None).cast(kind).alias(f"gaia_{field.name}")
-    value = F.col(name)
-    if kind == "long":  # half to even, as IEEE rounds; whole text keeps all its digits
-        value = F.coalesce(value.try_cast("long") if field.dtype == "uint64" else F.lit(None).cast("long"), F.bround(value.try_cast("double")).try_cast("long"))
-    return value.try_cast(kind).alias(f"gaia_{field.name}")
+    expression: str | None = None
+    sidecar: str | None = None
+    unit: str | None = None
+
+    @property
+    def output(self) -> str:
+        return f"gaia_{self.name}"
+
+
+def whole(value: Column, source: str, kind: str) -> Column:
+    """A whole number of `kind`, halves to even: whole numbers and whole text keep all their digits, NULL where it doesn't fit."""
+    rounded = F.bround(value.try_cast("double")).try_cast("decimal(38,0)").try_cast(kind)
+    if source in ("tinyint", "smallint", "int", "bigint", "boolean"):
+        out = value.try_cast(kind)
+    elif source == "string":
+        out = F.when(value.rlike(r"^\s*[+-]?\d+\s*$"), F.trim(value).try_cast("decimal(38,0)").try_cast(kind)).otherwise(rounded)
+    elif source.startswith("decimal"):
+        out = F.bround(value, 0).try_cast(kind)
+    else:
+        out = rounded
+    if kind == "decimal(20,0)":  # unsigned, of 64 bits
+        out = F.when(out.between(F.lit(0).cast("decimal(20,0)"), F.lit(str(2**64 - 1)).cast("decimal(20,0)")), out)
+    return out
+
+
+def _carried(field: CarryField, column: str | None, kinds: dict[str, str]) -> Column:
+    kind = CARRY_TYPES[field.dtype]
+    if column not in kinds:
+        return F.lit(None).cast(kind).alias(field.output)
+    value = F.col(column)
+    return (whole(value, kinds[column], kind) if field.dtype in ("int64", "uint64") else value.try_cast(kind)).alias(field.output)
 
 
 def within_magnitude(df: DataFrame, limit: float | None) -> DataFrame:
@@ -44,6 +69,9 @@ def within_magnitude(df: DataFrame, limit: float | None) -> DataFrame:
 def gaia_stage(raw: DataFrame, mag_limit: float | None = None, carry: tuple[CarryField, ...] = ()) -> DataFrame:
     """Dense rows with ruwe, phot_g_mean_mag and the carried fields."""
     df = within_magnitude(raw, mag_limit)
+    # the stage's own columns may take an input column's name
+    taken = {f: f"_in_{k}" for k, f in enumerate(carry) if f.origin != "stage" and (f.column or f.name) in raw.columns}
+    df = df.withColumns({alias: F.col(f.column or f.name) for f, alias in taken.items()})
     n = lambda name: number(df, name)
     df = df.withColumn("bp_rp", n("phot_bp_mean_mag") - n("phot_rp_mean_mag"))
     g, mg, ag = n("phot_g_mean_mag"), n("mg_gspphot"), n("ag_gspphot")
@@ -63,10 +91,11 @@ def gaia_stage(raw: DataFrame, mag_limit: float | None = None, carry: tuple[Carr
         "photometry_quality": F.when(has_mg, F.when(finite(spread), spread)).otherwise(F.lit(P.MAG_ERROR) * quality),
         "distance_use_pc": distance, "r_lo_pc": F.col("_d.lo"), "r_hi_pc": F.col("_d.hi"),
     })
+    kinds = dict(stage.dtypes)
     place = {"x_icrs_pc": "x", "y_icrs_pc": "y", "z_icrs_pc": "z", "ra_deg": "ra", "dec_deg": "dec", "r_pc": "r"}
     dense = [F.lit("gaia").alias("source"), F.col("source_id").cast("long").alias("source_id"), *(F.col(f"_p.{v}").alias(k) for k, v in place.items())]
     dense += [F.col(c) for c in list(DENSE)[8:]]
-    return stage.select(*dense, n("ruwe").alias("ruwe"), g.alias("phot_g_mean_mag"), *(_carried(f, stage.columns) for f in carry))
+    return stage.select(*dense, n("ruwe").alias("ruwe"), g.alias("phot_g_mean_mag"), *(_carried(f, (f.column or f.name) if f.origin == "stage" else taken.get(f), kinds) for f in carry))
 
 
 def tile_counts(rows: DataFrame, order: int = 3) -> DataFrame:

@@ -13,12 +13,14 @@ from lumenforge.functions.nulls import finite, number, or_null, positive
 from lumenforge.operators.common import require
 from lumenforge.operators.schemas import DENSE
 
+# The catalogue's own column names, and its epoch
 REQUIRED = ("HIP", "RArad", "DErad", "Plx", "e_Plx", "pmRA", "pmDE", "Hpmag", "B-V")
 EPOCH = 1991.25
 
 
-def hip_stage(raw: DataFrame, limit: int | None = None, order: str = "source_id") -> DataFrame:
-    """Dense rows with Sn and Hpmag; rows without a finite distance go. `limit` keeps the first rows by `order`."""
+def hip_stage(raw: DataFrame, limit: int | None = None, order: str = "source_id", log_g: bool = False) -> DataFrame:
+    """Dense rows with Sn and Hpmag; rows without a finite distance go. `limit` keeps the first rows by `order`. The catalogue
+    knows no surface gravity: with `log_g` there is a column of that name, all NULL."""
     df = require(raw, REQUIRED, "HIP catalogue").withColumnRenamed("B-V", "bv")
     n = lambda name: number(df, name)
     plx, error = n("Plx"), n("e_Plx")
@@ -33,5 +35,6 @@ def hip_stage(raw: DataFrame, limit: int | None = None, order: str = "source_id"
         P.absolute_magnitude(n("Hpmag"), distance).alias("mag_abs"), F.coalesce(teff, F.lit(P.DEFAULT_TEFF)).alias("teff"), flags.alias("quality_flags"),
         quality.alias("astrometry_quality"), (F.lit(P.MAG_ERROR) * quality).alias("photometry_quality"), or_null(df, "Sn", "int").alias("Sn"), n("Hpmag").alias("Hpmag"),
     )
+    out = out.withColumn("log_g", P.logg_cascade()) if log_g else out
     assert out.columns[: len(DENSE)] == list(DENSE)
     return out if limit is None else out.orderBy(order).limit(limit)

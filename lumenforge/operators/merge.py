@@ -1,11 +1,13 @@
 """Merge: one canonical star table from two catalogues, their crossmatch and overrides.
 
 Everything is decided by joins on ids; no row depends on the order in which others are met. The small sides (second catalogue,
-crossmatch, overrides) are joined as they are: Spark broadcasts those it measures to be small and shuffles others.
+crossmatch, overrides) are joined as they are: Spark broadcasts those it measures to be small and shuffles others. Texts in the
+outputs (decision types, notes, reasons) are fixed values.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -32,7 +34,7 @@ class Merged:
     dense: DataFrame  # DENSE
     decisions: DataFrame  # DECISIONS
     report: DataFrame  # one row of counts
-    sidecar: DataFrame  # source, source_id, gaia_source_id and the gaia_* columns of rows that a Gaia row led to
+    sidecar: DataFrame  # source, source_id, gaia_source_id, the place and the gaia_* columns of rows that a Gaia row led to
 
 
 def winner(neighbours: Column, solution: Column, g: Column, gaia_mag: Column, gaia_r: Column, gaia_score: Column, hip_score: Column) -> Column:
@@ -55,8 +57,11 @@ def _dense(source: Column, source_id: Column, payload: str) -> list[Column]:
     return [source.alias("source"), source_id.cast("string").alias("source_id"), *(F.col(f"{payload}.{c}").alias(c) for c in PAYLOAD)]
 
 
-def merge(gaia: DataFrame, hip: DataFrame, pairs: DataFrame, overrides: DataFrame, validate: bool = True) -> Merged:
-    """gaia, hip: staged rows; pairs: crossmatch; overrides: override rows. gaia ids are unique."""
+def merge(gaia: DataFrame, hip: DataFrame, pairs: DataFrame, overrides: DataFrame, validate: bool = True, keep: Callable[[DataFrame], DataFrame] | None = None) -> Merged:
+    """gaia, hip: staged rows; pairs: crossmatch; overrides: override rows. gaia ids are unique.
+
+    keep: makes a table of the joined rows, which all outputs read; without it each output joins anew.
+    """
     for df, what in ((gaia, "gaia rows"), (hip, "hip rows")):
         require(df, DENSE, what)
     require(pairs, ("gaia_source_id", "hip_source_id"), "crossmatch")
@@ -75,13 +80,19 @@ def merge(gaia: DataFrame, hip: DataFrame, pairs: DataFrame, overrides: DataFram
     by_hip = ov.filter("source = 'hip'").select(F.col("key").cast("long").alias("hip_id"), F.col("ov").alias("ov_h"))
 
     def overridden(df: DataFrame) -> DataFrame:
-        df = df.join(by_gaia, "gaia_id", "left").join(by_hip, "hip_id", "left")
-        clash = F.col("ov_g.override_id") != F.col("ov_h.override_id")
-        checked = F.when(yes(clash), F.raise_error(F.concat(F.lit("two overrides of one pair: "), F.col("ov_g.override_id"), F.lit(", "), F.col("ov_h.override_id"))).cast("string"))
-        return df.withColumn("ov", F.coalesce("ov_g", "ov_h")).withColumn("clash", checked).filter("clash IS NULL").drop("ov_g", "ov_h", "clash")
+        return df.join(by_gaia, "gaia_id", "left").join(by_hip, "hip_id", "left")
 
-    # every Gaia row with its link, partner and override
-    left = overridden(g.join(x, "gaia_id", "left").join(h, "hip_id", "left"))
+    def checked(df: DataFrame) -> DataFrame:
+        """One override for each row; two of them are an error."""
+        clash = F.col("ov_g.override_id") != F.col("ov_h.override_id")
+        failed = F.when(yes(clash), F.raise_error(F.concat(F.lit("two overrides of one pair: "), F.col("ov_g.override_id"), F.lit(", "), F.col("ov_h.override_id"))).cast("string"))
+        return df.withColumn("ov", F.coalesce("ov_g", "ov_h")).withColumn("clash", failed).filter("clash IS NULL").drop("ov_g", "ov_h", "clash")
+
+    # every Gaia row with its link, partner and override. The small sides are put together first, and only rows with a link or an
+    # override meet them by more than one join: ids that nearly all rows lack are never a join key.
+    linked = overridden(x.join(h, "hip_id", "left").join(by_gaia.select("gaia_id"), "gaia_id", "full"))
+    rows = checked(g.join(linked, "gaia_id", "left"))
+    left = keep(rows) if keep else rows
     kind = F.when(F.col("ov").isNotNull(), F.col("ov.action")).when(F.col("hip").isNull(), F.lit("alone")).otherwise(F.lit("pair"))
     g_score, h_score = score(F.col("gaia.astrometry_quality")), score(F.col("hip.astrometry_quality"))
     win = winner(F.col("number_of_neighbours"), F.col("hip.Sn"), F.col("gaia.phot_g_mean_mag"), F.col("gaia.mag_abs"), F.col("gaia.r_pc"), g_score, h_score)
@@ -93,13 +104,14 @@ def merge(gaia: DataFrame, hip: DataFrame, pairs: DataFrame, overrides: DataFram
     body = {c: F.when(replaced, F.col(f"ov.{c}")).when(paired & ~took_gaia, F.col(f"hip.{c}")).otherwise(F.col(f"gaia.{c}")) for c in PAYLOAD}
     kept = left.filter("kind <> 'drop'")
     dense = [kept.select(source.alias("source"), source_id.alias("source_id"), *(v.alias(c) for c, v in body.items()))]
-    sidecar = kept.select(source.alias("source"), source_id.alias("source_id"), F.col("gaia_id").alias("gaia_source_id"), *(F.col(f"gaia.{c}").alias(c) for c in carried))
+    place = [body[c].alias(c) for c in ("ra_deg", "dec_deg")]
+    sidecar = kept.select(source.alias("source"), source_id.alias("source_id"), F.col("gaia_id").alias("gaia_source_id"), *place, *(F.col(f"gaia.{c}").alias(c) for c in carried))
 
     # second-catalogue rows that no Gaia row has settled
     settled = left.filter("hip_id IS NOT NULL AND kind <> 'alone'").select("hip_id").distinct()
     seen = left.filter("ov IS NOT NULL").select(F.col("ov.override_id").alias("override_id")).distinct()
     rest = h.join(settled, "hip_id", "left_anti").join(x, "hip_id", "left")
-    right = overridden(rest).withColumn("seen_id", F.col("ov.override_id")).join(seen.select(F.col("override_id").alias("seen_id"), F.lit(True).alias("seen")), "seen_id", "left")
+    right = checked(overridden(rest)).withColumn("seen_id", F.col("ov.override_id")).join(seen.select(F.col("override_id").alias("seen_id"), F.lit(True).alias("seen")), "seen_id", "left")
     right = right.filter(F.col("seen").isNull()).withColumn("kind", F.coalesce("ov.action", F.lit("alone"))).withColumn("h_score", score(F.col("hip.astrometry_quality")))
     dense.append(right.filter("kind = 'alone'").select(*_dense(F.lit("hip"), F.col("hip_id"), "hip")))
     dense.append(right.filter("kind = 'replace'").select(*_dense(F.col("ov.source"), F.col("ov.source_id"), "ov")))

@@ -1,11 +1,11 @@
-"""Audit of a merge: suspicious pairs and rows, with labels and counts."""
+"""Audit of a merge: suspicious pairs and rows, with labels and counts. Issue types, severities and reasons are fixed values."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lumenforge.functions.nulls import or_null, yes
+from lumenforge.functions.nulls import INF, or_null, yes
 from lumenforge.operators.common import conform, first_by
 from lumenforge.operators.merge import STANDARD_SOLUTION
 from lumenforge.operators.schemas import ISSUES
@@ -19,9 +19,16 @@ def override_keys(overrides: DataFrame) -> DataFrame:
     return overrides.filter(F.col("action").isin("replace", "drop", "add")).select(F.col("source").cast("string"), F.col("source_id").cast("string")).distinct()
 
 
-def _side(rows: DataFrame, name: str, more: dict[str, str]) -> DataFrame:
+def _number(c: str):
+    """The whole number that an id's text stands for."""
+    return F.regexp_replace(F.trim(c), r"\.0$", "").try_cast("long")
+
+
+def _side(rows: DataFrame, asked: DataFrame, name: str, more: dict[str, str]) -> DataFrame:
+    """Of a catalogue, the rows whose ids are asked for: they alone are put together by id."""
+    rows = rows.withColumn("_id", F.col("source_id").cast("long")).join(asked, "_id", "left_semi")
     cols = {"r_pc": "double", "mag_abs": "double", "astrometry_quality": "double", **more}
-    df = rows.select(F.col("source_id").cast("long").alias(f"{name}_num"), *(or_null(rows, c, t).alias(f"{name}_{c}") for c, t in cols.items()))
+    df = rows.select(F.col("_id").alias(f"{name}_num"), *(or_null(rows, c, t).alias(f"{name}_{c}") for c, t in cols.items()))
     return first_by(df, [f"{name}_num"], *(c for c in df.columns if c != f"{name}_num"))
 
 
@@ -29,16 +36,20 @@ def pair_issues(decisions: DataFrame, gaia: DataFrame, hip: DataFrame, keys: Dat
     """Scored pairs whose two distances disagree and whose winner is doubtful."""
     t = THRESHOLDS | (limits or {})
     d = conform(decisions, {c: k for c, k in decisions.dtypes}).filter("decision_type = 'score'")
-    d = d.withColumn("g_num", F.regexp_replace(F.trim("gaia_source_id"), r"\.0$", "").try_cast("long")).withColumn("h_num", F.regexp_replace(F.trim("hip_source_id"), r"\.0$", "").try_cast("long")).filter("g_num IS NOT NULL AND h_num IS NOT NULL")
-    g, h = _side(gaia, "g", {"ruwe": "double"}), _side(hip, "h", {"Sn": "int"})
-    # only the scored rows of the catalogues take part in the joins
+    d = d.withColumn("g_num", _number("gaia_source_id")).withColumn("h_num", _number("hip_source_id")).filter("g_num IS NOT NULL AND h_num IS NOT NULL")
+    g = _side(gaia, d.select(F.col("g_num").alias("_id")), "g", {"ruwe": "double"})
+    h = _side(hip, d.select(F.col("h_num").alias("_id")), "h", {"Sn": "int"})
     p = d.join(g, "g_num", "left").join(h, "h_num", "left")
-    covered = keys.withColumn("covered", F.lit(True))
-    p = p.join(covered.filter("source = 'gaia'").select(F.col("source_id").alias("gaia_source_id"), F.col("covered").alias("c_g")), "gaia_source_id", "left")
-    p = p.join(covered.filter("source = 'hip'").select(F.col("source_id").alias("hip_source_id"), F.col("covered").alias("c_h")), "hip_source_id", "left")
+    # covered is what an override names by the plain number
+    for source, number, mark in (("gaia", "g_num", "c_g"), ("hip", "h_num", "c_h")):
+        named = keys.filter(F.col("source") == source).select(F.col("source_id").alias("_key"), F.lit(True).alias(mark)).distinct()
+        p = p.join(named, F.col(number).cast("string") == F.col("_key"), "left").drop("_key")
     p = p.withColumn("g_score", F.coalesce("gaia_score", "g_astrometry_quality")).withColumn("h_score", F.coalesce("hip_score", "h_astrometry_quality"))
     p = p.withColumn("ruwe_", F.coalesce("gaia_ruwe", "g_ruwe")).withColumn("sn_", F.coalesce("hip_solution_type", "h_Sn"))
-    p = p.withColumn("ratio", F.try_divide(F.greatest("g_r_pc", "h_r_pc"), F.least("g_r_pc", "h_r_pc")))
+    # a distance of zero beside one that is not is infinitely far off
+    far, close = F.greatest("g_r_pc", "h_r_pc"), F.least("g_r_pc", "h_r_pc")
+    ratio = F.when((close == 0) & (far > 0), F.lit(INF)).otherwise(F.try_divide(far, close))
+    p = p.withColumn("ratio", F.when(F.col("g_r_pc").isNotNull() & F.col("h_r_pc").isNotNull(), ratio))
     p = p.withColumn("not_lowest", yes((F.col("g_score") < F.col("h_score")) & (F.col("winner_catalog") != "gaia")) | yes((F.col("h_score") < F.col("g_score")) & (F.col("winner_catalog") != "hip")))
     p = p.withColumn("high_ruwe", yes(F.col("ruwe_") > t["ruwe"])).withColumn("odd", yes(F.col("sn_") != STANDARD_SOLUTION)).withColumn("severe", yes(F.col("ratio") >= t["severe_ratio"]))
     doubtful = F.col("not_lowest") | (F.col("high_ruwe") & (F.col("odd") | F.col("severe")))
@@ -81,3 +92,17 @@ def quality_issues(decisions: DataFrame, gaia: DataFrame, hip: DataFrame, dense:
 
 def issue_counts(issues: DataFrame) -> DataFrame:
     return issues.groupBy("issue_type", "severity").agg(F.count("*").alias("n")).orderBy("issue_type", "severity")
+
+
+def audit_summary(issues: DataFrame, decisions: DataFrame, overrides: DataFrame) -> DataFrame:
+    """One row: scored and override decisions, distinct override targets, issues by kind, and maps of counts by type and severity."""
+    n = lambda condition, name: F.count_if(condition).alias(name)
+    kind = F.col("issue_type")
+    d = decisions.agg(n(F.col("decision_type") == "score", "score_decisions"), n(F.coalesce(F.col("decision_type") != "score", F.lit(True)), "override_decisions"))
+    o = override_keys(overrides).agg(F.count("*").alias("override_targets"))
+    i = issues.agg(n(kind == "matched_pair_conflict", "matched_pair_issues"), n(kind == "merged_row_extreme", "merged_row_issues"), F.count("*").alias("total_issues"))
+    out = d.join(o, F.lit(True)).join(i, F.lit(True))  # one row each
+    for column, name in (("issue_type", "issue_counts_by_type"), ("severity", "issue_counts_by_severity")):
+        counted = issues.groupBy(column).agg(F.count("*").alias("n"))
+        out = out.join(counted.agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct(column, "n")))).alias(name)), F.lit(True))
+    return out

@@ -9,18 +9,27 @@ from pyspark.sql import functions as F
 
 from lumenforge.functions import flags, photometry
 from lumenforge.functions.healpix import pixel
+from lumenforge.functions.nulls import or_null
 from lumenforge.operators.crossmatch import crossmatch_map
 from lumenforge.operators.gaia import CarryField, gaia_stage, tile_counts
 from lumenforge.operators.hip import hip_stage
 from lumenforge.operators.identifiers import identifier_rows, labels
-from lumenforge.operators.merge import Merged, merge
+from lumenforge.operators.merge import Merged, check_report, merge
 from lumenforge.operators.overrides import override_rows
-from lumenforge.operators.quality import issue_counts, quality_issues
+from lumenforge.operators.quality import audit_summary, issue_counts, quality_issues
 from lumenforge.operators.sidecars import derived
+from lumenforge.operators.source import DISTANCE_COLUMNS, PARAMETER_COLUMNS, SOURCE_COLUMNS, source_rows
 from lumenforge.plans.adapter import frame
-from lumenforge.sources.staging import staged
-
-CARRY = (CarryField("parallax_mas", "float64", "input", "parallax"), CarryField("ruwe_rounded", "int64", "input", "ruwe"), CarryField("bp_rp", "float64", "stage"), CarryField("absent", "string"))
+from lumenforge.sources.staging import scratch_path, staged
+from lumenforge.sources.tables import write_by_pixel, write_sidecars
+
+CARRY = (
+    CarryField("parallax_mas", "float64", "input", "parallax"), CarryField("ruwe_rounded", "int64", "input", "ruwe"), CarryField("bp_rp", "float64", "stage"), CarryField("absent", "string"),
+    CarryField("big", "int64", "input", "big"), CarryField("big_text", "int64", "input", "big_text"), CarryField("tenths", "uint64", "input", "tenths"), CarryField("whole", "uint64", "input", "big"),
+)
+#: Whole numbers beyond what a double holds, as such and as text, and numbers to be rounded up
+CARRIED = "SELECT *, source_id + 4611686018427387905 AS big, CAST(source_id + 4611686018427387905 AS STRING) AS big_text, CAST(source_id % 100 AS DOUBLE) + 0.7 AS tenths FROM gaia_raw"
+LIMITS = {"luminous_mag": -3.0, "extreme_mag": -8.0, "remote_pc": 2000.0}
 XMATCH = "SELECT {id} AS SOURCE_ID, CAST(hip_source_id AS STRING) AS original_ext_source_id, number_of_neighbours, angular_distance FROM xmatch"
 
 
@@ -59,13 +68,63 @@ def _identifiers(spark: SparkSession, sf: str) -> DataFrame:
 def _merged(spark: SparkSession, sf: str) -> Merged:
     carry = (CarryField("parallax_mas", "float64", "input", "parallax"), CarryField("bp_rp", "float64", "stage"))
     inputs = (_gaia(spark, sf, carry=carry), hip_stage(_hip_raw(spark, sf)), _pairs(spark, sf), _overrides(spark, sf))
-    return merge(*(staged(df, "stage") for df in inputs), validate=False)
+    return _inputs_merged(*(staged(df, "stage") for df in inputs))
+
+
+def _inputs_merged(*inputs: DataFrame) -> Merged:
+    return merge(*inputs, keep=lambda df: staged(df, "joined"))
 
 
 def _issues(spark: SparkSession, sf: str) -> DataFrame:
-    m = _merged(spark, sf)
-    rest = [staged(df, "stage") for df in (m.decisions, _gaia(spark, sf), hip_stage(_hip_raw(spark, sf)), m.dense, _overrides(spark, sf), labels(_identifiers(spark, sf)))]
-    return quality_issues(*rest, {"luminous_mag": -3.0, "extreme_mag": -8.0, "remote_pc": 2000.0})
+    gaia, hip, pairs, overrides = (staged(df, "stage") for df in (_gaia(spark, sf), hip_stage(_hip_raw(spark, sf)), _pairs(spark, sf), _overrides(spark, sf)))
+    m = _inputs_merged(gaia, hip, pairs, overrides)
+    return quality_issues(m.decisions, gaia, hip, m.dense, overrides, labels(_identifiers(spark, sf)), LIMITS)
+
+
+def _carried(spark: SparkSession, sf: str) -> DataFrame:
+    rows = gaia_stage(frame(spark, sf, CARRIED), carry=CARRY)
+    unsigned = [f.output for f in CARRY if f.dtype == "uint64"]  # decimals of 20 digits, here within a long
+    return rows.select("source_id", *(f.output for f in CARRY)).withColumns({c: F.col(c).cast("long") for c in unsigned})
+
+
+def _source_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """The archive's tables, cut out of the raw rows, joined as a download does, with fields by expression."""
+    raw = frame(spark, sf, "SELECT *, CASE WHEN source_id % 3 = 0 THEN 31 WHEN source_id % 3 = 1 THEN 95 ELSE 3 END AS astrometric_params_solved FROM gaia_raw")
+    source = raw.select(*SOURCE_COLUMNS, "astrometric_params_solved")
+    distances = raw.filter("source_id % 5 <> 0").select("source_id", *DISTANCE_COLUMNS)
+    parameters = raw.filter("source_id % 7 <> 0").select("source_id", *(or_null(raw, c, "double").alias(c) for c in PARAMETER_COLUMNS))
+    more = raw.filter("source_id % 2 = 0").select("source_id", (F.col("ruwe") * 2).alias("mass"))
+    fields = (CarryField("brightness", origin="query", expression="ap.ag_gspphot + g.phot_g_mean_mag"), CarryField("mass", origin="query", expression="aps.mass"))
+    out = source_rows(source, distances, parameters, more, fields, mag_limit=15.0)
+    return out.select("source_id", "ra", "r_med_geo", "mg_gspphot", "brightness", "mass")
+
+
+def _summary(spark: SparkSession, sf: str) -> DataFrame:
+    """The audit's summary, with its maps as text."""
+    gaia, hip, pairs, overrides = (staged(df, "stage") for df in (_gaia(spark, sf), hip_stage(_hip_raw(spark, sf)), _pairs(spark, sf), _overrides(spark, sf)))
+    m = _inputs_merged(gaia, hip, pairs, overrides)
+    issues = staged(quality_issues(m.decisions, gaia, hip, m.dense, overrides, None, LIMITS), "issues")
+    out = audit_summary(issues, m.decisions, overrides)
+    return out.withColumns({c: F.to_json(c) for c, t in out.dtypes if t.startswith("map")})
+
+
+def _pixel_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Dense rows and their derived tables written by pixel and read back: rows of each table and pixel."""
+    m, path = _merged(spark, sf), scratch_path(spark, "pixels")
+    write_by_pixel(m.dense, f"{path}/dense", rows_per_file=1_000)
+    names = write_sidecars(m.sidecar, path)
+    read = [spark.read.parquet(f"{path}/{name}").groupBy("healpix_pixel").agg(F.count("*").alias("n")).withColumn("table_name", F.lit(name)) for name in ("dense", *names)]
+    out = read[0]
+    for df in read[1:]:
+        out = out.unionByName(df)
+    return out
+
+
+def _report(spark: SparkSession, sf: str) -> DataFrame:
+    """The report, held against the rows that it counts."""
+    report = staged(_merged(spark, sf).report, "report")
+    check_report(report.first().asDict())
+    return report
 
 
 def _colours(spark: SparkSession, sf: str) -> DataFrame:
@@ -87,7 +146,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "gaia_stage": lambda s, d: rounded(_gaia(s, d)),
         "gaia_stage_limited": lambda s, d: rounded(_gaia(s, d, mag_limit=8.0)),
-        "gaia_carry": lambda s, d: rounded(_gaia(s, d, carry=CARRY).select("source_id", *(f"gaia_{f.name}" for f in CARRY))),
+        "gaia_carry": lambda s, d: rounded(_carried(s, d)),
+        "gaia_source_rows": lambda s, d: rounded(_source_rows(s, d)),
+        "quality_summary": _summary,
+        "pixel_files": _pixel_files,
         "hip_stage": lambda s, d: rounded(hip_stage(_hip_raw(s, d))),
         "hip_stage_first": lambda s, d: rounded(hip_stage(_hip_raw(s, d), limit=25)),
         "crossmatch_map": lambda s, d: rounded(_pairs(s, d)),
@@ -96,7 +158,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "labels": lambda s, d: labels(_identifiers(s, d)),
         "merge_dense": lambda s, d: rounded(_merged(s, d).dense),
         "merge_decisions": lambda s, d: rounded(_merged(s, d).decisions),
-        "merge_report": lambda s, d: _merged(s, d).report,
+        "merge_report": _report,
         "merge_sidecar": lambda s, d: rounded(derived(_merged(s, d).sidecar, {"gaia_parallax_mas": "parallax_mas", "gaia_bp_rp": "bp_rp", "gaia_no_such": "none"})),
         "quality_issues": lambda s, d: rounded(_issues(s, d)),
         "quality_counts": lambda s, d: issue_counts(_issues(s, d)),

@@ -191,7 +191,16 @@ def oracle_sql() -> dict[str, str]:
     return {
         "gaia_stage": _query(_GAIA, gaia),
         "gaia_stage_limited": _query(_GAIA, gaia + " WHERE phot_g_mean_mag <= 8.0"),
-        "gaia_carry": _query(_GAIA, "SELECT source_id, round(parallax, 6) + 0.0 AS gaia_parallax_mas, CAST(round_even(ruwe, 0) AS BIGINT) AS gaia_ruwe_rounded, round(bp_rp, 6) + 0.0 AS gaia_bp_rp, CAST(NULL AS VARCHAR) AS gaia_absent FROM gaia"),
+        "gaia_carry": _query(_GAIA, "SELECT source_id, round(parallax, 6) + 0.0 AS gaia_parallax_mas, CAST(round_even(ruwe, 0) AS BIGINT) AS gaia_ruwe_rounded, round(bp_rp, 6) + 0.0 AS gaia_bp_rp, CAST(NULL AS VARCHAR) AS gaia_absent, source_id + 4611686018427387905 AS gaia_big, source_id + 4611686018427387905 AS gaia_big_text, CAST(round_even(CAST(source_id % 100 AS DOUBLE) + 0.7, 0) AS BIGINT) AS gaia_tenths, source_id + 4611686018427387905 AS gaia_whole FROM gaia"),
+        "gaia_source_rows": f"""{ADAPTER}
+SELECT source_id, round(ra, 6) + 0.0 AS ra, round(r_med_geo, 6) + 0.0 AS r_med_geo, CASE WHEN source_id % 7 <> 0 THEN round(mg_gspphot, 6) + 0.0 END AS mg_gspphot,
+  CASE WHEN source_id % 7 <> 0 THEN round(ag_gspphot + phot_g_mean_mag, 6) + 0.0 END AS brightness, CASE WHEN source_id % 2 = 0 THEN round(ruwe * 2, 6) + 0.0 END AS mass
+FROM gaia_raw WHERE source_id % 3 <> 2 AND source_id % 5 <> 0 AND (r_med_photogeo IS NOT NULL OR r_med_geo IS NOT NULL) AND phot_g_mean_mag <= 15""",
+        "quality_summary": _query(all_merge + _IDENTIFIERS + _QUALITY, """SELECT (SELECT count(*) FROM decisions WHERE decision_type = 'score') AS score_decisions,
+  (SELECT count(*) FROM decisions WHERE decision_type <> 'score') AS override_decisions, (SELECT count(*) FROM keyed) AS override_targets,
+  count(*) FILTER (issue_type = 'matched_pair_conflict') AS matched_pair_issues, count(*) FILTER (issue_type = 'merged_row_extreme') AS merged_row_issues, count(*) AS total_issues,
+  (SELECT '{' || string_agg('"' || k || '":' || n, ',' ORDER BY k) || '}' FROM (SELECT issue_type AS k, count(*) AS n FROM issues GROUP BY 1)) AS issue_counts_by_type,
+  (SELECT '{' || string_agg('"' || k || '":' || n, ',' ORDER BY k) || '}' FROM (SELECT severity AS k, count(*) AS n FROM issues GROUP BY 1)) AS issue_counts_by_severity FROM issues"""),
         "hip_stage": _query(_HIP, hip),
         "hip_stage_first": _query(_HIP, hip + " ORDER BY source_id LIMIT 25"),
         "crossmatch_map": f"{ADAPTER}\nSELECT gaia_source_id, hip_source_id, 'gaia_hip_crossmatch' AS mapping_source, CAST(number_of_neighbours AS SMALLINT) AS number_of_neighbours, round(CAST(CAST(angular_distance AS FLOAT) AS DOUBLE), 6) + 0.0 AS angular_distance FROM xmatch",

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from lumenforge.functions.nulls import nan_to_null
 from lumenforge.operators.common import conform, require
 from lumenforge.operators.merge import with_pixel
+from lumenforge.operators.sidecars import PLACE, sidecar_tables
 
 
 def read_required(spark: SparkSession, path: str, columns, what: str = "table") -> DataFrame:
@@ -27,11 +28,24 @@ def write_table(df: DataFrame, path: str, mode: str = "errorifexists", partition
     (df.coalesce(partitions) if partitions else df).write.mode(mode).option("compression", "zstd").parquet(path)
 
 
-def write_by_pixel(df: DataFrame, path: str, order: int = 3, mode: str = "errorifexists", files_per_pixel: int = 1) -> None:
-    """One folder a pixel of (ra_deg, dec_deg). files_per_pixel salts crowded pixels over tasks."""
+def write_by_pixel(df: DataFrame, path: str, order: int = 3, mode: str = "errorifexists", rows_per_file: int = 5_000_000, without: tuple[str, ...] = ()) -> None:
+    """One folder a pixel of (ra_deg, dec_deg), in as many files as its rows ask for: a crowded pixel is dealt to several tasks.
+
+    What is broadcast is a count a pixel, 12 * 4^order rows at most. `without`: columns that only place a row.
+    """
     rows = with_pixel(df, order)
-    salt = F.pmod(F.xxhash64("source", "source_id"), F.lit(files_per_pixel))
-    rows.repartition("healpix_pixel", salt).write.mode(mode).option("compression", "zstd").partitionBy("healpix_pixel").parquet(path)
+    files = rows.groupBy("healpix_pixel").agg(F.ceil(F.count("*") / rows_per_file).alias("files"))
+    dealt = rows.join(F.broadcast(files), rows["healpix_pixel"].eqNullSafe(files["healpix_pixel"])).drop(files["healpix_pixel"])
+    dealt = dealt.withColumn("file", F.pmod(F.xxhash64("source", "source_id"), F.col("files")))
+    dealt.repartition("healpix_pixel", "file").drop("files", "file", *without).write.mode(mode).option("compression", "zstd").partitionBy("healpix_pixel").parquet(path)
+
+
+def write_sidecars(sidecar: DataFrame, path: str, order: int = 3, mode: str = "errorifexists", maps: dict[str, dict[str, str]] | None = None) -> list[str]:
+    """The tables of sidecar_tables() in folders of their names, each by pixel; returns the names."""
+    tables = sidecar_tables(sidecar, maps)
+    for name, df in tables.items():
+        write_by_pixel(df, f"{path.rstrip('/')}/{name}", order, mode, without=PLACE)
+    return list(tables)
 
 
 def write_report(report: DataFrame, path: str) -> dict:

@@ -7,12 +7,18 @@ import lzma
 import re
 import tomllib
 import xml.etree.ElementTree as ET
+from collections import Counter
 from io import BytesIO
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lumenforge.functions.ids import source_name
+from lumenforge.functions.ids import text as clean
+from lumenforge.operators.common import conform
 from lumenforge.operators.gaia import CARRY_TYPES, CarryField
+from lumenforge.operators.schemas import IDENTIFIERS
+from lumenforge.operators.source import ALIASES, aliases
 
 VOTABLE_SUFFIXES = (".vot", ".vot.gz", ".vot.xz")
 
@@ -23,13 +29,18 @@ def read_ecsv(spark: SparkSession, path: str, schema: str | None = None) -> Data
     return (reader.schema(schema) if schema else reader.option("inferSchema", True)).csv(path)
 
 
+def votable_files(spark: SparkSession, path: str) -> DataFrame:
+    """path and content of the VOTable files of a folder, told by their suffix whatever its case, in order of path."""
+    files = spark.read.format("binaryFile").load(path)
+    return files.filter(F.lower("path").rlike(r"\.vot(\.gz|\.xz)?$")).select("path", "content").orderBy("path")
+
+
 def read_votable(spark: SparkSession, path: str, columns: dict[str, str]) -> DataFrame:
     """Rows of VOTable files in TABLEDATA form (.vot, .vot.gz, .vot.xz): the named columns in lower case with their Spark types.
 
-    One task reads one file as a stream; empty cells are NULL.
+    One task reads one file and holds its bytes (Spark's limit is 2 GB a file) but never its whole tree; empty cells are NULL. A
+    file whose data are in another form is an error.
     """
-    files = spark.read.format("binaryFile").load(path)
-    files = files.filter(F.lower("path").rlike(r"\.vot(\.gz|\.xz)?$")).select("path", "content")
     schema = ", ".join(f"`{c}` string" for c in columns)
 
     def rows(batches):
@@ -38,22 +49,26 @@ def read_votable(spark: SparkSession, path: str, columns: dict[str, str]) -> Dat
         for batch in batches:
             for name, content in zip(batch["path"], batch["content"], strict=True):
                 stream = BytesIO(content)
-                stream = gzip.open(stream) if name.endswith(".gz") else lzma.open(stream) if name.endswith(".xz") else stream
-                fields, out = [], []
-                for _, node in ET.iterparse(stream):
+                stream = gzip.open(stream) if name.lower().endswith(".gz") else lzma.open(stream) if name.lower().endswith(".xz") else stream
+                fields, out, data = [], [], None
+                for event, node in ET.iterparse(stream, events=("start", "end")):
                     tag = node.tag.rpartition("}")[2]
-                    if tag == "FIELD":
-                        fields.append(node.get("name", "").lower())
+                    if tag in ("BINARY", "BINARY2", "FITS"):
+                        raise ValueError(f"{name}: data in the form {tag}, not TABLEDATA")
+                    if event == "start":
+                        data = node if tag == "TABLEDATA" else data
+                    elif tag == "FIELD":
+                        fields.append(node.get("name", "").strip().lower())
                     elif tag == "TR":
                         cells = dict(zip(fields, (d.text for d in node), strict=False))
-                        out.append([(cells.get(c) or None) for c in columns])
-                        node.clear()
+                        out.append([((cells.get(c) or "").strip() or None) for c in columns])
+                        data.clear()
                         if len(out) >= 50_000:
                             yield pd.DataFrame(out, columns=list(columns))
                             out = []
                 yield pd.DataFrame(out, columns=list(columns))
 
-    text = files.mapInPandas(rows, schema)
+    text = votable_files(spark, path).mapInPandas(rows, schema)
     return text.select(*(F.col(c).try_cast(t).alias(c) for c, t in columns.items()))
 
 
@@ -63,44 +78,107 @@ def output_name(name: str) -> str:
     return (stem if stem != name else name.rpartition(".")[0] or name) + ".parquet"
 
 
-def override_stars(documents: list[str]) -> list[dict]:
-    """Stars of YAML texts; each root is a mapping with a list `stars`."""
-    import yaml
+# What a drop must say, and the identifiers that a star may carry
+DROP_KEYS = ("override_id", "action", "source", "source_id", "override_reason", "override_policy_version")
+NUMBERS, NAMES = ("gaia_source_id", "hip_id", "hd", "flamsteed"), ("bayer", "constellation", "proper_name")
+_TEXT = ("override_id", "action", "source", "source_id", "override_reason", "override_policy_version")
+_NUMBER = ("ra_deg", "dec_deg", "r_pc", "x_icrs_pc", "y_icrs_pc", "z_icrs_pc", "mag_abs", "teff")
 
-    out = []
-    for text in documents:
-        root = yaml.safe_load(text)
-        if not isinstance(root, dict):
-            raise ValueError("an override file's root must be a mapping")
-        out += root.get("stars") or []
-    return out
 
+def override_stars(name: str, text: str) -> list[dict]:
+    """The stars of one YAML text, with its description as `file_description`. A file without content or `stars` has none."""
+    import yaml
 
-def read_overrides(spark: SparkSession, path: str) -> DataFrame:
-    """Raw override rows of the YAML files of a folder, in order of name."""
-    kinds = {"override_id": str, "action": str, "source": str, "source_id": str, "override_reason": str, "override_policy_version": str, "ra_deg": float, "dec_deg": float, "r_pc": float, "x_icrs_pc": float, "y_icrs_pc": float, "z_icrs_pc": float, "mag_abs": float, "teff": float}
-    schema = ", ".join(f"{k} {'string' if t is str else 'double'}" for k, t in kinds.items())
-    texts = spark.read.option("wholetext", True).text(path).select(F.col("_metadata.file_path").alias("path"), "value").filter(F.col("path").rlike(r"\.ya?ml$"))
+    root = yaml.safe_load(text)
+    if root is None:
+        return []
+    if not isinstance(root, dict):
+        raise ValueError(f"{name}: the root must be a mapping")
+    stars = root.get("stars")
+    stars = [] if stars is None else stars
+    if not isinstance(stars, list) or not all(isinstance(s, dict) for s in stars):
+        raise ValueError(f"{name}: `stars` must be a list of mappings")
+    return [s | {"file_description": root.get("description")} for s in stars]
+
+
+def checked_star(name: str, star: dict) -> dict:
+    """star, if it says what its action needs: a drop all of DROP_KEYS, others where the star is."""
+    dropped = star.get("action") == "drop"
+    needed = DROP_KEYS if dropped else ("ra_deg", "dec_deg", "r_pc")
+    if missing := [k for k in needed if star.get(k) is None]:
+        raise ValueError(f"{name}: {star.get('action')} {star.get('override_id')} lacks {', '.join(missing)}")
+    if not dropped and sum(star.get(k) is not None for k in ("x_icrs_pc", "y_icrs_pc", "z_icrs_pc")) in (1, 2):
+        raise ValueError(f"{name}: {star.get('override_id')}: x, y and z come together or not at all")
+    return star
+
+
+def _yaml_rows(spark: SparkSession, path: str, schema: str, made) -> DataFrame:
+    """made(file name, text) of each YAML file of a folder as rows, in order of file name and place."""
+    texts = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_name").alias("name"), "value").filter(F.lower("name").rlike(r"\.ya?ml$"))
 
     def rows(batches):
         import pandas as pd
 
         for batch in batches:
-            stars = override_stars(batch["value"].tolist())
-            yield pd.DataFrame([{k: None if s.get(k) is None else t(s[k]) for k, t in kinds.items()} for s in stars], columns=list(kinds))
-
-    return texts.mapInPandas(rows, schema)
-
-
-def field_set(text: str) -> tuple[CarryField, ...]:
-    """Carried columns from TOML: [[fields]] with name, dtype and, where not the input, origin and column."""
-    out = []
-    for f in tomllib.loads(text).get("fields", []):
-        if not re.fullmatch(r"[a-z][a-z0-9_]*", f.get("name", "")):
-            raise ValueError(f"field name {f.get('name')!r}")
-        if f.get("dtype", "float64") not in CARRY_TYPES:
-            raise ValueError(f"field {f['name']}: dtype {f['dtype']!r}")
-        out.append(CarryField(f["name"], f.get("dtype", "float64"), f.get("origin", "input"), f.get("column")))
-    if len({f.name for f in out}) < len(out):
-        raise ValueError("a field is named twice")
-    return tuple(out)
+            for name, text in zip(batch["name"], batch["value"], strict=True):
+                got = [{**r, "source_file": name, "nth": k} for k, r in enumerate(made(name, text))]
+                yield pd.DataFrame(got, columns=[c.split()[0] for c in schema.split(", ")])
+
+    return texts.mapInPandas(rows, schema).orderBy("source_file", "nth").drop("nth")
+
+
+def read_overrides(spark: SparkSession, path: str) -> DataFrame:
+    """Raw override rows of the YAML files of a folder, in order of file name, with source_file and file_description."""
+    schema = ", ".join([*(f"{c} string" for c in _TEXT), *(f"{c} double" for c in _NUMBER), "file_description string", "source_file string", "nth int"])
+
+    def made(name: str, text: str) -> list[dict]:
+        get = lambda s, c, kind: None if s.get(c) is None else kind(s[c])
+        return [{**{c: get(s, c, str) for c in (*_TEXT, "file_description")}, **{c: get(s, c, float) for c in _NUMBER}} for s in (checked_star(name, s) for s in override_stars(name, text))]
+
+    return _yaml_rows(spark, path, schema, made)
+
+
+def read_override_identifiers(spark: SparkSession, path: str) -> DataFrame:
+    """Identifier rows of the stars that carry a mapping `identifiers` and a source_id; what is no number, or empty, is NULL."""
+    schema = ", ".join(["source string", "source_id string", *(f"{c} string" for c in (*NUMBERS, *NAMES)), "source_file string", "nth int"])
+
+    def made(name: str, text: str) -> list[dict]:
+        stars = [s for s in override_stars(name, text) if isinstance(s.get("identifiers"), dict) and s["identifiers"] and s.get("source_id") is not None]
+        return [{"source": str(s.get("source", "")), "source_id": str(s["source_id"]), **{c: None if s["identifiers"].get(c) is None else str(s["identifiers"][c]) for c in (*NUMBERS, *NAMES)}} for s in stars]
+
+    rows = _yaml_rows(spark, path, schema, made).drop("source_file")
+    rows = rows.select(source_name(F.col("source")).alias("source"), F.trim("source_id").alias("source_id"), *(F.trim(c).try_cast("long").alias(c) for c in NUMBERS), *(clean(F.col(c)).alias(c) for c in NAMES))
+    return conform(rows, IDENTIFIERS)
+
+
+def field_set(text: str, name: str = "fields") -> tuple[CarryField, ...]:
+    """Carried columns from TOML, a table [[fields]] each: name, dtype and sidecar; then either an expression over the archive's
+    tables (aliases g, d, ap, aps), or source ("input" or "stage") and column."""
+    simple = re.compile(r"[a-z][a-z0-9_]*")
+    tables = tomllib.loads(text).get("fields")
+    if not isinstance(tables, list) or not tables:
+        raise ValueError(f"{name}: no [[fields]]")
+    out: dict[str, CarryField] = {}
+    for f in tables:
+        asked = {"name": None, "dtype": CARRY_TYPES, "sidecar": None} | ({} if "expression" in f else {"source": ("input", "stage"), "column": None})
+        for key, allowed in asked.items():
+            value = f.get(key)
+            if not isinstance(value, str) or (value not in allowed if allowed else not simple.fullmatch(value)):
+                raise ValueError(f"{name}: {key} {value!r}")
+        if f["name"].startswith("gaia_"):
+            raise ValueError(f"{name}: {f['name']} must not have the prefix of the output")
+        expression = f.get("expression")
+        if "expression" in f and (not isinstance(expression, str) or not expression.strip() or aliases(expression) - set(ALIASES)):
+            raise ValueError(f"{name}: {f['name']}: expression {expression!r}")
+        if f["name"] in out:
+            raise ValueError(f"{name}: {f['name']} is there twice")
+        out[f["name"]] = CarryField(f["name"], f["dtype"], "query" if expression else f["source"], None if expression else f["column"], expression and expression.strip(), f["sidecar"], f.get("unit"))
+    return tuple(out.values())
+
+
+def field_sets(texts: dict[str, str]) -> tuple[CarryField, ...]:
+    """The fields of several sets by name; a field may be in one of them only."""
+    fields = [f for name, text in texts.items() for f in field_set(text, name)]
+    if twice := sorted(n for n, k in Counter(f.name for f in fields).items() if k > 1):
+        raise ValueError(f"fields in two sets: {', '.join(twice)}")
+    return tuple(fields)
