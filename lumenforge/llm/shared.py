@@ -10,12 +10,25 @@ from lumenforge.sources.staging import removed, scratch_path, staged
 __all__ = ["input_partitions", "offsets_by_part", "removed", "scratch_path", "table", "written"]
 
 
+#: Bytes of rows that go to a Python worker at once. Spark's own 64 MB take several times that in both processes of a task.
+BATCH_BYTES = 8 << 20
+_BATCH_SETTING, _BATCH_DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", 64 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Sets BATCH_BYTES for the session, unless it has a choice of its own."""
+    if spark.conf.get(_BATCH_SETTING).rstrip("b") == str(_BATCH_DEFAULT):
+        spark.conf.set(_BATCH_SETTING, str(BATCH_BYTES))
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """df as a table in the shared folder, read again; removed() deletes it when its last reader is done."""
+    small_batches(df.sparkSession)
     return staged(df, name)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
