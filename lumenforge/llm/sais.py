@@ -1,9 +1,9 @@
-"""Suffix arrays by induced sorting and permuted common prefixes, in whole-array steps.
+"""Suffix arrays by induced sorting and permuted common prefixes.
 
 Suffixes are classified as smaller (S) or larger (L) than the next; the leftmost S suffixes (LMS) are sorted, recursively, by
-the names of their substrings; the others are induced from them bucket by bucket: within a bucket of one first symbol, L suffixes follow
-in waves, one for each repeat of the symbol, and each wave is one stable counting sort. The recursion's strings have too many
-symbols for buckets; there ranks are doubled instead, down to the depth asked for.
+the names of their substrings; the others are induced from them bucket by bucket. Where there are few symbols, the suffixes of a bucket
+follow in whole-array waves, one for each repeat of the symbol, and each wave is one stable counting sort. The recursion's strings have
+nearly as many symbols as places: there, and where a symbol repeats very often in a row, the same passes go place by place.
 """
 
 from __future__ import annotations
@@ -23,8 +23,50 @@ def _types(s: np.ndarray) -> np.ndarray:
     return smaller
 
 
+#: A bucket's wave costs as much as so many places one by one.
+WAVE_PLACES = 30
+
+
 def _induce(s: np.ndarray, smaller: np.ndarray, lms: np.ndarray, sigma: int) -> np.ndarray:
     """Suffix array from the LMS suffixes in order."""
+    edges = np.flatnonzero(np.concatenate([[True], s[1:] != s[:-1], [True]]))
+    waves = max(sigma, int(np.diff(edges).max()))
+    return _in_waves(s, smaller, lms, sigma) if waves * WAVE_PLACES < len(s) else _by_place(s, smaller, lms, sigma)
+
+
+def _by_place(s: np.ndarray, smaller: np.ndarray, lms: np.ndarray, sigma: int) -> np.ndarray:
+    """The induced order, one place after the other: work in proportion to the string, whatever its symbols."""
+    n = len(s)
+    counts = np.bincount(s, minlength=sigma)
+    ends = np.cumsum(counts)
+    text, small = s.tolist(), smaller.tolist()
+    sa = [-1] * n
+    tail = ends.tolist()
+    for i in reversed(lms.tolist()):
+        c = text[i]
+        tail[c] -= 1
+        sa[tail[c]] = i
+    head = (ends - counts).tolist()
+    c = text[n - 1]  # induced by the end of the string, which comes first
+    sa[head[c]] = n - 1
+    head[c] += 1
+    for k in range(n):
+        j = sa[k] - 1
+        if j >= 0 and not small[j]:
+            c = text[j]
+            sa[head[c]] = j
+            head[c] += 1
+    tail = ends.tolist()
+    for k in range(n - 1, -1, -1):
+        j = sa[k] - 1
+        if j >= 0 and small[j]:
+            c = text[j]
+            tail[c] -= 1
+            sa[tail[c]] = j
+    return np.array(sa, np.int64)
+
+
+def _in_waves(s: np.ndarray, smaller: np.ndarray, lms: np.ndarray, sigma: int) -> np.ndarray:
     n = len(s)
     counts = np.bincount(s, minlength=sigma)
     heads = np.cumsum(counts) - counts
@@ -93,31 +135,8 @@ def _induce(s: np.ndarray, smaller: np.ndarray, lms: np.ndarray, sigma: int) ->
     return sa
 
 
-def _doubled(names: np.ndarray, rounds: int) -> np.ndarray:
-    """Suffix order of a string of many symbols by doubling ranks, to 2^rounds symbols at most (or till all differ)."""
-    n = len(names)
-    rank, span = names.astype(np.int64) + 1, 1
-    order = np.argsort(rank, kind="stable")
-    for _ in range(rounds):
-        if span >= n:
-            break
-        ahead = np.zeros(n, np.int64)
-        ahead[:-span] = rank[span:]
-        key = rank * (n + 2) + ahead if rank.max() < (1 << 62) // (n + 2) else None
-        order = np.argsort(key, kind="stable") if key is not None else np.lexsort((ahead, rank))
-        new = np.ones(n, bool)
-        a, b = order[1:], order[:-1]
-        new[1:] = (rank[a] != rank[b]) | (ahead[a] != ahead[b])
-        rank = np.empty(n, np.int64)
-        rank[order] = np.cumsum(new)
-        span *= 2
-        if new.all():
-            break
-    return order
-
-
-def suffix_array(s: np.ndarray, depth: int | None = None, sigma: int = 256) -> np.ndarray:
-    """Order of all suffixes of the symbols s (below sigma); suffixes that agree in `depth` symbols may come in any order."""
+def suffix_array(s: np.ndarray, sigma: int = 256) -> np.ndarray:
+    """Order of all suffixes of the symbols s (whole numbers from 0, below sigma)."""
     n = len(s)
     if n < 2:
         return np.arange(n)
@@ -152,14 +171,7 @@ def suffix_array(s: np.ndarray, depth: int | None = None, sigma: int = 256) -> n
     name = np.empty(n, np.int64)
     name[order] = np.cumsum(differ) - 1
     names = name[lms]
-    if differ.all():
-        ranked = order
-    elif names.max() < 256:
-        ranked = lms[suffix_array(names.astype(np.uint8), depth)]
-    else:
-        # each name stands for two symbols at least
-        rounds = 64 if depth is None else int(np.ceil(np.log2(max(2, depth / 2)))) + 1
-        ranked = lms[_doubled(names, rounds)]
+    ranked = order if differ.all() else lms[suffix_array(names, int(names.max()) + 1)]
     return _induce(s, smaller, ranked, sigma)
 
 
@@ -175,7 +187,7 @@ def permuted_lcp(s: np.ndarray, sa: np.ndarray, cap: int) -> tuple[np.ndarray, n
     irreducible = (phi <= 0) | (place == 0)
     rest = np.flatnonzero(~irreducible)
     irreducible[rest] = s[rest - 1] != s[phi[rest] - 1]
-    # also where the left neighbour's predecessor is not this one's left neighbour, as below the depth of a partial order
+    # also where the left neighbour's predecessor is not this one's left neighbour
     follows = np.zeros(n, bool)
     follows[1:] = phi[1:] == phi[:-1] + 1
     start = np.flatnonzero((irreducible | ~follows) & (phi >= 0))

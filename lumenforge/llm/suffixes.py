@@ -9,8 +9,9 @@ contexts that differ, one of each goes to the anchor's shard. A shard's contexts
 sorting; permuted common prefixes of at least LENGTH bytes then mark the windows that start elsewhere too.
 
 Equal contexts are put together within each batch before they are shuffled, so text that a third of all rows share meets
-nowhere. An anchor with more than HOT different contexts is not sorted in one shard: its windows are matched by a 128-bit hash each,
-spread over all tasks. Texts are UTF-8 bytes; null is empty. Rows of equal doc_id and text are two occurrences. Empty
+nowhere. Contexts count as equal by two independent 64-bit hashes of their bytes, which are not compared. An anchor with more than
+HOT different contexts is not sorted in one shard: its windows are matched by the same two hashes each, spread over all tasks. Rows are told
+apart by a 64-bit hash of id and text. Texts are UTF-8 bytes; null is empty. Rows of equal doc_id and text are two occurrences. Empty
 tables give no rows; other columns are ignored.
 """
 
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 
 from lumenforge.llm.sais import permuted_lcp, suffix_array
 from lumenforge.llm.shared import input_partitions, table, written
-from lumenforge.llm.text import column, gathered, mix, powers, slices, text_bytes
+from lumenforge.llm.text import column, gathered, mix, prefix_sums, slices, text_bytes
 
 LENGTH = 200
 GRAM = 32
@@ -38,13 +39,11 @@ HELD = 1 << 18
 
 
 def contexts(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, ...]:
-    """(row, start in row, size, anchor hash, content hash) of each run of windows with one anchor."""
+    """(row, start in row, size, anchor hash, two content hashes) of each run of windows with one anchor."""
     n = len(data) - length + 1
     if n <= 0:
-        return tuple(np.zeros(0, np.int64) for _ in range(5))
-    power, inverse = powers(len(data) + 1)
-    total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[: len(data)], out=total[1:])
+        return tuple(np.zeros(0, np.int64) for _ in range(6))
+    total, inverse = prefix_sums(data)
     h = mix((total[gram:] - total[: len(data) - gram + 1]) * inverse[: len(data) - gram + 1])
     # hash in the upper bits, place in the lower: the least is also the leftmost
     bits = np.uint64(max(1, int(len(h) - 1).bit_length()))
@@ -69,13 +68,15 @@ def contexts(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, gram:
     stop[:-1] &= lead[1:] | ~ok[1:]
     end = np.flatnonzero(stop) + length
     content = mix((total[end] - total[start]) * inverse[start] + (end - start).astype(np.uint64))
+    total, inverse = prefix_sums(data, 1)
+    second = mix((total[end] - total[start]) * inverse[start])
     row = np.searchsorted(offsets, start, "right") - 1
-    return row, start - offsets[row], end - start, h[anchor[start]], content
+    return row, start - offsets[row], end - start, h[anchor[start]], content, second
 
 
-_PACKED = "bucket int, anchors binary, contents binary, uids binary, starts binary, sizes binary, many binary"
-_NAMES = ["bucket", "anchors", "contents", "uids", "starts", "sizes", "many"]
-_KINDS = dict(zip(_NAMES[1:], (np.uint64, np.uint64, np.int64, np.int64, np.int64, np.uint8), strict=True))
+_PACKED = "bucket int, anchors binary, contents binary, seconds binary, uids binary, starts binary, sizes binary, many binary"
+_NAMES = ["bucket", "anchors", "contents", "seconds", "uids", "starts", "sizes", "many"]
+_KINDS = dict(zip(_NAMES[1:], (np.uint64, np.uint64, np.uint64, np.int64, np.int64, np.int64, np.uint8), strict=True))
 
 
 def _anchored(buckets: int, length: int):
@@ -87,41 +88,41 @@ def _anchored(buckets: int, length: int):
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
         for batch in batches:
             for rows in slices(batch, "text"):
-                row, start, size, anchor, content = contexts(*text_bytes(column(rows, "text")), length)
-                yield anchor, content, column(rows, "uid").to_numpy()[row], start, size
+                row, start, size, anchor, content, second = contexts(*text_bytes(column(rows, "text")), length)
+                yield anchor, content, second, column(rows, "uid").to_numpy()[row], start, size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for anchor, content, uid, start, size in gathered(found(batches), HELD):
-            order = np.lexsort((content, anchor))
-            anchor, content, uid, start, size = (x[order] for x in (anchor, content, uid, start, size))
+        for anchor, content, second, uid, start, size in gathered(found(batches), HELD):
+            order = np.lexsort((second, content, anchor))
+            anchor, content, second, uid, start, size = (x[order] for x in (anchor, content, second, uid, start, size))
             lead = np.ones(len(anchor), bool)
-            lead[1:] = (anchor[1:] != anchor[:-1]) | (content[1:] != content[:-1])
+            lead[1:] = (anchor[1:] != anchor[:-1]) | (content[1:] != content[:-1]) | (second[1:] != second[:-1])
             count = np.diff(np.append(np.flatnonzero(lead), len(anchor)))
             many = (count > 1)[np.cumsum(lead) - 1] if len(anchor) else lead
             if many.any():
-                yield packed(-1, anchor[many], content[many], uid[many], start[many], size[many], many[many])
+                yield packed(-1, anchor[many], content[many], second[many], uid[many], start[many], size[many], many[many])
             where = ((anchor >> np.uint64(33)) % np.uint64(buckets)).astype(np.int64)
             at = np.flatnonzero(lead)
             at = at[np.argsort(where[at], kind="stable")]
             cuts = np.searchsorted(where[at], np.arange(buckets + 1))
             for b in np.flatnonzero(np.diff(cuts)):
                 some = at[cuts[b] : cuts[b + 1]]
-                yield packed(int(b), anchor[some], content[some], uid[some], start[some], size[some], many[some])
+                yield packed(int(b), anchor[some], content[some], second[some], uid[some], start[some], size[some], many[some])
 
     return run
 
 
 def _sorted_out(rows: pa.Table) -> pa.Table:
     """kind 0: spans that repeat as a whole; 1: one of each of an anchor's different contexts (2: of a hot anchor)."""
-    anchor, content, uid, start, size, many = (np.concatenate([np.frombuffer(x.as_buffer(), k) for x in rows[n]]) for n, k in _KINDS.items())
+    anchor, content, second, uid, start, size, many = (np.concatenate([np.frombuffer(x.as_buffer(), k) for x in rows[n]]) for n, k in _KINDS.items())
     kind = np.zeros(len(anchor), np.int8)
     if rows["bucket"][0].as_py() >= 0:
-        order = np.lexsort((content, anchor))
-        anchor, content, uid, start, size, many = (x[order] for x in (anchor, content, uid, start, size, many))
+        order = np.lexsort((second, content, anchor))
+        anchor, content, second, uid, start, size, many = (x[order] for x in (anchor, content, second, uid, start, size, many))
         new_anchor = np.ones(len(anchor), bool)
         new_anchor[1:] = anchor[1:] != anchor[:-1]
         lead = new_anchor.copy()
-        lead[1:] |= content[1:] != content[:-1]
+        lead[1:] |= (content[1:] != content[:-1]) | (second[1:] != second[:-1])
         group, of = np.cumsum(lead) - 1, np.cumsum(new_anchor) - 1
         repeats = (np.bincount(group) > 1)[group]
         classes = np.bincount(of[lead])[of]
@@ -165,7 +166,7 @@ def _matched(length: int):
         s = np.full(len(data) + len(sizes), 255, np.uint8)
         s[np.arange(len(data)) + np.repeat(np.arange(len(sizes)), sizes)] = data
         starts = offsets[:-1] + np.arange(len(sizes))
-        order = suffix_array(s, length)
+        order = suffix_array(s)
         prefix, before = permuted_lcp(s, order, length)
         left = np.repeat(starts + sizes, sizes + 1) - np.arange(len(s))  # bytes to the context's end
         good = np.flatnonzero((prefix >= length) & (left >= length))
@@ -187,15 +188,12 @@ def _hashed_windows(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = text_bytes(batch.column(2))
-            power, inverse = powers(len(data) + 1)
-            total = np.concatenate([[np.uint64(0)], np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[: len(data)], dtype=np.uint64)])
             n = np.diff(offsets) - length + 1
             owner = np.repeat(np.arange(len(n)), n)
             place = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
             at = offsets[owner] + place
-            one = (total[at + length] - total[at]) * inverse[at]
-            half = (total[at + length // 2] - total[at]) * inverse[at]
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(owner)), pa.array(batch.column(1).to_numpy()[owner] + place), pa.array(mix(one).astype(np.int64)), pa.array(mix(half).astype(np.int64))], ["uid", "start", "h1", "h2"])
+            one, two = ((total[at + length] - total[at]) * inverse[at] for total, inverse in (prefix_sums(data), prefix_sums(data, 1)))
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(owner)), pa.array(batch.column(1).to_numpy()[owner] + place), pa.array(mix(one).astype(np.int64)), pa.array(mix(two).astype(np.int64))], ["uid", "start", "h1", "h2"])
 
     return run
 

@@ -13,23 +13,23 @@ SPACE[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
-_BASE = 0x9E3779B97F4A7C15
-_INVERSE = pow(_BASE, -1, 1 << 64)
-_powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+#: Two bases of polynomial hashes, and a table of byte values for the second, so that the two are independent.
+_BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
+_powers = [[np.ones(1, np.uint64), np.ones(1, np.uint64)] for _ in _BASES]
 
 #: Text bytes worked on at once; just below a power of two, which the tables of powers are rounded up to.
 SLICE_BYTES = (1 << 20) - 64
 
 
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The first n powers of the hash base and of its inverse, modulo 2^64."""
-    if len(_powers[0]) < n:
+def powers(n: int, which: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """The first n powers of a hash base and of its inverse, modulo 2^64."""
+    if len(_powers[which][0]) < n:
         size = 1 << (n - 1).bit_length()
-        for k, base in enumerate((_BASE, _INVERSE)):
+        for k, base in enumerate((_BASES[which], pow(_BASES[which], -1, 1 << 64))):
             steps = np.full(size, base, np.uint64)
             steps[0] = 1
-            _powers[k] = np.multiply.accumulate(steps)
-    return _powers[0][:n], _powers[1][:n]
+            _powers[which][k] = np.multiply.accumulate(steps)
+    return _powers[which][0][:n], _powers[which][1][:n]
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -41,6 +41,9 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+_SECOND = mix(np.arange(1, 257, dtype=np.uint64))
+
+
 def column(batch: pa.RecordBatch, name: str) -> pa.Array:
     return batch.column(batch.schema.get_field_index(name))
 
@@ -97,12 +100,19 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """A 64-bit polynomial hash of each byte span."""
-    power, inverse = powers(len(data) + 1)
-    total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[: len(data)], out=total[1:])
+    total, inverse = prefix_sums(data)
     return mix((total[ends] - total[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
 
 
+def prefix_sums(data: np.ndarray, which: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """(sums, inverse): (sums[b] - sums[a]) * inverse[a] is a hash of the bytes from a to b; the two kinds are independent."""
+    power, inverse = powers(len(data) + 1, which)
+    values = _SECOND[data] if which else data.astype(np.uint64) + np.uint64(1)
+    total = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(values * power[: len(data)], out=total[1:])
+    return total, inverse
+
+
 def word_hashes(array: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(64-bit hash of every lower-cased word, first word of each row)."""
     data, offsets = text_bytes(array)

@@ -95,15 +95,35 @@ def test_join_of_odd_rows(spark, folder, odd):
     assert parity.op5_parity_join(spark, folder(documents=odd.slice(0, 0))).count() == 0
 
 
-@settings(max_examples=60, deadline=None)
-@given(st.lists(st.integers(0, 3), max_size=80), st.integers(1, 12))
-def test_suffix_order_and_prefixes(values, depth):
+@settings(max_examples=80, deadline=None)
+@given(st.lists(st.integers(0, 3), max_size=80), st.sampled_from([0, 10**9]))
+def test_suffix_order_and_prefixes(values, wave):
     s = np.array(values, np.uint8)
-    order = sais.suffix_array(s, depth)
+    kept, sais.WAVE_PLACES = sais.WAVE_PLACES, wave
+    try:
+        order = sais.suffix_array(s)
+    finally:
+        sais.WAVE_PLACES = kept
     body = bytes(values)
-    assert sorted(order.tolist()) == list(range(len(s)))
-    cut = [body[i : i + depth] for i in order.tolist()]
-    assert cut == sorted(cut)
+    assert order.tolist() == sorted(range(len(body)), key=lambda i: body[i:])
+    for cap in (1, 3, 100):
+        prefix, before = sais.permuted_lcp(s, order, cap)
+        for a, b in zip(order[1:].tolist(), order[:-1].tolist(), strict=True):
+            n = 0
+            while n < cap and max(a, b) + n < len(s) and s[a + n] == s[b + n]:
+                n += 1
+            assert (prefix[a], before[a]) == (n, b)
+
+
+def test_suffix_order_of_many_symbols_and_long_runs():
+    rng = np.random.default_rng(2)
+    for s in (rng.integers(0, 5_000, 20_000), np.zeros(30_000, np.int64), np.tile([3, 1, 2, 1], 5_000), np.repeat(rng.integers(0, 4, 300), 100), rng.integers(0, 4, 40_000)):
+        order = sais.suffix_array(s, 5_000)
+        rank = np.empty(len(s) + 1, np.int64)
+        rank[order], rank[-1] = np.arange(len(s)), -1
+        # suffixes are in order if their first symbols are, and where those agree the suffixes that follow are
+        a, b = order[:-1], order[1:]
+        assert (s[a] <= s[b]).all() and (rank[a + 1] < rank[b + 1])[s[a] == s[b]].all() and sorted(order.tolist()) == list(range(len(s)))
 
 
 def brute_removed(texts, length):
