@@ -7,7 +7,9 @@ Unlinked rows have no wish, and take part as the other half of such exchanges. T
 the rows that cut fewest links first, goes to the underfull ones until counts are at most one apart (law `rows`).
 
 A group of more rows than BLOCK_SHARE of a shard is linked in blocks of at most that size, dealt by hash, so a third of all rows
-being one text neither meets in one task nor overfills a shard. What reaches the driver are tables of shards by shards.
+being one text neither overfills a shard nor is bound to one. Joins on groups and blocks never gather a large one either: those
+of more than one in HEAVY rows, of which there are at most HEAVY, are broadcast to the rows where they lie, and only rows of the
+others are shuffled. What reaches the driver are tables of shards by shards.
 
 Null texts have size 1 and are unlinked; so are rows whose text nobody else has. Rows with null or repeated doc_id are placed each on its
 own. Empty tables give no rows; other columns are ignored.
@@ -18,12 +20,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lumenforge.llm.shared import input_partitions, offsets_by_part, table, written
+from lumenforge.llm.shared import input_partitions, offsets_by_part, removed, table, written
 
 SHARDS = 8
 ROUNDS = 3
 #: A group's rows are linked in blocks of at most this share of a shard.
 BLOCK_SHARE = 0.5
+#: A group or block of more rows than this part of all is joined by broadcast; there can be no more of them than this.
+HEAVY = 4_096
 
 
 def _by_shard(shards: int, values: dict[int, int], key) -> F.Column:
@@ -32,6 +36,13 @@ def _by_shard(shards: int, values: dict[int, int], key) -> F.Column:
     return F.create_map(*items)[key]
 
 
+def met(rows: DataFrame, facts: DataFrame, keys: list[str], size: str, total: int) -> DataFrame:
+    """rows joined with facts, which has one row a key, of `size` rows among the `total`."""
+    heavy = F.broadcast(facts.filter(F.col(size) * HEAVY > total))
+    rest = rows.join(F.broadcast(heavy.select(*keys)), keys, "left_anti").join(facts.filter(F.col(size) * HEAVY <= total), keys)
+    return rows.join(heavy, keys).unionByName(rest)
+
+
 def linked_rows(docs: DataFrame) -> DataFrame:
     """doc_id, uid, size, text_crc32, and the link: a 128-bit hash of the text, null for null texts."""
     body = F.col("text").cast("binary")
@@ -51,13 +62,17 @@ def propagated(rows: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> D
     capacity = -(-n // shards)
     groups = rows.filter(F.col("link").isNotNull()).groupBy("link").agg(F.count("*").alias("n")).filter("n > 1").withColumn("blocks", F.ceil(F.col("n") / block_rows))
     block = F.xxhash64("link", F.pmod(F.xxhash64("uid", F.lit(1)), F.col("blocks")))
-    placed = rows.join(groups, "link", "left").withColumn("block", F.when(F.col("blocks").isNotNull(), block)).withColumn("shard", F.pmod(F.xxhash64("uid"), F.lit(shards)).cast("int")).drop("n", "blocks", "link")
-    placed = written(placed, "placed")
+    groups = written(groups, "groups")
+    shared = met(rows.filter(F.col("link").isNotNull()), groups, ["link"], "n", n).select(*rows.columns, block.alias("block"))
+    alone = rows.join(F.broadcast(groups.filter(F.col("n") * HEAVY > n).select("link")), "link", "left_anti").join(groups.select("link"), "link", "left_anti")
+    placed = shared.unionByName(alone.select(*rows.columns, F.lit(None).cast("long").alias("block")))
+    placed = written(placed.withColumn("shard", F.pmod(F.xxhash64("uid"), F.lit(shards)).cast("int")).drop("link"), "placed")
+    removed(groups)
     for turn in range(rounds):
         by_block = placed.filter(F.col("block").isNotNull()).groupBy("block", "shard").agg(F.count("*").alias("n"))
         # the shard with most of a block's rows, ties to one dealt by the block's hash so that small blocks don't all go to shard 0
-        wish = by_block.groupBy("block").agg(F.max_by("shard", F.struct("n", F.pmod(F.xxhash64("block", "shard"), F.lit(1 << 30)))).alias("want"))
-        linked = placed.filter(F.col("block").isNotNull()).join(wish, "block").select(*placed.columns, "want")
+        wish = by_block.groupBy("block").agg(F.max_by("shard", F.struct("n", F.pmod(F.xxhash64("block", "shard"), F.lit(1 << 30)))).alias("want"), F.sum("n").alias("n"))
+        linked = met(placed.filter(F.col("block").isNotNull()), wish, ["block"], "n", n).select(*placed.columns, "want")
         wished = linked.unionByName(placed.filter(F.col("block").isNull()).withColumn("want", F.col("shard")))
         flows = {(r["shard"], r["want"]): (r["n"], r["free"]) for r in wished.groupBy("shard", "want").agg(F.count("*").alias("n"), F.count_if(F.col("block").isNull()).alias("free")).collect()}
         held = {s: sum(c for (a, _), (c, _) in flows.items() if a == s) for s in range(shards)}
@@ -70,10 +85,12 @@ def propagated(rows: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> D
             room = max(0, capacity - held[b]) + out + spare[b]
             share[b] = 1.0 if into <= room else room / into
         lucky = F.pmod(F.xxhash64("uid", F.lit(turn)), F.lit(1_000_000)) < _by_shard(shards, {b: int(1_000_000 * x) for b, x in share.items()}, F.col("want"))
+        last = placed
         placed = written(wished.withColumn("shard", F.when(lucky, F.col("want")).otherwise(F.col("shard"))).drop("want"), "placed")
+        removed(last)
     # what a row's leaving would cut: its block's rows beside it; the rest of the block stays
     together = placed.filter(F.col("block").isNotNull()).groupBy("block", "shard").agg((F.count("*") - 1).alias("loss"))
-    linked = placed.filter(F.col("block").isNotNull()).join(together, ["block", "shard"]).select(*placed.columns, "loss")
+    linked = met(placed.filter(F.col("block").isNotNull()), together, ["block", "shard"], "loss", n).select(*placed.columns, "loss")
     return linked.unionByName(placed.filter(F.col("block").isNull()).withColumn("loss", F.lit(0).cast("long")))
 
 
