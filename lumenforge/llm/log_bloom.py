@@ -35,7 +35,7 @@ BASE = 1.6
 #: The back-off weight of a context seen c times is MU * c^GAMMA: as Heaps' law has it, its distinct followers grow so.
 MU, GAMMA = 4.0, 0.8
 PROBES = 4
-BITS_PER_ENTRY = 8
+BITS_PER_ENTRY = 10
 SEGMENT_BYTES = 192 << 20
 #: Tallies of a task are handed on when they hold so many n-grams.
 TALLY = 4_000_000
