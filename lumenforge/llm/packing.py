@@ -4,8 +4,12 @@ Texts become ids with an end id; only texts of more than `capacity` tokens are c
 are sequences of their own. The others are dealt at random to groups of about GROUP_PIECES, and each group is packed best fit in
 decreasing order, then improved: documents move, or are exchanged one for one or two for one, between underfull bins
 wherever that raises the sum of squared fills, and bins that empty are closed. Bins still underfull are opened again and
-packed with those of other groups, round after round, until one group holds what is left. A group is of bounded size, so any number of
-documents packs without a task that holds them all.
+packed with those of other groups, round after round, until one group holds what is left or a round leaves more than STALL of the pieces that
+it opened in underfull bins. A group is of bounded size, so any number of documents packs without a task that holds them all.
+
+The search is a heuristic with stated bounds: PASSES passes, in which the emptier half of the underfull bins gives, and each item is
+offered in exchange to the PARTNERS fullest other underfull bins. They bound the work on a group, not what is packed: every piece has a
+place after best fit alone. `sequence_report` says how many sequences came of it and how many the tokens need at least.
 
 Null texts are empty documents (only the end id). Nothing is dropped: rows with a null or repeated doc_id are packed each on its own.
 An empty table gives no sequences. Other columns are ignored.
@@ -33,6 +37,10 @@ GROUP_PIECES = 20_000
 FULL_SHARE = 0.999
 #: Passes of the local search over a group's underfull bins.
 PASSES = 4
+#: Bins that an item is offered to in exchange.
+PARTNERS = 32
+#: A round that leaves more than this part of its pieces open has nothing left to gain.
+STALL = 0.9
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, uid long"
 
@@ -134,7 +142,7 @@ class Bins:
     def _exchange(self, frees: list[tuple[int, int]], donor: int, item: int) -> bool:
         """One for one, or one for two: the exchange that leaves the fuller bin fullest, among the fuller bins nearest in size."""
         sizes, best = self.sizes, None
-        for free, other in frees[:32]:
+        for free, other in frees[:PARTNERS]:
             if other == donor or free > self.free[donor]:
                 continue
             own = self.items[other]
@@ -201,8 +209,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, group_pieces: int = GROUP_
         dealt = rest.withColumn("group", F.pmod(F.xxhash64("uid", F.lit(turn)), F.lit(groups)))
         bins = written(dealt.groupBy("group").applyInPandas(_pack(capacity), "uid long, sequence long, offset long, fill long"), "bins").withColumn("open", F.col("fill") < int(FULL_SHARE * capacity))
         again = bins.filter("open").count() if groups > 1 else 0
-        # a round that opens no fewer pieces than the one before has nothing left to gain
-        if not again or (size is not None and again >= 0.9 * size):
+        if not again or (size is not None and again >= STALL * size):
             done.append(bins.select("uid", "sequence", "offset"))
             break
         done.append(bins.filter(~F.col("open")).select("uid", "sequence", "offset"))
@@ -213,6 +220,12 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, group_pieces: int = GROUP_
     return pieces.join(out, "uid").withColumnRenamed("sequence", "sequence_id")
 
 
+def sequence_report(packed: DataFrame, capacity: int = CAPACITY) -> DataFrame:
+    """One row: pieces, tokens, sequences, and the fewest sequences that so many tokens could take."""
+    out = packed.agg(F.count("*").alias("pieces"), F.coalesce(F.sum("length"), F.lit(0)).alias("tokens"), F.count_distinct("sequence_id").alias("sequences"))
+    return out.withColumn("least", F.ceil(F.col("tokens") / capacity))
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
