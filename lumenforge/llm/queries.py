@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import importlib
 
+from lumenforge.llm import sql
+
 _WHERE = {
     "op1_log_bloom_scoring": "log_bloom",
     "op2_multiprobe_ann": "multiprobe",
@@ -27,4 +29,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op5_parity_join": sql.PARITY_JOIN, "op6_suffix_dedup": sql.SUFFIX_DEDUP}
