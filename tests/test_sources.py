@@ -206,3 +206,14 @@ def test_stage_on_a_stream(spark, tmp_path):
     for _ in range(2):  # nothing is written twice
         stream_gaia(spark, at["in"], raw.schema, at["out"], at["checkpoint"]).awaitTermination()
     assert spark.read.parquet(at["out"]).count() == 200
+
+
+def test_names_of_stars(spark):
+    from lumenforge.functions import ids
+
+    codes = [("alf", "Cas", "alpha Cas"), ("kap01", "Cyg", "kappa1 Cyg"), ("mu.", "", "mu"), ("pi.06", None, "pi6"), ("A.", "Cas", "A Cas"), ("", "Cas", None), ("...", "Cas", None), ("zz9", "Cas", "zz Cas"), ("12a", " Ori ", "12a Ori"), (None, "Cas", None), ("ksi..", "Cas", "xi Cas")]
+    got = spark.createDataFrame([c[:2] for c in codes], "code string, cst string").select(ids.bayer(F.col("code"), F.col("cst")).alias("b")).collect()
+    assert [r["b"] for r in got] == [c[2] for c in codes]
+    names = [("Vega; other (x)", "Vega"), (" Deneb (see HD2)", "Deneb"), ("(none)", None), ("", None), (None, None), ("a\nb (c)", "a\nb")]
+    got = spark.createDataFrame([n[:1] for n in names], "n string").select(ids.proper_name(F.col("n")).alias("p")).collect()
+    assert [r["p"] for r in got] == [n[1] for n in names]
