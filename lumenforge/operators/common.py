@@ -30,8 +30,8 @@ def fail_if(df: DataFrame, message) -> None:
         raise ValueError(message(bad[0]) if callable(message) else message)
 
 
-def first_by(df: DataFrame, keys: list[str], *order) -> DataFrame:
-    """The first row of each key: a partial aggregate, so a hot key is not gathered."""
+def first_by(df: DataFrame, keys: list[str], *order, last: bool = False) -> DataFrame:
+    """The first row of each key, or the last: a partial aggregate, so a hot key is not gathered."""
     rest = [c for c in df.columns if c not in keys]
-    best = df.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.struct(*order)).alias("_row"))
+    best = df.groupBy(*keys).agg((F.max_by if last else F.min_by)(F.struct(*rest), F.struct(*order)).alias("_row"))
     return best.select(*keys, *(F.col("_row")[c].alias(c) for c in rest)).select(*df.columns)

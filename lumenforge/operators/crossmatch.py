@@ -15,8 +15,9 @@ MAPPING_SOURCE = "gaia_hip_crossmatch"
 
 def crossmatch_map(raw: DataFrame, mapping_source: str = MAPPING_SOURCE, order: str | None = None) -> DataFrame:
     """gaia_source_id, hip_source_id, mapping_source, number_of_neighbours, angular_distance from raw source_id and
-    original_ext_source_id. Repeated pairs keep the first by `order` (or by their other columns)."""
+    original_ext_source_id. Repeated pairs keep the first by `order` or the column input_order (without either, by their other columns)."""
     df = lower_names(raw)
+    order = order or ("input_order" if "input_order" in df.columns else None)
     if not {"source_id", "original_ext_source_id"} <= set(df.columns):
         return conform(df.limit(0), CROSSMATCH)
     pairs = df.select(

@@ -18,8 +18,9 @@ REQUIRED = ("HIP", "RArad", "DErad", "Plx", "e_Plx", "pmRA", "pmDE", "Hpmag", "B
 EPOCH = 1991.25
 
 
-def hip_stage(raw: DataFrame, limit: int | None = None, order: str = "source_id", log_g: bool = False) -> DataFrame:
-    """Dense rows with Sn and Hpmag; rows without a finite distance go. `limit` keeps the first rows by `order`. The catalogue
+def hip_stage(raw: DataFrame, limit: int | None = None, order: str | None = None, log_g: bool = False) -> DataFrame:
+    """Dense rows with Sn and Hpmag; rows without a finite distance go. `limit` keeps the first rows by `order`: the
+    column input_order where the input has one (it goes on to the output), else source_id. The catalogue
     knows no surface gravity: with `log_g` there is a column of that name, all NULL."""
     df = require(raw, REQUIRED, "HIP catalogue").withColumnRenamed("B-V", "bv")
     n = lambda name: number(df, name)
@@ -34,7 +35,9 @@ def hip_stage(raw: DataFrame, limit: int | None = None, order: str = "source_id"
         F.lit("hip").alias("source"), positive_int(F.col("HIP")).alias("source_id"), *(F.col(f"_p.{v}").alias(k) for k, v in place.items()),
         P.absolute_magnitude(n("Hpmag"), distance).alias("mag_abs"), F.coalesce(teff, F.lit(P.DEFAULT_TEFF)).alias("teff"), flags.alias("quality_flags"),
         quality.alias("astrometry_quality"), (F.lit(P.MAG_ERROR) * quality).alias("photometry_quality"), or_null(df, "Sn", "int").alias("Sn"), n("Hpmag").alias("Hpmag"),
+        *([F.col("input_order")] if "input_order" in df.columns else []),
     )
     out = out.withColumn("log_g", P.logg_cascade()) if log_g else out
     assert out.columns[: len(DENSE)] == list(DENSE)
-    return out if limit is None else out.orderBy(order).limit(limit)
+    by = order or ("input_order" if "input_order" in out.columns else "source_id")
+    return out if limit is None else out.orderBy(by).limit(limit)

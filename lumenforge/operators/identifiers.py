@@ -11,10 +11,11 @@ from lumenforge.operators.common import conform, first_by
 from lumenforge.operators.schemas import IDENTIFIERS
 
 
-def identifier_rows(hip_hd: DataFrame, catalogue: DataFrame, names: DataFrame, pairs: DataFrame | None = None, overrides: DataFrame | None = None, order: str | None = None) -> DataFrame:
+def identifier_rows(hip_hd: DataFrame, catalogue: DataFrame, names: DataFrame, pairs: DataFrame | None = None, overrides: DataFrame | None = None, order: str | None = "input_order") -> DataFrame:
     """hip_hd (HIP, HD), catalogue (HIP, HD, Bayer, Fl, Cst), names (HD, Name), pairs (crossmatch), overrides (identifier rows).
 
-    Repeated keys keep their first row by the column `order` where given, else by their values. Override rows replace a catalogue
+    Repeated keys keep their first row by the column `order` where a table has it, else by their values; of a star's links the last
+    counts, or the greatest. Override rows replace a catalogue
     row of the same source and source_id as a whole.
     """
     hip_hd, catalogue, names = (df.toDF(*(c.strip() for c in df.columns)) for df in (hip_hd, catalogue, names))
@@ -33,8 +34,8 @@ def identifier_rows(hip_hd: DataFrame, catalogue: DataFrame, names: DataFrame, p
     out = stars.join(main, "hip_id", "full").withColumn("hd", F.coalesce("hd_main", "hd")).drop("hd_main").join(proper, "hd", "left")
     out = out.filter("bayer IS NOT NULL OR proper_name IS NOT NULL").withColumn("source", F.lit("hip")).withColumn("source_id", F.col("hip_id").cast("string"))
     if pairs is not None:
-        links = pairs.select(F.col("hip_source_id").cast("long").alias("hip_id"), F.col("gaia_source_id").cast("long").alias("gaia_source_id")).filter("hip_id IS NOT NULL AND gaia_source_id IS NOT NULL")
-        out = out.join(links.groupBy("hip_id").agg(F.max("gaia_source_id").alias("gaia_source_id")), "hip_id", "left")
+        links = pairs.select(F.col("hip_source_id").cast("long").alias("hip_id"), F.col("gaia_source_id").cast("long").alias("gaia_source_id"), at(pairs).alias("_at")).filter("hip_id IS NOT NULL AND gaia_source_id IS NOT NULL")
+        out = out.join(first_by(links, ["hip_id"], "_at", "gaia_source_id", last=True).drop("_at"), "hip_id", "left")
     out = conform(out, IDENTIFIERS)
     if overrides is not None:
         new = conform(overrides, IDENTIFIERS)

@@ -47,20 +47,22 @@ def winner(neighbours: Column, solution: Column, g: Column, gaia_mag: Column, ga
     return out.otherwise(pick("gaia", "gaia_margin"))
 
 
-def _payload(df: DataFrame, name: str, more: dict[str, str]) -> DataFrame:
+def _payload(df: DataFrame, name: str, more: dict[str, str], beside: list[Column] | tuple = ()) -> DataFrame:
     """id and a struct of the dense payload and some more columns."""
     cols = [or_null(df, c, DENSE[c]).alias(c) for c in PAYLOAD] + [or_null(df, c, t).alias(c) for c, t in more.items()]
-    return df.select(F.col("source_id").cast("long").alias(f"{name}_id"), F.struct(*cols).alias(name))
+    return df.select(F.col("source_id").cast("long").alias(f"{name}_id"), F.struct(*cols).alias(name), *beside)
 
 
 def _dense(source: Column, source_id: Column, payload: str) -> list[Column]:
     return [source.alias("source"), source_id.cast("string").alias("source_id"), *(F.col(f"{payload}.{c}").alias(c) for c in PAYLOAD)]
 
 
-def merge(gaia: DataFrame, hip: DataFrame, pairs: DataFrame, overrides: DataFrame, validate: bool = True, keep: Callable[[DataFrame], DataFrame] | None = None) -> Merged:
+def merge(gaia: DataFrame, hip: DataFrame, pairs: DataFrame, overrides: DataFrame, validate: bool = True, keep: Callable[[DataFrame], DataFrame] | None = None, order: str = "input_order") -> Merged:
     """gaia, hip: staged rows; pairs: crossmatch; overrides: override rows. gaia ids are unique.
 
     keep: makes a table of the joined rows, which all outputs read; without it each output joins anew.
+    order: a column of hip and pairs that says where a row came (see with_input_order()); of repeated rows the last wins by it.
+    Where there is none, the one of the least values.
     """
     for df, what in ((gaia, "gaia rows"), (hip, "hip rows")):
         require(df, DENSE, what)
@@ -71,10 +73,12 @@ def merge(gaia: DataFrame, hip: DataFrame, pairs: DataFrame, overrides: DataFram
         fail_if(gaia.groupBy("source_id").count().filter("count > 1"), lambda r: f"gaia row {r['source_id']} is repeated")
     targets, adds = split_overrides(overrides)
     g = _payload(gaia, "gaia", {"ruwe": "double", "phot_g_mean_mag": "double", **carried})
-    h = first_by(_payload(hip, "hip", {"Sn": "int", "Hpmag": "double"}), ["hip_id"], F.struct("hip"))
+    at = lambda df: [F.col(order).alias("_at")] if order in df.columns else []
+    h = _payload(hip, "hip", {"Sn": "int", "Hpmag": "double"}, at(hip))
+    h = first_by(h, ["hip_id"], "_at" if "_at" in h.columns else "hip", last="_at" in h.columns).select("hip_id", "hip")
     aux = {"mapping_source": "string", "number_of_neighbours": "int", "angular_distance": "double"}
-    x = pairs.select(F.col("gaia_source_id").cast("long").alias("gaia_id"), F.col("hip_source_id").cast("long").alias("hip_id"), *(or_null(pairs, c, t).alias(c) for c, t in aux.items()))
-    x = first_by(x, ["gaia_id", "hip_id"], *aux)
+    x = pairs.select(F.col("gaia_source_id").cast("long").alias("gaia_id"), F.col("hip_source_id").cast("long").alias("hip_id"), *(or_null(pairs, c, t).alias(c) for c, t in aux.items()), *at(pairs))
+    x = first_by(x, ["gaia_id", "hip_id"], *(["_at"] if "_at" in x.columns else aux), last="_at" in x.columns).select("gaia_id", "hip_id", *aux)
     ov = targets.select("source", "key", F.struct("override_id", "action", "override_reason", "override_policy_version", "source", "source_id", "key", *PAYLOAD).alias("ov"))
     by_gaia = ov.filter("source = 'gaia'").select(F.col("key").cast("long").alias("gaia_id"), F.col("ov").alias("ov_g"))
     by_hip = ov.filter("source = 'hip'").select(F.col("key").cast("long").alias("hip_id"), F.col("ov").alias("ov_h"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,6 +24,15 @@ def read_lenient(spark: SparkSession, path: str, schema: dict[str, str]) -> Data
     return conform(nan_to_null(spark.read.option("mergeSchema", True).parquet(path)), schema)
 
 
+def with_input_order(df: DataFrame, name: str = "input_order") -> DataFrame:
+    """df, straight from files, with a column that sorts its rows as they lie there: file by file and row by row in Parquet; in text
+    files, which know no row numbers, by partition and place in it."""
+    try:
+        return df.withColumn(name, F.struct(F.col("_metadata.file_path"), F.col("_metadata.row_index")))
+    except AnalysisException:
+        return df.withColumn(name, F.monotonically_increasing_id())
+
+
 def write_table(df: DataFrame, path: str, mode: str = "errorifexists", partitions: int | None = None) -> None:
     """mode: errorifexists, overwrite, or ignore (keep what is there). partitions: files, for small tables."""
     (df.coalesce(partitions) if partitions else df).write.mode(mode).option("compression", "zstd").parquet(path)

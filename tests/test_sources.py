@@ -217,3 +217,33 @@ def test_names_of_stars(spark):
     names = [("Vega; other (x)", "Vega"), (" Deneb (see HD2)", "Deneb"), ("(none)", None), ("", None), (None, None), ("a\nb (c)", "a\nb")]
     got = spark.createDataFrame([n[:1] for n in names], "n string").select(ids.proper_name(F.col("n")).alias("p")).collect()
     assert [r["p"] for r in got] == [n[1] for n in names]
+
+
+def test_repeated_rows_go_by_their_place_in_the_input(spark, tmp_path):
+    from lumenforge.operators.crossmatch import crossmatch_map
+    from lumenforge.operators.identifiers import identifier_rows
+    from lumenforge.sources.tables import with_input_order
+
+    at = lambda rows, schema, name: with_input_order(_read_back(spark, tmp_path, rows, schema, name))
+    raw = at([(5, 1, 9, 0.9), (5, 1, 1, 0.1), (4, 2, 1, 0.2)], "source_id long, original_ext_source_id long, number_of_neighbours int, angular_distance double", "xm")
+    assert [(r["gaia_source_id"], r["number_of_neighbours"]) for r in crossmatch_map(raw).collect()] == [(4, 1), (5, 9)]
+    names = at([(7, "Second Name"), (7, "A Name")], "HD long, Name string", "names")
+    hip_hd = at([(1, 7), (1, 3)], "HIP long, HD long", "hd")
+    stars = at([(1, 9, "zet", 1, "Ori"), (1, 9, "alf", 1, "Ori")], "HIP long, HD long, Bayer string, Fl int, Cst string", "stars")
+    links = at([(80, 1), (20, 1)], "gaia_source_id long, hip_source_id long", "links")
+    row = identifier_rows(hip_hd, stars, names, links).first()
+    assert (row["hd"], row["proper_name"], row["bayer"], row["gaia_source_id"]) == (7, "Second Name", "zeta Ori", 20)
+    gaia, hip = _inputs(spark)
+    one = hip.drop("log_g").orderBy("source_id").limit(1)
+    copies = _read_back(spark, tmp_path, one.withColumn("teff", F.lit(9_000.0)).union(one.withColumn("teff", F.lit(7_000.0))).collect(), one.schema, "hip")
+    none = override_rows(spark.createDataFrame([], "override_id string, action string, source string, source_id string"))
+    pairs = spark.createDataFrame([], "gaia_source_id long, hip_source_id long")
+    assert [r["teff"] for r in merge(gaia, with_input_order(copies), pairs, none).dense.filter("source = 'hip'").collect()] == [7_000.0]
+    text = tmp_path / "t.csv"
+    text.write_text("a\n3\n1\n2\n")
+    assert [r["a"] for r in with_input_order(spark.read.option("header", True).csv(str(text))).orderBy("input_order").collect()] == ["3", "1", "2"]
+
+
+def _read_back(spark, tmp_path, rows, schema, name):
+    spark.createDataFrame(rows, schema).coalesce(1).write.parquet(str(tmp_path / name))
+    return spark.read.parquet(str(tmp_path / name))
