@@ -14,7 +14,8 @@ from lumenforge.llm.shared import scratch_path, table, written
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without letters, or of no learned language, go."""
+    """Documents without letters, or of no learned language, go: so do null and empty texts. Repeated rows are told each on its own;
+    an empty table stays empty, and without labelled rows no language is learned and every document goes."""
     model = language.train(docs.filter(~language.held_out()))
     return language.accepted(docs, model)
 
@@ -37,17 +38,23 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Passages of 50 words or more that an earlier document holds are cut; the first document keeps them."""
+    """Passages of 50 words or more that an earlier document holds are cut; the first document keeps them.
+
+    The earlier is the one of the smaller doc_id; rows that share one are one document, so copies under one id are left to the
+    stage before. Null and empty texts, and rows without a doc_id, pass as they are; an empty table stays empty.
+    """
     return chaining.without_passages(docs)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that leak a benchmark item go."""
+    """Documents that leak a benchmark item go. Null and empty texts leak nothing and stay; repeated rows go or stay alike; without
+    items, or items of five words, all stay."""
     return tiling.without_leaks(docs, table(spark, sf_dir, "benchmark"))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row a piece of a document, with its sequence of at most 4096 tokens and its place there."""
+    """One row a piece of a document, with its sequence of at most 4096 tokens and its place there. A null or empty text is its end id
+    alone; rows that share a doc_id are packed each on its own."""
     import public_tokenizers
 
     pieces = written(packing.token_pieces(docs, public_tokenizers.path("word_bpe_49k.json"), 1), "pieces")
