@@ -82,9 +82,10 @@ class MaskFilter:
     def __init__(self, languages: list[str], values: np.ndarray, masks: np.ndarray):
         """masks: the languages of each n-gram, as one word or, by row, as many words as the languages take."""
         self.languages = languages
-        masks = masks.reshape(len(values), -1)
+        words = max(1, -(-len(languages) // 64))
+        masks = masks.reshape(len(values), words)
         kind = np.uint8 if len(languages) <= 8 else np.uint32 if len(languages) <= 32 else np.uint64
-        self.bits = np.zeros((1 << max(10, int(SLOTS_PER_GRAM * max(1, len(values)) - 1).bit_length()), max(1, -(-len(languages) // 64))), kind)
+        self.bits = np.zeros((1 << max(10, int(SLOTS_PER_GRAM * max(1, len(values)) - 1).bit_length()), words), kind)
         for at in _slots(values, len(self.bits)):
             np.bitwise_or.at(self.bits, at, masks.astype(kind))
         filled = np.array([((self.bits[:, k // 64] >> kind(k % 64)) & kind(1)).mean() for k in range(len(languages))])
