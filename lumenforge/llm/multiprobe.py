@@ -163,7 +163,7 @@ def tried(hashes: Hashes, rows: np.ndarray, queries: np.ndarray, own: np.ndarray
 
 
 def choose(x: np.ndarray, n: int, k: int, norm: float) -> Hashes:
-    """Hashes for a table of n rows, of which x is a sample."""
+    """Hashes for a table of n ids, of which x is a sample."""
     q = x[:FIT_QUERIES]
     scores = (q / np.linalg.norm(q, axis=1, keepdims=True)) @ x.T / norm
     own = np.arange(len(q))
@@ -189,12 +189,12 @@ def choose(x: np.ndarray, n: int, k: int, norm: float) -> Hashes:
 
 def fit(rows: DataFrame, k: int) -> tuple[Hashes | None, int]:
     """Hashes for rows, and how many rows there are."""
-    stats = rows.agg(F.count("*").alias("n"), F.max(F.sqrt(F.aggregate("vec", F.lit(0.0), lambda a, x: a + x * x))).alias("norm")).first()
+    stats = rows.agg(F.count("*").alias("n"), F.count_distinct("vec_id").alias("ids"), F.max(F.sqrt(F.aggregate("vec", F.lit(0.0), lambda a, x: a + x * x))).alias("norm")).first()
     if not stats["n"]:
         return None, 0
     ids = rows.select("vec_id").distinct().orderBy(F.xxhash64("vec_id"), "vec_id").limit(FIT_VECTORS)
     sample = rows.join(F.broadcast(ids), "vec_id").groupBy("vec_id").agg(F.max("vec").alias("vec")).orderBy(F.xxhash64("vec_id"), "vec_id").select("vec").toArrow()
-    return choose(_matrix(sample["vec"]), stats["n"], k, stats["norm"]), stats["n"]
+    return choose(_matrix(sample["vec"]), stats["ids"], k, stats["norm"]), stats["n"]
 
 
 def _best(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
