@@ -49,7 +49,7 @@ BLOCK = 1_024
 #: A key with more sets in different components meets another of them first, at most so many times.
 CROWD, TURNS = 4 * BLOCK, 4
 #: Bytes of sketches in a task that compares.
-TASK_BYTES = 16 << 20
+TASK_BYTES = 8 << 20
 
 
 def bands(largest: int, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:

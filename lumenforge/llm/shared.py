@@ -11,7 +11,7 @@ __all__ = ["input_partitions", "offsets_by_part", "removed", "scratch_path", "ta
 
 
 #: Bytes of rows that go to a Python worker at once. Spark's own 64 MB take several times that in both processes of a task.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 _BATCH_SETTING, _BATCH_DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", 64 << 20
 
 
