@@ -17,6 +17,9 @@ _WHERE = {
     "op8_language_masks": "language",
     "op9_string_tiling": "tiling",
     "op10_best_fit_packing": "packing",
+    "op11_conversation_repair": "conversations",
+    "op12_hard_negatives": "hard_negatives",
+    "op13_page_text": "pages",
 }
 
 
@@ -29,4 +32,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_parity_join": sql.PARITY_JOIN, "op6_suffix_dedup": sql.SUFFIX_DEDUP}
+    return {"op5_parity_join": sql.PARITY_JOIN, "op6_suffix_dedup": sql.SUFFIX_DEDUP, "op12_hard_negatives": sql.HARD_NEGATIVES}

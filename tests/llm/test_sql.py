@@ -10,7 +10,8 @@ from tests.llm.conftest import SMALL
 @pytest.mark.parametrize("name", list(queries.oracle_sql()))
 def test_query_matches_its_sql(spark, name):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{SMALL}/documents.parquet')")
+    for t in ("documents", "embeddings", "conversations"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SMALL}/{t}.parquet')")
     ran = con.execute(queries.oracle_sql()[name])
     columns = [d[0] for d in ran.description]
     got = queries.queries()[name](spark, SMALL)
