@@ -9,7 +9,7 @@ once, and every node has its marginal. Runs of text with a marginal above one ha
 The model is trained by likelihood, whose gradient is what the labels show less what the marginals expect. Labelled are: pages of the
 table with just one <article> (or <main>), whose own markup says what is content; and pages in the layouts of `layouts`, filled with
 the words of the same sample, so that the weights hold for pages that name nothing. The sample is at most TRAIN_PAGES pages of at most
-TRAIN_CHARS characters each, the least by a hash of their content: the one thing here that does not read the whole table.
+TRAIN_CHARS characters each, those of the least hashes of their content, each once: the one thing here that does not read the whole table.
 Each page is then told from its own whole html alone, without a shuffle.
 
 What odd rows give. Null and empty html, and pages without content, have an empty text. Repeated rows are told alike, each on its own; an empty
@@ -185,7 +185,10 @@ def by_own_markup(html: str) -> Page | None:
 def train(pages: DataFrame, train_pages: int = TRAIN_PAGES, layouts: int = LAYOUTS) -> Model:
     """The model of a table of pages (html)."""
     text = F.col("html").cast("string")
-    sample = pages.select(text.alias("html")).filter(text.isNotNull() & (F.length(text) <= TRAIN_CHARS)).orderBy(F.xxhash64("html"), "html").limit(train_pages).collect()
+    short = pages.select(text.alias("html"), F.xxhash64(text).alias("hash")).filter(text.isNotNull() & (F.length(text) <= TRAIN_CHARS))
+    # the hashes alone first: every task would send so many whole pages to the driver
+    least = [r["hash"] for r in short.select("hash").distinct().orderBy("hash").limit(train_pages).collect()]
+    sample = short.filter(F.col("hash").isin(least)).groupBy("hash").agg(F.min("html").alias("html")).orderBy("hash").collect() if least else []
     labelled = [p for r in sample if (p := by_own_markup(r["html"]))]
     words = sorted({w for r in sample for b in Page(r["html"]).block.values() for w in b.split() if "<" not in w and "&" not in w and len(w) < 40})
     return fit(labelled + [Page(Layouts(words, seed).page()) for seed in range(layouts)])
