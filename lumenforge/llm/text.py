@@ -99,9 +99,15 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
 
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit polynomial hash of each byte span."""
-    total, inverse = prefix_sums(data)
-    return mix((total[ends] - total[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
+    """A 64-bit hash of each byte span: the sum of a hash of every (place in the span, byte). Spans are in order and apart.
+
+    Sums of powers of a base modulo 2^64 would make some long spans of two letters equal whatever the base.
+    """
+    lengths = ends - starts
+    begin = np.cumsum(lengths) - lengths
+    place = np.arange(lengths.sum()) - np.repeat(begin, lengths)
+    values = mix((place.astype(np.uint64) << np.uint64(8)) + data[place + np.repeat(starts, lengths)] + np.uint64(1 << 40))
+    return mix((np.add.reduceat(values, begin) if len(begin) else np.zeros(0, np.uint64)) + lengths.astype(np.uint64))
 
 
 def prefix_sums(data: np.ndarray, which: int = 0) -> tuple[np.ndarray, np.ndarray]:
