@@ -209,6 +209,22 @@ def _best(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     return np.nonzero(taken)
 
 
+def _near_best(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """_best, and all that rounding could put among them."""
+    if scores.shape[1] <= k:
+        return _best(scores, k)
+    least = -np.partition(-scores, k - 1, axis=1)[:, k - 1 : k]
+    return np.nonzero(scores >= least - 1e-9 * np.maximum(np.abs(least), np.abs(scores).max(axis=1, where=np.isfinite(scores), initial=0.0)[:, None]))
+
+
+def fixed_order(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Inner products row by row, each summed in the same order."""
+    out = np.zeros(len(x))
+    for j in range(x.shape[1]):
+        out += x[:, j] * y[:, j]
+    return out
+
+
 def _rank(k: int):
     names = ["query_id", "vec_id", "score"]
 
@@ -232,8 +248,16 @@ def _rank(k: int):
                     # rows of one id are one column, by their best score
                     scores = np.maximum.reduceat(q[some] @ x[low:high].T, lead - low, axis=1)
                     scores[q_ids[some][:, None] == ids[None, lead]] = -np.inf
-                    r, c = _best(scores, k)
-                    for kept, new in zip(found, (q_ids[some][r], ids[lead[c]], scores[r, c]), strict=True):
+                    # a product of matrices may sum equal vectors in different orders: what may be among the best gets its score anew
+                    r, c = _near_best(scores, k)
+                    row = lead[c]
+                    single = np.append(lead[1:], high)[c] - row == 1
+                    exact = np.where(single, fixed_order(q[some[r]], x[row]), 0.0)
+                    for j in np.flatnonzero(~single):
+                        until = np.append(lead[1:], high)[c[j]]
+                        exact[j] = fixed_order(np.repeat(q[some[r[j]]][None], until - row[j], 0), x[row[j] : until]).max()
+                    exact[np.isneginf(scores[r, c])] = -np.inf
+                    for kept, new in zip(found, (q_ids[some][r], ids[row], exact), strict=True):
                         kept.append(new)
         qs, vs, ss = (np.concatenate(x) if x else np.zeros(0, kind) for x, kind in zip(found, (np.int64, np.int64, np.float64), strict=True))
         order = np.lexsort((-ss, vs, qs))
