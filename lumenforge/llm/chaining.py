@@ -5,7 +5,7 @@ then place), found among those a worker holds and then over all, so joined pairs
 passage. The seeds that a document shares with an earlier one are chained: the best chain in order in both, less a cost for
 gaps, by prefix maxima in a Fenwick tree; then the next best of the seeds left. A chain's words are aligned between its
 seeds and extended at both ends as long as they agree, and a passage is an alignment of at least MIN_WORDS words of which
-IDENTITY agree.
+IDENTITY agree. A chain that falls short of it is parted at its worst gap, and its parts likewise.
 
 Runs of MIN_WORDS words that an earlier document holds word for word are found whoever else holds their parts: each such
 run between shared seeds is a seed of its own, and what no passage above holds is reported too, with identity 1. A passage with changed words
@@ -29,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lumenforge.llm.shared import input_partitions, removed, table, written
@@ -409,23 +409,38 @@ def _equal(x: np.ndarray, y: np.ndarray) -> int:
     return int(row[-1])
 
 
-def aligned(x: np.ndarray, y: np.ndarray, places: np.ndarray, others: np.ndarray, k: int = K) -> tuple[int, int, int, int, float]:
-    """(start, end, other start, other end, share of equal words) of a chain's alignment between word arrays."""
-    same = total = 0
-    a, b = int(places[0]), int(others[0])
-    at_x, at_y = a, b
-    for p, o in zip(places.tolist(), others.tolist(), strict=True):
-        if p > at_x or o > at_y:  # a gap before this seed, of either side
+def aligned(x: np.ndarray, y: np.ndarray, places: np.ndarray, others: np.ndarray, k: int = K, least: float = IDENTITY) -> list[tuple[int, int, int, int, float]]:
+    """(start, end, other start, other end, share of equal words) of a chain's alignment between word arrays.
+
+    Where too few words agree over the whole, the chain is parted at its gap of the most unequal words, and its parts again: passages
+    with other text between them come out one by one.
+    """
+    n = len(places)
+    # what each seed adds, with the gap before it
+    gap_same, gap_total, fresh = np.zeros(n, np.int64), np.zeros(n, np.int64), np.full(n, k)
+    for j in range(1, n):
+        at_x, at_y = int(places[j - 1]) + k, int(others[j - 1]) + k
+        p, o = int(places[j]), int(others[j])
+        if p > at_x or o > at_y:
             gap_x, gap_y = x[at_x:p], y[at_y:o]
-            same += _equal(gap_x, gap_y) if len(gap_x) and len(gap_y) else 0
-            total += max(len(gap_x), len(gap_y))
-        fresh = min(p + k - at_x, o + k - at_y, k)
-        same, total = same + max(0, fresh), total + max(0, fresh)
-        at_x, at_y = max(at_x, p + k), max(at_y, o + k)
-    right, right_same = _extend(x[at_x:], y[at_y:])
-    left, left_same = _extend(x[:a][::-1], y[:b][::-1])
-    total += left + right
-    return a - left, at_x + right, b - left, at_y + right, (same + left_same + right_same) / max(1, total)
+            gap_same[j] = _equal(gap_x, gap_y) if len(gap_x) and len(gap_y) else 0
+            gap_total[j] = max(len(gap_x), len(gap_y))
+        fresh[j] = max(0, min(p + k - at_x, o + k - at_y, k))
+    out, parts = [], [(0, n)]
+    while parts:
+        low, high = parts.pop()
+        a, b, c, d = int(places[low]), int(others[low]), int(places[high - 1]) + k, int(others[high - 1]) + k
+        right, right_same = _extend(x[c:], y[d:])
+        left, left_same = _extend(x[:a][::-1], y[:b][::-1])
+        inner = slice(low + 1, high)
+        total = k + int((gap_total[inner] + fresh[inner]).sum()) + left + right
+        same = k + int((gap_same[inner] + fresh[inner]).sum()) + left_same + right_same
+        if same >= least * total:
+            out.append((a - left, c + right, b - left, d + right, same / total))
+        elif (gap_total[inner] > gap_same[inner]).any():
+            cut = low + 1 + int((gap_total[inner] - gap_same[inner]).argmax())
+            parts += [(cut, high), (low, cut)]
+    return out
 
 
 def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -437,10 +452,10 @@ def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for i in range(batch.num_rows):
             x, y = np.frombuffer(col["words"][i].as_buffer(), np.uint64), np.frombuffer(col["other_words"][i].as_buffer(), np.uint64)
             p, o = col["places"][i].values.to_numpy() - low[i], col["other_places"][i].values.to_numpy() - other_low[i]
-            a, b, c, d, share = aligned(x, y, p, o)
-            if b - a >= MIN_WORDS and share >= IDENTITY:
-                for kept, v in zip(out, (ids[i], others[i], a + low[i], b + low[i], c + other_low[i], d + other_low[i], share), strict=True):
-                    kept.append(v)
+            for a, b, c, d, share in aligned(x, y, p, o):
+                if b - a >= MIN_WORDS:
+                    for kept, v in zip(out, (ids[i], others[i], a + low[i], b + low[i], c + other_low[i], d + other_low[i], share), strict=True):
+                        kept.append(v)
         yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out, (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.float64()), strict=True)], names)
 
 
@@ -486,10 +501,19 @@ def passages(docs: DataFrame) -> DataFrame:
     return found.unionByName(runs.join(spans, "doc_id", "left").mapInArrow(_exact, _PASSAGE_SQL))
 
 
-def without_passages(docs: DataFrame) -> DataFrame:
-    """docs less the passages an earlier document holds; n_chars, where there is one, counts what is left."""
-    found = written(passages(docs), "passages").groupBy("doc_id").agg(F.collect_list(F.struct("start_word", "end_word")).alias("spans_"))
-    joined = docs.join(found, "doc_id", "left")
+def without_passages(docs: DataFrame, row_id: Column | None = None) -> DataFrame:
+    """docs less the passages an earlier document holds; n_chars, where there is one, counts what is left.
+
+    row_id: a number that tells the rows of one doc_id apart, below all ids. Rows that share a doc_id go by it, before all others;
+    without it they are one document.
+    """
+    named = docs.withColumn("id ", F.col("doc_id").cast("long"))
+    if row_id is not None:
+        shared = written(docs.groupBy("doc_id").count().filter("count > 1 AND doc_id IS NOT NULL").select(F.col("doc_id").alias("shared ")), "shared-ids")
+        named = named.withColumn("row ", row_id).join(shared, F.col("doc_id") == F.col("shared "), "left")
+        named = named.withColumn("id ", F.when(F.col("shared ").isNull(), F.col("id ")).otherwise(F.col("row "))).drop("row ", "shared ")
+    found = written(passages(named.select(F.col("id ").alias("doc_id"), "text")), "passages").groupBy(F.col("doc_id").alias("id ")).agg(F.collect_list(F.struct("start_word", "end_word")).alias("spans_"))
+    joined = named.join(found, "id ", "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -7,7 +7,7 @@ import pyarrow.parquet as pq
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from lumenforge.llm import chaining, parity, sais, suffixes
+from lumenforge.llm import chaining, parity, sais, suffixes, text
 from tests.llm.conftest import SMALL, documents, words
 
 
@@ -256,11 +256,46 @@ def test_changed_passages_are_found_as_stated():
             row, place, h = chaining.minimizers(np.concatenate([one, two]), np.array([0, len(one), len(one) + len(two)]))
             _, docs, places, other, others = chaining._firsts(h, row, place)
             places, others = places[docs != other], others[docs != other]
-            made = [chaining.aligned(two, one, places[c], others[c]) for c in chaining.chains(places, others)] if len(places) else []
+            made = [m for c in chaining.chains(places, others) for m in chaining.aligned(two, one, places[c], others[c])] if len(places) else []
             found += any(b - a >= chaining.MIN_WORDS and share >= chaining.IDENTITY for a, b, _, _, share in made)
         assert found / 100 >= least
 
 
+def test_passages_with_other_text_between_them_are_all_found(spark, folder):
+    rng = random.Random(14)
+    noise = lambda n: [f"z{rng.randrange(10**7)}" for _ in range(n)]
+    changed = lambda some, every: [w if k % every else f"c{rng.randrange(10**7)}" for k, w in enumerate(some)]
+    texts, want = [], []
+    for gap, every, n in ((200, 20, 300), (40, 20, 120), (1_000, 12, 200), (90, 12, 300)):
+        one, two, three = noise(n), noise(n), noise(n)
+        texts += [noise(10) + one + noise(gap) + two + noise(gap) + three, changed(one, every) + noise(gap) + changed(two, every) + noise(gap) + changed(three, every) + noise(30)]
+        want += [[(k * (n + gap), k * (n + gap) + n) for k in range(3)]]
+    docs = spark.read.parquet(folder(documents=documents(*(" ".join(t) for t in texts))) + "/documents.parquet")
+    covered = {}
+    for r in chaining.passages(docs).collect():
+        assert r["other_doc_id"] == r["doc_id"] - 1 and r["identity"] >= chaining.IDENTITY
+        covered.setdefault(r["doc_id"], set()).update(range(r["start_word"], r["end_word"]))
+    for k, spans in enumerate(want):
+        for low, high in spans:
+            assert len(covered[2 * k + 1] & set(range(low, high))) >= 0.9 * (high - low)
+        if k in (1, 3):
+            continue  # so short a gap lies within the identity asked for
+        assert len(covered[2 * k + 1] - {w for low, high in spans for w in range(low - 3, high + 3)}) <= 0.05 * len(covered[2 * k + 1])
+
+
+def test_long_words_of_two_letters_are_told_apart():
+    """The Thue-Morse word and its complement are equal for every polynomial hash modulo a power of two."""
+    for n in (1_024, 4_096):
+        bits = [bin(k).count("1") % 2 for k in range(n)]
+        pair = ["".join("ab"[b ^ flip] for b in bits) for flip in (0, 1)]
+        hashes, first = text.word_hashes(pa.array([*pair, f"{pair[0]} x {pair[1]}"]))
+        assert len({int(h) for h in hashes}) == 3 and hashes[0] == hashes[2] and hashes[1] == hashes[4] and first.tolist() == [0, 1, 2, 5]
+    rng = random.Random(6)
+    made = ["".join(rng.choice("ab") for _ in range(rng.randrange(1, 12))) for _ in range(20_000)]
+    hashes, _ = text.word_hashes(pa.array([" ".join(made)]))
+    assert len(set(hashes.tolist())) == len(set(made))
+
+
 def test_chains_do_not_depend_on_the_order_of_rows():
     rng = np.random.default_rng(5)
     kinds = [pa.int32(), pa.int64(), pa.int32()]

@@ -72,3 +72,16 @@ def test_copies_ties_and_odd_vectors(spark, folder):
     assert multiprobe.op2_multiprobe_ann(spark, folder(embeddings=table([]))).count() == 0
     one = multiprobe.op2_multiprobe_ann(spark, folder(embeddings=table([[1.0, 2.0]])))
     assert one.count() == 0
+
+
+def test_ties_go_to_the_smaller_id_in_large_tables_too(spark, folder):
+    rng = np.random.default_rng(8)
+    x = rng.standard_normal((400, 32))
+    x = np.concatenate([x] * 8)[rng.permutation(3_200)]  # every vector eight times
+    got = {}
+    for r in multiprobe.op2_multiprobe_ann(spark, folder(embeddings=table(x))).collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["score"], r["vec_id"]))
+    for found in got.values():
+        found.sort()
+        assert all(a[1] > b[1] or (a[1] == b[1] and a[2] < b[2]) for a, b in zip(found, found[1:], strict=False))
+        assert len({s for _, s, _ in found}) <= 20 // 7 + 1

@@ -50,6 +50,18 @@ def test_passages_of_odd_texts_stay(spark, folder, odd):
     assert stage(spark, folder, corpus_pipeline.repeated_passages, odd.slice(0, 0)) == []
 
 
+def test_rows_that_share_an_id_are_cut_each_by_its_own(spark, folder):
+    rng = random.Random(23)
+    noise = lambda n: " ".join(f"y{rng.randrange(10**7)}" for _ in range(n))
+    p, q, r = noise(120), noise(300), noise(80)
+    rows = documents(p, f"{p} {noise(30)}", q, q, f"{r} {q}", r)
+    rows = rows.set_column(0, "doc_id", pa.array([1, 2, 2, 4, 2, None], pa.int64()))
+    got = [(d, len(words(t))) for d, t in stage(spark, folder, corpus_pipeline.repeated_passages, rows)]
+    # one holder keeps p, one q, and nothing else is cut
+    assert sorted(n for d, n in got if d == 1)[0] in (0, 120) and sum(n for _, n in got) == 120 + 30 + 300 + 80 + 80
+    assert (None, 80) in got
+
+
 def test_leaks_go_and_clean_documents_stay(spark, folder, odd):
     rng = random.Random(22)
     item = [f"q{rng.randrange(10**6)}" for _ in range(40)]
