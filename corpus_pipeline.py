@@ -40,10 +40,11 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages of 50 words or more that an earlier document holds are cut; the first document keeps them.
 
-    The earlier is the one of the smaller doc_id; rows that share one are one document, so copies under one id are left to the
-    stage before. Null and empty texts, and rows without a doc_id, pass as they are; an empty table stays empty.
+    The earlier is the one of the smaller doc_id; rows that share one are told apart by their place in the stage's input files and come
+    before all others. Null and empty texts, and rows without a doc_id, pass as they are; an empty table stays empty.
     """
-    return chaining.without_passages(docs)
+    place = F.xxhash64("_metadata.file_path", "_metadata.row_index")
+    return chaining.without_passages(docs, F.lit(-(1 << 62)) - F.pmod(place, F.lit(1 << 62)))
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
