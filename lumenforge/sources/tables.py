@@ -25,12 +25,15 @@ def read_lenient(spark: SparkSession, path: str, schema: dict[str, str]) -> Data
 
 
 def with_input_order(df: DataFrame, name: str = "input_order") -> DataFrame:
-    """df, straight from files, with a column that sorts its rows as they lie there: file by file and row by row in Parquet; in text
-    files, which know no row numbers, by partition and place in it."""
+    """df, straight from files, with a column that sorts its rows as they lie there: by path, and in a file by row.
+
+    Parquet knows its row numbers. Text has none; there a split of a file is read by one task from its start on, so rows go by
+    where their split starts and by their order in the task, however Spark packs splits into tasks.
+    """
     try:
-        return df.withColumn(name, F.struct(F.col("_metadata.file_path"), F.col("_metadata.row_index")))
+        return df.withColumn(name, F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")))
     except AnalysisException:
-        return df.withColumn(name, F.monotonically_increasing_id())
+        return df.withColumn(name, F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("row")))
 
 
 def write_table(df: DataFrame, path: str, mode: str = "errorifexists", partitions: int | None = None) -> None:

@@ -1,14 +1,10 @@
-"""ECSV, VOTable, YAML and TOML inputs."""
+"""VOTable, YAML and TOML inputs."""
 
 from __future__ import annotations
 
-import gzip
-import lzma
 import re
 import tomllib
-import xml.etree.ElementTree as ET
 from collections import Counter
-from io import BytesIO
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,57 +15,19 @@ from lumenforge.operators.common import conform
 from lumenforge.operators.gaia import CARRY_TYPES, CarryField
 from lumenforge.operators.schemas import IDENTIFIERS
 from lumenforge.operators.source import ALIASES, aliases
-
-VOTABLE_SUFFIXES = (".vot", ".vot.gz", ".vot.xz")
-
-
-def read_ecsv(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
-    """Space-separated text with '#' lines of description and a header line."""
-    reader = spark.read.option("comment", "#").option("sep", " ").option("header", True)
-    return (reader.schema(schema) if schema else reader.option("inferSchema", True)).csv(path)
-
-
-def votable_files(spark: SparkSession, path: str) -> DataFrame:
-    """path and content of the VOTable files of a folder, told by their suffix whatever its case, in order of path."""
-    files = spark.read.format("binaryFile").load(path)
-    return files.filter(F.lower("path").rlike(r"\.vot(\.gz|\.xz)?$")).select("path", "content").orderBy("path")
-
-
-def read_votable(spark: SparkSession, path: str, columns: dict[str, str]) -> DataFrame:
-    """Rows of VOTable files in TABLEDATA form (.vot, .vot.gz, .vot.xz): the named columns in lower case with their Spark types.
-
-    One task reads one file and holds its bytes (Spark's limit is 2 GB a file) but never its whole tree; empty cells are NULL. A
-    file whose data are in another form is an error.
-    """
-    schema = ", ".join(f"`{c}` string" for c in columns)
-
-    def rows(batches):
-        import pandas as pd
-
-        for batch in batches:
-            for name, content in zip(batch["path"], batch["content"], strict=True):
-                stream = BytesIO(content)
-                stream = gzip.open(stream) if name.lower().endswith(".gz") else lzma.open(stream) if name.lower().endswith(".xz") else stream
-                fields, out, data = [], [], None
-                for event, node in ET.iterparse(stream, events=("start", "end")):
-                    tag = node.tag.rpartition("}")[2]
-                    if tag in ("BINARY", "BINARY2", "FITS"):
-                        raise ValueError(f"{name}: data in the form {tag}, not TABLEDATA")
-                    if event == "start":
-                        data = node if tag == "TABLEDATA" else data
-                    elif tag == "FIELD":
-                        fields.append(node.get("name", "").strip().lower())
-                    elif tag == "TR":
-                        cells = dict(zip(fields, (d.text for d in node), strict=False))
-                        out.append([((cells.get(c) or "").strip() or None) for c in columns])
-                        data.clear()
-                        if len(out) >= 50_000:
-                            yield pd.DataFrame(out, columns=list(columns))
-                            out = []
-                yield pd.DataFrame(out, columns=list(columns))
-
-    text = votable_files(spark, path).mapInPandas(rows, schema)
-    return text.select(*(F.col(c).try_cast(t).alias(c) for c, t in columns.items()))
+from lumenforge.sources.votable import ORDER, VOTables
+
+def read_votable(spark: SparkSession, path: str, columns: dict[str, str] | None = None, input_order: bool = False) -> DataFrame:
+    """Rows of the VOTables of a folder, or of one file: the named columns in lower case with their Spark types (without names, those
+    of the first file). input_order: a column of that name sorts them by file name and place."""
+    spark.dataSource.register(VOTables)
+    reader = spark.read.format("votable").option("path", path)
+    if columns is None and input_order:
+        columns = dict(reader.load().dtypes)
+    if columns is None:
+        return reader.load()
+    order = f", {ORDER} struct<file:int,row:bigint>" if input_order else ""
+    return reader.schema(", ".join(f"`{c}` {t}" for c, t in columns.items()) + order).load()
 
 
 def output_name(name: str) -> str:

@@ -1,8 +1,11 @@
 """Readers, writers, field sets and checks on small files."""
 
+import base64
 import gzip
 import json
 import lzma
+import re
+import struct
 
 import pytest
 from pyspark.sql import functions as F
@@ -16,36 +19,184 @@ from lumenforge.operators.overrides import override_rows
 from lumenforge.operators.quality import audit_summary, quality_issues
 from lumenforge.operators.source import aliases, source_rows
 from lumenforge.plans.adapter import frame
-from lumenforge.sources import tables, text_tables
+from lumenforge.sources import ecsv, tables, text_tables
+from lumenforge.sources import votable as formats
 from lumenforge.streaming.stages import stream_gaia
 
 SMALL = "/root/testdata/sf0.001"
 
-VOTABLE = """<?xml version="1.0"?><VOTABLE xmlns="http://www.ivoa.net/xml/VOTable/v1.3"><RESOURCE><TABLE>
-<FIELD name="SOURCE_ID" datatype="long"/><FIELD name="ra" datatype="double"/><FIELD name="other" datatype="char"/>
-<DATA><TABLEDATA>{rows}</TABLEDATA></DATA></TABLE></RESOURCE></VOTABLE>"""
-
-
-def test_votables_are_read_by_suffix(spark, tmp_path):
-    text = lambda *ids: VOTABLE.format(rows="".join(f"<TR><TD>{i}</TD><TD>{i / 2}</TD><TD/></TR>" for i in ids)).encode()
-    (tmp_path / "a.vot").write_bytes(text(1, 2**60 + 1))
-    (tmp_path / "b.VOT.gz").write_bytes(gzip.compress(text(3)))
-    (tmp_path / "c.vot.xz").write_bytes(lzma.compress(text(4, 5)))
+#: Columns of a VOTable with a value of every kind a row, and rows with missing ones.
+FIELDS = [
+    ("SOURCE_ID", "long", None, None), ("ra", "double", None, None), ("pm", "float", None, None), ("n", "short", None, "-9"), ("tiny", "unsignedByte", None, None), ("k", "int", None, None),
+    ("good", "boolean", None, None), ("letter", "char", "4", None), ("name", "char", "*", None), ("note", "unicodeChar", "*", None), ("pair", "double", "2", None), ("many", "int", "*", None), ("flags", "bit", "10", None), ("z", "floatComplex", None, None),
+]
+ROWS = [
+    (1, 0.5, 1.5, 3, 200, -7, True, "abcd", "one two", "é \u4e00", [1.0, 2.0], [1, 2, 3], [True, False] * 5, [1.0, -1.0]),
+    (2**60 + 1, None, None, None, None, None, None, None, None, None, None, None, None, None),
+    (3, -1e300, float("inf"), 0, 0, 2**31 - 1, False, "ab", "<&>", "x", [0.25, None], [], [False] * 10, [0.0, 0.5]),
+]
+
+
+def _packed(value, kind, size, null) -> bytes:
+    """A cell as the binary forms have it."""
+    code = {"long": ">q", "double": ">d", "float": ">f", "short": ">h", "unsignedByte": ">B", "int": ">i", "floatComplex": ">f"}.get(kind)
+    if kind in ("char", "unicodeChar"):
+        raw = (value or "").encode("utf-16-be" if kind == "unicodeChar" else "utf-8")
+        return struct.pack(">i", len(value or "")) + raw if size == "*" else raw.ljust(4, b"\0")
+    if kind == "boolean":
+        return b"?" if value is None else b"T" if value else b"F"
+    if kind == "bit":
+        bits = value or [False] * 10
+        return bytes([sum(b << (7 - k) for k, b in enumerate(bits[:8])), sum(b << (7 - k) for k, b in enumerate(bits[8:]))])
+    values = value if isinstance(value, list) else [value] if value is not None or size is None and kind != "floatComplex" else [None] * (0 if size == "*" else 2)
+    missing = float("nan") if kind in ("double", "float", "floatComplex") else int(null or 0)
+    body = b"".join(struct.pack(code, missing if v is None else v) for v in values)
+    return struct.pack(">i", len(values)) + body if size == "*" else body
+
+
+def votable(form: str, rows, fields=FIELDS) -> bytes:
+    from xml.sax.saxutils import escape
+
+    named = lambda f: f'<FIELD name="{f[0]}" datatype="{f[1]}"' + (f' arraysize="{f[2]}"' if f[2] else "") + (f'><VALUES null="{f[3]}"/></FIELD>' if f[3] else "/>")
+    text = lambda v: "" if v is None else " ".join(text(x) or "NaN" for x in v) if isinstance(v, list) else str(int(v)) if isinstance(v, bool) else escape(str(v)).replace("inf", "+Inf")
+    if form == "TABLEDATA":
+        data = "".join("<TR>" + "".join(f"<TD>{text(v)}</TD>" for v in r) + "</TR>\n" for r in rows)
+    else:
+        raw = b""
+        for r in rows:
+            if form == "BINARY2":
+                bits = [v is None for v in r] + [False] * (-len(r) % 8)
+                raw += bytes(sum(b << (7 - k) for k, b in enumerate(bits[j : j + 8])) for j in range(0, len(bits), 8))
+            raw += b"".join(_packed(v, *f[1:]) for v, f in zip(r, fields, strict=True))
+        data = f'<STREAM encoding="base64">\n{base64.encodebytes(raw).decode()}</STREAM>'
+    return f"""<?xml version="1.0"?><VOTABLE xmlns="http://www.ivoa.net/xml/VOTable/v1.3"><RESOURCE><TABLE>
+{"".join(map(named, fields))}
+<DATA><{form}>{data}</{form}></DATA></TABLE></RESOURCE></VOTABLE>""".encode()
+
+
+COLUMNS = {"source_id": "long", "ra": "double", "pm": "float", "n": "smallint", "tiny": "smallint", "k": "int", "good": "boolean", "letter": "string", "name": "string", "note": "string", "pair": "array<double>", "many": "array<int>", "flags": "array<boolean>", "z": "array<float>"}
+
+
+@pytest.mark.parametrize("form", ["TABLEDATA", "BINARY", "BINARY2"])
+def test_a_votable_is_the_same_in_every_form(spark, tmp_path, form):
+    """Three forms by three compressions: the same rows, of the same types, in the files' order."""
+    want = [tuple(v or None if isinstance(v, list) else v for v in r) for r in ROWS]
+    if form == "BINARY":  # it has no mask: what has no missing value of its own is there as zeros
+        want[1] = (2**60 + 1, None, None, None, 0, 0, None, None, None, None, [None, None], None, [False] * 10, [None, None])
+    for name, pack in (("b.vot", bytes), ("a.VOT.gz", gzip.compress), ("c.vot.xz", lzma.compress)):
+        (tmp_path / name).write_bytes(pack(votable(form, ROWS)))
     (tmp_path / "notes.txt").write_text("not a table")
-    columns = {"source_id": "long", "ra": "double", "other": "string", "absent": "int"}
-    got = text_tables.read_votable(spark, str(tmp_path), columns).orderBy("source_id").collect()
-    assert [(r["source_id"], r["ra"], r["other"], r["absent"]) for r in got] == [(i, i / 2, None, None) for i in (1, 3, 4, 5, 2**60 + 1)]
-    assert [r["path"].rpartition("/")[2] for r in text_tables.votable_files(spark, str(tmp_path)).collect()] == ["a.vot", "b.VOT.gz", "c.vot.xz"]
-    (tmp_path / "d.vot").write_bytes(text(6).replace(b"TABLEDATA", b"BINARY2"))
-    with pytest.raises(Exception, match="BINARY2"):
-        text_tables.read_votable(spark, str(tmp_path), columns).count()
+    read = text_tables.read_votable(spark, str(tmp_path))
+    assert dict(read.dtypes) == {c: {"long": "bigint"}.get(t, t) for c, t in COLUMNS.items()} and read.rdd.getNumPartitions() == 3
+    assert [tuple(r) for r in read.collect()] == want * 3
+    some = text_tables.read_votable(spark, str(tmp_path), {"tiny": "double", "source_id": "string", "absent": "int", "ra": "int", "letter": "int"}, input_order=True)
+    got = some.orderBy("input_order").collect()
+    assert [(r["tiny"], r["source_id"], r["absent"], r["ra"], r["letter"]) for r in got] == [(None if w[4] is None else float(w[4]), str(w[0]), None, None, None) for w in want] * 3
+    assert [tuple(r["input_order"]) for r in got] == [(f, k) for f in range(3) for k in range(3)]
+    one = text_tables.read_votable(spark, f"file://{tmp_path}/c.vot.xz", {"source_id": "long"})
+    assert [r["source_id"] for r in one.collect()] == [w[0] for w in want]
+
+
+@pytest.mark.parametrize("form", ["TABLEDATA", "BINARY", "BINARY2"])
+def test_a_large_votable_leaves_in_small_batches(tmp_path, form):
+    """No more of a file is held than a chunk and a batch; rows of one width and rows with texts of any length."""
+    import pyarrow as pa
+
+    for fields, row in ((FIELDS[:8], lambda k: (k, k / 4, None, k % 100, 1, k, None, "ab")), ([FIELDS[0], FIELDS[8]], lambda k: (k, "s" * (k % 50)))):
+        path = tmp_path / f"{len(fields)}.vot"
+        path.write_bytes(votable(form, [row(k) for k in range(60_000)], fields))
+        schema = pa.schema([("source_id", pa.int64()), (fields[-1][0], pa.string()), ("input_order", pa.struct([("file", pa.int32()), ("row", pa.int64())]))])
+        sizes, seen = [], 0
+        for batch in formats.batches(str(path), schema, 7):
+            assert batch.column(0).to_pylist() == list(range(seen, seen + batch.num_rows)) and batch.column(2)[0].as_py() == {"file": 7, "row": seen}
+            sizes.append(batch.num_rows)
+            seen += batch.num_rows
+        assert seen == 60_000 and len(sizes) > 1 and max(sizes) < 60_000
+
+
+def test_votables_that_are_refused_or_empty(spark, tmp_path):
+    (tmp_path / "e.vot").write_bytes(votable("BINARY2", []))
+    assert text_tables.read_votable(spark, str(tmp_path)).count() == 0
+    assert text_tables.read_votable(spark, str(tmp_path), {"nothing": "int"}).count() == 0
+    for name, text, said in (("f", votable("FITS", []), "form FITS"), ("h", votable("BINARY", []).replace(b'encoding="base64"', b'href="x"'), "in the file itself"), ("t", re.sub(rb"[^<]{9}</STREAM>", b"</STREAM>", votable("BINARY", ROWS[:1])), "within a row"), ("d", votable("TABLEDATA", []).replace(b'"long"', b'"colour"'), "type colour")):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "x.vot").write_bytes(text)
+        with pytest.raises(Exception, match=said):
+            text_tables.read_votable(spark, str(tmp_path / name), {"source_id": "long"}).collect()
+    (tmp_path / "none").mkdir()
+    assert text_tables.read_votable(spark, str(tmp_path / "none"), {"source_id": "long"}).count() == 0
     assert [text_tables.output_name(n) for n in ("x.vot.gz", "x.vot", "y.vot.xz", "z")] == ["x.parquet", "x.parquet", "y.parquet", "z.parquet"]
 
 
-def test_ecsv_and_parquet(spark, tmp_path):
-    (tmp_path / "t.ecsv").write_text("# %ECSV 1.0\n# ---\n# datatype: []\nHIP RArad name\n1 2.5 \"two words\"\n2 \"\" x\n")
-    got = text_tables.read_ecsv(spark, str(tmp_path / "t.ecsv")).orderBy("HIP").collect()
-    assert [(r["HIP"], r["RArad"], r["name"]) for r in got] == [(1, 2.5, "two words"), (2, None, "x")]
+ECSV = """# %ECSV 1.0
+# ---
+# datatype:
+# - {name: HIP, unit: '', datatype: int32, description: number}
+# - {name: RArad, datatype: float64}
+# - name: name
+#   datatype: string
+# - {name: whole, datatype: float64}
+# - {name: ok, datatype: bool}
+# - {name: big, datatype: uint64}
+# - {name: pair, datatype: string, subtype: 'float64[2]'}
+# meta: !!omap
+# - {ID: x}
+# schema: astropy-2.0
+"""
+
+
+def test_ecsv_has_the_types_of_its_header(spark, tmp_path):
+    data = 'HIP RArad name whole ok big pair\n1 2.5 "two ""words""" 3 True 18446744073709551615 [1.0,2.5]\n2 "" "" nan False "" ""\n3 -inf x "" "" 5 [null,1]\n'
+    (tmp_path / "t.ecsv").write_text(ECSV.replace("# meta: !!omap\n# - {ID: x}\n", "# meta: {ID: x}\n") + data)
+    got = ecsv.read_ecsv(spark, str(tmp_path / "t.ecsv"))
+    assert dict(got.dtypes) == {"HIP": "int", "RArad": "double", "name": "string", "whole": "double", "ok": "boolean", "big": "decimal(20,0)", "pair": "array<double>"}
+    assert [tuple(r) for r in got.orderBy("HIP").collect()] == [(1, 2.5, 'two "words"', 3.0, True, 18446744073709551615, [1.0, 2.5]), (2, None, None, None, False, None, None), (3, float("-inf"), "x", None, None, 5, [None, 1.0])]
+    # comma-separated, compressed, and a second file of the same table
+    (tmp_path / "two").mkdir()
+    head = '# %ECSV 1.0\n# ---\n# delimiter: \',\'\n# datatype:\n# - {name: a, datatype: int64}\n# - {name: b c, datatype: string}\na,b c\n'
+    (tmp_path / "two" / "1.ecsv").write_text(head + '1,"x, y"\n')
+    (tmp_path / "two" / "2.ecsv.gz").write_bytes(gzip.compress((head + "2,\n").encode()))
+    assert [tuple(r) for r in ecsv.read_ecsv(spark, str(tmp_path / "two")).orderBy("a").collect()] == [(1, "x, y"), (2, None)]
+    (tmp_path / "two" / "3.ecsv").write_text(head.replace("int64", "int32") + "3,\n")
+    for path, said in (("two", "not the columns of"), ("none", "no files")):
+        with pytest.raises(ValueError, match=said):
+            ecsv.read_ecsv(spark, str(tmp_path / path))
+    for text, said in (("a b\n1 2\n", "no ECSV header"), (head.replace("a,b c\n", "a,c\n"), "its first line"), (head.replace("int64", "colour"), "type colour"), (head.replace("','", "';'"), "delimiter")):
+        with pytest.raises(ValueError, match=said):
+            ecsv.parsed_header("f", iter(text.splitlines()))
+    (tmp_path / "bad.ecsv").write_text(head + "x,y\n")
+    with pytest.raises(Exception, match="MALFORMED|Malformed"):
+        ecsv.read_ecsv(spark, str(tmp_path / "bad.ecsv")).collect()
+
+
+def test_ecsv_goes_out_and_comes_back(spark, tmp_path):
+    rows = spark.createDataFrame([(1, 0.5, 'a "b" c', True, 2.0), (2, None, None, None, float("inf")), (3, 1e-300, "", False, -1.5)], "i long, d double, s string, t boolean, f float")
+    ecsv.write_ecsv(rows.repartition(2), str(tmp_path / "out"), {"what": "test"})
+    back = ecsv.read_ecsv(spark, str(tmp_path / "out"))
+    assert back.dtypes == rows.dtypes
+    assert sorted(tuple(r) for r in back.collect()) == sorted(tuple(None if v == "" else v for v in r) for r in rows.collect())
+    with pytest.raises(ValueError, match="no ECSV type for m"):
+        ecsv.write_ecsv(rows.select(F.create_map("i", "d").alias("m")), str(tmp_path / "no"))
+
+
+def test_text_keeps_its_order_however_splits_are_packed(spark, tmp_path):
+    """Files of very different lengths, in splits of a few lines: Spark packs the largest splits first."""
+    want = []
+    for name, n in (("a", 3), ("b", 900), ("c", 40), ("d", 400)):
+        (tmp_path / f"{name}.csv").write_text("".join(f"{name}{k}\n" for k in range(n)))
+        want += [f"{name}{k}" for k in range(n)]
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "500")
+    spark.conf.set("spark.sql.files.openCostInBytes", "10")
+    try:
+        read = tables.with_input_order(spark.read.schema("v string").csv(str(tmp_path)))
+        assert read.rdd.getNumPartitions() > 4
+        assert [r["v"] for r in read.orderBy("input_order").collect()] == want
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_parquet_tables(spark, tmp_path):
     path = str(tmp_path / "p")
     rows = spark.createDataFrame([(1, float("nan")), (2, 0.5)], "a long, b double")
     tables.write_table(rows, path, partitions=1)
