@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lumenforge.functions.nulls import or_null
@@ -30,6 +30,11 @@ def fail_if(df: DataFrame, message) -> None:
         raise ValueError(message(bad[0]) if callable(message) else message)
 
 
+def without(df: DataFrame, bad: Column, message: Column) -> DataFrame:
+    """df, whose reading fails with the message of a row that is bad: a check within the job that reads it."""
+    return df.withColumn("_refused", F.when(F.coalesce(bad, F.lit(False)), F.raise_error(message).cast("string"))).filter("_refused IS NULL").drop("_refused")
+
+
 def first_by(df: DataFrame, keys: list[str], *order, last: bool = False) -> DataFrame:
     """The first row of each key, or the last: a partial aggregate, so a hot key is not gathered."""
     rest = [c for c in df.columns if c not in keys]

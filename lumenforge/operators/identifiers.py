@@ -37,16 +37,20 @@ def identifier_rows(hip_hd: DataFrame, catalogue: DataFrame, names: DataFrame, p
         links = pairs.select(F.col("hip_source_id").cast("long").alias("hip_id"), F.col("gaia_source_id").cast("long").alias("gaia_source_id"), at(pairs).alias("_at")).filter("hip_id IS NOT NULL AND gaia_source_id IS NOT NULL")
         out = out.join(first_by(links, ["hip_id"], "_at", "gaia_source_id", last=True).drop("_at"), "hip_id", "left")
     out = conform(out, IDENTIFIERS)
-    if overrides is not None:
-        new = conform(overrides, IDENTIFIERS)
-        out = out.join(new.select("source", "source_id").distinct(), ["source", "source_id"], "left_anti").select(*IDENTIFIERS).unionByName(new)
-    return out.orderBy("source", "source_id")
-
-
-def labels(rows: DataFrame) -> DataFrame:
-    """source, source_id, label: proper name, else designation and constellation, else HD, else HIP number."""
+    if overrides is None:
+        return out.orderBy("source", "source_id")
+    # rows of one star stay in their own order
+    new = overrides.select(*(or_null(overrides, c, t).alias(c) for c, t in IDENTIFIERS.items()), at(overrides).alias("_at"))
+    out = out.join(new.select("source", "source_id").distinct(), ["source", "source_id"], "left_anti").select(*IDENTIFIERS)
+    return out.unionByName(new, allowMissingColumns=True).orderBy("source", "source_id", "_at").drop("_at")
+
+
+def labels(rows: DataFrame, order: str = "input_order") -> DataFrame:
+    """source, source_id, label: proper name, else designation and constellation, else HD, else HIP number. Of repeated stars the first
+    by the column `order` where there is one, else the least label."""
+    at = F.col(order) if order in rows.columns else F.lit(0)
+    rows = rows.select(*(or_null(rows, c, t).alias(c) for c, t in IDENTIFIERS.items()), at.alias("_at"))
     named = lambda prefix, c: F.when(F.col(c).isNotNull(), F.concat(F.lit(prefix), F.col(c).cast("string")))
-    rows = conform(rows, IDENTIFIERS)
     designation = F.when(ids.text(F.col("bayer")).isNotNull(), F.concat_ws(" ", ids.text(F.col("bayer")), ids.text(F.col("constellation"))))
     label = F.coalesce(ids.text(F.col("proper_name")), designation, named("HD ", "hd"), named("HIP ", "hip_id"))
-    return first_by(rows.select("source", "source_id", label.alias("label")).filter("label IS NOT NULL"), ["source", "source_id"], "label")
+    return first_by(rows.select("source", "source_id", label.alias("label"), "_at").filter("label IS NOT NULL"), ["source", "source_id"], "_at", "label").drop("_at")

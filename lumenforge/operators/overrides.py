@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lumenforge.functions import ids
 from lumenforge.functions.astrometry import cartesian
 from lumenforge.functions.flags import DIST_SOURCE, DIST_VALID
 from lumenforge.functions.nulls import number, or_null
-from lumenforge.operators.common import conform, fail_if
+from lumenforge.operators.common import conform, without
 from lumenforge.operators.schemas import DENSE, OVERRIDE_EXTRA
 
 ACTIONS = ("add", "replace", "drop")
@@ -32,19 +32,23 @@ def override_rows(raw: DataFrame) -> DataFrame:
         or_null(raw, "override_id", "string").alias("override_id"), ids.source_name(F.col("action")).alias("action"), or_null(raw, "override_reason", "string").alias("override_reason"),
         or_null(raw, "override_policy_version", "string").alias("override_policy_version"), (~drop & count.isin(1, 2)).alias("_partial"),
     )
-    fail_if(rows.filter("_partial"), lambda r: f"override {r['override_id']}: x, y and z come together or not at all")
-    fail_if(rows.filter("action <> 'drop' AND (mag_abs IS NULL OR teff IS NULL OR ra_deg IS NULL OR dec_deg IS NULL OR r_pc IS NULL)"), lambda r: f"override {r['override_id']}: incomplete")
+    named = lambda text: F.concat(F.lit("override "), F.coalesce("override_id", F.lit("NULL")), F.lit(f": {text}"))
+    rows = without(rows, F.col("_partial"), named("x, y and z come together or not at all"))
+    rows = without(rows, F.expr("action <> 'drop' AND (mag_abs IS NULL OR teff IS NULL OR ra_deg IS NULL OR dec_deg IS NULL OR r_pc IS NULL)"), named("incomplete"))
     return conform(rows, {**DENSE, **OVERRIDE_EXTRA})
 
 
-def split_overrides(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(targets: replace and drop, adds), with canonical keys; unknown actions, two overrides of one target, one override_id
-    on two targets and drops with a payload are errors."""
+def checked_overrides(rows: DataFrame) -> DataFrame:
+    """rows with canonical actions, sources and keys; unknown actions, two overrides of one target, one override_id on two targets and
+    drops with a payload fail the job that reads them."""
     rows = rows.withColumn("action", ids.source_name(F.col("action"))).withColumn("key", ids.key(F.col("source"), F.col("source_id"))).withColumn("source", ids.source_name(F.col("source")))
-    fail_if(rows.filter(~F.coalesce(F.col("action").isin(*ACTIONS), F.lit(False))), lambda r: f"override {r['override_id']}: action {r['action']}")
+    named = F.coalesce("override_id", F.lit("NULL"))
+    rows = without(rows, ~F.coalesce(F.col("action").isin(*ACTIONS), F.lit(False)), F.concat(F.lit("override "), named, F.lit(": action "), F.coalesce("action", F.lit("NULL"))))
     payload = [c for c in DENSE if c not in ("source", "source_id")]
-    fail_if(rows.filter((F.col("action") == "drop") & F.coalesce(*(F.col(c).cast("string") for c in payload)).isNotNull()), lambda r: f"override {r['override_id']}: a drop has no payload")
-    targets, adds = rows.filter("action <> 'add'"), rows.filter("action = 'add'")
-    fail_if(targets.groupBy("source", "key").count().filter("count > 1"), lambda r: f"two overrides of {r['source']} {r['key']}")
-    fail_if(targets.groupBy("override_id").count().filter("count > 1"), lambda r: f"override_id {r['override_id']} is on two targets")
-    return targets, adds
+    rows = without(rows, (F.col("action") == "drop") & F.coalesce(*(F.col(c).cast("string") for c in payload)).isNotNull(), F.concat(F.lit("override "), named, F.lit(": a drop has no payload")))
+    # overrides are curated by hand: a window over them is small
+    target = F.count_if(F.col("action") != "add")
+    rows = rows.withColumn("_n", target.over(Window.partitionBy("source", "key"))).withColumn("_m", target.over(Window.partitionBy("override_id")))
+    aims = F.col("action") != "add"
+    rows = without(rows, aims & (F.col("_n") > 1), F.concat(F.lit("two overrides of "), F.coalesce("source", F.lit("NULL")), F.lit(" "), F.coalesce("key", F.lit("NULL"))))
+    return without(rows, aims & (F.col("_m") > 1), F.concat(F.lit("override_id "), named, F.lit(" is on two targets"))).drop("_n", "_m")

@@ -71,6 +71,24 @@ names AS (SELECT 1000+p_partkey AS hd, CASE WHEN p_size%3=0 THEN concat(p_name,
     WHEN p_size%3=1 THEN concat(p_name, ' (see HD2)') ELSE '' END AS name FROM part WHERE p_partkey%4=1)"""
 
 
+#: More tables for the adapter: rows that repeat a key with other values, and `seq`, the order in which they are met.
+REPEATED = """,
+xm_rows AS (SELECT gaia_source_id, hip_source_id, number_of_neighbours, angular_distance, hip_source_id*8 AS seq FROM xmatch
+  UNION ALL SELECT gaia_source_id, hip_source_id, number_of_neighbours + 1, angular_distance + 1, hip_source_id*8 - 19 FROM xmatch WHERE hip_source_id%7=0
+  UNION ALL SELECT gaia_source_id, hip_source_id, number_of_neighbours + 2, angular_distance + 2, hip_source_id*8 + 13 FROM xmatch WHERE hip_source_id%11=0),
+hip_rows AS (SELECT hip, sn, rarad, derad, plx, e_plx, pmra, pmde, hpmag, bv, hip*8 AS seq FROM hip_raw
+  UNION ALL SELECT hip, sn, rarad, derad, plx*2, e_plx, pmra, pmde, hpmag + 1, bv, hip*8 + 13 FROM hip_raw WHERE hip%9=2
+  UNION ALL SELECT hip, sn, rarad, derad, plx*3, e_plx, pmra, pmde, hpmag + 2, bv, hip*8 - 19 FROM hip_raw WHERE hip%5=2),
+hd_rows AS (SELECT hip, hd, hip*8 AS seq FROM hip_hd UNION ALL SELECT hip, hd + 100000, hip*8 - 19 FROM hip_hd WHERE hip%6=1),
+star_rows AS (SELECT hip, hd, bayer, fl, cst, hip*8 AS seq FROM iv27a UNION ALL SELECT hip, hd, 'bet', fl + 1, cst, hip*8 + 13 FROM iv27a WHERE hip%10=1
+  UNION ALL SELECT hip, hd, 'gam', fl + 2, cst, hip*8 - 19 FROM iv27a WHERE hip%14=1),
+name_rows AS (SELECT hd, name, hd*8 AS seq FROM names UNION ALL SELECT hd, concat('Zz ', name), hd*8 - 19 FROM names WHERE hd%9=2),
+link_rows AS (SELECT gaia_source_id, hip_source_id, hip_source_id*8 AS seq FROM xmatch UNION ALL SELECT gaia_source_id - 1, hip_source_id, hip_source_id*8 + 13 FROM xmatch WHERE hip_source_id%5=3),
+own_rows AS (SELECT 'hip' AS source, CAST(p_partkey + 1 AS STRING) AS source_id, concat('Star ', p_name) AS proper_name, p_partkey*2 AS seq FROM part WHERE p_partkey%50=4
+  UNION ALL SELECT 'hip', CAST(p_partkey + 1 AS STRING), concat('A ', p_name), p_partkey*2 + 1 FROM part WHERE p_partkey%100=4
+  UNION ALL SELECT 'manual', concat('m', CAST(p_partkey AS STRING)), 'Named', p_partkey*2 FROM part WHERE p_partkey%70=6)"""
+
+
 def frame(spark: SparkSession, sf_dir: str, query: str) -> DataFrame:
     """A query over the adapter's tables: gaia_raw, hip_raw, xmatch, ov, hip_hd, iv27a, names."""
     for name in TABLES:

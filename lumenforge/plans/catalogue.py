@@ -19,9 +19,10 @@ from lumenforge.operators.overrides import override_rows
 from lumenforge.operators.quality import audit_summary, issue_counts, quality_issues
 from lumenforge.operators.sidecars import derived
 from lumenforge.operators.source import DISTANCE_COLUMNS, PARAMETER_COLUMNS, SOURCE_COLUMNS, source_rows
-from lumenforge.plans.adapter import frame
-from lumenforge.sources.staging import scratch_path, staged
-from lumenforge.sources.tables import write_by_pixel, write_sidecars
+from lumenforge.plans.adapter import REPEATED, frame
+from lumenforge.sources.ecsv import read_ecsv, write_ecsv
+from lumenforge.sources.staging import at_once, scratch_path, staged
+from lumenforge.sources.tables import read_by_pixel, with_input_order, write_by_pixel, write_sidecars
 
 CARRY = (
     CarryField("parallax_mas", "float64", "input", "parallax"), CarryField("ruwe_rounded", "int64", "input", "ruwe"), CarryField("bp_rp", "float64", "stage"), CarryField("absent", "string"),
@@ -48,10 +49,9 @@ def _hip_raw(spark: SparkSession, sf: str) -> DataFrame:
 
 def _pairs(spark: SparkSession, sf: str) -> DataFrame:
     """Ids as text, some with a decimal point; repeated and invalid rows beside them."""
-    good = frame(spark, sf, XMATCH.format(id="CASE WHEN hip_source_id % 3 = 0 THEN concat(CAST(gaia_source_id AS STRING), '.0') ELSE CAST(gaia_source_id AS STRING) END"))
-    again = frame(spark, sf, XMATCH.format(id="CAST(gaia_source_id AS STRING)")).filter("CAST(original_ext_source_id AS LONG) % 7 = 0")
-    bad = frame(spark, sf, XMATCH.format(id="'-1'")).unionByName(frame(spark, sf, XMATCH.format(id="'14.5'"))).unionByName(frame(spark, sf, XMATCH.format(id="'x'")))
-    return crossmatch_map(good.unionByName(again).unionByName(bad))
+    good = "CASE WHEN hip_source_id % 3 = 0 THEN concat(CAST(gaia_source_id AS STRING), '.0') ELSE CAST(gaia_source_id AS STRING) END"
+    again = "CASE WHEN hip_source_id % 7 = 0 THEN CAST(gaia_source_id AS STRING) ELSE '-1' END"
+    return crossmatch_map(frame(spark, sf, XMATCH.format(id=f"explode(array({good}, {again}, '-1', '14.5', 'x'))")))
 
 
 def _overrides(spark: SparkSession, sf: str) -> DataFrame:
@@ -65,19 +65,49 @@ def _identifiers(spark: SparkSession, sf: str) -> DataFrame:
     return identifier_rows(hd, stars, names, _pairs(spark, sf))
 
 
+def _stages(spark: SparkSession, sf: str, carry: tuple[CarryField, ...] = ()) -> list[DataFrame]:
+    """The merge's inputs, each written once, side by side."""
+    made = _gaia(spark, sf, carry=carry), hip_stage(_hip_raw(spark, sf)), _pairs(spark, sf), _overrides(spark, sf)
+    return at_once(spark, *(lambda df=df: staged(df, "stage") for df in made))
+
+
 def _merged(spark: SparkSession, sf: str) -> Merged:
     carry = (CarryField("parallax_mas", "float64", "input", "parallax"), CarryField("bp_rp", "float64", "stage"))
-    inputs = (_gaia(spark, sf, carry=carry), hip_stage(_hip_raw(spark, sf)), _pairs(spark, sf), _overrides(spark, sf))
-    return _inputs_merged(*(staged(df, "stage") for df in inputs))
+    return merge(*_stages(spark, sf, carry))
+
+
+def _through_ecsv(spark: SparkSession, sf: str, select: str) -> DataFrame:
+    """A selection from the tables that repeat rows, written as ECSV files in the order of its `seq` and read again: only the files
+    and their lines say where a row came."""
+    path = scratch_path(spark, "ecsv")
+    rows = frame(spark, sf, f"{REPEATED} {select}")
+    write_ecsv(rows.repartitionByRange(4, "seq").sortWithinPartitions("seq").drop("seq"), path)
+    return with_input_order(read_ecsv(spark, path))
+
+
+def _identifiers_ordered(spark: SparkSession, sf: str) -> DataFrame:
+    hd = _through_ecsv(spark, sf, "SELECT hip AS HIP, hd AS HD, seq FROM hd_rows")
+    stars = _through_ecsv(spark, sf, "SELECT hip AS HIP, hd AS HD, bayer AS Bayer, fl AS Fl, cst AS Cst, seq FROM star_rows")
+    names = _through_ecsv(spark, sf, "SELECT hd AS HD, name AS Name, seq FROM name_rows")
+    links = _through_ecsv(spark, sf, "SELECT gaia_source_id, hip_source_id, seq FROM link_rows")
+    own = _through_ecsv(spark, sf, "SELECT source, source_id, proper_name, seq FROM own_rows")
+    return identifier_rows(hd, stars, names, links, own)
+
+
+def _labels_ordered(spark: SparkSession, sf: str) -> DataFrame:
+    return labels(with_input_order(staged(_identifiers_ordered(spark, sf), "identifiers")))
 
 
-def _inputs_merged(*inputs: DataFrame) -> Merged:
-    return merge(*inputs, keep=lambda df: staged(df, "joined"))
+def _merged_ordered(spark: SparkSession, sf: str) -> DataFrame:
+    hip = _through_ecsv(spark, sf, "SELECT hip AS HIP, sn AS Sn, rarad AS RArad, derad AS DErad, plx AS Plx, e_plx AS e_Plx, pmra AS pmRA, pmde AS pmDE, hpmag AS Hpmag, bv AS `B-V`, seq FROM hip_rows")
+    pairs = _through_ecsv(spark, sf, "SELECT gaia_source_id, hip_source_id, number_of_neighbours, angular_distance, seq FROM xm_rows")
+    made = _gaia(spark, sf), hip_stage(hip), pairs, _overrides(spark, sf)
+    return merge(*at_once(spark, *(lambda df=df: staged(df, "stage") for df in made))).dense
 
 
 def _issues(spark: SparkSession, sf: str) -> DataFrame:
-    gaia, hip, pairs, overrides = (staged(df, "stage") for df in (_gaia(spark, sf), hip_stage(_hip_raw(spark, sf)), _pairs(spark, sf), _overrides(spark, sf)))
-    m = _inputs_merged(gaia, hip, pairs, overrides)
+    gaia, hip, pairs, overrides = _stages(spark, sf)
+    m = merge(gaia, hip, pairs, overrides)
     return quality_issues(m.decisions, gaia, hip, m.dense, overrides, labels(_identifiers(spark, sf)), LIMITS)
 
 
@@ -101,19 +131,22 @@ def _source_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 def _summary(spark: SparkSession, sf: str) -> DataFrame:
     """The audit's summary, with its maps as text."""
-    gaia, hip, pairs, overrides = (staged(df, "stage") for df in (_gaia(spark, sf), hip_stage(_hip_raw(spark, sf)), _pairs(spark, sf), _overrides(spark, sf)))
-    m = _inputs_merged(gaia, hip, pairs, overrides)
+    gaia, hip, pairs, overrides = _stages(spark, sf)
+    m = merge(gaia, hip, pairs, overrides)
     issues = staged(quality_issues(m.decisions, gaia, hip, m.dense, overrides, None, LIMITS), "issues")
     out = audit_summary(issues, m.decisions, overrides)
     return out.withColumns({c: F.to_json(c) for c, t in out.dtypes if t.startswith("map")})
 
 
 def _pixel_files(spark: SparkSession, sf: str) -> DataFrame:
-    """Dense rows and their derived tables written by pixel and read back: rows of each table and pixel."""
+    """Dense rows and their derived tables written by pixel in two phases and read back: rows of each table and pixel, and its writes."""
     m, path = _merged(spark, sf), scratch_path(spark, "pixels")
-    write_by_pixel(m.dense, f"{path}/dense", rows_per_file=1_000)
-    names = write_sidecars(m.sidecar, path)
-    read = [spark.read.parquet(f"{path}/{name}").groupBy("healpix_pixel").agg(F.count("*").alias("n")).withColumn("table_name", F.lit(name)) for name in ("dense", *names)]
+    dense, sidecar = rounded(m.dense), rounded(m.sidecar)
+    first = F.col("source") == "gaia"
+    for phase, rows, mode in (("gaia", first, "errorifexists"), ("others", ~first, "append")):
+        write_by_pixel(dense.filter(rows), f"{path}/dense", mode=mode, rows_per_file=1_000, phase=phase)
+        names = write_sidecars(sidecar.filter(rows), path, mode=mode, phase=phase)
+    read = [read_by_pixel(spark, f"{path}/{name}", places=True).groupBy("healpix_pixel").agg(F.count("*").alias("n"), F.max("sequence").alias("writes")).withColumn("table_name", F.lit(name)) for name in ("dense", *names)]
     out = read[0]
     for df in read[1:]:
         out = out.unionByName(df)
@@ -165,5 +198,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "teff_colours": lambda s, d: rounded(_colours(s, d)),
         "flag_counts": _decoded,
         "healpix_counts": _pixels,
+        "crossmatch_ordered": lambda s, d: rounded(crossmatch_map(_through_ecsv(s, d, "SELECT gaia_source_id AS source_id, hip_source_id AS original_ext_source_id, number_of_neighbours, angular_distance, seq FROM xm_rows"))),
+        "identifiers_ordered": _identifiers_ordered,
+        "labels_ordered": _labels_ordered,
+        "merge_dense_ordered": lambda s, d: rounded(_merged_ordered(s, d)),
         "tile_counts": lambda s, d: tile_counts(frame(s, d, "SELECT source_id FROM gaia_raw"), 25),
     }

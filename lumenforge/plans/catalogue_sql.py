@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from lumenforge.functions.ids import GREEK
 from lumenforge.operators.schemas import DECISIONS, DENSE, ISSUES
-from lumenforge.plans.adapter import ADAPTER
+from lumenforge.plans.adapter import ADAPTER, REPEATED
 
 _R = lambda c: f"round({c}, 6) + 0.0 AS {c}"
 _DOUBLES = [c for c, t in DENSE.items() if t == "double"]
@@ -157,6 +157,33 @@ faced AS (SELECT source_id, CASE WHEN abs(z) > 2.0/3.0 THEN CASE WHEN z >= 0 THE
 numbered AS (SELECT source_id, CAST(face*64 + (ix&1) + 2*(iy&1) + 4*((ix>>1)&1) + 8*((iy>>1)&1) + 16*((ix>>2)&1) + 32*((iy>>2)&1) AS INTEGER) AS p FROM faced),"""
 
 
+#: The same pixels, of rows that have their place in ra_deg and dec_deg.
+_PLACED = _PIX.replace("SELECT source_id, sin(radians(dec)) AS z, (ra - 360*floor(ra/360))/90 AS t FROM gaia_raw", "SELECT tab, source, sin(radians(dec_deg)) AS z, (ra_deg - 360*floor(ra_deg/360))/90 AS t FROM rows_").replace("SELECT source_id, CASE", "SELECT tab, source, CASE").replace("SELECT source_id, CAST(face", "SELECT tab, source, CAST(face")
+
+
+def _nth(table: str, columns: str, keys: str, order: str) -> str:
+    return f"(SELECT {columns} FROM {table} QUALIFY row_number() OVER (PARTITION BY {keys} ORDER BY {order}) = 1)"
+
+
+#: The identifiers again, over the first row of each key, or the last of a star's links, with the override rows in place of their stars.
+_IDENTIFIERS_ORDERED = (
+    REPEATED
+    + f""",
+hd_one AS {_nth("hd_rows", "hip, hd", "hip", "seq")}, star_one AS {_nth("star_rows", "hip, hd, bayer, fl, cst", "hip", "seq")}, link_one AS {_nth("link_rows", "gaia_source_id, hip_source_id", "hip_source_id", "seq DESC")},"""
+    + _IDENTIFIERS[: _IDENTIFIERS.index("labels AS")].replace("FROM iv27a", "FROM star_one").replace("JOIN hip_hd", "JOIN hd_one").replace("JOIN xmatch", "JOIN link_one")
+    .replace("AS proper_name FROM names)", "AS proper_name, seq FROM name_rows), proper_one AS (SELECT hd, proper_name FROM proper WHERE proper_name IS NOT NULL QUALIFY row_number() OVER (PARTITION BY hd ORDER BY seq) = 1)")
+    .replace("JOIN proper p", "JOIN proper_one p")
+    + """
+all_rows AS (SELECT *, 0 AS seq FROM identifiers i WHERE NOT EXISTS (SELECT 1 FROM own_rows o WHERE o.source = i.source AND o.source_id = i.source_id)
+  UNION ALL SELECT source, source_id, NULL, NULL, NULL, NULL, NULL, NULL, proper_name, seq FROM own_rows)"""
+)
+_MERGE_ORDERED = (
+    REPEATED.lstrip(",") + f""",
+hip_one AS {_nth("hip_rows", "hip, sn, rarad, derad, plx, e_plx, pmra, pmde, hpmag, bv", "hip", "seq DESC")}, xm_one AS {_nth("xm_rows", "gaia_source_id, hip_source_id, number_of_neighbours, angular_distance", "gaia_source_id, hip_source_id", "seq DESC")},"""
+    + _GAIA + _HIP.replace("FROM hip_raw", "FROM hip_one") + _OVERRIDES + _MERGE.replace("JOIN xmatch", "JOIN xm_one")
+)
+
+
 def _query(parts: str, select: str) -> str:
     return f"{ADAPTER},{parts.rstrip().rstrip(',')}\n{select}"
 
@@ -216,5 +243,13 @@ FROM gaia_raw WHERE source_id % 3 <> 2 AND source_id % 5 <> 0 AND (r_med_photoge
         "teff_colours": _query(_GAIA, f"SELECT source_id, {', '.join(_R(c) for c in 'rgb')}, printf('#%02x%02x%02x', CAST(trunc(r) AS INTEGER), CAST(trunc(g) AS INTEGER), CAST(trunc(b) AS INTEGER)) AS colour FROM (SELECT source_id, {rgb} FROM gaia)"),
         "flag_counts": _query(_GAIA, "SELECT quality_flags & 15 AS dist_src, (quality_flags >> 4) & 7 AS teff_src, (quality_flags >> 10) & 3 AS phot_src, quality_flags & 128 <> 0 AS valid, quality_flags & 256 <> 0 AS review, quality_flags & 512 <> 0 AS plausible, count(*) AS n FROM gaia GROUP BY 1,2,3,4,5,6"),
         "healpix_counts": _query(_PIX, "SELECT p AS healpix_pixel, count(*) AS n, min(source_id) AS first_id FROM numbered GROUP BY 1"),
+        "pixel_files": _query(
+            all_merge + "\nrows_ AS (" + " UNION ALL ".join(f"SELECT '{t}' AS tab, source, round(ra_deg, 6) + 0.0 AS ra_deg, round(dec_deg, 6) + 0.0 AS dec_deg FROM {f}" for t, f in (("dense", "dense"), ("gaia_enrichment", "carried"), ("motion", "carried"))) + ")," + _PLACED,
+            "SELECT p AS healpix_pixel, count(*) AS n, CAST(count(DISTINCT source = 'gaia') AS INTEGER) AS writes, tab AS table_name FROM numbered GROUP BY p, tab",
+        ),
+        "crossmatch_ordered": f"{ADAPTER}{REPEATED}\nSELECT gaia_source_id, hip_source_id, 'gaia_hip_crossmatch' AS mapping_source, CAST(number_of_neighbours AS SMALLINT) AS number_of_neighbours, round(CAST(CAST(angular_distance AS FLOAT) AS DOUBLE), 6) + 0.0 AS angular_distance FROM {_nth('xm_rows', '*', 'gaia_source_id, hip_source_id', 'seq')}",
+        "identifiers_ordered": f"{ADAPTER}{_IDENTIFIERS_ORDERED}\nSELECT * EXCLUDE (seq) FROM all_rows",
+        "labels_ordered": f"{ADAPTER}{_IDENTIFIERS_ORDERED}\nSELECT source, source_id, label FROM (SELECT source, source_id, seq, coalesce(proper_name, CASE WHEN bayer IS NOT NULL THEN concat_ws(' ', bayer, constellation) END, 'HD ' || hd, 'HIP ' || hip_id) AS label FROM all_rows) WHERE label IS NOT NULL QUALIFY row_number() OVER (PARTITION BY source, source_id ORDER BY seq) = 1",
+        "merge_dense_ordered": _query(_MERGE_ORDERED, _select(DENSE, _DOUBLES, "dense")),
         "tile_counts": f"{ADAPTER}\nSELECT CAST(source_id >> 9 AS INTEGER) AS hp3, count(*) AS n FROM gaia_raw GROUP BY 1",
     }

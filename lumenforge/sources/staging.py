@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
@@ -38,6 +41,12 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+def at_once(spark: SparkSession, *tasks: Callable[[], object]) -> list:
+    """The results of tasks that need nothing of each other, their jobs run side by side: small ones do not wait for a large one."""
+    with ThreadPoolExecutor(len(tasks)) as pool:
+        return [t.result() for t in [pool.submit(inheritable_thread_target(spark)(task)) for task in tasks]]
+
+
 def removed(*tables: DataFrame) -> None:
     """Deletes tables made by staged() that nothing will read again."""
     for df in tables:

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import json
+import uuid
+from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -36,33 +38,130 @@ def with_input_order(df: DataFrame, name: str = "input_order") -> DataFrame:
         return df.withColumn(name, F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("row")))
 
 
+def _at(spark: SparkSession, path: str):
+    """(file system, path) as the JVM has them."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), at
+
+
+def occupied(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file, or a folder that is not empty."""
+    system, at = _at(spark, path)
+    return system.exists(at) and (not system.getFileStatus(at).isDirectory() or len(system.listStatus(at)) > 0)
+
+
+def replaced(spark: SparkSession, path: str, write: Callable[[str], object]):
+    """What write() puts beside `path` takes its place by renaming, once it is whole; whatever fails, the old output is still there.
+    Returns what write() does."""
+    path, token = path.rstrip("/"), uuid.uuid4().hex
+    system, at = _at(spark, path)
+    new, old = (spark._jvm.org.apache.hadoop.fs.Path(f"{path}.{what}-{token}") for what in ("new", "old"))
+    try:
+        out = write(new.toString())
+    except BaseException:
+        system.delete(new, True)
+        raise
+    there = system.exists(at)
+    if there and not system.rename(at, old):
+        system.delete(new, True)
+        raise OSError(f"{path} cannot be renamed")
+    if not system.rename(new, at):
+        if there:
+            system.rename(old, at)
+        raise OSError(f"{new.toString()} cannot be renamed to {path}")
+    system.delete(old, True)
+    return out
+
+
+def guarded(spark: SparkSession, path: str, mode: str, write: Callable[[str], object]):
+    """write(path) where nothing is yet. Where something is: an error (errorifexists), nothing at all (ignore), or a replacement
+    (overwrite)."""
+    if mode not in ("errorifexists", "ignore", "overwrite"):
+        raise ValueError(f"mode {mode!r}")
+    if mode != "overwrite" and occupied(spark, path):
+        if mode == "ignore":
+            return None
+        raise FileExistsError(f"{path} already exists")
+    return replaced(spark, path, write)
+
+
 def write_table(df: DataFrame, path: str, mode: str = "errorifexists", partitions: int | None = None) -> None:
-    """mode: errorifexists, overwrite, or ignore (keep what is there). partitions: files, for small tables."""
-    (df.coalesce(partitions) if partitions else df).write.mode(mode).option("compression", "zstd").parquet(path)
+    """mode: errorifexists, overwrite (the old table is there until the new one is whole), or ignore (keep what is there).
+    partitions: files, for small tables."""
+    out = df.coalesce(partitions) if partitions else df
+    guarded(df.sparkSession, path, mode, lambda to: out.write.option("compression", "zstd").parquet(to))
+
+
+#: The log of a folder by pixel: a table of (healpix_pixel, sequence, phase, write, rows) for each write, in folders numbered from 1.
+MANIFEST = "_manifest"
+MANIFEST_SCHEMA = "healpix_pixel int, sequence int, phase string, write string, rows long"
 
 
-def write_by_pixel(df: DataFrame, path: str, order: int = 3, mode: str = "errorifexists", rows_per_file: int = 5_000_000, without: tuple[str, ...] = ()) -> None:
-    """One folder a pixel of (ra_deg, dec_deg), in as many files as its rows ask for: a crowded pixel is dealt to several tasks.
+def pixel_manifest(spark: SparkSession, path: str) -> DataFrame:
+    """What the writes that were committed put where: healpix_pixel, sequence (from 1 in each pixel), phase, write, rows."""
+    system, at = _at(spark, f"{path}/{MANIFEST}")
+    found = [f.getPath().toString() for f in system.listStatus(at) if f.getPath().getName().isdigit()] if system.exists(at) else []
+    return spark.read.schema(MANIFEST_SCHEMA).parquet(*found) if found else spark.createDataFrame([], MANIFEST_SCHEMA)
 
-    What is broadcast is a count a pixel, 12 * 4^order rows at most. `without`: columns that only place a row.
+
+def _committed(spark: SparkSession, path: str, entries: DataFrame) -> None:
+    """entries as the next folder of the log: a rename, which fails if another write took the number."""
+    system, at = _at(spark, f"{path}/{MANIFEST}")
+    names = [f.getPath().getName() for f in system.listStatus(at)] if system.exists(at) else []
+    number = 1 + max((int(n) for n in names if n.isdigit()), default=0)
+    made = f"{path}/{MANIFEST}/.{uuid.uuid4().hex}"
+    entries.coalesce(1).write.parquet(made)
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    target = hadoop(f"{path}/{MANIFEST}/{number:08d}")
+    if system.exists(target) or not system.rename(hadoop(made), target):
+        system.delete(hadoop(made), True)
+        raise OSError(f"{path}: write {number} was committed by another")
+
+
+def write_by_pixel(df: DataFrame, path: str, order: int = 3, mode: str = "errorifexists", rows_per_file: int = 5_000_000, without: tuple[str, ...] = (), phase: str = "rows") -> None:
+    """A folder a pixel of (ra_deg, dec_deg), and in it one for each write that had rows there: its sequence in the pixel, its phase and
+    its own name. `mode` is as in write_table(), or append, which goes on with the sequences of the writes before it.
+
+    Spark's rebalancing deals a crowded pixel to several tasks and small pixels to one, by size, in the job that writes. A write counts once the
+    log names it; what one that failed has left is never read. `without`: columns that only place a row.
     """
-    rows = with_pixel(df, order)
-    files = rows.groupBy("healpix_pixel").agg(F.ceil(F.count("*") / rows_per_file).alias("files"))
-    dealt = rows.join(F.broadcast(files), rows["healpix_pixel"].eqNullSafe(files["healpix_pixel"])).drop(files["healpix_pixel"])
-    dealt = dealt.withColumn("file", F.pmod(F.xxhash64("source", "source_id"), F.col("files")))
-    dealt.repartition("healpix_pixel", "file").drop("files", "file", *without).write.mode(mode).option("compression", "zstd").partitionBy("healpix_pixel").parquet(path)
+    spark = df.sparkSession
+
+    def write(to: str) -> None:
+        token = uuid.uuid4().hex
+        last = pixel_manifest(spark, to).groupBy("healpix_pixel").agg(F.max("sequence").alias("last"))
+        # a row a pixel, 12 * 4^order at most
+        rows = with_pixel(df, order)
+        placed = rows.join(F.broadcast(last), rows["healpix_pixel"].eqNullSafe(last["healpix_pixel"]), "left").drop(last["healpix_pixel"])
+        placed = placed.withColumns({"sequence": F.coalesce(F.col("last"), F.lit(0)) + 1, "phase": F.lit(phase), "write": F.lit(token)}).drop("last", *without)
+        keys = ("healpix_pixel", "sequence", "phase", "write")
+        placed.hint("rebalance", "healpix_pixel").write.mode("append").option("compression", "zstd").option("maxRecordsPerFile", rows_per_file).partitionBy(*keys).parquet(to)
+        body = [c for c in placed.columns if c not in keys]
+        schema = placed.select(*body, *keys).schema
+        entries = spark.read.schema(schema).parquet(to).filter(F.col("write") == token).groupBy(*keys).agg(F.count("*").alias("rows"))
+        _committed(spark, to, entries.select(*(F.col(c).cast(t) for c, t in (x.split() for x in MANIFEST_SCHEMA.split(", ")))))
+
+    write(path) if mode == "append" else guarded(spark, path, mode, write)
+
+
+def read_by_pixel(spark: SparkSession, path: str, places: bool = False) -> DataFrame:
+    """The rows of all committed writes, with healpix_pixel; with `places` also sequence and phase."""
+    writes = [r["write"] for r in pixel_manifest(spark, path).select("write").distinct().collect()]  # one a write
+    rows = spark.read.parquet(path)
+    return rows.filter(F.col("write").isin(writes)).drop("write", *(() if places else ("sequence", "phase")))
 
 
-def write_sidecars(sidecar: DataFrame, path: str, order: int = 3, mode: str = "errorifexists", maps: dict[str, dict[str, str]] | None = None) -> list[str]:
+def write_sidecars(sidecar: DataFrame, path: str, order: int = 3, mode: str = "errorifexists", maps: dict[str, dict[str, str]] | None = None, phase: str = "rows") -> list[str]:
     """The tables of sidecar_tables() in folders of their names, each by pixel; returns the names."""
     tables = sidecar_tables(sidecar, maps)
     for name, df in tables.items():
-        write_by_pixel(df, f"{path.rstrip('/')}/{name}", order, mode, without=PLACE)
+        write_by_pixel(df, f"{path.rstrip('/')}/{name}", order, mode, without=PLACE, phase=phase)
     return list(tables)
 
 
 def write_report(report: DataFrame, path: str) -> dict:
     """A one-row table as JSON with sorted keys, through Spark's writer; returns it."""
-    row = report.first().asDict()
-    report.sparkSession.createDataFrame([(json.dumps(row, indent=2, sort_keys=True),)], "value string").coalesce(1).write.mode("overwrite").text(path)
+    row, spark = report.first().asDict(), report.sparkSession
+    lines = spark.createDataFrame([(json.dumps(row, indent=2, sort_keys=True),)], "value string").coalesce(1)
+    replaced(spark, path, lambda to: lines.write.text(to))
     return row

@@ -302,17 +302,90 @@ def test_tables_by_pixel_come_back_whole(spark, tmp_path):
         check_report(m.report.first().asDict() | {"rows_emitted_total": 1})
     path = str(tmp_path / "out")
     tables.write_by_pixel(m.dense, f"{path}/dense", rows_per_file=2)
-    back = spark.read.parquet(f"{path}/dense")
+    back = tables.read_by_pixel(spark, f"{path}/dense")
     assert back.count() == m.dense.count() and back.select("source", "source_id").distinct().count() == m.dense.count()
     assert tables.write_sidecars(m.sidecar, path) == ["gaia_enrichment", "motion"]
-    assert spark.read.parquet(f"{path}/motion").columns == ["source", "source_id", "gaia_source_id", "parallax_mas", "healpix_pixel"]
-    placed = back.filter("source = 'gaia'").select("source_id", "healpix_pixel").exceptAll(spark.read.parquet(f"{path}/gaia_enrichment").select("source_id", "healpix_pixel"))
-    assert placed.count() == 0 and spark.read.parquet(f"{path}/gaia_enrichment").count() == gaia.count()
+    assert tables.read_by_pixel(spark, f"{path}/motion").columns == ["source", "source_id", "gaia_source_id", "parallax_mas", "healpix_pixel"]
+    placed = back.filter("source = 'gaia'").select("source_id", "healpix_pixel").exceptAll(tables.read_by_pixel(spark, f"{path}/gaia_enrichment").select("source_id", "healpix_pixel"))
+    assert placed.count() == 0 and tables.read_by_pixel(spark, f"{path}/gaia_enrichment").count() == gaia.count()
     with pytest.raises(Exception, match="already exists"):
         tables.write_by_pixel(m.dense, f"{path}/dense")
     assert m.decisions.count() == 0 and sidecars.sidecar_tables(m.sidecar.select("source", "source_id", "gaia_source_id", "ra_deg", "dec_deg")) == {}
 
 
+def test_pixels_go_on_across_writes(spark, tmp_path):
+    star = lambda ids, ra: spark.createDataFrame([(f"s{k}", ra, 1.0) for k in ids], "source_id string, ra_deg double, dec_deg double").withColumn("source", F.lit("hip"))
+    path = str(tmp_path / "stars")
+    tables.write_by_pixel(star(range(5), 10.0).unionByName(star(range(5, 7), 200.0)), path, phase="gaia", rows_per_file=2)
+    # a write that fails, after the first of two has put its rows, counts for nothing
+    bad = star([90], 10.0).withColumn("source_id", F.raise_error(F.lit("no")).cast("string"))
+    with pytest.raises(Exception, match="no"):
+        tables.write_by_pixel(bad, path, mode="append", phase="hip")
+    star([91], 10.0).withColumns({"healpix_pixel": F.lit(304), "sequence": F.lit(2), "phase": F.lit("hip"), "write": F.lit("lost")}).write.mode("append").partitionBy("healpix_pixel", "sequence", "phase", "write").parquet(path)
+    tables.write_by_pixel(star(range(7, 10), 10.0), path, mode="append", phase="hip")
+    got = tables.read_by_pixel(spark, path, places=True).select("source_id", "sequence", "phase", "healpix_pixel").collect()
+    assert sorted((r["source_id"], r["sequence"], r["phase"]) for r in got) == [(f"s{k}", 1, "gaia") for k in range(7)] + [(f"s{k}", 2, "hip") for k in range(7, 10)]
+    entries = tables.pixel_manifest(spark, path).collect()
+    assert sorted((r["sequence"], r["phase"], r["rows"]) for r in entries) == [(1, "gaia", 2), (1, "gaia", 5), (2, "hip", 3)]
+    assert {r["healpix_pixel"] for r in got} == {r["healpix_pixel"] for r in entries} and len({r["write"] for r in entries}) == 2
+    with pytest.raises(FileExistsError):
+        tables.write_by_pixel(star([1], 10.0), path)
+    tables.write_by_pixel(star([1], None), path, mode="overwrite")
+    assert [tuple(r) for r in tables.read_by_pixel(spark, path, places=True).select("source_id", "sequence", "healpix_pixel").collect()] == [("s1", 1, None)]
+
+
+def test_a_replacement_that_fails_leaves_the_old_table(spark, tmp_path):
+    path = str(tmp_path / "table")
+    tables.write_table(spark.range(3), path)
+    bad = spark.range(3).withColumn("id", F.when(F.col("id") == 2, F.raise_error(F.lit("broken"))).otherwise(F.col("id")))
+    with pytest.raises(Exception, match="broken"):
+        tables.write_table(bad, path, mode="overwrite")
+    assert spark.read.parquet(path).count() == 3 and [p.name for p in tmp_path.iterdir()] == ["table"]
+    # a table may replace itself
+    tables.write_table(spark.read.parquet(path).filter("id > 0"), path, mode="overwrite")
+    assert sorted(r["id"] for r in spark.read.parquet(path).collect()) == [1, 2] and [p.name for p in tmp_path.iterdir()] == ["table"]
+    (tmp_path / "empty").mkdir()
+    tables.write_table(spark.range(1), str(tmp_path / "empty"))  # an empty folder is no output
+    assert tables.occupied(spark, str(tmp_path / "empty")) and not tables.occupied(spark, str(tmp_path / "nothing"))
+    with pytest.raises(ValueError, match="mode"):
+        tables.write_table(spark.range(1), path, mode="other")
+
+
+def test_dropped_rows_are_counted_by_the_write(spark, tmp_path):
+    from pyspark.sql import Observation
+
+    raw = frame(spark, SMALL, "SELECT hip AS HIP, sn AS Sn, rarad AS RArad, derad AS DErad, plx AS Plx, e_plx AS e_Plx, pmra AS pmRA, pmde AS pmDE, hpmag AS Hpmag, bv AS `B-V` FROM hip_raw")
+    seen = Observation("hip")
+    tables.write_table(hip_stage(raw, observation=seen), str(tmp_path / "hip"))
+    kept = spark.read.parquet(str(tmp_path / "hip")).count()
+    assert seen.get == {"rows": raw.count(), "dropped": raw.count() - kept} and seen.get["dropped"] > 0
+
+
+def test_only_linked_rows_are_joined(spark, monkeypatch):
+    """With broadcasts off, what is shuffled for the join is what the bit filter lets through."""
+    from lumenforge.operators import merge as merging
+
+    ids = spark.range(0, 50_000, 50).select(F.col("id"))
+    words = merging.id_filter(ids, 1 << 16)
+    assert words.count() == 1
+    passed = spark.range(50_000).filter(merging.may_hold(words.scalar(), F.col("id"), 1 << 16))
+    assert ids.join(passed, "id", "left_anti").count() == 0 and passed.count() < 3_000
+    gaia, hip = _inputs(spark)
+    pairs = spark.createDataFrame([(r["source_id"], k + 1) for k, r in enumerate(gaia.orderBy("source_id").limit(5).collect())], "gaia_source_id long, hip_source_id long")
+    none = override_rows(spark.createDataFrame([], "override_id string, action string, source string, source_id string"))
+    seen = {}
+    monkeypatch.setattr(merging, "staged", lambda df, name, old=merging.staged: seen.setdefault(name, old(df, name)))
+    monkeypatch.setattr(merging, "removed", lambda *tables: None)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        m = merge(gaia, hip, pairs, none)
+        assert seen["linked"].count() < 20 and seen["unlinked"].count() > 450
+        check_report(m.report.first().asDict())
+        assert m.report.first()["gaia_rows_total"] == 500 and m.report.first()["matched_pairs_scored"] > 0
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_merges_that_are_refused(spark):
     gaia, hip = _inputs(spark)
     none = override_rows(spark.createDataFrame([], "override_id string, action string, source string, source_id string"))
