@@ -118,9 +118,15 @@ def _committed(spark: SparkSession, path: str, entries: DataFrame) -> None:
         raise OSError(f"{path}: write {number} was committed by another")
 
 
+def _named(rows: DataFrame) -> DataFrame:
+    """rows with what the name of their part says: sequence, phase and write."""
+    said = {"sequence": F.left("part", F.lit(6)).cast("int"), "phase": F.regexp_extract("part", r"^\d+_(.*)_[0-9a-f]+$", 1), "write": F.substring_index("part", "_", -1)}
+    return rows.withColumns(said).drop("part")
+
+
 def write_by_pixel(df: DataFrame, path: str, order: int = 3, mode: str = "errorifexists", rows_per_file: int = 5_000_000, without: tuple[str, ...] = (), phase: str = "rows") -> None:
-    """A folder a pixel of (ra_deg, dec_deg), and in it one for each write that had rows there: its sequence in the pixel, its phase and
-    its own name. `mode` is as in write_table(), or append, which goes on with the sequences of the writes before it.
+    """A folder a pixel of (ra_deg, dec_deg), and in it one for each write that had rows there, named by its sequence in the pixel, its
+    phase and its own name. `mode` is as in write_table(), or append, which goes on with the sequences of the writes before it.
 
     Spark's rebalancing deals a crowded pixel to several tasks and small pixels to one, by size, in the job that writes. A write counts once the
     log names it; what one that failed has left is never read. `without`: columns that only place a row.
@@ -133,12 +139,12 @@ def write_by_pixel(df: DataFrame, path: str, order: int = 3, mode: str = "errori
         # a row a pixel, 12 * 4^order at most
         rows = with_pixel(df, order)
         placed = rows.join(F.broadcast(last), rows["healpix_pixel"].eqNullSafe(last["healpix_pixel"]), "left").drop(last["healpix_pixel"])
-        placed = placed.withColumns({"sequence": F.coalesce(F.col("last"), F.lit(0)) + 1, "phase": F.lit(phase), "write": F.lit(token)}).drop("last", *without)
-        keys = ("healpix_pixel", "sequence", "phase", "write")
-        placed.hint("rebalance", "healpix_pixel").write.mode("append").option("compression", "zstd").option("maxRecordsPerFile", rows_per_file).partitionBy(*keys).parquet(to)
-        body = [c for c in placed.columns if c not in keys]
-        schema = placed.select(*body, *keys).schema
-        entries = spark.read.schema(schema).parquet(to).filter(F.col("write") == token).groupBy(*keys).agg(F.count("*").alias("rows"))
+        name = F.format_string(f"%06d_{phase}_{token}", F.coalesce(F.col("last"), F.lit(0)) + 1)
+        placed = placed.withColumn("part", name).drop("last", *without)
+        placed.hint("rebalance", "healpix_pixel").write.mode("append").option("compression", "zstd").option("maxRecordsPerFile", rows_per_file).partitionBy("healpix_pixel", "part").parquet(to)
+        # only the counts in the files' footers are read
+        there = spark.read.schema("healpix_pixel int, part string").parquet(to).filter(F.col("part").endswith(token))
+        entries = _named(there.groupBy("healpix_pixel", "part").agg(F.count("*").alias("rows")))
         _committed(spark, to, entries.select(*(F.col(c).cast(t) for c, t in (x.split() for x in MANIFEST_SCHEMA.split(", ")))))
 
     write(path) if mode == "append" else guarded(spark, path, mode, write)
@@ -148,7 +154,8 @@ def read_by_pixel(spark: SparkSession, path: str, places: bool = False) -> DataF
     """The rows of all committed writes, with healpix_pixel; with `places` also sequence and phase."""
     writes = [r["write"] for r in pixel_manifest(spark, path).select("write").distinct().collect()]  # one a write
     rows = spark.read.parquet(path)
-    return rows.filter(F.col("write").isin(writes)).drop("write", *(() if places else ("sequence", "phase")))
+    committed = rows.filter(F.substring_index("part", "_", -1).isin(writes))  # on the folders' names alone: others are not read
+    return _named(committed).drop("write") if places else committed.drop("part")
 
 
 def write_sidecars(sidecar: DataFrame, path: str, order: int = 3, mode: str = "errorifexists", maps: dict[str, dict[str, str]] | None = None, phase: str = "rows") -> list[str]:

@@ -321,7 +321,7 @@ def test_pixels_go_on_across_writes(spark, tmp_path):
     bad = star([90], 10.0).withColumn("source_id", F.raise_error(F.lit("no")).cast("string"))
     with pytest.raises(Exception, match="no"):
         tables.write_by_pixel(bad, path, mode="append", phase="hip")
-    star([91], 10.0).withColumns({"healpix_pixel": F.lit(304), "sequence": F.lit(2), "phase": F.lit("hip"), "write": F.lit("lost")}).write.mode("append").partitionBy("healpix_pixel", "sequence", "phase", "write").parquet(path)
+    star([91], 10.0).withColumns({"healpix_pixel": F.lit(304), "part": F.lit("000002_hip_" + "0" * 32)}).write.mode("append").partitionBy("healpix_pixel", "part").parquet(path)
     tables.write_by_pixel(star(range(7, 10), 10.0), path, mode="append", phase="hip")
     got = tables.read_by_pixel(spark, path, places=True).select("source_id", "sequence", "phase", "healpix_pixel").collect()
     assert sorted((r["source_id"], r["sequence"], r["phase"]) for r in got) == [(f"s{k}", 1, "gaia") for k in range(7)] + [(f"s{k}", 2, "hip") for k in range(7, 10)]
