@@ -144,8 +144,10 @@ def _pixel_files(spark: SparkSession, sf: str) -> DataFrame:
     dense, sidecar = rounded(m.dense), rounded(m.sidecar)
     first = F.col("source") == "gaia"
     for phase, rows, mode in (("gaia", first, "errorifexists"), ("others", ~first, "append")):
-        write_by_pixel(dense.filter(rows), f"{path}/dense", mode=mode, rows_per_file=1_000, phase=phase)
-        names = write_sidecars(sidecar.filter(rows), path, mode=mode, phase=phase)
+        _, names = at_once(
+            spark, lambda rows=rows, phase=phase, mode=mode: write_by_pixel(dense.filter(rows), f"{path}/dense", mode=mode, rows_per_file=1_000, phase=phase),
+            lambda rows=rows, phase=phase, mode=mode: write_sidecars(sidecar.filter(rows), path, mode=mode, phase=phase),
+        )
     read = [read_by_pixel(spark, f"{path}/{name}", places=True).groupBy("healpix_pixel").agg(F.count("*").alias("n"), F.max("sequence").alias("writes")).withColumn("table_name", F.lit(name)) for name in ("dense", *names)]
     out = read[0]
     for df in read[1:]:

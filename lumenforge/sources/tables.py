@@ -14,6 +14,7 @@ from lumenforge.functions.nulls import nan_to_null
 from lumenforge.operators.common import conform, require
 from lumenforge.operators.merge import with_pixel
 from lumenforge.operators.sidecars import PLACE, sidecar_tables
+from lumenforge.sources.staging import at_once
 
 
 def read_required(spark: SparkSession, path: str, columns, what: str = "table") -> DataFrame:
@@ -161,8 +162,9 @@ def read_by_pixel(spark: SparkSession, path: str, places: bool = False) -> DataF
 def write_sidecars(sidecar: DataFrame, path: str, order: int = 3, mode: str = "errorifexists", maps: dict[str, dict[str, str]] | None = None, phase: str = "rows") -> list[str]:
     """The tables of sidecar_tables() in folders of their names, each by pixel; returns the names."""
     tables = sidecar_tables(sidecar, maps)
-    for name, df in tables.items():
-        write_by_pixel(df, f"{path.rstrip('/')}/{name}", order, mode, without=PLACE, phase=phase)
+    writes = [lambda name=name, df=df: write_by_pixel(df, f"{path.rstrip('/')}/{name}", order, mode, without=PLACE, phase=phase) for name, df in tables.items()]
+    if writes:
+        at_once(sidecar.sparkSession, *writes)
     return list(tables)
 
 
