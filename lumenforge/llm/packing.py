@@ -7,9 +7,9 @@ wherever that raises the sum of squared fills, and bins that empty are closed. B
 packed with those of other groups, round after round, until one group holds what is left or a round leaves more than STALL of the pieces that
 it opened in underfull bins. A group is of bounded size, so any number of documents packs without a task that holds them all.
 
-The search is a heuristic with stated bounds: PASSES passes, in which the emptier half of the underfull bins gives, and each item is
-offered in exchange to the PARTNERS fullest other underfull bins. They bound the work on a group, not what is packed: every piece has a
-place after best fit alone. `sequence_report` says how many sequences came of it and how many the tokens need at least.
+Bins are indexed by what they could take in exchange for nothing, for one item or for two, so each step is the best of all
+that the items of a bin have, whatever the number of bins. The search ends where no step raises the squared fill, or at once where the tokens need that many
+bins anyway. `sequence_report` says how many sequences came of it and how many the tokens need at least.
 
 Null texts are empty documents (only the end id). Nothing is dropped: rows with a null or repeated doc_id are packed each on its own.
 An empty table gives no sequences. Other columns are ignored.
@@ -18,6 +18,7 @@ An empty table gives no sequences. Other columns are ignored.
 from __future__ import annotations
 
 import bisect
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,10 +36,6 @@ CAPACITY = 4096
 GROUP_PIECES = 20_000
 #: Bins at least this full stay as they are between the rounds.
 FULL_SHARE = 0.999
-#: Passes of the local search over a group's underfull bins.
-PASSES = 4
-#: Bins that an item is offered to in exchange.
-PARTNERS = 32
 #: A round that leaves more than this part of its pieces open has nothing left to gain.
 STALL = 0.9
 
@@ -110,67 +107,115 @@ class Bins:
                 bisect.insort(frees, left)
             by_free[left].append(which)
 
-    def improve(self, passes: int = PASSES) -> None:
-        """From the emptiest bin on: its items fill other bins, alone or in exchange for one or two smaller ones.
+    def improve(self) -> None:
+        """Moves and exchanges between underfull bins until none raises the sum of squared fills or no bin can be saved.
 
-        Each step takes f > 0 tokens from the emptier bin to the fuller one, which raises the sum of squared fills.
+        A step takes g > 0 tokens from a bin with f free ones to another and leaves that one r free; the sum rises by 2g(f - r).
         """
-        sizes = self.sizes
-        for _ in range(passes):
+        least = -(-sum(self.sizes) // self.capacity)
+        if len(self.items) <= least:
+            return
+        small = min(self.sizes, default=0)
+        offers = tuple(Offers(self.capacity, k * small) for k in range(3))
+        for b in range(len(self.items)):
+            self._offer(offers, b)
+        filled, changed = len(self.items), True
+        while changed and filled > least:
             changed = False
-            under = sorted((b for b in range(len(self.items)) if self.free[b] > 0 and self.items[b]), key=lambda b: -self.free[b])
-            frees = sorted((self.free[b], b) for b in under)
-            for donor in under[: max(1, len(under) // 2)]:
-                k = 0
-                while k < len(self.items[donor]):
-                    item = self.items[donor][k]
-                    # move: the fullest other bin with room
-                    at = bisect.bisect_left(frees, (sizes[item], -1))
-                    if at < len(frees) and frees[at][1] == donor:
-                        at += 1
-                    if at < len(frees) and self.free[frees[at][1]] <= self.free[donor]:
-                        self._shift(frees, donor, frees[at][1], [item], [])
-                        changed = True
-                        continue
-                    if self._exchange(frees, donor, item):
-                        changed = True
-                    k += 1
-            if not changed:
-                break
+            for donor in sorted((b for b in range(len(self.items)) if self.free[b] > 0 and self.items[b]), key=lambda b: -self.free[b]):
+                while self.items[donor] and self.free[donor] > 0 and (step := self._step(offers, donor)):
+                    other, there, back = step
+                    for b in (donor, other):
+                        for o in offers:
+                            o.withdraw(b)
+                    gain = sum(self.sizes[i] for i in there) - sum(self.sizes[i] for i in back)
+                    self.items[donor] = [i for i in self.items[donor] if i not in there] + back
+                    self.items[other] = [i for i in self.items[other] if i not in back] + there
+                    self.free[donor], self.free[other] = self.free[donor] + gain, self.free[other] - gain
+                    for b in (donor, other):
+                        self._offer(offers, b)
+                    changed = True
+                filled -= not self.items[donor]
         self.items = [x for x in self.items if x]
 
-    def _exchange(self, frees: list[tuple[int, int]], donor: int, item: int) -> bool:
-        """One for one, or one for two: the exchange that leaves the fuller bin fullest, among the fuller bins nearest in size."""
-        sizes, best = self.sizes, None
-        for free, other in frees[:PARTNERS]:
-            if other == donor or free > self.free[donor]:
-                continue
-            own = self.items[other]
-            for a, x in enumerate(own):
-                gain = sizes[item] - sizes[x]
-                if 0 < gain <= free and (best is None or free - gain < best[0]):
-                    best = (free - gain, other, [x])
-                for y in own[a + 1 :]:
-                    both = gain - sizes[y]
-                    if 0 < both <= free and (best is None or free - both < best[0]):
-                        best = (free - both, other, [x, y])
-            if best and best[0] == 0:
+    def _distinct(self, b: int) -> tuple[list[int], list[tuple[int, int]]]:
+        """A bin's items, one of each size, and its pairs of them, one of each two sizes. Distinct sizes of a bin are at most some
+        root of twice the capacity, so neither list grows with its number of items."""
+        by_size: dict[int, list[int]] = {}
+        for i in self.items[b]:
+            by_size.setdefault(self.sizes[i], []).append(i)
+        one = [x[0] for x in by_size.values()]
+        return one, [*itertools.combinations(one, 2), *((x[0], x[1]) for x in by_size.values() if len(x) > 1)]
+
+    def _offer(self, offers: tuple[Offers, Offers, Offers], b: int) -> None:
+        """Lists what an underfull bin gives for something larger: nothing, one item or two."""
+        free, sizes = self.free[b], self.sizes
+        if free > 0 and self.items[b]:
+            one, two = self._distinct(b)
+            for items in ((), *((x,) for x in one), *two):
+                size = sum(sizes[i] for i in items)
+                offers[len(items)].add(b, size + free, size, items)
+
+    def _step(self, offers: tuple[Offers, Offers, Offers], donor: int) -> tuple[int, list[int], list[int]] | None:
+        """(other bin, items that go there, items that come back): the step that raises the squared fill most."""
+        top, value = None, 0
+        one, two = self._distinct(donor)
+        for items in (*((x,) for x in one), *two):
+            size = sum(self.sizes[i] for i in items)
+            for offer in offers[: 4 - len(items)]:  # never two for two
+                found = offer.best(size, donor, self.free[donor], value)
+                if found:
+                    value, other, back = found
+                    top = other, list(items), list(back)
+        return top
+
+
+class Offers:
+    """What bins give for something larger, by reach: the size up to which the thing may be, given up items and free tokens together."""
+
+    def __init__(self, capacity: int, least: int):
+        self.least = least  # that any of them gives up
+        self.by_reach: list[dict[int, dict[int, tuple[int, ...]]]] = [{} for _ in range(capacity + 1)]
+        self.by_bin: dict[int, list[tuple[int, int]]] = {}
+        self.mask = 0  # a bit for each reach that some bin has
+
+    def add(self, b: int, reach: int, size: int, items: tuple[int, ...]) -> None:
+        self.by_reach[reach].setdefault(size, {})[b] = items
+        self.by_bin.setdefault(b, []).append((reach, size))
+        self.mask |= 1 << reach
+
+    def withdraw(self, b: int) -> None:
+        for reach, size in self.by_bin.pop(b, ()):
+            offers = self.by_reach[reach]
+            if size in offers:
+                offers[size].pop(b, None)
+                if not offers[size]:
+                    del offers[size]
+                    if not offers:
+                        self.mask &= ~(1 << reach)
+
+    def best(self, size: int, donor: int, free: int, value: int) -> tuple[int, int, tuple[int, ...]] | None:
+        """(value, bin, items) of the best offer of another bin to a donor with so many free tokens, if it is worth more than `value`.
+
+        From the offers that leave the other bin full on; of those that leave it equally full, the one that gives least.
+        """
+        out, mask = None, (self.mask >> size) & ((1 << free) - 1)
+        while mask:
+            left = (mask & -mask).bit_length() - 1
+            if (size - self.least) * (free - left) <= value:
                 break
-        if best is None:
-            return False
-        self._shift(frees, donor, best[1], [item], best[2])
-        return True
-
-    def _shift(self, frees: list[tuple[int, int]], donor: int, other: int, there: list[int], back: list[int]) -> None:
-        gain = sum(self.sizes[i] for i in there) - sum(self.sizes[i] for i in back)
-        for b, out, into, change in ((donor, there, back, gain), (other, back, there, -gain)):
-            at = bisect.bisect_left(frees, (self.free[b], b))
-            if at < len(frees) and frees[at] == (self.free[b], b):
-                frees.pop(at)
-            self.items[b] = [i for i in self.items[b] if i not in out] + into
-            self.free[b] += change
-            if self.free[b] > 0 and self.items[b]:
-                bisect.insort(frees, (self.free[b], b))
+            offers = self.by_reach[size + left]
+            for give in sorted(offers) if len(offers) > 1 else offers:
+                if give >= size:
+                    break
+                b = next((b for b in offers[give] if b != donor), None)
+                if b is not None:
+                    if (size - give) * (free - left) > value:
+                        value = (size - give) * (free - left)
+                        out = value, b, offers[give][b]
+                    break
+            mask &= mask - 1
+        return out
 
 
 def packed_bins(sizes: list[int], capacity: int = CAPACITY) -> list[list[int]]:

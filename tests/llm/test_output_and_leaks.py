@@ -87,6 +87,56 @@ def test_swaps_never_need_more_bins():
         assert all(sum(sizes[i] for i in b) <= 100 for b in bins.items) and len(bins.items) <= before
 
 
+def fewest(sizes, capacity):
+    """Bins that all items need at least, by trying every place."""
+    sizes, best = sorted(sizes, reverse=True), [len(sizes)]
+
+    def place(k, fills):
+        if len(fills) >= best[0]:
+            return
+        if k == len(sizes):
+            best[0] = len(fills)
+            return
+        for b in {f: b for b, f in enumerate(fills)}.values():
+            if fills[b] + sizes[k] <= capacity:
+                place(k + 1, [f + sizes[k] * (c == b) for c, f in enumerate(fills)])
+        place(k + 1, [*fills, sizes[k]])
+
+    place(0, [])
+    return best[0]
+
+
+def test_small_cases_against_the_fewest_bins():
+    rng, more, fitted = random.Random(4), 0, 0
+    for _ in range(300):
+        sizes = [rng.randrange(10, 45) for _ in range(rng.randrange(0, 12))]
+        least, got = fewest(sizes, 100), len(packing.packed_bins(sizes, 100))
+        bins = packing.Bins(sizes, 100)
+        bins.best_fit()
+        assert least <= got <= len(bins.items)
+        more, fitted = more + got - least, fitted + len(bins.items) - least
+    assert more <= fitted / 2 and more <= 6
+
+
+@pytest.mark.parametrize(("low", "high", "saved"), [(800, 2200, 20), (1000, 1700, 80), (1300, 1400, 10)])
+def test_the_search_saves_bins(low, high, saved):
+    rng = random.Random(1)
+    sizes = [rng.randint(low, high) for _ in range(3_000)]
+    bins = packing.Bins(sizes, 4096)
+    bins.best_fit()
+    fitted = len(bins.items)
+    bins.improve()
+    assert sorted(i for b in bins.items for i in b) == list(range(len(sizes)))
+    assert all(sum(sizes[i] for i in b) <= 4096 for b in bins.items) and len(bins.items) <= fitted - saved
+
+
+def test_bins_of_many_small_items_are_searched():
+    sizes = [3] * 5_000 + [1365] * 40 + [2] * 7 + [4000] * 3
+    got = packing.packed_bins(sizes, 4096)
+    assert sorted(i for b in got for i in b) == list(range(len(sizes))) and all(sum(sizes[i] for i in b) <= 4096 for b in got)
+    assert len(got) == -(-sum(sizes) // 4096)
+
+
 def test_output_of_odd_rows(spark, folder, odd):
     sf, none = folder(documents=odd), folder(documents=odd.slice(0, 0))
     tokens = pfor.op3_token_blocks(spark, sf).collect()
