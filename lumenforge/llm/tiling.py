@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumenforge.llm.shared import table
+from lumenforge.llm.shared import table, written
 from lumenforge.llm.text import LOWER, column, mix, powers, slices, span_hashes, text_bytes, word_spans
 
 MIN_MATCH = 5
@@ -206,8 +206,11 @@ def _leaks(shared, coverage: float):
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) -> DataFrame:
-    """The rows of docs that leak no item, in one pass without a shuffle for each block of items."""
-    for items in item_blocks(benchmark):
+    """The rows of docs that leak no item, in one pass without a shuffle for each block of items.
+
+    Between blocks the rows are written, so that a task has one worker and one block at a time."""
+    for k, items in enumerate(item_blocks(benchmark)):
+        docs = written(docs, "clean") if k else docs
         shared = docs.sparkSession.sparkContext.broadcast(items)
         docs = docs.mapInArrow(_kept(shared, coverage), docs.schema)
     return docs

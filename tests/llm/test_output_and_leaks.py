@@ -307,6 +307,23 @@ def test_repeated_words_take_one_step_each():
     assert sum(n for _, _, n in tiling.tiles(item, other, 5)) == 400
 
 
+def test_blocks_of_items_change_nothing(spark, folder, monkeypatch):
+    rng = random.Random(13)
+    items = [[f"q{rng.randrange(9000)}" for _ in range(30)] for _ in range(6)]
+    texts = [" ".join([f"n{rng.randrange(10**6)}" for _ in range(20)] + (items[k % 8] if k % 8 < 6 else [])) for k in range(40)]
+    sf = folder(documents=documents(*texts, None), benchmark=benchmark(*(" ".join(i) for i in items)))
+    docs, bench = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/benchmark.parquet")
+
+    def found():
+        leaks = sorted((r["doc_id"], r["item_id"], r["coverage"]) for r in tiling.leaks(docs, bench).collect())
+        return leaks, sorted(r["doc_id"] for r in tiling.without_leaks(docs, bench).collect())
+
+    whole = found()
+    assert [x[:2] for x in whole[0]] == [(k, k % 8) for k in range(40) if k % 8 < 6]
+    monkeypatch.setattr(tiling, "BLOCK_WORDS", 60)
+    assert len(list(tiling.item_blocks(bench))) == 3 and found() == whole
+
+
 def test_items_too_short_leak_nothing(spark, folder):
     sf = folder(documents=documents("a walk through Paris in spring", "Paris", "one two three four five"), benchmark=benchmark("Paris", "one two three four", "one two three four five"))
     got = tiling.op9_string_tiling(spark, sf).collect()

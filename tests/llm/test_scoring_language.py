@@ -3,6 +3,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 
@@ -109,6 +110,31 @@ def test_a_sample_holds_rare_languages_and_no_heap_of_copies(spark):
     assert (sample["lang"] == "zz").sum() == 30 and 120 <= len(aa) <= 230 and 0.2 < (aa["text"] == copy).mean() < 0.5
 
 
+def test_filters_decide_as_exact_masks_do(spark):
+    rows = [r for r in pq.read_table(f"{SMALL}/documents.parquet").to_pylist() if r["text"]]
+    texts = pa.array([r["text"] for r in rows], pa.string())
+    of = {}
+    for r in rows:
+        if r["lang"] is not None and zlib.crc32(str(r["doc_id"]).encode()) % 5:
+            values, _, _ = language.grams(pa.array([r["text"]], pa.string()))
+            of.setdefault(r["lang"], Counter()).update(values.tolist())
+    total = {x: sum(c.values()) for x, c in of.items()}
+    most = {g: max(c[g] / total[x] for x, c in of.items()) for g in set().union(*of.values())}
+    known = {x: {g for g, n in c.items() if n >= language.MIN_COUNT and n / total[x] >= language.CHARACTERISTIC * most[g]} for x, c in of.items()}
+    values, offsets, lettered = language.grams(texts)
+    got = {r["doc_id"]: r for r in language.op8_language_masks(spark, SMALL).collect()}
+    agree = decided = 0
+    for k, r in enumerate(rows):
+        mine = values[offsets[k] : offsets[k + 1]].tolist()
+        hits = {x: sum(g in s for g in mine) for x, s in known.items()}
+        first, second = sorted(hits.values(), reverse=True)[:2]
+        if lettered[k] and first > 1.2 * second:  # clear enough that a filter's few false hits cannot turn it
+            decided += 1
+            agree += hits[got[r["doc_id"]]["lang_pred"]] == first
+            assert abs(got[r["doc_id"]]["score"] - first / sum(hits.values())) < 0.1
+    assert decided > 0.8 * len(rows) and agree == decided
+
+
 def test_letterless_texts_are_und(spark, folder, odd):
     got = language.op8_language_masks(spark, folder(documents=odd)).collect()
     assert len(got) == odd.num_rows
