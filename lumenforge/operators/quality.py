@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lumenforge.functions.nulls import INF, or_null, yes
 from lumenforge.operators.common import conform, first_by
 from lumenforge.operators.merge import STANDARD_SOLUTION
 from lumenforge.operators.schemas import ISSUES
+from lumenforge.sources.tables import occupied, write_report, write_table
 
 # Fixed default thresholds
 THRESHOLDS = {"distance": 0.25, "severe_ratio": 2.0, "ruwe": 1.4, "astrometry": 1.0, "extreme_mag": -10.0, "luminous_mag": -8.0, "remote_pc": 20_000.0}
@@ -90,6 +91,15 @@ def quality_issues(decisions: DataFrame, gaia: DataFrame, hip: DataFrame, dense:
     return conform(issues, ISSUES)
 
 
+# Fixed names of the thresholds in a report
+REPORTED = {
+    "distance_disagreement_threshold": "distance", "severe_distance_ratio": "severe_ratio", "ruwe_threshold": "ruwe", "high_astrometry_quality": "astrometry",
+    "extreme_abs_mag": "extreme_mag", "luminous_abs_mag": "luminous_mag", "remote_luminous_pc": "remote_pc",
+}
+# Fixed names of the paths in a report
+PATHS = ("gaia_dir", "hip_path", "crossmatch_path", "overrides_path", "merge_dir", "issues_path")
+
+
 def issue_counts(issues: DataFrame) -> DataFrame:
     return issues.groupBy("issue_type", "severity").agg(F.count("*").alias("n")).orderBy("issue_type", "severity")
 
@@ -106,3 +116,35 @@ def audit_summary(issues: DataFrame, decisions: DataFrame, overrides: DataFrame)
         counted = issues.groupBy(column).agg(F.count("*").alias("n"))
         out = out.join(counted.agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct(column, "n")))).alias(name)), F.lit(True))
     return out
+
+
+def _known(limits: dict[str, float] | None, paths: dict[str, str] | None) -> tuple[dict[str, float], dict[str, str]]:
+    limits, paths = limits or {}, paths or {}
+    if unknown := [*(limits.keys() - THRESHOLDS.keys()), *(paths.keys() - set(PATHS))]:
+        raise ValueError(f"unknown names: {', '.join(sorted(unknown))}")
+    return limits, paths
+
+
+def audit_report(issues: DataFrame, decisions: DataFrame, overrides: DataFrame, limits: dict[str, float] | None = None, paths: dict[str, str] | None = None) -> DataFrame:
+    """audit_summary() with the paths that were read and written (null where none is given) and the thresholds that held; one row.
+
+    A limit or path of another name is an error."""
+    limits, paths = _known(limits, paths)
+    held = THRESHOLDS | limits
+    thresholds = F.create_map(*(v for name, own in REPORTED.items() for v in (F.lit(name), F.lit(float(held[own])))))
+    row = audit_summary(issues, decisions, overrides)
+    return row.select(*(F.lit(paths.get(p)).cast("string").alias(p) for p in PATHS), thresholds.alias("thresholds"), *row.columns)
+
+
+def write_audit(spark: SparkSession, inputs: dict[str, DataFrame], folder: str, limits: dict[str, float] | None = None, paths: dict[str, str] | None = None, mode: str = "errorifexists") -> dict:
+    """The audit of a merge as issues.parquet and report.json in `folder`; returns the report. The issues are written once and counted
+    from what was written. `inputs`: decisions, gaia, hip, dense, overrides and, if there are any, labels, as in quality_issues().
+    `mode` is as in write_table(), without ignore: where there are issues or a report, nothing is written unless it is overwrite."""
+    at, report = f"{folder.rstrip('/')}/issues.parquet", f"{folder.rstrip('/')}/report.json"
+    limits, paths = _known(limits, paths)
+    if mode not in ("errorifexists", "overwrite"):
+        raise ValueError(f"mode {mode!r}")
+    if mode == "errorifexists" and occupied(spark, report):
+        raise FileExistsError(f"{report} already exists")
+    write_table(quality_issues(**inputs, limits=limits), at, mode=mode)
+    return write_report(audit_report(spark.read.parquet(at), inputs["decisions"], inputs["overrides"], limits, {**paths, "issues_path": at}), report)

@@ -16,7 +16,7 @@ from lumenforge.operators.gaia import CarryField, gaia_stage
 from lumenforge.operators.hip import hip_stage
 from lumenforge.operators.merge import check_report, merge
 from lumenforge.operators.overrides import override_rows
-from lumenforge.operators.quality import audit_summary, quality_issues
+from lumenforge.operators.quality import audit_summary, quality_issues, write_audit
 from lumenforge.operators.source import aliases, source_rows
 from lumenforge.plans.adapter import frame
 from lumenforge.sources import ecsv, tables, text_tables
@@ -404,7 +404,7 @@ def test_merges_that_are_refused(spark):
         merge(gaia, hip, pairs.limit(1), two)
 
 
-def test_audit_of_zero_distances_and_covered_pairs(spark):
+def test_audit_of_zero_distances_and_covered_pairs(spark, tmp_path):
     decisions = spark.createDataFrame([(f"{k}.0", str(k), "hip", 1.0, 2.0) for k in (1, 2, 3)], "gaia_source_id string, hip_source_id string, winner_catalog string, gaia_score double, hip_score double").withColumn("decision_type", F.lit("score"))
     from lumenforge.operators.common import conform
     from lumenforge.operators.schemas import DECISIONS, DENSE
@@ -415,6 +415,19 @@ def test_audit_of_zero_distances_and_covered_pairs(spark):
     issues = quality_issues(conform(decisions, DECISIONS), gaia, hip, gaia.limit(0), overrides)
     assert sorted((r["gaia_source_id"], r["distance_ratio"]) for r in issues.collect()) == [("1", float("inf")), ("3", 5.0)]
     row = audit_summary(issues, decisions, overrides).first().asDict()
+    inputs = {"decisions": conform(decisions, DECISIONS), "gaia": gaia, "hip": hip, "dense": gaia.limit(0), "overrides": overrides}
+    report = write_audit(spark, inputs, str(tmp_path), {"ruwe": 2}, {"gaia_dir": "somewhere"})
+    assert {k: report[k] for k in row} == row and json.loads(next((tmp_path / "report.json").glob("part*")).read_text()) == report
+    assert report["thresholds"] == {
+        "distance_disagreement_threshold": 0.25, "severe_distance_ratio": 2.0, "ruwe_threshold": 2.0, "high_astrometry_quality": 1.0, "extreme_abs_mag": -10.0, "luminous_abs_mag": -8.0, "remote_luminous_pc": 20_000.0,
+    }
+    assert report["gaia_dir"] == "somewhere" and report["hip_path"] is None and spark.read.parquet(report["issues_path"]).count() == report["total_issues"]
+    with pytest.raises(FileExistsError):
+        write_audit(spark, inputs, str(tmp_path))
+    assert write_audit(spark, inputs, str(tmp_path), {"distance": 100.0}, mode="overwrite")["total_issues"] == 1  # an infinite ratio
+    with pytest.raises(ValueError, match="colour"):
+        write_audit(spark, inputs, str(tmp_path), {"colour": 1.0}, mode="overwrite")
+    assert spark.read.parquet(report["issues_path"]).count() == 1
     assert row == {"score_decisions": 3, "override_decisions": 0, "override_targets": 1, "matched_pair_issues": 2, "merged_row_issues": 0, "total_issues": 2, "issue_counts_by_type": {"matched_pair_conflict": 2}, "issue_counts_by_severity": {"high": 2}}
 
 
