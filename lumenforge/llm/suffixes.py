@@ -9,9 +9,9 @@ contexts that differ, one of each goes to the anchor's shard. A shard's contexts
 sorting; permuted common prefixes of at least LENGTH bytes then mark the windows that start elsewhere too.
 
 Equal contexts are put together within each batch before they are shuffled, so text that a third of all rows share meets
-nowhere. Contexts count as equal by two independent 64-bit hashes of their bytes, which are not compared. An anchor with more than
-HOT different contexts is not sorted in one shard: its windows are matched by the same two hashes each, spread over all tasks. Rows are told
-apart by a 64-bit hash of id and text. Texts are UTF-8 bytes; null is empty. Rows of equal doc_id and text are two occurrences. Empty
+nowhere. Contexts count as equal by two independent 64-bit hashes of their bytes, which are not compared. The contexts of an anchor with
+more than `hot` different ones do not go to one shard: their windows get new anchors from longer runs of bytes, halfway to LENGTH each time,
+and so come apart into contexts of many anchors, which go to shards of their own. Rows are told apart by a 64-bit hash of id and text. Texts are UTF-8 bytes; null is empty. Rows of equal doc_id and text are two occurrences. Empty
 tables give no rows; other columns are ignored.
 """
 
@@ -33,7 +33,10 @@ LENGTH = 200
 GRAM = 32
 #: Bytes of contexts in a shard, about.
 SHARD_BYTES = 2 << 20
+#: Different contexts of an anchor that go to one shard.
 HOT = 20_000
+#: Asked contexts that are sent to the texts, instead of both being shuffled.
+SENT_ROWS = 500_000
 #: Contexts that a worker puts in order at once.
 HELD = 1 << 18
 
@@ -79,8 +82,8 @@ _NAMES = ["bucket", "anchors", "contents", "seconds", "uids", "starts", "sizes",
 _KINDS = dict(zip(_NAMES[1:], (np.uint64, np.uint64, np.uint64, np.int64, np.int64, np.int64, np.uint8), strict=True))
 
 
-def _anchored(buckets: int, length: int):
-    """Contexts met more than once in the batch (bucket -1), and one of each packed by the anchor's bucket."""
+def _anchored(buckets: int, length: int, gram: int):
+    """Contexts met more than once in the batch (bucket -1), and one of each packed by the anchor's bucket; starts count from `base`."""
 
     def packed(bucket: int, *columns: np.ndarray) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), *(pa.array([np.ascontiguousarray(c, k).tobytes()], pa.binary()) for c, k in zip(columns, _KINDS.values(), strict=True))], _NAMES)
@@ -88,8 +91,8 @@ def _anchored(buckets: int, length: int):
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
         for batch in batches:
             for rows in slices(batch, "text"):
-                row, start, size, anchor, content, second = contexts(*text_bytes(column(rows, "text")), length)
-                yield anchor, content, second, column(rows, "uid").to_numpy()[row], start, size
+                row, start, size, anchor, content, second = contexts(*text_bytes(column(rows, "text")), length, gram)
+                yield anchor, content, second, column(rows, "uid").to_numpy()[row], start + column(rows, "base").to_numpy()[row], size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for anchor, content, second, uid, start, size in gathered(found(batches), HELD):
@@ -112,26 +115,30 @@ def _anchored(buckets: int, length: int):
     return run
 
 
-def _sorted_out(rows: pa.Table) -> pa.Table:
-    """kind 0: spans that repeat as a whole; 1: one of each of an anchor's different contexts (2: of a hot anchor)."""
-    anchor, content, second, uid, start, size, many = (np.concatenate([np.frombuffer(x.as_buffer(), k) for x in rows[n]]) for n, k in _KINDS.items())
-    kind = np.zeros(len(anchor), np.int8)
-    if rows["bucket"][0].as_py() >= 0:
-        order = np.lexsort((second, content, anchor))
-        anchor, content, second, uid, start, size, many = (x[order] for x in (anchor, content, second, uid, start, size, many))
-        new_anchor = np.ones(len(anchor), bool)
-        new_anchor[1:] = anchor[1:] != anchor[:-1]
-        lead = new_anchor.copy()
-        lead[1:] |= (content[1:] != content[:-1]) | (second[1:] != second[:-1])
-        group, of = np.cumsum(lead) - 1, np.cumsum(new_anchor) - 1
-        repeats = (np.bincount(group) > 1)[group]
-        classes = np.bincount(of[lead])[of]
-        whole = np.flatnonzero(repeats & (many == 0))  # those of `many` are told from their batch
-        shard = np.flatnonzero(lead & (classes > 1))
-        kind = np.concatenate([np.zeros(len(whole), np.int8), np.where(classes[shard] > HOT, 2, 1).astype(np.int8)])
-        at = np.concatenate([whole, shard])
-        anchor, uid, start, size = anchor[at], uid[at], start[at], size[at]
-    return pa.table({"kind": pa.array(kind), "anchor": anchor.astype(np.int64), "uid": uid, "start": start, "size": size})
+def _sorted_out(hot: int):
+    """kind 0: spans that repeat as a whole; 1: one of each of an anchor's different contexts (2: of an anchor with more than `hot`)."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        anchor, content, second, uid, start, size, many = (np.concatenate([np.frombuffer(x.as_buffer(), k) for x in rows[n]]) for n, k in _KINDS.items())
+        kind = np.zeros(len(anchor), np.int8)
+        if rows["bucket"][0].as_py() >= 0:
+            order = np.lexsort((second, content, anchor))
+            anchor, content, second, uid, start, size, many = (x[order] for x in (anchor, content, second, uid, start, size, many))
+            new_anchor = np.ones(len(anchor), bool)
+            new_anchor[1:] = anchor[1:] != anchor[:-1]
+            lead = new_anchor.copy()
+            lead[1:] |= (content[1:] != content[:-1]) | (second[1:] != second[:-1])
+            group, of = np.cumsum(lead) - 1, np.cumsum(new_anchor) - 1
+            repeats = (np.bincount(group) > 1)[group]
+            classes = np.bincount(of[lead])[of]
+            whole = np.flatnonzero(repeats & (many == 0))  # those of `many` are told from their batch
+            shard = np.flatnonzero(lead & (classes > 1))
+            kind = np.concatenate([np.zeros(len(whole), np.int8), np.where(classes[shard] > hot, 2, 1).astype(np.int8)])
+            at = np.concatenate([whole, shard])
+            anchor, uid, start, size = anchor[at], uid[at], start[at], size[at]
+        return pa.table({"kind": pa.array(kind), "anchor": anchor.astype(np.int64), "uid": uid, "start": start, "size": size})
+
+    return run
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -184,41 +191,37 @@ def _matched(length: int):
     return run
 
 
-def _hashed_windows(length: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            data, offsets = text_bytes(batch.column(2))
-            n = np.diff(offsets) - length + 1
-            owner = np.repeat(np.arange(len(n)), n)
-            place = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            at = offsets[owner] + place
-            one, two = ((total[at + length] - total[at]) * inverse[at] for total, inverse in (prefix_sums(data), prefix_sums(data, 1)))
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(owner)), pa.array(batch.column(1).to_numpy()[owner] + place), pa.array(mix(one).astype(np.int64)), pa.array(mix(two).astype(np.int64))], ["uid", "start", "h1", "h2"])
-
-    return run
+def _cut_out(docs: DataFrame, open_: DataFrame, n: int) -> DataFrame:
+    """uid, kind, anchor, start, bytes of n contexts of docs."""
+    asked = open_.groupBy("uid").agg(F.collect_list(F.struct("kind", "anchor", "start", "size")).alias("asked"))  # in proportion to a text's bytes
+    return docs.join(F.broadcast(asked) if n <= SENT_ROWS else asked, "uid").mapInArrow(_cut, "uid long, kind byte, anchor long, start long, bytes binary")
 
 
-def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+def repeated_spans(docs: DataFrame, length: int = LENGTH, hot: int = HOT) -> DataFrame:
     """uid, start, size of byte spans of docs (uid, text) to remove; they may overlap."""
     buckets = max(16, 4 * input_partitions(docs))
-    packed = docs.mapInArrow(_anchored(buckets, length), _PACKED)
     spread = F.when(F.col("bucket") < 0, -1 - F.pmod(F.xxhash64("anchors"), F.lit(buckets))).otherwise(F.col("bucket")).cast("int")
-    out = packed.withColumn("bucket", spread).groupBy("bucket").applyInArrow(_sorted_out, "kind byte, anchor long, uid long, start long, size long")
-    out = written(out, "contexts")
-    open_ = out.filter("kind > 0")
-    size = open_.filter("kind = 1").agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
-    shards = max(1, -(-size // SHARD_BYTES))
-    # a text's contexts are in proportion to its bytes
-    asked = open_.groupBy("uid").agg(F.collect_list(F.struct("kind", "anchor", "start", "size")).alias("asked"))
-    cut = docs.join(asked, "uid").mapInArrow(_cut, "uid long, kind byte, anchor long, start long, bytes binary")
-    cut = cut.withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards)))
-    spans = out.filter("kind = 0").select("uid", "start", "size")
-    spans = spans.unionByName(cut.filter("kind = 1").groupBy("shard").applyInArrow(_matched(length), "uid long, start long, size long"))
-    if not open_.filter("kind = 2").isEmpty():
-        hashed = cut.filter("kind = 2").select("uid", "start", "bytes").mapInArrow(_hashed_windows(length), "uid long, start long, h1 long, h2 long")
-        twice = hashed.groupBy("h1", "h2").agg(F.count("*").alias("n")).filter("n > 1").drop("n")
-        spans = spans.unionByName(hashed.join(twice, ["h1", "h2"]).select("uid", "start", F.lit(length).cast("long").alias("size")))
-    return spans
+    rows, gram, levels = docs.select("uid", F.lit(0).cast("long").alias("base"), "text"), min(GRAM, length), []
+    while True:
+        packed = rows.mapInArrow(_anchored(buckets, length, gram), _PACKED).withColumn("bucket", spread)
+        # windows of one anchor of `length` bytes are equal
+        most = hot if gram < length else 1 << 62
+        out = written(packed.groupBy("bucket").applyInArrow(_sorted_out(most), "kind byte, anchor long, uid long, start long, size long"), "contexts")
+        levels.append(out)
+        n = out.filter("kind = 2").count()
+        if not n:
+            break
+        cut = _cut_out(docs, out.filter("kind = 2"), n)
+        rows = written(cut.select("uid", F.col("start").alias("base"), F.col("bytes").alias("text")), "hot")
+        gram += -(-(length - gram) // 2)
+    out = levels[0]
+    for level in levels[1:]:
+        out = out.unionByName(level)
+    sums = out.filter("kind = 1").agg(F.count("*").alias("n"), F.coalesce(F.sum("size"), F.lit(0)).alias("size")).first()
+    shards = max(1, -(-sums["size"] // SHARD_BYTES))
+    cut = _cut_out(docs, out.filter("kind = 1"), sums["n"]).withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards)))
+    matched = cut.groupBy("shard").applyInArrow(_matched(length), "uid long, start long, size long")
+    return out.filter("kind = 0").select("uid", "start", "size").unionByName(matched)
 
 
 def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -250,11 +253,11 @@ def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+def without_repeats(docs: DataFrame, length: int = LENGTH, hot: int = HOT) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and the kept bytes of each row of docs (doc_id, text)."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     rows = rows.withColumn("uid", F.xxhash64("doc_id", "text"))
-    spans = repeated_spans(rows.select("uid", "text"), length).distinct().groupBy("uid").agg(F.collect_list(F.struct("start", "size")).alias("spans"))
+    spans = repeated_spans(rows.select("uid", "text"), length, hot).distinct().groupBy("uid").agg(F.collect_list(F.struct("start", "size")).alias("spans"))
     joined = rows.join(spans, "uid", "left").select("doc_id", "text", "spans")
     return joined.mapInArrow(_digest, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
 

@@ -4,6 +4,7 @@ import random
 import numpy as np
 import pyarrow as pa
 import pyarrow.parquet as pq
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -160,13 +161,35 @@ def test_removed_bytes_match_brute_force(spark, folder):
     assert digest(suffixes.op6_suffix_dedup(spark, folder(documents=documents(*texts)))) == brute_removed(texts, 200)
 
 
-def test_hot_anchors_give_the_same(spark, folder, monkeypatch):
-    monkeypatch.setattr(suffixes, "HOT", 1)
+@pytest.mark.parametrize("hot", [1, 2, 5])
+def test_hot_anchors_give_the_same(spark, folder, hot):
     rng = random.Random(4)
     noise = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n))
     shared = noise(700)
     texts = [noise(rng.randrange(300)) + shared[rng.randrange(200) : 500 + rng.randrange(200)] + noise(rng.randrange(300)) for _ in range(20)]
-    assert digest(suffixes.op6_suffix_dedup(spark, folder(documents=documents(*texts)))) == brute_removed(texts, 200)
+    # one line in different places, with and without more that is shared beside it
+    line, longer = noise(40), noise(170)
+    texts += [noise(180) + line + noise(150) for _ in range(15)] + [noise(rng.randrange(200)) + longer + noise(rng.randrange(200)) for _ in range(10)]
+    texts += [longer + "a" * 40 + noise(9), "b" + longer + "a" * 31 + noise(9)]
+    docs = spark.read.parquet(folder(documents=documents(*texts)) + "/documents.parquet")
+    assert digest(suffixes.without_repeats(docs, hot=hot)) == brute_removed(texts, 200)
+
+
+def test_hot_anchors_go_to_suffix_arrays(spark, folder, monkeypatch):
+    rng = random.Random(5)
+    noise = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n))
+    # of many lines the one of least hash, which is then the anchor of the windows that hold it
+    raw = noise(20_000)
+    total, inverse = text.prefix_sums(np.frombuffer(raw.encode(), np.uint8))
+    at = int(np.argmin(text.mix((total[32:] - total[:-32]) * inverse[: len(raw) - 31])))
+    line = raw[at : at + 32]
+    shared = [noise(150) + line + noise(150) for _ in range(12)]
+    texts = [noise(20) + s + noise(20) for s in shared for _ in range(2)]
+    grams, made = [], suffixes._anchored
+    monkeypatch.setattr(suffixes, "_anchored", lambda buckets, length, gram: grams.append(gram) or made(buckets, length, gram))
+    docs = spark.read.parquet(folder(documents=documents(*texts)) + "/documents.parquet")
+    assert digest(suffixes.without_repeats(docs, hot=4)) == brute_removed(texts, 200)
+    assert grams == [32, 116]  # longer anchors part them, so that no window is matched by itself
 
 
 def test_suffix_dedup_of_odd_rows(spark, folder, odd):
