@@ -7,9 +7,10 @@ are normal about the query's own; from that a query's cells get a probability ea
 until those visited sum to `cover` in each table, however many they are; the candidates of all tables are merged and ranked by the
 inner product of the original vectors in double precision.
 
-Every table of vectors has at least one cut. Tables, cuts, width and cover are fitted: of the choices that find RECALL of the true
-neighbours of FIT_QUERIES queries in a sample of at most FIT_VECTORS vectors, the one that ranks the fewest rows; that share is kept
-in `Hashes.share`. Only the choice comes from the sample: every row is indexed. Where vectors have no near neighbours to
+Every table of vectors has at least one cut, and as many more as it takes to part it into cells of CELL_ROWS: they grow with the
+logarithm of the rows. Tables, cuts, width and cover are fitted: of the choices that find RECALL of the true
+neighbours of FIT_QUERIES queries, told by one pass over all rows, the one that ranks the fewest of a sample of at most FIT_VECTORS vectors;
+that share is kept in `Hashes.share`. Only the choice comes from the sample: every row is indexed. Where vectors have no near neighbours to
 speak of, as with independent random directions, no cells tell them from the rest and most of the table is ranked.
 
 Vectors of a cell are dealt to units of about UNIT_ROWS and units to parts; a part ranks its own candidates for the queries
@@ -37,17 +38,16 @@ from lumenforge.llm.text import mix
 UNIT_ROWS = 2_000
 #: Bytes of vectors that one task ranks at once.
 PART_BYTES = 16 << 20
-#: The fit: share of neighbours to find, and what is chosen from. More cuts than MOST_CUTS would share a query's cover among too many cells.
+#: The fit: share of neighbours to find, and what is chosen from: widths, each with the most cuts that leave a query's cover to some thousand cells.
 RECALL = 0.96
 FIT_QUERIES, FIT_VECTORS = 60, 10_000
-MOST_CUTS = 8
-WIDTHS = (2.0, 3.0, 4.5)
+WIDTHS = {2.0: 6, 3.0: 16, 4.5: 64}
 TABLES = (1, 2, 3)
 COVERS = (0.4, 0.55, 0.7, 0.8, 0.9, 0.95, 0.98)
 #: Rows of a cell that more cuts would part to no use.
 CELL_ROWS = 32
-#: Cells put in order at once, of as many queries as they make; a query's own are never parted.
-CELLS = 1 << 20
+#: Queries whose cells are put in order at once.
+ORDERED = 16
 
 
 def clean(rows: DataFrame) -> DataFrame:
@@ -111,10 +111,9 @@ class Hashes:
         return [np.concatenate([ids[: _first_over(sums, self.cover)] for ids, sums in tables]) for tables in self.ordered(vectors)]
 
     def ordered(self, vectors: np.ndarray) -> Iterator[list[tuple[np.ndarray, np.ndarray]]]:
-        """For each query and table its cells' ids, the likeliest first, and the sums of their probabilities."""
-        some = max(1, CELLS // len(self.steps) ** self.cuts.shape[1])
-        for low in range(0, len(vectors), some):
-            yield from self._ordered(vectors[low : low + some])
+        """For each query and table its cells' ids, the likeliest first, and the sums of their probabilities, up to `cover`."""
+        for low in range(0, len(vectors), ORDERED):
+            yield from self._ordered(vectors[low : low + ORDERED])
 
     def _ordered(self, vectors: np.ndarray) -> list[list[tuple[np.ndarray, np.ndarray]]]:
         out: list[list[tuple[np.ndarray, np.ndarray]]] = [[] for _ in vectors]
@@ -123,31 +122,51 @@ class Hashes:
             home = np.floor(places)
             low = (self.steps[None, None, :] - (places - home)[:, :, None]) * scale
             chance = _phi(low + scale) - _phi(low)  # by query, projection and step
-            prob = np.ones((len(vectors), 1))
-            cells = np.zeros((1, 0), np.int8)
-            for k in range(places.shape[1]):
-                prob = (prob[:, :, None] * chance[:, None, k, :]).reshape(len(vectors), -1)
-                cells = np.column_stack([np.repeat(cells, len(self.steps), axis=0), np.tile(self.steps.astype(np.int8), len(cells))])
-            order = np.argsort(-prob, axis=1, kind="stable")
-            sums = np.cumsum(np.take_along_axis(prob, order, 1), axis=1)
-            n = np.maximum(1, (sums < max(self.cover, COVERS[-1])).sum(axis=1) + 1)
-            for q in range(len(vectors)):
-                out[q].append((self.cell_ids(t, cells[order[q, : n[q]]] + home[q].astype(np.int64)), sums[q, : n[q]]))
+            for q, (prob, cells) in enumerate(likeliest(chance, self.cover)):
+                out[q].append((self.cell_ids(t, self.steps[cells] + home[q].astype(np.int64)), np.cumsum(prob)))
         return out
 
 
+def likeliest(chance: np.ndarray, cover: float) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each query (probability, step numbers) of its likeliest cells in descending order, as many as sum to `cover` or to all there is.
+
+    chance: probabilities by query, projection and step. All cells above a floor are listed, leaving out each start of a cell
+    that cannot reach it; where they don't suffice, the floor is lowered."""
+    best = np.ones((chance.shape[0], chance.shape[1] + 1))
+    best[:, :-1] = np.cumprod(chance.max(axis=2)[:, ::-1], axis=1)[:, ::-1]
+    goal = np.minimum(cover, chance.sum(axis=2).prod(axis=1) * (1 - 1e-9))
+    floor = best[:, 0] / 4
+    out: list = [None] * len(chance)
+    left = np.arange(len(chance))
+    while len(left):
+        owner, prob, cells = left, np.ones(len(left)), np.zeros((len(left), 0), np.int8)
+        for k in range(chance.shape[1]):
+            grown = prob[:, None] * chance[owner, k]
+            at, step = np.nonzero(grown * best[owner, k + 1, None] >= floor[owner, None])
+            owner, prob, cells = owner[at], grown[at, step], np.column_stack([cells[at], step.astype(np.int8)])
+        short = np.bincount(owner, prob, len(chance)) < goal
+        for q in left[~short[left]]:
+            mine = np.flatnonzero(owner == q)
+            order = mine[np.argsort(-prob[mine], kind="stable")]
+            order = order[: _first_over(np.cumsum(prob[order]), goal[q])]
+            out[q] = prob[order], cells[order]
+        left = left[short[left]]
+        floor[left] /= 4
+    return out
+
+
 def _first_over(sums: np.ndarray, cover: float) -> int:
     """How many cells it takes to reach the cover; all there are, if they don't."""
     return min(len(sums), int(np.searchsorted(sums, cover)) + 1)
 
 
-def tried(hashes: Hashes, rows: np.ndarray, queries: np.ndarray, own: np.ndarray, true: np.ndarray) -> dict[tuple[int, float], tuple[float, float]]:
-    """By number of tables and cover: (share of the true neighbours found, rows ranked as a share of all), for queries that are
-    the rows numbered `own`."""
-    homes = [np.unique(h, return_inverse=True) for h in hashes.homes(rows)]
+def tried(hashes: Hashes, rows: np.ndarray, queries: np.ndarray, near: list[np.ndarray]) -> dict[tuple[int, float], tuple[float, float]]:
+    """By number of tables and cover: (share found of the queries' neighbours `near`, rows ranked as a share of `rows`, whose first are the queries)."""
+    ends = len(rows) + np.cumsum([0, *(len(x) for x in near)])
+    homes = [np.unique(h, return_inverse=True) for h in hashes.homes(np.concatenate([rows, *near]))]
     hits: dict[tuple[int, float], list[float]] = {(t, c): [0, 0] for t in range(1, len(homes) + 1) for c in COVERS}
-    for tables, mine, near in zip(hashes.ordered(queries), own, true, strict=True):
-        met = {c: np.zeros(len(near), bool) for c in COVERS}
+    for mine, tables in enumerate(hashes.ordered(queries)):
+        met = {c: np.zeros(len(near[mine]), bool) for c in COVERS}
         ranked = dict.fromkeys(COVERS, 0)
         for t, ((ids, sums), (known, which)) in enumerate(zip(tables, homes, strict=True)):
             by = np.argsort(ids)
@@ -155,46 +174,78 @@ def tried(hashes: Hashes, rows: np.ndarray, queries: np.ndarray, own: np.ndarray
             nth = np.where(ids[by][at] == known, by[at], len(ids))[which]
             for c in COVERS:
                 seen = nth < _first_over(sums, c)
-                met[c] |= seen[near]
-                ranked[c] += int(seen.sum()) - int(seen[mine])
+                met[c] |= seen[ends[mine] : ends[mine + 1]]
+                ranked[c] += int(seen[: len(rows)].sum()) - int(seen[mine])
                 hits[t + 1, c][0] += int(met[c].sum())
                 hits[t + 1, c][1] += ranked[c]
-    return {key: (found / max(1, true.size), ranked / max(1, len(own) * len(rows))) for key, (found, ranked) in hits.items()}
-
-
-def choose(x: np.ndarray, n: int, k: int, norm: float) -> Hashes:
-    """Hashes for a table of n ids, of which x is a sample."""
-    q = x[:FIT_QUERIES]
-    scores = (q / np.linalg.norm(q, axis=1, keepdims=True)) @ x.T / norm
-    own = np.arange(len(q))
-    scores[own, own] = -np.inf
-    # in a sample, a neighbour among the k nearest of all is among fewer
-    few = max(1, min(len(x) - 1, round(k * len(x) / n)))
-    order = np.argsort(-scores, axis=1)[:, :few] if len(x) > 1 else np.zeros((len(q), 0), np.int64)
-    near = float(np.clip(np.median(np.take_along_axis(scores, order, 1)), 0.05, 0.9999)) if order.size else 0.5
-    most = int(np.clip(np.log2(max(2, n / CELL_ROWS)), 1, MOST_CUTS))
+    return {key: (found / max(1, ends[-1] - len(rows)), ranked / max(1, len(queries) * len(rows))) for key, (found, ranked) in hits.items()}
+
+
+def choose(x: np.ndarray, n: int, near: list[np.ndarray], norm: float) -> Hashes:
+    """Hashes for a table of n ids, of which x is a sample that starts with the queries whose neighbours are `near`."""
+    q = x[: len(near)]
+    unit = q / np.linalg.norm(q, axis=1, keepdims=True)
+    scores = np.concatenate([v @ u for v, u in zip(near, unit, strict=True)]) / norm
+    middle = float(np.clip(np.median(scores), 0.05, 0.9999)) if len(scores) else 0.5
+    most = int(max(1, np.log2(max(2, n / CELL_ROWS))))
     best, dim = None, x.shape[1]
-    for cuts in sorted({1, *range(2, most, 2), most}):
-        for width in WIDTHS:
-            if width < 3 and cuts > 6:  # five steps a cut
+    for cuts in sorted({1, *range(2, min(most, 8), 2), *range(8, most, 4), most}):
+        for width, bound in WIDTHS.items():
+            if cuts > bound:
                 continue
-            for (tables, cover), (recall, share) in tried(Hashes(dim, cuts, norm, near, width, TABLES[-1], COVERS[-1]), x, q, own, order).items():
+            for (tables, cover), (recall, share) in tried(Hashes(dim, cuts, norm, middle, width, max(TABLES), max(COVERS)), x, q, near).items():
                 rank = (min(recall, RECALL), -share)
                 if best is None or rank > best[0]:
-                    best = (rank, share, (cuts, norm, near, width, tables, cover))
+                    best = (rank, share, (cuts, norm, middle, width, tables, cover))
     out = Hashes(dim, *best[2])
     out.share = best[1]
     return out
 
 
+def _nearest(queries: np.ndarray, own: np.ndarray, k: int):
+    """Each query's k nearest ids among a task's rows, with a vector of each."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept = [(np.zeros(0, np.int64), np.zeros(0), np.zeros((0, queries.shape[1])))] * len(queries)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            ids, x = batch.column(0).to_numpy(), _matrix(batch.column(1))
+            for q, scores in enumerate(queries @ x.T):
+                held = kept[q]
+                if len(held[0]) == k:  # what may still be among the best
+                    some = np.flatnonzero((scores >= held[1][-1]) & (ids != own[q]))
+                else:
+                    some = np.flatnonzero(ids != own[q])
+                if not len(some):
+                    continue
+                v, s, m = (np.concatenate(pair) for pair in zip(held, (ids[some], scores[some], x[some]), strict=True))
+                order = np.lexsort((v, -s))
+                order = order[np.sort(np.unique(v[order], return_index=True)[1])][:k]  # an id by its best row
+                kept[q] = v[order], s[order], m[order]
+        sizes = [len(v) for v, _, _ in kept]
+        columns = [np.repeat(np.arange(len(kept), dtype=np.int32), sizes), *(np.concatenate([x[j] for x in kept]) for j in (0, 1))]
+        flat = np.concatenate([x[2] for x in kept])
+        vec = pa.ListArray.from_arrays(pa.array(np.arange(len(flat) + 1, dtype=np.int32) * flat.shape[1]), pa.array(flat.ravel()))
+        yield pa.RecordBatch.from_arrays([*(pa.array(c) for c in columns), vec], ["q", "vec_id", "score", "vec"])
+
+    return run
+
+
 def fit(rows: DataFrame, k: int) -> tuple[Hashes | None, int]:
     """Hashes for rows, and how many rows there are."""
     stats = rows.agg(F.count("*").alias("n"), F.count_distinct("vec_id").alias("ids"), F.max(F.sqrt(F.aggregate("vec", F.lit(0.0), lambda a, x: a + x * x))).alias("norm")).first()
     if not stats["n"]:
         return None, 0
     ids = rows.select("vec_id").distinct().orderBy(F.xxhash64("vec_id"), "vec_id").limit(FIT_VECTORS)
-    sample = rows.join(F.broadcast(ids), "vec_id").groupBy("vec_id").agg(F.max("vec").alias("vec")).orderBy(F.xxhash64("vec_id"), "vec_id").select("vec").toArrow()
-    return choose(_matrix(sample["vec"]), stats["ids"], k, stats["norm"]), stats["n"]
+    sample = rows.join(F.broadcast(ids), "vec_id").groupBy("vec_id").agg(F.max("vec").alias("vec")).orderBy(F.xxhash64("vec_id"), "vec_id").select("vec_id", "vec").toArrow()
+    x = _matrix(sample["vec"])
+    q, own = x[:FIT_QUERIES], sample["vec_id"].to_numpy()[:FIT_QUERIES]
+    found = rows.select("vec_id", "vec").mapInArrow(_nearest(q, own, k), "q int, vec_id long, score double, vec array<double>")
+    found = found.groupBy("q", "vec_id").agg(F.max_by("vec", "score").alias("vec"), F.max("score").alias("score"))
+    first = found.withColumn("nth", F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), "vec_id"))).filter(F.col("nth") <= k).select("q", "vec").toArrow()
+    at, vectors = first["q"].to_numpy(), _matrix(first["vec"]) if first.num_rows else np.zeros((0, x.shape[1]))
+    return choose(x, stats["ids"], [vectors[at == j] for j in range(len(q))], stats["norm"]), stats["n"]
 
 
 def _best(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:

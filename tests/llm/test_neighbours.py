@@ -1,3 +1,5 @@
+import itertools
+
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -85,3 +87,34 @@ def test_ties_go_to_the_smaller_id_in_large_tables_too(spark, folder):
         found.sort()
         assert all(a[1] > b[1] or (a[1] == b[1] and a[2] < b[2]) for a, b in zip(found, found[1:], strict=False))
         assert len({s for _, s, _ in found}) <= 20 // 7 + 1
+
+
+def test_cells_come_in_the_order_of_their_success():
+    rng = np.random.default_rng(0)
+    for cuts in (1, 3, 5):
+        chance = rng.dirichlet([1, 2, 1], (7, cuts)) * 0.98
+        for cover in (0.4, 0.9, 0.99):
+            for q, (prob, cells) in enumerate(multiprobe.likeliest(chance, cover)):
+                every = sorted((np.prod(chance[q, np.arange(cuts), list(c)]) for c in itertools.product(range(3), repeat=cuts)), reverse=True)
+                n = min(len(every), int(np.searchsorted(np.cumsum(every), min(cover, sum(every) * (1 - 1e-9)))) + 1)
+                assert prob == pytest.approx(every[:n]) and len({tuple(c) for c in cells.tolist()}) == n
+
+
+@pytest.mark.parametrize("n", [100_000, 1_000_000])
+def test_what_is_ranked_does_not_grow_with_the_table(spark, n):
+    """The fit on the whole of a clustered table, and what it leaves to be ranked."""
+    rng = np.random.default_rng(6)
+    centres = rng.standard_normal((n // 500, 16))
+    x = centres[rng.integers(0, len(centres), n)] + 0.2 * rng.standard_normal((n, 16))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    vec = pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * 16), pa.array(x.ravel()))
+    hashes, rows = multiprobe.fit(spark.createDataFrame(pa.table({"vec_id": pa.array(np.arange(n)), "vec": vec})), 20)
+    own = np.arange(0, n, n // 100)
+    homes, ranked, found = hashes.homes(x), 0, 0
+    for i, cells in zip(own, hashes.visits(x[own]), strict=True):
+        seen = np.isin(homes, cells)
+        scores = x @ x[i]
+        scores[i] = -np.inf
+        ranked += seen.sum()
+        found += seen.any(axis=0)[np.argsort(-scores)[:20]].sum()
+    assert rows == n and ranked / (len(own) * n) < 0.02 and found / (20 * len(own)) >= 0.9
