@@ -2,12 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lumenforge.functions.nulls import or_null
 
 
+#: HotSpot only interprets methods of more bytes than this; Spark's default lets a projection of many terms grow to eight times that.
+_METHOD_SETTING, _METHOD_DEFAULT, METHOD_BYTES = "spark.sql.codegen.hugeMethodLimit", 65535, 8000
+
+
+def compiled(spark: SparkSession) -> None:
+    """Long projections become methods that the JVM compiles, unless the session has its own setting."""
+    if int(spark.conf.get(_METHOD_SETTING, str(_METHOD_DEFAULT))) == _METHOD_DEFAULT:
+        spark.conf.set(_METHOD_SETTING, str(METHOD_BYTES))
+
+
 def require(df: DataFrame, columns, what: str) -> DataFrame:
     """df, if its schema has the columns; no job runs."""
     if missing := sorted(set(columns) - set(df.columns)):

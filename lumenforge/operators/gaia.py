@@ -11,6 +11,7 @@ from lumenforge.functions import astrometry as A
 from lumenforge.functions import photometry as P
 from lumenforge.functions.flags import PHOT_SOURCE, distance_flags, with_sources
 from lumenforge.functions.nulls import finite, number, yes
+from lumenforge.operators.common import compiled
 from lumenforge.operators.schemas import DENSE
 
 CARRY_TYPES = {"float64": "double", "int64": "long", "uint64": "decimal(20,0)", "string": "string", "bool": "boolean"}
@@ -68,6 +69,7 @@ def within_magnitude(df: DataFrame, limit: float | None) -> DataFrame:
 
 def gaia_stage(raw: DataFrame, mag_limit: float | None = None, carry: tuple[CarryField, ...] = ()) -> DataFrame:
     """Dense rows with ruwe, phot_g_mean_mag and the carried fields."""
+    compiled(raw.sparkSession)
     df = within_magnitude(raw, mag_limit)
     # the stage's own columns may take an input column's name
     taken = {f: f"_in_{k}" for k, f in enumerate(carry) if f.origin != "stage" and (f.column or f.name) in raw.columns}

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from lumenforge.functions.healpix import pixel
 from lumenforge.functions.nulls import finite, or_null, score, yes
 from lumenforge.functions.photometry import apparent_magnitude
-from lumenforge.operators.common import first_by, require, without
+from lumenforge.operators.common import compiled, first_by, require, without
 from lumenforge.operators.overrides import checked_overrides
 from lumenforge.operators.schemas import DECISIONS, DENSE
 from lumenforge.sources.staging import at_once, removed, staged
@@ -109,6 +109,7 @@ def merge(gaia: DataFrame, hip: DataFrame, pairs: DataFrame, overrides: DataFram
     of repeated rows the last wins by it. Where there is none, the one of the least values.
     """
     spark = gaia.sparkSession
+    compiled(spark)
     for df, what in ((gaia, "gaia rows"), (hip, "hip rows")):
         require(df, DENSE, what)
     require(pairs, ("gaia_source_id", "hip_source_id"), "crossmatch")
