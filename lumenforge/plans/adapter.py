@@ -4,15 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lumenforge.sources.staging import staged
+
 TABLES = ("lineitem", "part", "supplier")
 
-ADAPTER = """
-WITH
+_K = """
 -- k: one row per (order, line), integer seeds only
 k AS (SELECT l_orderkey*8 + l_linenumber AS source_id,
              CAST(round(max(l_extendedprice)*100) AS BIGINT) AS e,
              min(l_partkey) AS pk, CAST(max(l_quantity) AS BIGINT) AS q
-      FROM lineitem GROUP BY l_orderkey*8 + l_linenumber),
+      FROM lineitem GROUP BY l_orderkey*8 + l_linenumber),"""
+_REST = """
 gaia_raw AS (SELECT source_id, pk,
   CAST(e%36000 AS DOUBLE)/100 AS ra,
   CAST((source_id*7919+e)%17999 - 8999 AS DOUBLE)/100 AS dec,
@@ -69,6 +71,8 @@ iv27a AS (SELECT p_partkey+1 AS hip, 5000+p_partkey AS hd,
   CASE p_partkey%3 WHEN 0 THEN 'Cas' WHEN 1 THEN 'Cyg' ELSE '' END AS cst FROM part WHERE p_partkey%2=0),
 names AS (SELECT 1000+p_partkey AS hd, CASE WHEN p_size%3=0 THEN concat(p_name, '; other (with HD1)')
     WHEN p_size%3=1 THEN concat(p_name, ' (see HD2)') ELSE '' END AS name FROM part WHERE p_partkey%4=1)"""
+ADAPTER = f"""
+WITH{_K}{_REST}"""
 
 
 #: More tables for the adapter: rows that repeat a key with other values, and `seq`, the order in which they are met.
@@ -89,8 +93,17 @@ own_rows AS (SELECT 'hip' AS source, CAST(p_partkey + 1 AS STRING) AS source_id,
   UNION ALL SELECT 'manual', concat('m', CAST(p_partkey AS STRING)), 'Named', p_partkey*2 FROM part WHERE p_partkey%70=6)"""
 
 
-def frame(spark: SparkSession, sf_dir: str, query: str) -> DataFrame:
-    """A query over the adapter's tables: gaia_raw, hip_raw, xmatch, ov, hip_hd, iv27a, names."""
+def seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The adapter's k, grouped and written once for all queries that are given it."""
+    return staged(frame(spark, sf_dir, "SELECT * FROM k"), "seeds")
+
+
+def frame(spark: SparkSession, sf_dir: str, query: str, k: DataFrame | None = None) -> DataFrame:
+    """A query over the adapter's tables: gaia_raw, hip_raw, xmatch, ov, hip_hd, iv27a, names. k: seeds(), so that they are not
+    grouped again."""
     for name in TABLES:
         spark.read.parquet(f"{sf_dir}/{name}.parquet").createOrReplaceTempView(name)
-    return spark.sql(f"{ADAPTER}\n{query}")
+    if k is None:
+        return spark.sql(f"{ADAPTER}\n{query}")
+    k.createOrReplaceTempView("k")
+    return spark.sql(f"WITH{_REST}\n{query}")

@@ -29,3 +29,12 @@ def test_the_gaia_stage_is_compiled(spark):
         assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "20000"
     finally:
         spark.conf.set("spark.sql.codegen.hugeMethodLimit", old)
+
+
+def test_the_merge_groups_its_lines_once(spark, monkeypatch):
+    from lumenforge.plans import adapter
+
+    asked = []
+    monkeypatch.setattr(catalogue, "frame", lambda spark, sf, query, k=None, old=adapter.frame: asked.append((query, k is None)) or old(spark, sf, query, k))
+    catalogue._stages(spark, SMALL)
+    assert [fresh for query, fresh in asked if "hip_raw" not in query] == [False, False, False]
