@@ -7,6 +7,7 @@ import math
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from lumenforge.functions.angles import sine_cosine
 from lumenforge.functions.flags import DIST_SOURCE
 from lumenforge.functions.nulls import finite, positive, yes
 
@@ -72,18 +73,18 @@ def tiered_distance(parallax: Column, error: Column, geo: tuple[Column, Column,
 
 def cartesian(ra: Column, dec: Column, r: Column) -> tuple[Column, Column, Column]:
     """ICRS x, y, z of a direction in degrees and a distance."""
-    a, d = F.radians(ra), F.radians(dec)
-    return r * F.cos(d) * F.cos(a), r * F.cos(d) * F.sin(a), r * F.sin(d)
+    (sa, ca), (sd, cd) = sine_cosine(F.radians(ra)), sine_cosine(F.radians(dec))
+    return r * cd * ca, r * cd * sa, r * sd
 
 
 def propagated(ra: Column, dec: Column, r: Column, pmra: Column, pmdec: Column, epoch: Column) -> Column:
     """struct(x, y, z, ra, dec, r) at TARGET_EPOCH, moving in a straight line on the tangent plane; proper motions in mas/yr."""
-    a, d = F.radians(ra), F.radians(dec)
+    (sa, ca), (sd, cd) = sine_cosine(F.radians(ra)), sine_cosine(F.radians(dec))
     scale = r * (F.lit(TARGET_EPOCH) - epoch) * F.lit(math.pi / 648_000_000.0)  # mas to radians
     east, north = scale * pmra, scale * pmdec
-    x = r * F.cos(d) * F.cos(a) - east * F.sin(a) - north * F.sin(d) * F.cos(a)
-    y = r * F.cos(d) * F.sin(a) + east * F.cos(a) - north * F.sin(d) * F.sin(a)
-    z = r * F.sin(d) + north * F.cos(d)
+    x = r * cd * ca - east * sa - north * sd * ca
+    y = r * cd * sa + east * ca - north * sd * sa
+    z = r * sd + north * cd
     flat = F.sqrt(x * x + y * y)
     turn = F.degrees(F.pmod(F.atan2(y, x), F.lit(2 * math.pi)))
     return F.struct(x.alias("x"), y.alias("y"), z.alias("z"), turn.alias("ra"), F.degrees(F.atan2(z, flat)).alias("dec"), F.sqrt(x * x + y * y + z * z).alias("r"))
