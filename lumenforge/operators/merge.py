@@ -4,8 +4,9 @@ Everything is decided by joins on ids; no row depends on the order in which othe
 or an override. A bit filter of the linked ids, made from the small sides, parts the others off where they are read: they need no
 join and are never shuffled, whatever the small sides' size. What the filter lets through is joined and staged; all that its rows emit
 is decided in one row each, written once, and dense rows, decisions and sidecar are read from there. Counters are observed on
-those writes, and rows that should not be there fail them: no job runs for a check or a count alone. Texts in the outputs (decision types, notes, reasons) are
-fixed values.
+those writes, and rows that should not be there fail them: the only job for a count alone is one over the linked ids, which says how long their
+filter is. Texts in the outputs
+(decision types, notes, reasons) are fixed values.
 """
 
 from __future__ import annotations
@@ -31,8 +32,9 @@ MARGINS = (1.0, 0.6, 0.5)
 STANDARD_SOLUTION = 5
 
 PAYLOAD = [c for c in DENSE if c not in ("source", "source_id")]
-#: Bits of the filter of linked ids: half a megabyte, sent to all tasks. Of 100,000 linked ids it lets 2 of 100 others through, of a million 21.
-FILTER_BITS = 1 << 22
+#: Least and most bits of the filter of linked ids, sent to all tasks: half a megabyte and eight. Between them it has 16 for each id and lets at most 6
+#: of 100 others through; of six million ids 9, of a hundred million 77.
+FILTER_BITS, MOST_FILTER_BITS = 1 << 22, 1 << 26
 
 
 @dataclass
@@ -60,7 +62,7 @@ def _payload(df: DataFrame, name: str, more: dict[str, str], beside: list[Column
 
 
 def id_filter(ids: DataFrame, bits: int = FILTER_BITS) -> DataFrame:
-    """One row with the words of a bit filter of a column `id`: as large whatever the ids."""
+    """One row with the words of a bit filter of a column `id`: of so many bits whatever the ids."""
     at = F.pmod(F.xxhash64("id"), F.lit(bits))
     words = ids.select((F.floor(at / 64)).alias("word"), F.pmod(at, F.lit(64)).cast("int").alias("bit")).groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("set"))
     every = ids.sparkSession.range(bits // 64).select(F.col("id").alias("word")).join(words, "word", "left")
@@ -68,6 +70,11 @@ def id_filter(ids: DataFrame, bits: int = FILTER_BITS) -> DataFrame:
     return every.agg(F.transform(held, lambda w: w["set"]).alias("words"))
 
 
+def filter_bits(ids: int) -> int:
+    """Bits of a filter of so many ids, a power of two."""
+    return min(MOST_FILTER_BITS, max(FILTER_BITS, 1 << (16 * ids - 1).bit_length()))
+
+
 def may_hold(words: Column, c: Column, bits: int = FILTER_BITS) -> Column:
     """False only for ids that the filter was not made from."""
     at = F.pmod(F.xxhash64(c), F.lit(bits))
@@ -102,9 +109,10 @@ def _written(df: DataFrame, name: str) -> DataFrame:
 
 
 def merge(gaia: DataFrame, hip: DataFrame, pairs: DataFrame, overrides: DataFrame, validate: bool = True, order: str = "input_order") -> Merged:
-    """gaia, hip: staged rows; pairs: crossmatch; overrides: override rows. gaia ids are unique.
+    """gaia, hip: rows of their stages; pairs: crossmatch; overrides: override rows. gaia ids are unique.
 
-    Runs the merge: its tables are written to the shared folder, those that are of no more use deleted. validate: ids of pairs that are linked
+    Runs the merge: its tables are written to the shared folder, those that are of no more use deleted. gaia is read for its ids,
+    for the rows that may be linked and for the others: a table or a projection of one, not something to be worked out anew. validate: ids of pairs that are linked
     twice, and repeated gaia rows, are an error. order: a column of hip and pairs that says where a row came (see with_input_order());
     of repeated rows the last wins by it. Where there is none, the one of the least values.
     """
@@ -140,9 +148,10 @@ def merge(gaia: DataFrame, hip: DataFrame, pairs: DataFrame, overrides: DataFram
 
     # Gaia rows that may have a link or an override, with it and their partner
     linked_ids = x.select(F.col("gaia_id").alias("id")).unionByName(by_gaia.select(F.col("gaia_id").alias("id"))).filter("id IS NOT NULL")
-    words = _written(id_filter(linked_ids), "linked-ids")
+    bits = filter_bits(linked_ids.count())
+    words = _written(id_filter(linked_ids, bits), "linked-ids")
     linked = overridden(x.join(h, "hip_id", "left").join(by_gaia.select("gaia_id"), "gaia_id", "full"))
-    may = may_hold(words.scalar(), F.col("gaia_id"))
+    may = may_hold(words.scalar(), F.col("gaia_id"), bits)
     col, text = F.col, lambda c: F.col(c).cast("string")
 
     def beside(source: Column, source_id: Column, ra: Column, dec: Column) -> Column:
@@ -151,13 +160,15 @@ def merge(gaia: DataFrame, hip: DataFrame, pairs: DataFrame, overrides: DataFram
     def unlinked() -> tuple[DataFrame, int]:
         """Rows that the filter parts off: all they emit, and how many they are."""
         counted = Observation("unlinked")
-        alone = g.filter(~may).select(_row(F.lit("gaia"), col("gaia_id"), "gaia").alias("dense"), beside(F.lit("gaia"), text("gaia_id"), col("gaia.ra_deg"), col("gaia.dec_deg")).alias("sidecar"))
+        # a sidecar row's place and name are those of its dense row
+        alone = g.filter(~may).select(_row(F.lit("gaia"), col("gaia_id"), "gaia").alias("dense"), F.struct(col("gaia_id").alias("gaia_source_id"), *(col(f"gaia.{c}").alias(c) for c in carried)).alias("more"))
         if validate:
             # in the same write: a branch that has no rows, or fails it
             twice = without(g.groupBy("gaia_id").count(), col("count") > 1, F.concat(F.lit("gaia row "), F.coalesce(text("gaia_id"), F.lit("NULL")), F.lit(" is repeated"))).filter("count > 1")
-            alone = alone.unionByName(twice.select(F.lit(None).cast(alone.schema["dense"].dataType).alias("dense"), F.lit(None).cast(alone.schema["sidecar"].dataType).alias("sidecar")))
+            alone = alone.unionByName(twice.select(*(F.lit(None).cast(alone.schema[c].dataType).alias(c) for c in alone.columns)))
         out = _written(alone.observe(counted, F.count("dense").alias("rows")), "unlinked")
-        return out, counted.get["rows"]
+        beside_it = F.struct("dense.source", "dense.source_id", "more.gaia_source_id", "dense.ra_deg", "dense.dec_deg", *(f"more.{c}" for c in carried))
+        return out.filter("dense IS NOT NULL").select("dense", beside_it.alias("sidecar")), counted.get["rows"]
 
     def met_rows() -> tuple[DataFrame, dict]:
         """What all other rows emit, and the counts of it."""

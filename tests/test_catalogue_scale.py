@@ -38,3 +38,30 @@ def test_the_merge_groups_its_lines_once(spark, monkeypatch):
     monkeypatch.setattr(catalogue, "frame", lambda spark, sf, query, k=None, old=adapter.frame: asked.append((query, k is None)) or old(spark, sf, query, k))
     catalogue._stages(spark, SMALL)
     assert [fresh for query, fresh in asked if "hip_raw" not in query] == [False, False, False]
+
+
+def test_the_merge_writes_wide_rows_once(spark, monkeypatch):
+    """Gaia rows go from the grouped lines into what they emit, with no table of the stage between."""
+    from lumenforge.operators import merge as module
+
+    made = []
+    for place in (catalogue, module):
+        monkeypatch.setattr(place, "staged", lambda df, name, old=place.staged: made.append((name, df.columns, out := old(df, name))) or out)
+        monkeypatch.setattr(place, "removed", lambda *tables: None, raising=False)
+    dense = catalogue._merged(spark, SMALL).dense.count()
+    assert [name for name, _, df in made if df.count() > dense / 2] == ["unlinked"]
+    assert not [columns for _, columns, _ in made if "phot_g_mean_mag" in columns]
+
+
+def test_the_filter_of_linked_ids_grows_with_them(spark):
+    from pyspark.sql import functions as F
+
+    from lumenforge.operators.merge import filter_bits, id_filter, may_hold
+
+    assert filter_bits(0) == filter_bits(1_000) == 1 << 22 and filter_bits(10**9) == 1 << 26
+    n = 300_000
+    assert filter_bits(n) >= 16 * n
+    words = id_filter(spark.range(n), filter_bits(n))
+    passed = spark.range(-n, n).crossJoin(words).filter(may_hold(F.col("words"), F.col("id"), filter_bits(n)))
+    inside, outside = passed.filter("id >= 0").count(), passed.filter("id < 0").count()
+    assert inside == n and outside < 0.07 * n
