@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from lumenforge.llm.sais import permuted_lcp, suffix_array
 from lumenforge.llm.shared import input_partitions, table, written
 from lumenforge.llm.text import column, gathered, mix, prefix_sums, slices, text_bytes
+from lumenforge.operators.merge import filter_bits, id_filter, may_hold
 
 LENGTH = 200
 GRAM = 32
@@ -35,8 +36,6 @@ GRAM = 32
 SHARD_BYTES = 2 << 20
 #: Different contexts of an anchor that go to one shard.
 HOT = 20_000
-#: Asked contexts that are sent to the texts, instead of both being shuffled.
-SENT_ROWS = 500_000
 #: Contexts that a worker puts in order at once.
 HELD = 1 << 18
 
@@ -191,14 +190,22 @@ def _matched(length: int):
     return run
 
 
-def _cut_out(docs: DataFrame, open_: DataFrame, n: int) -> DataFrame:
-    """uid, kind, anchor, start, bytes of n contexts of docs."""
+def _cut_out(docs: DataFrame, open_: DataFrame) -> DataFrame:
+    """uid, kind, anchor, start, bytes of the contexts of docs in open_. docs go to the other side with all their columns, never by broadcast:
+    whatever the table's size, it is the same exchange as any other of docs by uid in a plan, and Spark writes it once."""
     asked = open_.groupBy("uid").agg(F.collect_list(F.struct("kind", "anchor", "start", "size")).alias("asked"))  # in proportion to a text's bytes
-    return docs.join(F.broadcast(asked) if n <= SENT_ROWS else asked, "uid").mapInArrow(_cut, "uid long, kind byte, anchor long, start long, bytes binary")
+    return docs.join(asked.hint("merge"), "uid").mapInArrow(_cut, "uid long, kind byte, anchor long, start long, bytes binary")
+
+
+def _holding(docs: DataFrame, open_: DataFrame) -> DataFrame:
+    """docs less those that a filter of the uids in open_, of 16 bits for each up to 8 MB, tells to hold none of its contexts: they are not shuffled."""
+    uids = open_.select(F.col("uid").alias("id")).distinct()
+    bits = filter_bits(uids.count())
+    return docs.filter(may_hold(written(id_filter(uids, bits), "hot-ids").scalar(), F.col("uid"), bits))
 
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH, hot: int = HOT) -> DataFrame:
-    """uid, start, size of byte spans of docs (uid, text) to remove; they may overlap."""
+    """uid, start, size of byte spans of docs (uid, text, maybe more) to remove; they may overlap."""
     buckets = max(16, 4 * input_partitions(docs))
     spread = F.when(F.col("bucket") < 0, -1 - F.pmod(F.xxhash64("anchors"), F.lit(buckets))).otherwise(F.col("bucket")).cast("int")
     rows, gram, levels = docs.select("uid", F.lit(0).cast("long").alias("base"), "text"), min(GRAM, length), []
@@ -208,18 +215,18 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, hot: int = HOT) -> Dat
         most = hot if gram < length else 1 << 62
         out = written(packed.groupBy("bucket").applyInArrow(_sorted_out(most), "kind byte, anchor long, uid long, start long, size long"), "contexts")
         levels.append(out)
-        n = out.filter("kind = 2").count()
-        if not n:
+        again = out.filter("kind = 2")
+        if again.isEmpty():
             break
-        cut = _cut_out(docs, out.filter("kind = 2"), n)
+        cut = _cut_out(_holding(docs, again), again)
         rows = written(cut.select("uid", F.col("start").alias("base"), F.col("bytes").alias("text")), "hot")
         gram += -(-(length - gram) // 2)
     out = levels[0]
     for level in levels[1:]:
         out = out.unionByName(level)
-    sums = out.filter("kind = 1").agg(F.count("*").alias("n"), F.coalesce(F.sum("size"), F.lit(0)).alias("size")).first()
-    shards = max(1, -(-sums["size"] // SHARD_BYTES))
-    cut = _cut_out(docs, out.filter("kind = 1"), sums["n"]).withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards)))
+    size = out.filter("kind = 1").agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+    shards = max(1, -(-size // SHARD_BYTES))
+    cut = _cut_out(docs, out.filter("kind = 1")).withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards)))
     matched = cut.groupBy("shard").applyInArrow(_matched(length), "uid long, start long, size long")
     return out.filter("kind = 0").select("uid", "start", "size").unionByName(matched)
 
@@ -257,8 +264,8 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, hot: int = HOT) -> Da
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and the kept bytes of each row of docs (doc_id, text)."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     rows = rows.withColumn("uid", F.xxhash64("doc_id", "text"))
-    spans = repeated_spans(rows.select("uid", "text"), length, hot).distinct().groupBy("uid").agg(F.collect_list(F.struct("start", "size")).alias("spans"))
-    joined = rows.join(spans, "uid", "left").select("doc_id", "text", "spans")
+    spans = repeated_spans(rows, length, hot).distinct().groupBy("uid").agg(F.collect_list(F.struct("start", "size")).alias("spans"))
+    joined = rows.join(spans.hint("merge"), "uid", "left").select("doc_id", "text", "spans")
     return joined.mapInArrow(_digest, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
 
 

@@ -7,6 +7,7 @@ import pyarrow.parquet as pq
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from lumenforge.llm import chaining, parity, sais, suffixes, text
 from tests.llm.conftest import SMALL, documents, words
@@ -192,6 +193,20 @@ def test_hot_anchors_go_to_suffix_arrays(spark, folder, monkeypatch):
     assert grams == [32, 116]  # longer anchors part them, so that no window is matched by itself
 
 
+def test_texts_are_shuffled_once_whatever_their_number(spark):
+    df = suffixes.op6_suffix_dedup(spark, SMALL)
+    assert df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().partition("Initial Plan")[0]
+    assert "BroadcastHashJoin" not in plan and "ReusedExchange" in plan
+
+
+def test_texts_without_hot_contexts_are_not_shuffled_again(spark):
+    docs = spark.range(20_000).select(F.xxhash64("id").alias("uid"), F.lit("text").alias("text"))
+    hot = docs.limit(50).withColumn("kind", F.lit(2)).localCheckpoint()
+    left = suffixes._holding(docs, hot)
+    assert left.join(hot, "uid").count() == 50 and left.count() < 200
+
+
 def test_suffix_dedup_of_odd_rows(spark, folder, odd):
     assert suffixes.op6_suffix_dedup(spark, folder(documents=odd)).count() == odd.num_rows
     assert suffixes.op6_suffix_dedup(spark, folder(documents=odd.slice(0, 0))).count() == 0
