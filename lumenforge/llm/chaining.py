@@ -187,6 +187,8 @@ def chains(places: np.ndarray, others: np.ndarray, k: int = K, gap_cost: float =
     a prefix maximum over `others` in a Fenwick tree, taken in order of `places`.
     """
     n = len(places)
+    if n == 1:
+        return [[0]]
     order = np.lexsort((others, places)).tolist()
     distinct = np.unique(others)
     rank = (np.searchsorted(distinct, others) + 1).tolist()
@@ -240,9 +242,9 @@ _RANGE = pa.struct([("low", pa.int32()), ("high", pa.int32())])
 _RANGE_SQL = "struct<low:int,high:int>"
 
 
-def _block(places: np.ndarray) -> tuple[int, int]:
+def _block(places: list[int]) -> tuple[int, int]:
     """The words to align around a chain: whole blocks, so that the chains of a shared passage ask for the same ones."""
-    return max(0, (int(places[0]) // BLOCK - 1) * BLOCK), (int(places[-1]) // BLOCK + 3) * BLOCK
+    return max(0, (places[0] // BLOCK - 1) * BLOCK), (places[-1] // BLOCK + 3) * BLOCK
 
 
 def _candidates(places: np.ndarray) -> list[dict]:
@@ -270,9 +272,11 @@ def _chained(rows: pa.Table) -> pa.Table:
     for a, b in zip(cuts[:-1], cuts[1:], strict=True):
         some = order[a:b]
         p, o = place[some], other_place[some]
+        whose, at, other_at = int(other[some[0]]), p.tolist(), o.tolist()
         for chain in chains(p, o):
-            (low, high), (other_low, other_high) = _block(p[chain]), _block(o[chain])
-            found.append({"other": int(other[some[0]]), "low": low, "high": high, "other_low": other_low, "other_high": other_high, "places": p[chain].tolist(), "other_places": o[chain].tolist()})
+            places, other_places = [at[i] for i in chain], [other_at[i] for i in chain]
+            (low, high), (other_low, other_high) = _block(places), _block(other_places)
+            found.append({"other": whose, "low": low, "high": high, "other_low": other_low, "other_high": other_high, "places": places, "other_places": other_places})
     found.sort(key=lambda c: (c["places"][0] - c["places"][-1], -len(c["places"]), c["other"]))
     first, rest, taken = [], [], []
     for c in found:
@@ -387,6 +391,8 @@ def _extend(x: np.ndarray, y: np.ndarray) -> tuple[int, int]:
     if not n:
         return 0, 0
     same = x[:n] == y[:n]
+    if same.all():
+        return n, n
     score = np.cumsum(np.where(same, 1, -2))
     dropped = np.flatnonzero(np.maximum.accumulate(np.maximum(score, 0)) - score > DROP)
     score = score[: dropped[0]] if len(dropped) else score
@@ -402,11 +408,15 @@ def _equal(x: np.ndarray, y: np.ndarray) -> int:
         same = int((x == y).sum())
         if 2 * same >= len(x):
             return same
-    row = np.zeros(len(y) + 1, np.int64)
-    for a in x:
-        grown = np.maximum(row[1:], row[:-1] + (y == a))
-        row[1:] = np.maximum.accumulate(grown)
-    return int(row[-1])
+    # a row of the dynamic program as bits of a whole number, zero where it grows
+    held: dict[int, int] = {}
+    for i, b in enumerate(y.tolist()):
+        held[b] = held.get(b, 0) | 1 << i
+    full = row = (1 << len(y)) - 1
+    for a in x.tolist():
+        if same := held.get(a, 0):
+            row = (row + (row & same) | row - (row & same)) & full
+    return len(y) - row.bit_count()
 
 
 def aligned(x: np.ndarray, y: np.ndarray, places: np.ndarray, others: np.ndarray, k: int = K, least: float = IDENTITY) -> list[tuple[int, int, int, int, float]]:
@@ -416,11 +426,12 @@ def aligned(x: np.ndarray, y: np.ndarray, places: np.ndarray, others: np.ndarray
     with other text between them come out one by one.
     """
     n = len(places)
+    places, others = places.tolist(), others.tolist()
     # what each seed adds, with the gap before it
-    gap_same, gap_total, fresh = np.zeros(n, np.int64), np.zeros(n, np.int64), np.full(n, k)
+    gap_same, gap_total, fresh = [0] * n, [0] * n, [k] * n
     for j in range(1, n):
-        at_x, at_y = int(places[j - 1]) + k, int(others[j - 1]) + k
-        p, o = int(places[j]), int(others[j])
+        at_x, at_y = places[j - 1] + k, others[j - 1] + k
+        p, o = places[j], others[j]
         if p > at_x or o > at_y:
             gap_x, gap_y = x[at_x:p], y[at_y:o]
             gap_same[j] = _equal(gap_x, gap_y) if len(gap_x) and len(gap_y) else 0
@@ -429,16 +440,16 @@ def aligned(x: np.ndarray, y: np.ndarray, places: np.ndarray, others: np.ndarray
     out, parts = [], [(0, n)]
     while parts:
         low, high = parts.pop()
-        a, b, c, d = int(places[low]), int(others[low]), int(places[high - 1]) + k, int(others[high - 1]) + k
+        a, b, c, d = places[low], others[low], places[high - 1] + k, others[high - 1] + k
         right, right_same = _extend(x[c:], y[d:])
         left, left_same = _extend(x[:a][::-1], y[:b][::-1])
         inner = slice(low + 1, high)
-        total = k + int((gap_total[inner] + fresh[inner]).sum()) + left + right
-        same = k + int((gap_same[inner] + fresh[inner]).sum()) + left_same + right_same
+        total = k + sum(gap_total[inner]) + sum(fresh[inner]) + left + right
+        same = k + sum(gap_same[inner]) + sum(fresh[inner]) + left_same + right_same
         if same >= least * total:
             out.append((a - left, c + right, b - left, d + right, same / total))
-        elif (gap_total[inner] > gap_same[inner]).any():
-            cut = low + 1 + int((gap_total[inner] - gap_same[inner]).argmax())
+        elif any(unequal := [t - s for t, s in zip(gap_total[inner], gap_same[inner], strict=True)]):
+            cut = low + 1 + unequal.index(max(unequal))
             parts += [(cut, high), (low, cut)]
     return out
 

@@ -98,6 +98,10 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return starts, ends, np.searchsorted(starts, offsets)
 
 
+#: Hashes of (place, byte) for the first 64 places; those of later ones are worked out.
+_PLACED = mix(np.arange(64 << 8, dtype=np.uint64) + np.uint64(1 << 40))
+
+
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """A 64-bit hash of each byte span: the sum of a hash of every (place in the span, byte). Spans are in order and apart.
 
@@ -106,7 +110,10 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     lengths = ends - starts
     begin = np.cumsum(lengths) - lengths
     place = np.arange(lengths.sum()) - np.repeat(begin, lengths)
-    values = mix((place.astype(np.uint64) << np.uint64(8)) + data[place + np.repeat(starts, lengths)] + np.uint64(1 << 40))
+    at = (place << 8) + data[place + np.repeat(starts, lengths)]
+    values = _PLACED[np.minimum(at, len(_PLACED) - 1)]
+    far = np.flatnonzero(at >= len(_PLACED))
+    values[far] = mix(at[far].astype(np.uint64) + np.uint64(1 << 40))
     return mix((np.add.reduceat(values, begin) if len(begin) else np.zeros(0, np.uint64)) + lengths.astype(np.uint64))
 
 

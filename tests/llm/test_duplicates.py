@@ -381,3 +381,35 @@ def test_crowded_keys_are_compared_in_blocks(spark, folder, monkeypatch):
     for k, num in ((5, 80), (3, 90)):
         got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in parity.near_duplicates(docs, k, num, 100).collect()}
         assert got == brute_components(rows, k, num, 100)
+
+
+def test_common_words_of_long_gaps_are_counted_once_a_word(monkeypatch):
+    rng = np.random.default_rng(8)
+
+    def common(x, y):
+        row = [0] * (len(y) + 1)
+        for a in x:
+            row, old = [0], row
+            for j, b in enumerate(y):
+                row.append(max(row[-1], old[j + 1], old[j] + (a == b)))
+        return row[-1]
+
+    for _ in range(200):
+        x, y = (rng.integers(0, rng.integers(2, 40), rng.integers(1, 130)).astype(np.uint64) for _ in range(2))
+        if len(x) != len(y) or 2 * (x == y).sum() < len(x):
+            assert chaining._equal(x, y) == common(x.tolist(), y.tolist())
+    # no array work for each word of a gap
+    monkeypatch.setattr(np, "maximum", None)
+    assert chaining._equal(np.arange(300, dtype=np.uint64), np.arange(100, 350, dtype=np.uint64)) == 200
+
+
+def test_hashes_of_words_come_from_a_table_of_places(monkeypatch):
+    want = lambda w: int(text.mix(np.array([sum(int(text.mix(np.array([(k << 8) + b + (1 << 40)], np.uint64))[0]) for k, b in enumerate(w)) + len(w) & (1 << 64) - 1], np.uint64))[0])
+    words = [b"a", b"word", bytes(range(97, 122)) * 9, b"x" * 64, b"y" * 65, b"\xff" * 70]
+    ends = np.cumsum([len(w) for w in words])
+    hashes = lambda: text.span_hashes(np.frombuffer(b"".join(words), np.uint8), ends - [len(w) for w in words], ends).tolist()
+    assert hashes() == [want(w) for w in words]
+    mixed, made = [], text.mix
+    monkeypatch.setattr(text, "mix", lambda x: mixed.append(len(x)) or made(x))
+    hashes()
+    assert mixed == [sum(max(0, len(w) - 64) for w in words), len(words)]
