@@ -67,8 +67,8 @@ def within_magnitude(df: DataFrame, limit: float | None) -> DataFrame:
     return df if limit is None else df.filter(yes(number(df, "phot_g_mean_mag") <= limit))
 
 
-def gaia_stage(raw: DataFrame, mag_limit: float | None = None, carry: tuple[CarryField, ...] = ()) -> DataFrame:
-    """Dense rows with ruwe, phot_g_mean_mag and the carried fields."""
+def gaia_stage(raw: DataFrame, mag_limit: float | None = None, carry: tuple[CarryField, ...] = (), faintest: float | None = None) -> DataFrame:
+    """Dense rows with ruwe, phot_g_mean_mag and the carried fields. faintest: only rows of an absolute magnitude up to it."""
     compiled(raw.sparkSession)
     df = within_magnitude(raw, mag_limit)
     # the stage's own columns may take an input column's name
@@ -81,11 +81,15 @@ def gaia_stage(raw: DataFrame, mag_limit: float | None = None, carry: tuple[Carr
     photogeo = (n("r_lo_photogeo"), n("r_med_photogeo"), n("r_hi_photogeo"))
     df = df.withColumn("_d", A.tiered_distance(n("parallax"), n("parallax_error"), geo, photogeo, g, mg, ag))
     distance, quality = F.col("_d.distance"), F.col("_d.quality")
-    df = df.withColumn("_p", A.propagated(n("ra"), n("dec"), distance, n("pmra"), n("pmdec"), F.coalesce(n("ref_epoch"), F.lit(A.TARGET_EPOCH)) if "ref_epoch" in df.columns else F.lit(A.TARGET_EPOCH)))
-    df = df.withColumn("_t", P.teff_cascade(n("teff_esphs"), n("teff_gspspec"), n("teff_espucd"), n("teff_gspphot"), F.col("bp_rp"), n("bv")))
     has_mg = yes((mg > -10) & (mg < 15))
     absorbed = yes((ag >= 0) & (ag < 5))
     mag = F.when(has_mg, mg).when(absorbed, P.absolute_magnitude(g, distance, ag)).otherwise(P.absolute_magnitude(g, distance))
+    if faintest is not None:
+        # observed, so that the filter is not pushed below the distance, of whose long expression it would hold several copies
+        df = df.withColumn("_mag", mag).observe("gaia rows", F.count("*").alias("n")).filter(F.col("_mag") <= faintest)
+        mag = F.col("_mag")
+    df = df.withColumn("_p", A.propagated(n("ra"), n("dec"), distance, n("pmra"), n("pmdec"), F.coalesce(n("ref_epoch"), F.lit(A.TARGET_EPOCH)) if "ref_epoch" in df.columns else F.lit(A.TARGET_EPOCH)))
+    df = df.withColumn("_t", P.teff_cascade(n("teff_esphs"), n("teff_gspspec"), n("teff_espucd"), n("teff_gspphot"), F.col("bp_rp"), n("bv")))
     spread = F.abs(n("mg_gspphot_upper") - n("mg_gspphot_lower")) / 2.0
     flags = with_sources(distance_flags(F.col("_d.source"), distance, F.col("_d.review")), F.lit(PHOT_SOURCE["GAIA_G"]), F.col("_t.source"))
     stage = df.withColumns({

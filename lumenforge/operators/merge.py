@@ -108,13 +108,14 @@ def _written(df: DataFrame, name: str) -> DataFrame:
         raise
 
 
-def merge(gaia: DataFrame, hip: DataFrame, pairs: DataFrame, overrides: DataFrame, validate: bool = True, order: str = "input_order") -> Merged:
+def merge(gaia: DataFrame, hip: DataFrame, pairs: DataFrame, overrides: DataFrame, validate: bool = True, order: str = "input_order", kept: DataFrame | None = None) -> Merged:
     """gaia, hip: rows of their stages; pairs: crossmatch; overrides: override rows. gaia ids are unique.
 
     Runs the merge: its tables are written to the shared folder, those that are of no more use deleted. gaia is read for its ids,
     for the rows that may be linked and for the others: a table or a projection of one, not something to be worked out anew. validate: ids of pairs that are linked
     twice, and repeated gaia rows, are an error. order: a column of hip and pairs that says where a row came (see with_input_order());
-    of repeated rows the last wins by it. Where there is none, the one of the least values.
+    of repeated rows the last wins by it. Where there is none, the one of the least values. kept: for callers that read no other
+    rows without a link, those of gaia that they read: the others are checked and counted, but not written to dense and sidecar.
     """
     spark = gaia.sparkSession
     compiled(spark)
@@ -122,7 +123,8 @@ def merge(gaia: DataFrame, hip: DataFrame, pairs: DataFrame, overrides: DataFram
         require(df, DENSE, what)
     require(pairs, ("gaia_source_id", "hip_source_id"), "crossmatch")
     carried = {c: t for c, t in gaia.dtypes if c.startswith("gaia_") and c != "gaia_source_id"}
-    g = _payload(gaia, "gaia", {"ruwe": "double", "phot_g_mean_mag": "double", **carried})
+    payload = lambda df: _payload(df, "gaia", {"ruwe": "double", "phot_g_mean_mag": "double", **carried})
+    g = payload(gaia)
     at = lambda df: [F.col(order).alias("_at")] if order in df.columns else []
     h = _payload(hip, "hip", {"Sn": "int", "Hpmag": "double"}, at(hip))
     h = first_by(h, ["hip_id"], "_at" if "_at" in h.columns else "hip", last="_at" in h.columns).select("hip_id", "hip")
@@ -161,12 +163,12 @@ def merge(gaia: DataFrame, hip: DataFrame, pairs: DataFrame, overrides: DataFram
         """Rows that the filter parts off: all they emit, and how many they are."""
         counted = Observation("unlinked")
         # a sidecar row's place and name are those of its dense row
-        alone = g.filter(~may).select(_row(F.lit("gaia"), col("gaia_id"), "gaia").alias("dense"), F.struct(col("gaia_id").alias("gaia_source_id"), *(col(f"gaia.{c}").alias(c) for c in carried)).alias("more"))
-        if validate:
-            # in the same write: a branch that has no rows, or fails it
-            twice = without(g.groupBy("gaia_id").count(), col("count") > 1, F.concat(F.lit("gaia row "), F.coalesce(text("gaia_id"), F.lit("NULL")), F.lit(" is repeated"))).filter("count > 1")
-            alone = alone.unionByName(twice.select(*(F.lit(None).cast(alone.schema[c].dataType).alias(c) for c in alone.columns)))
-        out = _written(alone.observe(counted, F.count("dense").alias("rows")), "unlinked")
+        row, more = _row(F.lit("gaia"), col("gaia_id"), "gaia"), F.struct(col("gaia_id").alias("gaia_source_id"), *(col(f"gaia.{c}").alias(c) for c in carried))
+        alone = (g if kept is None else payload(kept)).filter(~may).select(row.alias("dense"), more.alias("more"))
+        # in the same write: a branch that has no rows, or fails it; ids alone are counted
+        ids = g.groupBy("gaia_id").count().observe(counted, F.coalesce(F.sum(F.when(~may, col("count"))), F.lit(0)).alias("rows")) if validate else g.filter(~may).select("gaia_id", F.lit(1).alias("count")).observe(counted, F.count("count").alias("rows"))
+        twice = without(ids, col("count") > 1, F.concat(F.lit("gaia row "), F.coalesce(text("gaia_id"), F.lit("NULL")), F.lit(" is repeated"))).filter("count > 1")
+        out = _written(alone.unionByName(twice.select(*(F.lit(None).cast(alone.schema[c].dataType).alias(c) for c in alone.columns))), "unlinked")
         beside_it = F.struct("dense.source", "dense.source_id", "more.gaia_source_id", "dense.ra_deg", "dense.dec_deg", *(f"more.{c}" for c in carried))
         return out.filter("dense IS NOT NULL").select("dense", beside_it.alias("sidecar")), counted.get["rows"]
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lumenforge.functions.nulls import INF, or_null, yes
 from lumenforge.operators.common import conform, first_by
-from lumenforge.operators.merge import STANDARD_SOLUTION
+from lumenforge.operators.merge import STANDARD_SOLUTION, filter_bits, id_filter, may_hold
 from lumenforge.operators.schemas import ISSUES
 from lumenforge.sources.tables import occupied, write_report, write_table
 
@@ -26,8 +26,11 @@ def _number(c: str):
 
 
 def _side(rows: DataFrame, asked: DataFrame, name: str, more: dict[str, str]) -> DataFrame:
-    """Of a catalogue, the rows whose ids are asked for: they alone are put together by id."""
-    rows = rows.withColumn("_id", F.col("source_id").cast("long")).join(asked, "_id", "left_semi")
+    """Of a catalogue, the rows whose ids are asked for: they alone are put together by id. A bit filter of the ids parts most others off
+    where they are read, before they are shuffled."""
+    bits = filter_bits(asked.count())
+    words = id_filter(asked.select(F.col("_id").alias("id")), bits)
+    rows = rows.withColumn("_id", F.col("source_id").cast("long")).filter("_id IS NOT NULL").filter(may_hold(words.scalar(), F.col("_id"), bits)).join(asked, "_id", "left_semi")
     cols = {"r_pc": "double", "mag_abs": "double", "astrometry_quality": "double", **more}
     df = rows.select(F.col("_id").alias(f"{name}_num"), *(or_null(rows, c, t).alias(f"{name}_{c}") for c, t in cols.items()))
     return first_by(df, [f"{name}_num"], *(c for c in df.columns if c != f"{name}_num"))
@@ -67,6 +70,12 @@ def pair_issues(decisions: DataFrame, gaia: DataFrame, hip: DataFrame, keys: Dat
     )
 
 
+def faintest(limits: dict[str, float] | None = None) -> float:
+    """The largest absolute magnitude of a row that row_issues() may report."""
+    t = THRESHOLDS | (limits or {})
+    return max(t["extreme_mag"], t["luminous_mag"])
+
+
 def row_issues(dense: DataFrame, keys: DataFrame, limits: dict[str, float] | None = None) -> DataFrame:
     """Merged rows that are implausibly bright, or bright with poor astrometry or from far away."""
     t = THRESHOLDS | (limits or {})

@@ -65,3 +65,14 @@ def test_the_filter_of_linked_ids_grows_with_them(spark):
     passed = spark.range(-n, n).crossJoin(words).filter(may_hold(F.col("words"), F.col("id"), filter_bits(n)))
     inside, outside = passed.filter("id >= 0").count(), passed.filter("id < 0").count()
     assert inside == n and outside < 0.07 * n
+
+
+def test_rows_that_are_not_read_are_not_written(spark):
+    whole, linked = catalogue._merged(spark, SMALL), catalogue._merged(spark, SMALL, linked_only=True)
+    _, audited = catalogue._audited(spark, SMALL)
+    ids = lambda df: {r[0] for r in df.filter("source = 'gaia'").select("source_id").collect()}
+    bright = ids(whole.dense.filter(f"mag_abs <= {catalogue.LIMITS['luminous_mag']}"))
+    assert ids(linked.dense) < ids(audited.dense) < ids(whole.dense) and bright <= ids(audited.dense)
+    # all are counted, and no decision is lost
+    assert whole.report.collect() == linked.report.collect() == audited.report.collect()
+    assert sorted(map(str, whole.decisions.collect())) == sorted(map(str, linked.decisions.collect()))
