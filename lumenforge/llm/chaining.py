@@ -55,30 +55,33 @@ def minimizers(words: np.ndarray, first: np.ndarray, k: int = K, window: int = W
     h = rolled(words, k)
     if not len(h):
         return np.zeros(0, np.int64), np.zeros(0, np.int64), h
-    rows = np.searchsorted(first, np.arange(len(h)), "right") - 1
-    valid = np.arange(len(h)) + k <= first[rows + 1]
-    value = np.where(valid, h, np.uint64(0xFFFFFFFFFFFFFFFF))
-    # running minimum by doubling, then the first place that has it
-    least = value.copy()
-    short = _least(value, min(window, len(value)))
-    least[: len(short)] = short
-    for at in range(len(short), len(value)):  # windows that the array's end cuts short
-        least[at] = value[at:].min()
-    # a run is a seed if it is the least of some window of its own row: looking back over the windows that hold it
+    sizes = np.diff(first)
+    rows = np.repeat(np.arange(len(sizes)), sizes)[: len(h)]
+    n = np.maximum(sizes - k + 1, 0)
+    place = np.arange(len(h)) - first[rows]
     chosen = np.zeros(len(h), bool)
-    n = np.maximum(np.diff(first) - k + 1, 0)
-    for back in range(window):
-        at = np.arange(back, len(h))
-        start = at - back
-        same = (rows[start] == rows[at]) & (start + np.minimum(window, n[rows[at]]) <= first[rows[at]] + n[rows[at]])
-        chosen[at] |= same & valid[at] & (least[start] == value[at])
+    # a run is a seed if it is the least of some window of its own row: the greatest of the leasts of the windows that hold it is its own
+    if len(h) >= window:
+        least = _least(h, window)
+        least[place[: len(least)] > (n - window)[rows[: len(least)]]] = 0
+        around = np.zeros(len(h) + window - 1, np.uint64)
+        around[window - 1 : window - 1 + len(least)] = least
+        chosen = (_least(~around, window) == ~h) & (n[rows] >= window) & (place < n[rows])
+    for r in np.flatnonzero((n > 0) & (n < window)):
+        run = h[first[r] : first[r] + n[r]]
+        chosen[first[r] : first[r] + n[r]] = run == run.min()
     at = np.flatnonzero(chosen)
-    return rows[at], at - first[rows[at]], h[at]
+    return rows[at], place[at], h[at]
 
 
 def _firsts(seeds: np.ndarray, docs: np.ndarray, places: np.ndarray, *more: np.ndarray) -> tuple[np.ndarray, ...]:
     """Distinct occurrences in order of seed, doc and place, with their seed's first (doc, place), and what a seed tells of itself."""
-    order = np.lexsort((places, docs, seeds))
+    order = np.argsort(seeds)
+    again = np.zeros(len(seeds) + 1, bool)
+    again[1:-1] = seeds[order[1:]] == seeds[order[:-1]]
+    several = np.flatnonzero(again[1:] | again[:-1])
+    some = order[several]
+    order[several] = some[np.lexsort((places[some], docs[some], seeds[some]))]
     seeds, docs, places, *more = (x[order] for x in (seeds, docs, places, *more))
     new = np.ones(len(seeds), bool)
     new[1:] = (seeds[1:] != seeds[:-1]) | (docs[1:] != docs[:-1]) | (places[1:] != places[:-1])
@@ -242,50 +245,137 @@ _RANGE = pa.struct([("low", pa.int32()), ("high", pa.int32())])
 _RANGE_SQL = "struct<low:int,high:int>"
 
 
-def _block(places: list[int]) -> tuple[int, int]:
-    """The words to align around a chain: whole blocks, so that the chains of a shared passage ask for the same ones."""
-    return max(0, (places[0] // BLOCK - 1) * BLOCK), (places[-1] // BLOCK + 3) * BLOCK
+def _block(low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The words to align around chains: whole blocks, so that the chains of a shared passage ask for the same ones."""
+    return np.maximum(0, (low // BLOCK - 1) * BLOCK), (high // BLOCK + 3) * BLOCK
 
 
-def _candidates(places: np.ndarray) -> list[dict]:
-    """Where runs of MIN_WORDS words that another document holds may start, given the places of a document's shared seeds.
+def _whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The batches, which are in order of doc_id, cut so that each document is whole in one table."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        ids = column(batch, "doc_id").to_numpy()
+        if held and ids[-1] == column(held[0], "doc_id")[0].as_py():
+            held.append(batch)
+            continue
+        cut = int(np.searchsorted(ids, ids[-1]))
+        if held or cut:
+            yield pa.Table.from_batches([*held, batch.slice(0, cut)])
+        held = [batch.slice(cut)]
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _by_document(work):
+    """A function of tables of whole documents as one of batches in order of doc_id."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _whole(batches):
+            yield from work(rows).to_batches()
+
+    return run
+
+
+def _occurrences(rows: pa.Table) -> tuple[np.ndarray, ...]:
+    """The documents, and of each shared seed its document's number, place, the document it is first in, and its place there."""
+    ids = rows["doc_id"].to_numpy()
+    new = np.ones(len(ids), bool)
+    new[1:] = ids[1:] != ids[:-1]
+    sizes = np.concatenate([np.diff(x.offsets.to_numpy()) for x in rows["places"].chunks])
+    flat = (np.concatenate([x.flatten().to_numpy() for x in rows[c].chunks]).astype(np.int64) for c in ("places", "others", "other_places"))
+    return ids[new], np.repeat(np.cumsum(new) - 1, sizes), *flat
+
+
+def _ranges_of(steps: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The numbers from each step on, so many of them, one run after another."""
+    return np.repeat(steps - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+
+
+def _lists(doc: np.ndarray, count: int, items: pa.StructArray) -> pa.ListArray:
+    """The items, in order of their document's number, as a list for each document."""
+    return pa.ListArray.from_arrays(pa.array(np.searchsorted(doc, np.arange(count + 1)).astype(np.int32)), items)
+
+
+def _structs(kind: pa.StructType, *columns) -> pa.StructArray:
+    return pa.StructArray.from_arrays([pa.array(c, f.type) if isinstance(c, np.ndarray) else c for c, f in zip(columns, kind, strict=True)], fields=list(kind))
+
+
+def _candidates(doc: np.ndarray, places: np.ndarray, count: int) -> pa.ListArray:
+    """Where runs of MIN_WORDS words that another document holds may start, given the places of each document's shared seeds.
 
     Each window within such a run has a seed that is shared, so shared seeds lie at most WINDOW apart from its start to its end.
     """
-    places = np.unique(places)
-    cuts = np.flatnonzero(np.concatenate([[True], np.diff(places) > WINDOW, [True]])) if len(places) else np.zeros(1, np.int64)
-    low, high = places[cuts[:-1]] - (WINDOW - 1), places[cuts[1:] - 1] - (MIN_WORDS - K - WINDOW + 1) + 1
-    return [{"low": a, "high": b} for a, b in zip(np.maximum(low, 0).tolist(), high.tolist(), strict=True) if a < b]
+    order = np.lexsort((places, doc))
+    doc, places = doc[order], places[order]
+    new = np.ones(len(doc), bool)
+    new[1:] = (doc[1:] != doc[:-1]) | (np.diff(places) > WINDOW)
+    lead = np.flatnonzero(new)
+    last = np.append(lead[1:], len(doc))[: len(lead)] - 1
+    low, high = np.maximum(places[lead] - (WINDOW - 1), 0), places[last] - (MIN_WORDS - K - WINDOW + 1) + 1
+    some = low < high
+    return _lists(doc[lead][some], count, _structs(_RANGE, low[some], high[some]))
 
 
 def _chained(rows: pa.Table) -> pa.Table:
     """One row a document: the chains of its seeds with each earlier document, those to align first and the rest, and where
-    runs shared word for word may start."""
-    place, other, other_place = (np.concatenate([x.values.to_numpy() for x in rows[c]]) for c in ("places", "others", "other_places"))
-    ranges = _candidates(place)
-    earlier = other != rows["doc_id"][0].as_py()
-    place, other, other_place = place[earlier], other[earlier], other_place[earlier]
+    runs shared word for word may start. The rows of one document follow one another."""
+    docs, doc, place, other, other_place = _occurrences(rows)
+    ranges = _candidates(doc, place, len(docs))
+    earlier = np.flatnonzero(other != docs[doc])
     # rows arrive in any order: ties between chains must not depend on it
-    order = np.lexsort((other_place, place, other))
-    cuts = np.flatnonzero(np.concatenate([[True], other[order][1:] != other[order][:-1], [True]])) if len(order) else np.zeros(1, np.int64)
-    found = []
-    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-        some = order[a:b]
-        p, o = place[some], other_place[some]
-        whose, at, other_at = int(other[some[0]]), p.tolist(), o.tolist()
-        for chain in chains(p, o):
-            places, other_places = [at[i] for i in chain], [other_at[i] for i in chain]
-            (low, high), (other_low, other_high) = _block(places), _block(other_places)
-            found.append({"other": whose, "low": low, "high": high, "other_low": other_low, "other_high": other_high, "places": places, "other_places": other_places})
-    found.sort(key=lambda c: (c["places"][0] - c["places"][-1], -len(c["places"]), c["other"]))
-    first, rest, taken = [], [], []
-    for c in found:
-        if all(c["high"] <= low or high <= c["low"] for low, high in taken):
-            first.append(c)
-            taken.append((c["low"], c["high"]))
-        else:
-            rest.append(c)
-    return pa.table([rows["doc_id"][:1], pa.chunked_array([pa.array([first], pa.list_(_CHAIN))]), pa.chunked_array([pa.array([rest], pa.list_(_CHAIN))]), pa.chunked_array([pa.array([ranges], pa.list_(_RANGE))])], ["doc_id", "first", "rest", "ranges"])
+    order = earlier[np.lexsort((other_place[earlier], place[earlier], other[earlier], doc[earlier]))]
+    doc, place, other, other_place = doc[order], place[order], other[order], other_place[order]
+    new = np.ones(len(doc), bool)
+    new[1:] = (doc[1:] != doc[:-1]) | (other[1:] != other[:-1])
+    lead = np.flatnonzero(new)
+    sizes = np.diff(np.append(lead, len(doc)))
+    # where each step adds more than it costs, the best chain takes all seeds: most pairs of documents are such
+    step, other_step = np.diff(place, prepend=0), np.diff(other_place, prepend=0)
+    gains = new | (np.minimum(np.minimum(step, other_step), K) > GAP_COST * (step + other_step) + 1e-6)
+    simple = np.logical_and.reduceat(gains, lead) if len(lead) else np.zeros(0, bool)
+    parts, number, found = [np.flatnonzero(np.repeat(simple, sizes))], [np.zeros(int(simple.sum()), np.int64)], [sizes[simple]]
+    for g in np.flatnonzero(~simple):
+        a, b = lead[g], lead[g] + sizes[g]
+        made = chains(place[a:b], other_place[a:b])
+        parts.append(np.fromiter((i for c in made for i in c), np.int64) + a)
+        number.append(np.arange(len(made)))
+        found.append(np.array([len(c) for c in made]))
+    seeds, number, sizes = np.concatenate(parts), np.concatenate(number), np.concatenate(found).astype(np.int64)
+    begin = np.cumsum(sizes) - sizes
+    head, tail = seeds[begin], seeds[begin + sizes - 1]
+    # chains of each document by the words they reach over
+    rank = np.lexsort((number, other[head], -sizes, place[head] - place[tail], doc[head]))
+    begin, sizes, head, tail = begin[rank], sizes[rank], head[rank], tail[rank]
+    (low, high), (other_low, other_high) = _block(place[head], place[tail]), _block(other_place[head], other_place[tail])
+    first = _apart(doc[head], low, high)
+
+    def listed(some: np.ndarray) -> pa.ListArray:
+        at = seeds[_ranges_of(begin[some], sizes[some])]
+        cuts = np.append(0, np.cumsum(sizes[some]))
+        whose, words, other_words = head[some], list_array(place[at], cuts, pa.int32()), list_array(other_place[at], cuts, pa.int32())
+        return _lists(doc[whose], len(docs), _structs(_CHAIN, other[whose], low[some], high[some], other_low[some], other_high[some], words, other_words))
+
+    return pa.table([pa.array(docs), listed(np.flatnonzero(first)), listed(np.flatnonzero(~first)), ranges], ["doc_id", "first", "rest", "ranges"])
+
+
+def _apart(doc: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """True for the ranges that overlap none taken before them in their document."""
+    first = np.ones(len(doc), bool)
+    cuts = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1], [True]])) if len(doc) else np.zeros(1, np.int64)
+    several = np.flatnonzero(np.diff(cuts) > 1)
+    for a, b in zip(cuts[several].tolist(), cuts[several + 1].tolist(), strict=True):
+        starts: list[int] = []
+        ends: list[int] = []
+        for i, (lo, hi) in enumerate(zip(low[a:b].tolist(), high[a:b].tolist(), strict=True), a):
+            at = bisect.bisect_left(starts, hi)
+            if at and ends[at - 1] > lo:
+                first[i] = False
+            else:
+                starts.insert(at, lo)
+                ends.insert(at, hi)
+    return first
 
 
 def _few(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
@@ -297,32 +387,40 @@ def _few(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.Reco
 
 def _uncovered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of the chains put off, those with a seed that no passage found so far covers."""
-    for batch in _few(batches):
-        rest, spans = batch.column(1).to_pylist(), batch.column(2).to_pylist()
-        out = []
-        for chains_, some in zip(rest, spans, strict=True):
-            some = some or []
-            out.append([c for c in chains_ if not all(any(s["start_word"] <= p and p + K <= s["end_word"] for s in some) for p in c["places"])])
-        kept = [k for k, c in enumerate(out) if c]
-        yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(kept, pa.int64())), pa.array([out[k] for k in kept], pa.list_(_CHAIN))], ["doc_id", "chains"])
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        rest, spans = batch.column(1), batch.column(2)
+        made, held = rest.flatten(), spans.flatten()
+        numbers = np.arange(batch.num_rows, dtype=np.int64)
+        whose = np.repeat(numbers, np.diff(rest.offsets.to_numpy()))
+        span_doc = np.repeat(numbers, spans.value_lengths().fill_null(0).to_numpy()) << 32
+        starts = span_doc + held.field("start_word").to_numpy()
+        order = np.argsort(starts)
+        # the furthest end of the spans that start no later, in the same document
+        reach = np.append(np.maximum.accumulate((span_doc + held.field("end_word").to_numpy())[order]), -1)
+        places = made.field("places")
+        sizes = np.diff(places.offsets.to_numpy())
+        at = (np.repeat(whose, sizes) << 32) + places.flatten().to_numpy()
+        covered = reach[np.searchsorted(starts[order], at, "right") - 1] >= at + K
+        kept = np.flatnonzero(~np.logical_and.reduceat(covered, np.cumsum(sizes) - sizes)) if len(sizes) else np.zeros(0, np.int64)
+        docs, cuts = np.unique(whose[kept], return_index=True)
+        lists = pa.ListArray.from_arrays(pa.array(np.append(cuts, len(kept)).astype(np.int32)), made.take(pa.array(kept)))
+        yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(docs)), lists], ["doc_id", "chains"])
 
 
 def _runs(rows: pa.Table) -> pa.Table:
     """One row a document: its stretches that an earlier document holds word for word, all starts of MIN_WORDS words put together."""
-    place, other, other_place = (np.concatenate([x.values.to_numpy() for x in rows[c]]).astype(np.int64) for c in ("places", "others", "other_places"))
-    earlier = other != rows["doc_id"][0].as_py()
-    place, other, other_place = place[earlier], other[earlier], other_place[earlier]
-    order = np.lexsort((place, other_place - place, other))
-    place, other, other_place = place[order], other[order], other_place[order]
+    docs, doc, place, other, other_place = _occurrences(rows)
+    earlier = np.flatnonzero(other != docs[doc])
+    order = earlier[np.lexsort((place[earlier], other_place[earlier] - place[earlier], other[earlier], doc[earlier]))]
+    doc, place, other, other_place = doc[order], place[order], other[order], other_place[order]
     new = np.ones(len(place), bool)
-    new[1:] = (other[1:] != other[:-1]) | (place[1:] - place[:-1] > 1) | (other_place[1:] - other_place[:-1] != place[1:] - place[:-1])
+    new[1:] = (doc[1:] != doc[:-1]) | (other[1:] != other[:-1]) | (place[1:] - place[:-1] > 1) | (other_place[1:] - other_place[:-1] != place[1:] - place[:-1])
     lead = np.flatnonzero(new)
     last = np.append(lead[1:], len(place))[: len(lead)] - 1
-    made = [
-        {"start_word": p, "end_word": e + MIN_WORDS, "other": o, "other_start": q}
-        for p, e, o, q in zip(place[lead].tolist(), place[last].tolist(), other[lead].tolist(), other_place[lead].tolist(), strict=True)
-    ]
-    return pa.table([rows["doc_id"][:1], pa.chunked_array([pa.array([made], pa.list_(_RUN))])], ["doc_id", "runs"])
+    made = _structs(_RUN, place[lead], place[last] + MIN_WORDS, other[lead], other_place[lead])
+    return pa.table([pa.array(docs), _lists(doc[lead], len(docs), made)], ["doc_id", "runs"])
 
 
 _RUN = pa.struct([("start_word", pa.int32()), ("end_word", pa.int32()), ("other", pa.int64()), ("other_start", pa.int32())])
@@ -374,32 +472,43 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for rows in slices(batch, "text"):
             words, first = word_hashes(column(rows, "text"))
-            asked = column(rows, "asked").to_pylist()
-            ids = column(rows, "doc_id").to_pylist()
-            out: list[list] = [[], [], [], []]
-            for r, spans in enumerate(asked):
-                mine = words[first[r] : first[r + 1]]
-                for s in spans:
-                    for kept, x in zip(out, (ids[r], s["low"], s["high"], mine[s["low"] : s["high"]].tobytes()), strict=True):
-                        kept.append(x)
-            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int32()), pa.array(out[2], pa.int32()), pa.array(out[3], pa.binary())], ["doc_id", "low", "high", "words"])
+            asked = column(rows, "asked")
+            row = np.repeat(np.arange(rows.num_rows), np.diff(asked.offsets.to_numpy()))
+            low, high = (asked.flatten().field(c).to_numpy() for c in ("low", "high"))
+            begin, end = np.minimum(first[row] + low, first[row + 1]), np.minimum(first[row] + high, first[row + 1])
+            cut = [words[a:b].tobytes() for a, b in zip(begin.tolist(), end.tolist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([column(rows, "doc_id").take(pa.array(row)), pa.array(low), pa.array(high), pa.array(cut, pa.binary())], ["doc_id", "low", "high", "words"])
 
 
 def _extend(x: np.ndarray, y: np.ndarray) -> tuple[int, int]:
     """(words, equal ones) of the best common start of x and y."""
-    n = min(len(x), len(y))
-    if not n:
-        return 0, 0
-    same = x[:n] == y[:n]
-    if same.all():
-        return n, n
-    score = np.cumsum(np.where(same, 1, -2))
-    dropped = np.flatnonzero(np.maximum.accumulate(np.maximum(score, 0)) - score > DROP)
-    score = score[: dropped[0]] if len(dropped) else score
-    best = int(score.argmax()) if len(score) else 0
-    if not len(score) or score[best] <= 0:
-        return 0, 0
-    return best + 1, int(same[: best + 1].sum())
+    every, n = min(len(x), len(y)), BLOCK
+    while every:
+        n = min(n, every)
+        same = x[:n] == y[:n]
+        score = np.cumsum(np.where(same, 1, -2))
+        dropped = np.flatnonzero(np.maximum.accumulate(np.maximum(score, 0)) - score > DROP)
+        if len(dropped) or n == every:
+            score = score[: dropped[0]] if len(dropped) else score
+            best = int(score.argmax()) if len(score) else 0
+            return (best + 1, (int(score[best]) + 2 * (best + 1)) // 3) if len(score) and score[best] > 0 else (0, 0)
+        n *= 4
+    return 0, 0
+
+
+def _extended(x: np.ndarray, y: np.ndarray, at_x: np.ndarray, at_y: np.ndarray, n: np.ndarray, way: int) -> tuple[np.ndarray, np.ndarray]:
+    """_extend from many places of x and y at once, over n words of each, forward (way 1) or back (-1)."""
+    step = np.arange(int(n.max()))
+    if not len(step):
+        return np.zeros(len(n), np.int64), np.zeros(len(n), np.int64)
+    same = x.take(at_x[:, None] + way * step, mode="clip") == y.take(at_y[:, None] + way * step, mode="clip")
+    same &= step < n[:, None]
+    score = np.cumsum(np.where(same, np.int32(1), np.int32(-2)), axis=1, dtype=np.int32)
+    dropped = np.maximum.accumulate(np.maximum(score, 0), axis=1) - score > DROP
+    score[np.logical_or.accumulate(dropped, axis=1)] = -1
+    best = score.argmax(axis=1)
+    top = score[np.arange(len(n)), best].astype(np.int64)
+    return np.where(top > 0, best + 1, 0), np.where(top > 0, (top + 2 * (best + 1)) // 3, 0)
 
 
 def _equal(x: np.ndarray, y: np.ndarray) -> int:
@@ -408,6 +517,16 @@ def _equal(x: np.ndarray, y: np.ndarray) -> int:
         same = int((x == y).sum())
         if 2 * same >= len(x):
             return same
+    # common ends are part of it
+    n = min(len(x), len(y))
+    unequal = np.flatnonzero(x[:n] != y[:n])
+    head = int(unequal[0]) if len(unequal) else n
+    x, y, n = x[head:], y[head:], n - head
+    unequal = np.flatnonzero(x[len(x) - n :] != y[len(y) - n :])
+    tail = n - 1 - int(unequal[-1]) if len(unequal) else n
+    x, y = x[: len(x) - tail], y[: len(y) - tail]
+    if not len(x) or not len(y):
+        return head + tail
     # a row of the dynamic program as bits of a whole number, zero where it grows
     held: dict[int, int] = {}
     for i, b in enumerate(y.tolist()):
@@ -416,7 +535,26 @@ def _equal(x: np.ndarray, y: np.ndarray) -> int:
     for a in x.tolist():
         if same := held.get(a, 0):
             row = (row + (row & same) | row - (row & same)) & full
-    return len(y) - row.bit_count()
+    return head + tail + len(y) - row.bit_count()
+
+
+def _gaps(x: np.ndarray, y: np.ndarray, places: np.ndarray, others: np.ndarray, begin: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """What each seed of the chains that begin at `begin` adds: (equal words of the gap before it, all of them, its own new words)."""
+    step, other_step = np.diff(places, prepend=0), np.diff(others, prepend=0)
+    fresh = np.maximum(0, np.minimum(np.minimum(step, other_step), k))
+    fresh[begin] = k
+    gap_x, gap_y = np.maximum(step - k, 0), np.maximum(other_step - k, 0)
+    gap_x[begin] = gap_y[begin] = 0
+    same = np.zeros(len(places), np.int64)
+    level = np.flatnonzero((gap_x == gap_y) & (gap_x > 0))
+    if len(level):
+        sizes = gap_x[level]
+        agree = x[_ranges_of(places[level - 1] + k, sizes)] == y[_ranges_of(others[level - 1] + k, sizes)]
+        same[level] = np.add.reduceat(agree.astype(np.int64), np.cumsum(sizes) - sizes)
+    unlike = np.flatnonzero((gap_x > 0) & (gap_y > 0) & ((gap_x != gap_y) | (2 * same < gap_x)))
+    ends = (places[unlike - 1] + k, places[unlike], others[unlike - 1] + k, others[unlike])
+    same[unlike] = [_equal(x[a:b], y[c:d]) for a, b, c, d in zip(*(e.tolist() for e in ends), strict=True)]
+    return same, np.maximum(gap_x, gap_y), fresh
 
 
 def aligned(x: np.ndarray, y: np.ndarray, places: np.ndarray, others: np.ndarray, k: int = K, least: float = IDENTITY) -> list[tuple[int, int, int, int, float]]:
@@ -425,49 +563,58 @@ def aligned(x: np.ndarray, y: np.ndarray, places: np.ndarray, others: np.ndarray
     Where too few words agree over the whole, the chain is parted at its gap of the most unequal words, and its parts again: passages
     with other text between them come out one by one.
     """
-    n = len(places)
-    places, others = places.tolist(), others.tolist()
-    # what each seed adds, with the gap before it
-    gap_same, gap_total, fresh = [0] * n, [0] * n, [k] * n
-    for j in range(1, n):
-        at_x, at_y = places[j - 1] + k, others[j - 1] + k
-        p, o = places[j], others[j]
-        if p > at_x or o > at_y:
-            gap_x, gap_y = x[at_x:p], y[at_y:o]
-            gap_same[j] = _equal(gap_x, gap_y) if len(gap_x) and len(gap_y) else 0
-            gap_total[j] = max(len(gap_x), len(gap_y))
-        fresh[j] = max(0, min(p + k - at_x, o + k - at_y, k))
-    out, parts = [], [(0, n)]
+    return _parted(x, y, places, others, *_gaps(x, y, places, others, np.zeros(1, np.int64), k), k, least)
+
+
+def _parted(x: np.ndarray, y: np.ndarray, places: np.ndarray, others: np.ndarray, gap_same: np.ndarray, gap_total: np.ndarray, fresh: np.ndarray, k: int, least: float) -> list[tuple[int, int, int, int, float]]:
+    """The alignments of a chain and, where it falls short, of its parts, from what each seed adds."""
+    unequal, all_same, every = gap_total - gap_same, np.cumsum(gap_same + fresh).tolist(), np.cumsum(gap_total + fresh).tolist()
+    out, parts = [], [(0, len(places))]
     while parts:
         low, high = parts.pop()
-        a, b, c, d = places[low], others[low], places[high - 1] + k, others[high - 1] + k
+        a, b, c, d = int(places[low]), int(others[low]), int(places[high - 1]) + k, int(others[high - 1]) + k
         right, right_same = _extend(x[c:], y[d:])
         left, left_same = _extend(x[:a][::-1], y[:b][::-1])
-        inner = slice(low + 1, high)
-        total = k + sum(gap_total[inner]) + sum(fresh[inner]) + left + right
-        same = k + sum(gap_same[inner]) + sum(fresh[inner]) + left_same + right_same
+        total = k + every[high - 1] - every[low] + left + right
+        same = k + all_same[high - 1] - all_same[low] + left_same + right_same
         if same >= least * total:
             out.append((a - left, c + right, b - left, d + right, same / total))
-        elif any(unequal := [t - s for t, s in zip(gap_total[inner], gap_same[inner], strict=True)]):
-            cut = low + 1 + unequal.index(max(unequal))
-            parts += [(cut, high), (low, cut)]
+        elif high - low > 1:
+            cut = low + 1 + int(unequal[low + 1 : high].argmax())
+            if unequal[cut]:
+                parts += [(cut, high), (low, cut)]
     return out
 
 
 def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ["doc_id", "other_doc_id", "start_word", "end_word", "other_start_word", "other_end_word", "identity"]
+    """The passages of each row's chain: those that hold as a whole for many rows at once, the others one by one."""
     for batch in _few(batches):
-        col = {n: batch.column(i) for i, n in enumerate(batch.schema.names)}
-        ids, others, low, other_low = (col[c].to_pylist() for c in ("doc_id", "other", "low", "other_low"))
-        out: list[list] = [[] for _ in names]
-        for i in range(batch.num_rows):
-            x, y = np.frombuffer(col["words"][i].as_buffer(), np.uint64), np.frombuffer(col["other_words"][i].as_buffer(), np.uint64)
-            p, o = col["places"][i].values.to_numpy() - low[i], col["other_places"][i].values.to_numpy() - other_low[i]
-            for a, b, c, d, share in aligned(x, y, p, o):
-                if b - a >= MIN_WORDS:
-                    for kept, v in zip(out, (ids[i], others[i], a + low[i], b + low[i], c + other_low[i], d + other_low[i], share), strict=True):
-                        kept.append(v)
-        yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out, (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.float64()), strict=True)], names)
+        ids, others, low, other_low = (column(batch, c).to_numpy().astype(np.int64) for c in ("doc_id", "other", "low", "other_low"))
+        (x, x_at), (y, y_at) = (text_bytes(column(batch, c)) for c in ("words", "other_words"))
+        x, x_at, y, y_at = x.view(np.uint64), x_at // 8, y.view(np.uint64), y_at // 8
+        sizes = np.diff(column(batch, "places").offsets.to_numpy()).astype(np.int64)
+        begin = np.cumsum(sizes) - sizes
+        # places within the words of all rows
+        p = column(batch, "places").flatten().to_numpy() + np.repeat(x_at[:-1] - low, sizes)
+        o = column(batch, "other_places").flatten().to_numpy() + np.repeat(y_at[:-1] - other_low, sizes)
+        gap_same, gap_total, fresh = _gaps(x, y, p, o, begin, K)
+        a, b, c, d = p[begin], o[begin], p[begin + sizes - 1] + K, o[begin + sizes - 1] + K
+        right, right_same = _extended(x, y, c, d, np.minimum(x_at[1:] - c, y_at[1:] - d), 1)
+        left, left_same = _extended(x, y, a - 1, b - 1, np.minimum(a - x_at[:-1], b - y_at[:-1]), -1)
+        total = np.add.reduceat(gap_total + fresh, begin) + left + right
+        same = np.add.reduceat(gap_same + fresh, begin) + left_same + right_same
+        whole = same >= IDENTITY * total
+        row = np.arange(len(ids))
+        found = [v[whole] for v in (row, a - left - x_at[:-1], c + right - x_at[:-1], b - left - y_at[:-1], d + right - y_at[:-1], same / total)]
+        parts = []
+        for r in np.flatnonzero(~whole & (np.add.reduceat(gap_total - gap_same, begin) > 0)):
+            mine, u, v = slice(begin[r], begin[r] + sizes[r]), slice(x_at[r], x_at[r + 1]), slice(y_at[r], y_at[r + 1])
+            parts += [(r, *m) for m in _parted(x[u], y[v], p[mine] - x_at[r], o[mine] - y_at[r], gap_same[mine], gap_total[mine], fresh[mine], K, IDENTITY)]
+        if parts:
+            found = [np.concatenate([v, np.array(w, v.dtype)]) for v, w in zip(found, zip(*parts, strict=True), strict=True)]
+        row, start, end, other_start, other_end, share = (v[found[2] - found[1] >= MIN_WORDS] for v in found)
+        columns = (ids[row], others[row], start + low[row], end + low[row], other_start + other_low[row], other_end + other_low[row], share)
+        yield pa.RecordBatch.from_arrays([pa.array(v).cast(f.type) for v, f in zip(columns, _PASSAGE, strict=True)], _PASSAGE.names)
 
 
 def passages(docs: DataFrame) -> DataFrame:
@@ -481,9 +628,12 @@ def passages(docs: DataFrame) -> DataFrame:
         return packed.withColumn("bucket", spread).groupBy("bucket").applyInArrow(_paired, "doc_id long, places array<int>, others array<bigint>, other_places array<int>")
 
     pairs = paired(docs.mapInArrow(_seeded(buckets), _PACKED))
-    # a document's seeds are at most its words: the group is one text's
+    def documents(rows: DataFrame, work, schema: str) -> DataFrame:
+        """work on tables of whole documents: a document's seeds, which are at most its words, come together, with those of others."""
+        return rows.repartition("doc_id").sortWithinPartitions("doc_id").mapInArrow(_by_document(work), schema)
+
     both = f"doc_id long, first array<{_CHAIN_SQL}>, rest array<{_CHAIN_SQL}>, ranges array<{_RANGE_SQL}>"
-    chained = written(pairs.groupBy("doc_id").applyInArrow(_chained, both), "chains")
+    chained = written(documents(pairs, _chained, both), "chains")
 
     def align(some: DataFrame) -> DataFrame:
         """Passages of the chains in some (doc_id, chains)."""
@@ -505,7 +655,7 @@ def passages(docs: DataFrame) -> DataFrame:
     found = found if left.isEmpty() else found.unionByName(align(left))
     # a run of MIN_WORDS words is a seed of its own: whoever holds its parts, its first holder is met
     long = docs.join(chained.filter(F.size("ranges") > 0).select("doc_id", "ranges"), "doc_id").select("doc_id", "text", "ranges")
-    runs = paired(long.mapInArrow(_seeded(buckets, ranged=True), _PACKED)).groupBy("doc_id").applyInArrow(_runs, f"doc_id long, runs array<{_RUN_SQL}>")
+    runs = documents(paired(long.mapInArrow(_seeded(buckets, ranged=True), _PACKED)), _runs, f"doc_id long, runs array<{_RUN_SQL}>")
     runs = written(runs.filter(F.size("runs") > 0), "runs")
     removed(left, chained)
     spans = found.groupBy("doc_id").agg(F.collect_list(F.struct("start_word", "end_word")).alias("spans"))

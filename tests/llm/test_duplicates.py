@@ -347,6 +347,122 @@ def test_chains_do_not_depend_on_the_order_of_rows():
     assert len(seen) == 1
 
 
+def test_seeds_of_short_texts_do_not_depend_on_their_neighbours():
+    rng = np.random.default_rng(8)
+    for window in (1, 2, 5, chaining.WINDOW):
+        sizes = np.concatenate([rng.integers(0, 40, 200), [0, 7, 8, 9, 19, 20]])
+        first = np.append(0, np.cumsum(sizes))
+        words = rng.integers(0, 3, first[-1]).astype(np.uint64)
+        got = list(zip(*(x.tolist() for x in chaining.minimizers(words, first, window=window)), strict=True))
+        want = []
+        for r in range(len(sizes)):
+            h = text.rolled(words[first[r] : first[r + 1]], chaining.K).tolist()
+            held = min(window, len(h))
+            least = [min(h[a : a + held]) for a in range(len(h) - held + 1)] if h else []
+            want += [(r, at, v) for at, v in enumerate(h) if any(a <= at < a + held and least[a] == v for a in range(len(least)))]
+        assert got == want
+
+
+def test_chains_of_many_documents_are_those_of_each():
+    rng = np.random.default_rng(9)
+    names, kinds = ["places", "others", "other_places"], [pa.int32(), pa.int64(), pa.int32()]
+    every, want = [], []
+    for doc in range(300):
+        # runs of seeds on a few diagonals, some seeds elsewhere, some first in the document itself
+        seeds = {}
+        for _ in range(rng.integers(1, 4)):
+            other, at, other_at = int(rng.integers(0, 3)), int(rng.integers(0, 200)), int(rng.integers(0, 200))
+            for step in np.cumsum(rng.integers(1, 60 if rng.random() < 0.3 else 8, rng.integers(1, 12))).tolist():
+                seeds[at + step] = (other, other_at + step + int(rng.integers(0, 2)))
+        if rng.random() < 0.2:
+            seeds |= {int(p): (1000 + doc, int(p)) for p in rng.integers(0, 400, 5)}
+        rows = [(p, *v) for p, v in seeds.items()]
+        rng.shuffle(rows)
+        every += [{"doc_id": 1000 + doc, **{n: [x[j] for x in part] for j, n in enumerate(names)}} for part in (rows[:3], rows[3:]) if part]
+        found = []
+        for other in sorted({o for _, o, _ in rows} - {1000 + doc}):
+            mine = sorted((p, q) for p, o, q in rows if o == other)
+            for chain in chaining.chains(*(np.array([m[j] for m in mine]) for j in (0, 1))):
+                found.append((other, [mine[i][0] for i in chain], [mine[i][1] for i in chain]))
+        found.sort(key=lambda c: (c[1][0] - c[1][-1], -len(c[1]), c[0]))
+        want.append((1000 + doc, found))
+    schema = pa.schema([("doc_id", pa.int64()), *((n, pa.list_(k)) for n, k in zip(names, kinds, strict=True))])
+    whole = pa.RecordBatch.from_pylist(every, schema)
+    calls = []
+    work = lambda rows: calls.append(rows.num_rows) or chaining._chained(rows)
+    for size in (1, 7, 10_000):
+        calls.clear()
+        got = [r for b in chaining._by_document(work)(iter([whole.slice(a, size) for a in range(0, whole.num_rows, size)])) for r in b.to_pylist()]
+        assert size < whole.num_rows or len(calls) <= 2
+        assert [r["doc_id"] for r in got] == [doc for doc, _ in want]
+        for row, (_, found) in zip(got, want, strict=True):
+            assert sorted(str((c["other"], c["places"], c["other_places"])) for c in row["first"] + row["rest"]) == sorted(str(c) for c in found)
+            taken, first = [], []
+            for _, places, _ in found:
+                low, high = max(0, (places[0] // 64 - 1) * 64), (places[-1] // 64 + 3) * 64
+                if all(high <= a or b <= low for a, b in taken):
+                    taken.append((low, high))
+                    first.append(places)
+            assert [c["places"] for c in row["first"]] == first
+            assert [(c["low"], c["high"]) for c in row["first"]] == taken
+
+
+def test_alignments_of_many_rows_are_those_of_each():
+    rng = np.random.default_rng(10)
+    rows = []
+    for _ in range(600):
+        n = int(rng.integers(60, 500))
+        x = rng.integers(0, 1 << 60, n).astype(np.uint64)
+        y = x.copy()
+        for at in rng.integers(0, n, int(rng.integers(0, 1 + n // 8))):  # changed, dropped and added words, and swapped stretches
+            kind = rng.integers(0, 4)
+            if kind == 0:
+                y[at % len(y)] = rng.integers(0, 1 << 60)
+            elif kind == 1:
+                y = np.delete(y, at % len(y))
+            elif kind == 2:
+                y = np.insert(y, at % len(y), rng.integers(0, 1 << 60, 3).astype(np.uint64))
+            elif rng.random() < 0.1:
+                y[at % len(y) : at % len(y) + 60] = rng.integers(0, 1 << 60, len(y[at % len(y) : at % len(y) + 60]))
+        h, g = text.rolled(x, chaining.K), text.rolled(y, chaining.K)
+        _, p, o = np.intersect1d(h, g, return_indices=True)
+        if len(p):
+            order = np.lexsort((o, p))
+            p, o = p[order][:: int(rng.integers(1, 9))], o[order][:: int(rng.integers(1, 9))][: len(p)]
+            n = min(len(p), len(o))
+            p, o = p[:n], o[:n]
+            made = [c for c in chaining.chains(p, o) if len(c)]
+            rows += [(p[c] + 5, o[c] + 9, x, y) for c in made]
+    want = sorted(
+        (i, a + 5, b + 5, c + 9, d + 9, s) for i, (p, o, x, y) in enumerate(rows) for a, b, c, d, s in chaining.aligned(x, y, p - 5, o - 9) if b - a >= chaining.MIN_WORDS
+    )
+    batch = pa.RecordBatch.from_pylist(
+        [{"doc_id": i, "other": -i, "places": p.tolist(), "other_places": o.tolist(), "low": 5, "other_low": 9, "words": x.tobytes(), "other_words": y.tobytes()} for i, (p, o, x, y) in enumerate(rows)],
+        pa.schema([("doc_id", pa.int64()), ("other", pa.int64()), ("places", pa.list_(pa.int32())), ("other_places", pa.list_(pa.int32())), ("low", pa.int32()), ("other_low", pa.int32()), ("words", pa.binary()), ("other_words", pa.binary())]),
+    )
+    got = [tuple(r.values()) for b in chaining._aligned(iter([batch.slice(0, 3), batch.slice(3)])) for r in b.to_pylist()]
+    assert len(want) > 300 and sorted((i, *more) for i, _, *more in got) == want
+    assert all(other == -i for i, other, *_ in got)
+
+
+def test_chains_put_off_are_left_where_no_passage_covers_a_seed():
+    rng = np.random.default_rng(11)
+    some = lambda n: [int(v) for v in rng.integers(0, 300, n)]
+    rows = []
+    for doc in range(200):
+        rest = [{"other": 1, "low": 0, "high": 64, "other_low": 0, "other_high": 64, "places": sorted(some(3)), "other_places": some(3)} for _ in range(rng.integers(1, 5))]
+        spans = [{"start_word": a, "end_word": a + int(rng.integers(50, 250))} for a in some(rng.integers(0, 4))]
+        rows.append({"doc_id": doc, "rest": rest, "spans": spans or (None if doc % 2 else [])})
+    want = []
+    for r in rows:
+        left = [c for c in r["rest"] if not all(any(s["start_word"] <= p and p + chaining.K <= s["end_word"] for s in r["spans"] or []) for p in c["places"])]
+        want += [{"doc_id": r["doc_id"], "chains": left}] if left else []
+    span = pa.struct([("start_word", pa.int32()), ("end_word", pa.int32())])
+    batch = pa.RecordBatch.from_pylist(rows, pa.schema([("doc_id", pa.int64()), ("rest", pa.list_(chaining._CHAIN)), ("spans", pa.list_(span))]))
+    got = [r for b in chaining._uncovered(iter([batch.slice(0, 0), batch.slice(0, 70), batch.slice(70)])) for r in b.to_pylist()]
+    assert 0 < len(want) < len(rows) and got == want
+
+
 def test_chains_are_collinear_and_disjoint():
     rng = random.Random(2)
     for _ in range(30):
