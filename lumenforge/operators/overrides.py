@@ -40,7 +40,7 @@ def override_rows(raw: DataFrame) -> DataFrame:
 
 def checked_overrides(rows: DataFrame) -> DataFrame:
     """rows with canonical actions, sources and keys; unknown actions, two overrides of one target, one override_id on two targets and
-    drops with a payload fail the job that reads them."""
+    drops with a payload fail the job that reads them. A row without an id has no target: it is no second one of another, and has no effect."""
     rows = rows.withColumn("action", ids.source_name(F.col("action"))).withColumn("key", ids.key(F.col("source"), F.col("source_id"))).withColumn("source", ids.source_name(F.col("source")))
     named = F.coalesce("override_id", F.lit("NULL"))
     rows = without(rows, ~F.coalesce(F.col("action").isin(*ACTIONS), F.lit(False)), F.concat(F.lit("override "), named, F.lit(": action "), F.coalesce("action", F.lit("NULL"))))
@@ -50,5 +50,5 @@ def checked_overrides(rows: DataFrame) -> DataFrame:
     target = F.count_if(F.col("action") != "add")
     rows = rows.withColumn("_n", target.over(Window.partitionBy("source", "key"))).withColumn("_m", target.over(Window.partitionBy("override_id")))
     aims = F.col("action") != "add"
-    rows = without(rows, aims & (F.col("_n") > 1), F.concat(F.lit("two overrides of "), F.coalesce("source", F.lit("NULL")), F.lit(" "), F.coalesce("key", F.lit("NULL"))))
+    rows = without(rows, aims & F.col("key").isNotNull() & (F.col("_n") > 1), F.concat(F.lit("two overrides of "), F.coalesce("source", F.lit("NULL")), F.lit(" "), F.coalesce("key", F.lit("NULL"))))
     return without(rows, aims & (F.col("_m") > 1), F.concat(F.lit("override_id "), named, F.lit(" is on two targets"))).drop("_n", "_m")
