@@ -13,10 +13,14 @@ neighbours of FIT_QUERIES queries, told by one pass over all rows, the one that
 that share is kept in `Hashes.share`. Only the choice comes from the sample: every row is indexed. Where vectors have no near neighbours to
 speak of, as with independent random directions, no cells tell them from the rest and most of the table is ranked.
 
-Vectors of a cell are dealt to units of about UNIT_ROWS and units to parts; a part ranks its own candidates for the queries
-that visit it and hands on their k best. So neither a crowded cell nor a third of all rows being one vector meets in one
-task, no pairs are emitted, and no candidate of a visited cell is left out. A query that found fewer than k is ranked
-against all rows in a second round.
+Rows are placed once, by their cells of the first table, whatever the tables: each row names its cells. Queries are dealt to segments
+of SEGMENT_BYTES, with lists of those of their cells that exist (a bit filter tells) or, where they visit much of the table, with the
+probability of the last cell that they visit, from which a task tells the others. Lists are never written. Tasks hold a segment, read
+their share of the rows and keep each query's k best, so that what they hand on is k rows for a query and task, and the disk used
+grows with the rows.
+Neither a crowded cell nor a third of all rows being one vector meets in one task, no pairs are emitted, and no candidate of a visited
+cell is left out. A query that found fewer than k is ranked against all rows in a second round. The work itself, queries times the rows
+of their cells, grows with the square of a table where cells leave out nothing.
 
 Vectors that are null, zero, of another length than most, or that hold a null or non-finite component take no part; nor do
 rows without an id. Rows that share an id count as one, by their best score. Empty tables give no rows. Other columns are
@@ -34,10 +38,15 @@ from pyspark.sql import functions as F
 
 from lumenforge.llm.shared import removed, table, written
 from lumenforge.llm.text import mix
+from lumenforge.sources.staging import at_once
 
 UNIT_ROWS = 2_000
-#: Bytes of vectors that one task ranks at once.
-PART_BYTES = 16 << 20
+#: Bytes of a part of the placed rows, of the queries with their cells that all tasks hold at once, and most bits of the filter of cells.
+PART_BYTES, SEGMENT_BYTES, MOST_BITS = 32 << 20, 16 << 20, 1 << 26
+#: Most tasks that rank the rows for one segment of the queries: each hands on k rows a query. Where there are more cores, segments run side by side.
+TASKS = 32
+#: Rows ranked at once, scores held at once, and the share of the table ranked below which queries hold lists of their cells.
+ROWS, SCORES, LISTED = 4_096, 1 << 21, 0.15
 #: The fit: share of neighbours to find, and what is chosen from: widths, each with the most cuts that leave a query's cover to some thousand cells.
 RECALL = 0.96
 FIT_QUERIES, FIT_VECTORS = 60, 10_000
@@ -117,15 +126,25 @@ class Hashes:
 
     def _ordered(self, vectors: np.ndarray) -> list[list[tuple[np.ndarray, np.ndarray]]]:
         out: list[list[tuple[np.ndarray, np.ndarray]]] = [[] for _ in vectors]
-        scale = self.width / self.spread
-        for t, places in enumerate(self.project(vectors, True)):
+        for t, (home, chance) in enumerate(self.chances(vectors)):
+            for q, (prob, cells) in enumerate(likeliest(chance, self.cover)):
+                out[q].append((self.cell_ids(t, self.steps[cells] + home[q]), np.cumsum(prob)))
+        return out
+
+    def chances(self, vectors: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+        """By table the queries' own cells and, by query, projection and step, the probability of a neighbour there."""
+        out, scale = [], self.width / self.spread
+        for places in self.project(vectors, True):
             home = np.floor(places)
             low = (self.steps[None, None, :] - (places - home)[:, :, None]) * scale
-            chance = _phi(low + scale) - _phi(low)  # by query, projection and step
-            for q, (prob, cells) in enumerate(likeliest(chance, self.cover)):
-                out[q].append((self.cell_ids(t, self.steps[cells] + home[q].astype(np.int64)), np.cumsum(prob)))
+            out.append((home.astype(np.int64), _phi(low + scale) - _phi(low)))
         return out
 
+    def least(self, vectors: np.ndarray) -> np.ndarray:
+        """By query and table the probability of the last cell that the query visits."""
+        parts = [np.stack([[prob[-1] for prob, _ in likeliest(chance, self.cover)] for _, chance in self.chances(vectors[low : low + ORDERED])], axis=1) for low in range(0, len(vectors), ORDERED)]
+        return np.concatenate(parts) if parts else np.zeros((0, len(self.cuts)))
+
 
 def likeliest(chance: np.ndarray, cover: float) -> list[tuple[np.ndarray, np.ndarray]]:
     """For each query (probability, step numbers) of its likeliest cells in descending order, as many as sum to `cover` or to all there is.
@@ -248,26 +267,6 @@ def fit(rows: DataFrame, k: int) -> tuple[Hashes | None, int]:
     return choose(x, stats["ids"], [vectors[at == j] for j in range(len(q))], stats["norm"]), stats["n"]
 
 
-def _best(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """(row, column) of each row's k largest scores; ties to the smaller column."""
-    if scores.shape[1] <= k:
-        return np.repeat(np.arange(len(scores)), scores.shape[1]), np.tile(np.arange(scores.shape[1]), len(scores))
-    least = -np.partition(-scores, k - 1, axis=1)[:, k - 1 : k]
-    taken = scores >= least
-    for r in np.flatnonzero(taken.sum(axis=1) > k):
-        taken[r] = False
-        taken[r, np.argsort(-scores[r], kind="stable")[:k]] = True
-    return np.nonzero(taken)
-
-
-def _near_best(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """_best, and all that rounding could put among them."""
-    if scores.shape[1] <= k:
-        return _best(scores, k)
-    least = -np.partition(-scores, k - 1, axis=1)[:, k - 1 : k]
-    return np.nonzero(scores >= least - 1e-9 * np.maximum(np.abs(least), np.abs(scores).max(axis=1, where=np.isfinite(scores), initial=0.0)[:, None]))
-
-
 def fixed_order(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """Inner products row by row, each summed in the same order."""
     out = np.zeros(len(x))
@@ -276,55 +275,142 @@ def fixed_order(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return out
 
 
-def _rank(k: int):
-    names = ["query_id", "vec_id", "score"]
+class Asked:
+    """Queries that all tasks hold at once: ids, vectors, and which cells they visit: lists in the order of the cells, or for each table
+    the least probability of one (`least`); neither: all cells."""
 
-    def run(vectors: pa.Table, queries: pa.Table) -> pa.Table:
-        found: list[list[np.ndarray]] = [[], [], []]
-        if vectors.num_rows and queries.num_rows:
-            vectors = vectors.sort_by([("unit", "ascending"), ("vec_id", "ascending")])
-            unit, ids = vectors["unit"].to_numpy(), vectors["vec_id"].to_numpy()
-            starts = np.flatnonzero(np.concatenate([[True], unit[1:] != unit[:-1]]))
-            x, q, q_ids = _matrix(vectors["vec"]), _matrix(queries["vec"]), queries["query_id"].to_numpy()
-            visited = queries["units"].combine_chunks()
-            flat = visited.flatten().to_numpy(zero_copy_only=False)
-            owner = np.repeat(np.arange(len(q)), np.diff(visited.offsets.to_numpy()))
+    def __init__(self, rows: pa.Table, hashes: Hashes):
+        self.ids, self.q, self.hashes = rows["query_id"].to_numpy(), _matrix(rows["vec"]).astype(np.float64), hashes
+        self.norms, self.cells, self.owner, self.least = np.sqrt((self.q * self.q).sum(axis=1)), None, None, None
+        if "least" in rows.column_names:
+            self.least = _matrix(rows["least"])
+        elif "cells" in rows.column_names:
+            visited = rows["cells"].combine_chunks()
+            flat, owner = visited.flatten().to_numpy(zero_copy_only=False), np.repeat(np.arange(len(self.ids), dtype=np.int32), np.diff(visited.offsets.to_numpy()))
             order = np.argsort(flat, kind="stable")
-            flat, owner = flat[order], owner[order]
-            for low, high in zip(starts, np.append(starts[1:], len(unit)), strict=True):
-                lead = low + np.flatnonzero(np.concatenate([[True], ids[low + 1 : high] != ids[low : high - 1]]))
-                asking = owner[np.searchsorted(flat, unit[low], "left") : np.searchsorted(flat, unit[low], "right")]
-                for part in range(0, len(asking), 2_000):
-                    some = asking[part : part + 2_000]
-                    # rows of one id are one column, by their best score
-                    scores = np.maximum.reduceat(q[some] @ x[low:high].T, lead - low, axis=1)
-                    scores[q_ids[some][:, None] == ids[None, lead]] = -np.inf
-                    # a product of matrices may sum equal vectors in different orders: what may be among the best gets its score anew
-                    r, c = _near_best(scores, k)
-                    row = lead[c]
-                    single = np.append(lead[1:], high)[c] - row == 1
-                    exact = np.where(single, fixed_order(q[some[r]], x[row]), 0.0)
-                    for j in np.flatnonzero(~single):
-                        until = np.append(lead[1:], high)[c[j]]
-                        exact[j] = fixed_order(np.repeat(q[some[r[j]]][None], until - row[j], 0), x[row[j] : until]).max()
-                    exact[np.isneginf(scores[r, c])] = -np.inf
-                    for kept, new in zip(found, (q_ids[some][r], ids[row], exact), strict=True):
-                        kept.append(new)
-        qs, vs, ss = (np.concatenate(x) if x else np.zeros(0, kind) for x, kind in zip(found, (np.int64, np.int64, np.float64), strict=True))
-        order = np.lexsort((-ss, vs, qs))
-        qs, vs, ss = qs[order], vs[order], ss[order]
-        # a candidate may come from more than one table or cell
-        keep = np.isfinite(ss)
-        keep[1:] &= (qs[1:] != qs[:-1]) | (vs[1:] != vs[:-1])
-        qs, vs, ss = qs[keep], vs[keep], ss[keep]
-        order = np.lexsort((vs, -ss, qs))
-        qs, vs, ss = qs[order], vs[order], ss[order]
-        keep = np.arange(len(qs)) - np.searchsorted(qs, qs) < k
-        return pa.table({n: x[keep] for n, x in zip(names, (qs, vs, ss), strict=True)})
+            self.cells, self.owner = flat[order], owner[order]
+
+
+class Nearest:
+    """The k nearest so far of each query among a task's rows. Only rows that may still be among them get a score of fixed order."""
+
+    def __init__(self, asked: Asked, k: int):
+        self.asked, self.k = asked, k
+        self.scores, self.ids = np.full((len(asked.ids), k), -np.inf), np.zeros((len(asked.ids), k), np.int64)
+        self.chances = asked.hashes.chances(asked.q) if asked.least is not None else []
+
+    def add(self, ids: np.ndarray, x: np.ndarray, homes: np.ndarray) -> None:
+        """homes: the rows' cells by table."""
+        asked, n = self.asked, len(self.asked.ids)
+        norm = float(np.sqrt((x * x).sum(axis=1).max()))
+        found, step = [], max(1, SCORES // len(ids))
+        if asked.cells is None:
+            known = [np.unique(h, return_index=True, return_inverse=True) for h in homes] if self.chances else []
+            places = np.floor(asked.hashes.project(x, False)).astype(np.int64) if known else []
+            tables = [(p[first], at) for p, (_, first, at) in zip(places, known, strict=True)]
+            for low in range(0, n, step):
+                who = np.arange(low, min(low + step, n))
+                found.append(self._near(who, ids, x, norm, [(self._visited(t, who, cells), at) for t, (cells, at) in enumerate(tables)]))
+        else:
+            for h in homes:
+                cells, at = np.unique(h, return_inverse=True)
+                low, high = np.searchsorted(asked.cells, cells), np.searchsorted(asked.cells, cells, "right")
+                order = np.argsort(at, kind="stable")
+                first = np.searchsorted(at[order], np.arange(len(cells) + 1))
+                for c in np.flatnonzero(high > low):
+                    rows, asking = order[first[c] : first[c + 1]], asked.owner[low[c] : high[c]]
+                    step = max(1, SCORES // len(rows))
+                    found += [self._near(asking[m : m + step], ids[rows], x[rows], norm, []) for m in range(0, len(asking), step)]
+        if found:
+            self._merge(*(np.concatenate(f) for f in zip(*found, strict=True)))
+
+    def _visited(self, t: int, who: np.ndarray, cells: np.ndarray) -> np.ndarray:
+        """Whether the queries visit cells, given by their places: those as likely as the last one of each query."""
+        home, chance = self.chances[t]
+        home, chance, prob = home[who], chance[who], np.ones((len(who), len(cells)))
+        steps = self.asked.hashes.steps
+        for c in range(cells.shape[1]):
+            known, at = np.unique(cells[:, c], return_inverse=True)
+            off = known[None, :] - home[:, c, None] - steps[0]
+            near = (off >= 0) & (off < len(steps))
+            prob *= np.where(near, np.take_along_axis(chance[:, c], np.where(near, off, 0), axis=1), 0.0)[:, at]
+        # the least may be off in its last places
+        return prob >= self.asked.least[who, t, None] * (1 - 1e-9)
+
+    def _near(self, who: np.ndarray, ids: np.ndarray, x: np.ndarray, norm: float, seen: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(query, id, score) of what may be among a query's best. seen: by table which cells each of `who` visits and each row's cell; none: all."""
+        asked = self.asked
+
+        def visited(i, j):
+            out = asked.ids[who[i]] != ids[j]
+            return out & np.logical_or.reduce([mask[i, at[j]] for mask, at in seen]) if seen else out
+
+        with np.errstate(all="ignore"):
+            scores = asked.q[who] @ x.T
+            least = self.scores[who, -1].copy()
+            short = np.flatnonzero(np.isneginf(least))
+            if len(short):  # fewer than k so far: these rows alone may tell what is too far
+                mine = np.where(visited(short[:, None], np.arange(len(ids))[None, :]), scores[short], -np.inf)
+                scores[short] = mine
+                known, at = np.unique(ids, return_inverse=True)
+                if len(known) < len(ids):
+                    order = np.argsort(at, kind="stable")
+                    mine = np.maximum.reduceat(mine[:, order], np.searchsorted(at[order], np.arange(len(known))), axis=1)
+                if mine.shape[1] > self.k:
+                    least[short] = -np.partition(-mine, self.k - 1, axis=1)[:, self.k - 1]
+            # a product of matrices may sum equal vectors in different orders
+            least = least - 1e-9 * asked.norms[who] * norm
+            least[np.isnan(least)] = -np.inf
+            i, j = np.nonzero((scores >= least[:, None]) & ~np.isneginf(scores))
+            keep = visited(i, j)
+            i, j = i[keep], j[keep]
+            exact = np.concatenate([np.zeros(0), *(fixed_order(asked.q[who[i[m : m + 20_000]]], x[j[m : m + 20_000]]) for m in range(0, len(i), 20_000))])
+        return who[i], ids[j], exact
+
+    def _merge(self, who: np.ndarray, ids: np.ndarray, scores: np.ndarray) -> None:
+        some = np.unique(who)
+        who, ids, scores = np.concatenate([np.repeat(some, self.k), who]), np.concatenate([self.ids[some].ravel(), ids]), np.concatenate([self.scores[some].ravel(), scores])
+        keep = np.isfinite(scores)
+        who, ids, scores = who[keep], ids[keep], scores[keep]
+        order = np.lexsort((-scores, ids, who))
+        who, ids, scores = who[order], ids[order], scores[order]
+        # a row may come from more than one table, an id from more than one row
+        keep = np.ones(len(who), bool)
+        keep[1:] = (who[1:] != who[:-1]) | (ids[1:] != ids[:-1])
+        who, ids, scores = who[keep], ids[keep], scores[keep]
+        order = np.lexsort((ids, -scores, who))
+        who, ids, scores = who[order], ids[order], scores[order]
+        nth = np.arange(len(who)) - np.searchsorted(who, who)
+        keep = nth < self.k
+        self.scores[some] = -np.inf
+        self.scores[who[keep], nth[keep]], self.ids[who[keep], nth[keep]] = scores[keep], ids[keep]
+
+    def rows(self) -> pa.RecordBatch:
+        i, j = np.nonzero(np.isfinite(self.scores))
+        return pa.RecordBatch.from_arrays([pa.array(self.asked.ids[i]), pa.array(self.ids[i, j]), pa.array(self.scores[i, j])], ["query_id", "vec_id", "score"])
+
+
+def _ranked(shared, k: int, tables: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        near = Nearest(shared.value, k)
+        for batch in batches:
+            for low in range(0, batch.num_rows, ROWS):
+                some = batch.slice(low, ROWS)
+                near.add(some.column(0).to_numpy(), _matrix(some.column(1 + tables)).astype(np.float64), np.stack([some.column(1 + t).to_numpy() for t in range(tables)]))
+        yield near.rows()
 
     return run
 
 
+def _known_cells(cells: DataFrame, bits: int) -> np.ndarray:
+    """The bits of a filter of a column `cell`, in words."""
+    at = F.pmod(F.col("cell"), F.lit(bits))
+    words = cells.select(F.floor(at / 64).alias("word"), F.pmod(at, F.lit(64)).cast("int").alias("bit")).groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("held")).toArrow()
+    out = np.zeros(bits // 64, np.uint64)
+    out[words["word"].to_numpy()] = words["held"].to_numpy().view(np.uint64)
+    return out
+
+
 def search(rows: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
     """The k nearest of `rows` for each of `queries` (both vec_id, embedding): query_id, rank, vec_id, score."""
     base = clean(rows)
@@ -333,52 +419,93 @@ def search(rows: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
     if not n:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     shared = spark.sparkContext.broadcast(hashes)
+    tables, dim = len(hashes.cuts), hashes.cuts.shape[2] - 1
+    # vectors are kept as they come: singles take half the place of doubles
+    kind = "array<float>" if dict(rows.dtypes)["embedding"] == "array<float>" else "array<double>"
+    vec = F.col("vec").cast(kind).alias("vec")
+    homes = [f"cell_{t}" for t in range(tables)]
 
     def cells(batches):
         for batch in batches:
-            x = _matrix(batch.column(1))
-            for t, homes in enumerate(shared.value.homes(x)):
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.full(len(x), t, np.int32)), pa.array(homes), batch.column(1)], ["vec_id", "tab", "cell", "vec"])
-
-    def visits(batches):
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(h) for h in shared.value.homes(_matrix(batch.column(1)).astype(np.float64))), batch.column(1)], ["vec_id", *homes, "vec"])
+
+    size = n * (dim * (4 if kind == "array<float>" else 8) + 8 * (1 + tables))
+    tasks = min(spark.sparkContext.defaultParallelism, TASKS)
+    parts = max(1, -(-size // PART_BYTES), min(tasks, n // UNIT_ROWS))
+    placed = base.select("vec_id", vec).mapInArrow(cells, f"vec_id long, {', '.join(f'{c} long' for c in homes)}, vec {kind}")
+    # rows of a cell lie together; a crowded cell is dealt to several parts
+    placed = written(placed.repartitionByRange(parts, homes[0], F.xxhash64("vec_id")).sortWithinPartitions(homes[0]), "cells")
+    # queries that visit much of the table go by the probabilities of its cells, so that no list of them is held; others by lists
+    listed = hashes.share < LISTED
+    if listed:
+        bits = min(MOST_BITS, max(1 << 16, 1 << (16 * n * tables - 1).bit_length()))
+        held = spark.sparkContext.broadcast(_known_cells(placed.select(F.explode(F.array(*homes)).alias("cell")), bits))
+
+    def lists(batches):
         for batch in batches:
             for low in range(0, batch.num_rows, 64):
                 some = batch.slice(low, 64)
-                seen = shared.value.visits(_matrix(some.column(1)))
-                yield pa.RecordBatch.from_arrays([some.column(0).take(pa.array(np.repeat(np.arange(len(seen)), [len(s) for s in seen]))), pa.array(np.concatenate(seen))], ["query_id", "cell"])
-
-    placed = written(base.mapInArrow(cells, "vec_id long, tab int, cell long, vec array<double>"), "cells")
-    asked = clean(queries).select(F.col("vec_id").alias("query_id"), "vec")
-    parts = max(1, -(-n * len(hashes.cuts) * hashes.cuts.shape[2] * 8 // PART_BYTES))
-    sizes = placed.groupBy("cell").agg(F.ceil(F.count("*") / UNIT_ROWS).cast("int").alias("units"))
-    unit = F.xxhash64("cell", "nth")
-    part = F.pmod(F.col("unit"), F.lit(parts)).cast("int")
-    units = placed.join(sizes, "cell").withColumn("nth", F.pmod(F.xxhash64("vec_id", "tab"), F.col("units")).cast("int")).withColumn("unit", unit)
-    dealt = units.withColumn("part", part).select("part", "tab", "unit", "vec_id", "vec")
-    seen = asked.mapInArrow(visits, "query_id long, cell long").join(sizes, "cell").withColumn("nth", F.explode(F.sequence(F.lit(0), F.col("units") - 1))).withColumn("unit", unit)
-    by_part = seen.groupBy("query_id", part.alias("part")).agg(F.collect_set("unit").alias("units"))
-
-    def ranked(found: DataFrame) -> DataFrame:
-        best = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
-        w = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-        return best.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
-
-    def scored(visited: DataFrame) -> DataFrame:
-        full = visited.join(asked, "query_id").select("part", "query_id", "units", "vec")
-        return ranked(dealt.groupBy("part").cogroup(full.groupBy("part")).applyInArrow(_rank(k), "query_id long, vec_id long, score double"))
-
-    first = written(scored(by_part), "nearest")
+                seen = shared.value.visits(_matrix(some.column(1)).astype(np.float64))
+                flat = np.concatenate(seen)
+                place = np.mod(flat, bits)
+                there = (held.value[place >> 6] >> (place & 63).astype(np.uint64)) & np.uint64(1) == 1
+                ends = np.concatenate([[0], np.cumsum(there)])[np.cumsum([0, *(len(c) for c in seen)])]
+                yield pa.RecordBatch.from_arrays([some.column(0), some.column(1), pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(flat[there]))], ["query_id", "vec", "cells"])
+
+    def least(batches):
+        for batch in batches:
+            if batch.num_rows:
+                found = shared.value.least(_matrix(batch.column(1)).astype(np.float64))
+                ends = pa.array(np.arange(len(found) + 1, dtype=np.int32) * tables)
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.ListArray.from_arrays(ends, pa.array(found.ravel()))], ["query_id", "vec", "least"])
+
+    vectors = clean(queries).select(F.col("vec_id").alias("query_id"), vec)
+    # rows of one id each ask for themselves: their best scores are put together below
+    asked = written(vectors if listed else vectors.mapInArrow(least, f"query_id long, vec {kind}, least array<double>"), "asked")
+
+    def with_cells(some: DataFrame) -> DataFrame:
+        return some.mapInArrow(lists, f"query_id long, vec {kind}, cells array<long>")
+
+    def nearest(some: DataFrame, cells: bool) -> list[DataFrame]:
+        """Written tables, each of a segment of the queries: as many as all tasks hold at once. cells: each query's, else all."""
+        count, long = some.count(), 0
+        if cells and listed:  # how long the lists are, by a few
+            long = with_cells(some.orderBy(F.xxhash64("query_id")).limit(200)).agg(F.avg(F.size("cells"))).first()[0] or 0
+        segments = max(1, -(-int(count * (8 * (dim + 2 * k + 2 * tables) + 12 * long)) // SEGMENT_BYTES))
+
+        def one(s: int) -> DataFrame:
+            mine = some.filter(F.pmod(F.xxhash64("query_id"), F.lit(segments)) == s)
+            mine = mine.select("query_id", "vec") if not cells else with_cells(mine) if listed else mine
+            held = spark.sparkContext.broadcast(Asked(mine.toArrow(), hashes))
+            # a task hands on k rows a query: their number follows the tasks, not the table
+            found = placed.coalesce(tasks).mapInArrow(_ranked(held, k, tables), "query_id long, vec_id long, score double").repartition("query_id")
+            best = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+            w = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+            out = written(best.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score"), "nearest")
+            held.destroy()
+            return out
+
+        beside = max(1, spark.sparkContext.defaultParallelism // tasks)
+        return [df for low in range(0, segments, beside) for df in at_once(spark, *(lambda s=s: one(s) for s in range(low, min(segments, low + beside))))]
+
+    first = _union(nearest(asked, True))
     enough = first.groupBy("query_id").count().filter(F.col("count") >= k)
-    left = asked.select("query_id").distinct().join(enough, "query_id", "left_anti")
+    left = asked.join(enough, "query_id", "left_anti")
     if left.isEmpty():
-        removed(placed)
+        removed(placed, asked)
         return first
-    # the few queries that saw too little: all units of the first table
-    all_units = dealt.filter("tab = 0").groupBy("part").agg(F.collect_set("unit").alias("units"))
-    again = scored(left.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))).join(all_units, "part").select("query_id", "part", "units"))
-    again = written(again, "nearest")
-    out = written(first.join(left, "query_id", "left_anti").unionByName(again), "nearest")
-    removed(placed, first, again)
+    # the few queries that saw too little: all rows
+    left = written(left, "left")
+    again = nearest(left, False)
+    out = first.join(left.select("query_id").distinct(), "query_id", "left_anti").unionByName(_union(again))
+    removed(placed, asked)
+    return out
+
+
+def _union(frames: list[DataFrame]) -> DataFrame:
+    out = frames[0]
+    for df in frames[1:]:
+        out = out.unionByName(df)
     return out
 
 

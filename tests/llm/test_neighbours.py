@@ -1,4 +1,5 @@
 import itertools
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -118,3 +119,29 @@ def test_what_is_ranked_does_not_grow_with_the_table(spark, n):
         ranked += seen.sum()
         found += seen.any(axis=0)[np.argsort(-scores)[:20]].sum()
     assert rows == n and ranked / (len(own) * n) < 0.02 and found / (20 * len(own)) >= 0.9
+
+
+def test_disk_grows_no_faster_than_the_table(spark, folder, monkeypatch):
+    """Shuffle files of a search in many parts, for four times the rows: queries times parts would be sixteen times as much."""
+    rng, local, grown = np.random.default_rng(11), Path(spark.conf.get("spark.local.dir")), []
+    monkeypatch.setattr(multiprobe, "PART_BYTES", 16 << 10)
+    monkeypatch.setattr(multiprobe, "UNIT_ROWS", 100)
+    for n in (3_000, 12_000):
+        rows = spark.read.parquet(folder(embeddings=table(rng.standard_normal((n, 16)))) + "/embeddings.parquet")
+        known = set(local.rglob("shuffle_*.data"))
+        assert multiprobe.search(rows, rows.filter(F.col("vec_id") % 20 == 0)).count() == n
+        grown.append(sum(p.stat().st_size for p in set(local.rglob("shuffle_*.data")) - known))
+    assert 0 < grown[1] < 6 * grown[0], grown
+
+
+def test_cells_by_lists_and_by_their_probability_give_the_same(spark, folder, monkeypatch):
+    rng = np.random.default_rng(12)
+    centres = rng.standard_normal((40, 16))
+    x = centres[rng.integers(0, 40, 4_000)] + 0.2 * rng.standard_normal((4_000, 16))
+    rows = spark.read.parquet(folder(embeddings=table(x)) + "/embeddings.parquet")
+    got = []
+    for limit, segment in ((0.0, 16 << 20), (1.1, 16 << 20), (0.0, 20_000), (1.1, 20_000)):
+        monkeypatch.setattr(multiprobe, "LISTED", limit)
+        monkeypatch.setattr(multiprobe, "SEGMENT_BYTES", segment)
+        got.append(sorted(tuple(r) for r in multiprobe.search(rows, rows.filter(F.col("vec_id") % 20 == 0)).collect()))
+    assert len(got[0]) == 4_000 and all(g == got[0] for g in got[1:])
