@@ -280,7 +280,9 @@ class Asked:
     the least probability of one (`least`); neither: all cells."""
 
     def __init__(self, rows: pa.Table, hashes: Hashes):
-        self.ids, self.q, self.hashes = rows["query_id"].to_numpy(), _matrix(rows["vec"]).astype(np.float64), hashes
+        if not rows.num_rows:
+            rows = rows.select(["query_id", "vec"])
+        self.ids, self.q, self.hashes = rows["query_id"].to_numpy(), _matrix(rows["vec"]).astype(np.float64) if rows.num_rows else np.zeros((0, hashes.cuts.shape[2] - 1)), hashes
         self.norms, self.cells, self.owner, self.least = np.sqrt((self.q * self.q).sum(axis=1)), None, None, None
         if "least" in rows.column_names:
             self.least = _matrix(rows["least"])
@@ -302,6 +304,8 @@ class Nearest:
     def add(self, ids: np.ndarray, x: np.ndarray, homes: np.ndarray) -> None:
         """homes: the rows' cells by table."""
         asked, n = self.asked, len(self.asked.ids)
+        if not n:
+            return
         norm = float(np.sqrt((x * x).sum(axis=1).max()))
         found, step = [], max(1, SCORES // len(ids))
         if asked.cells is None:
@@ -476,13 +480,13 @@ def search(rows: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
         def one(s: int) -> DataFrame:
             mine = some.filter(F.pmod(F.xxhash64("query_id"), F.lit(segments)) == s)
             mine = mine.select("query_id", "vec") if not cells else with_cells(mine) if listed else mine
-            held = spark.sparkContext.broadcast(Asked(mine.toArrow(), hashes))
+            segment = spark.sparkContext.broadcast(Asked(mine.toArrow(), hashes))
             # a task hands on k rows a query: their number follows the tasks, not the table
-            found = placed.coalesce(tasks).mapInArrow(_ranked(held, k, tables), "query_id long, vec_id long, score double").repartition("query_id")
+            found = placed.coalesce(tasks).mapInArrow(_ranked(segment, k, tables), "query_id long, vec_id long, score double").repartition("query_id")
             best = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
             w = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
             out = written(best.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score"), "nearest")
-            held.destroy()
+            segment.destroy()
             return out
 
         beside = max(1, spark.sparkContext.defaultParallelism // tasks)

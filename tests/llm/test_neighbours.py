@@ -145,3 +145,11 @@ def test_cells_by_lists_and_by_their_probability_give_the_same(spark, folder, mo
         monkeypatch.setattr(multiprobe, "SEGMENT_BYTES", segment)
         got.append(sorted(tuple(r) for r in multiprobe.search(rows, rows.filter(F.col("vec_id") % 20 == 0)).collect()))
     assert len(got[0]) == 4_000 and all(g == got[0] for g in got[1:])
+
+
+def test_no_queries_and_segments_without_any(spark, folder, monkeypatch):
+    x = np.random.default_rng(13).standard_normal((90, 8))
+    assert multiprobe.op2_multiprobe_ann(spark, folder(embeddings=table(x, [*range(1, 20), *range(21, 40), *range(41, 60), *range(61, 80), *range(81, 95)]))).count() == 0
+    monkeypatch.setattr(multiprobe, "SEGMENT_BYTES", 200)
+    got = multiprobe.op2_multiprobe_ann(spark, folder(embeddings=table(x))).collect()
+    assert sorted((r["query_id"], r["rank"]) for r in got) == [(q, k) for q in range(0, 90, 20) for k in range(1, 21)]
